@@ -1,0 +1,5 @@
+"""SQL oracles of the other pipelines."""
+
+
+def more_sql() -> dict[str, str]:
+    return {}

@@ -1,0 +1,168 @@
+"""Named queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
+
+Hashed outputs leave out clock columns (``etl_date``) and carry explicit
+aliases so their names equal the SQL oracle's.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lumenflow.functions.dates import shift_label
+from lumenflow.functions.strings import concat_key
+from lumenflow.operators import tiering as T
+from lumenflow.plans import segmentation as S
+from lumenflow.sources import bindings as B
+
+Query = Callable[[SparkSession, str], DataFrame]
+_REGISTRY: dict[str, Query] = {}
+
+
+def query(name: str):
+    def wrap(fn: Query) -> Query:
+        _REGISTRY[name] = fn
+        return fn
+    return wrap
+
+
+def all_queries() -> dict[str, Query]:
+    # Import the modules that register further queries.
+    from lumenflow import registry_more  # noqa: F401
+    return dict(_REGISTRY)
+
+
+# --- outlet segmentation ---------------------------------------------------
+
+M = B.RUN_MONTH
+
+
+def _inputs(spark, sf_dir):
+    sales = B.pos_sales(spark, sf_dir)
+    aging = B.pos_aging(spark, sf_dir)
+    history = B.segmentation_history(spark, sf_dir, M)
+    return sales, aging, history
+
+
+def _stage(spark, sf_dir):
+    sales, aging, history = _inputs(spark, sf_dir)
+    calc = S.calculation(B.month_feed(sales, M), aging)
+    return S.union_stage(history, calc, M), aging, history
+
+
+@query("revenue_tiering")
+def q_revenue_tiering(spark, sf_dir):
+    sales = B.pos_sales(spark, sf_dir)
+    return sales.select("pos_code", "month_year", "revenue",
+                        T.revenue_tier().alias("revenue_tiering"))
+
+
+@query("real_pos_tiering")
+def q_real_pos_tiering(spark, sf_dir):
+    sales = B.pos_sales(spark, sf_dir)
+    return sales.select("pos_code", "month_year", "revenue",
+                        T.real_pos_tier().alias("real_pos_tiering"))
+
+
+@query("pos_tiering")
+def q_pos_tiering(spark, sf_dir):
+    return S.calculation(B.pos_sales(spark, sf_dir), B.pos_aging(spark, sf_dir))
+
+
+@query("previous_month_slice")
+def q_previous_month_slice(spark, sf_dir):
+    _, _, history = _inputs(spark, sf_dir)
+    return S.previous_month_slice(history, M)
+
+
+@query("pos_union_stage")
+def q_pos_union_stage(spark, sf_dir):
+    stage, _, _ = _stage(spark, sf_dir)
+    return stage
+
+
+@query("latest_per_pos")
+def q_latest_per_pos(spark, sf_dir):
+    stage, _, _ = _stage(spark, sf_dir)
+    return S.latest_per_pos(stage).select("pos_code", "month_year", "revenue", "pos_tiering")
+
+
+@query("no_trx_pos")
+def q_no_trx_pos(spark, sf_dir):
+    stage, aging, _ = _stage(spark, sf_dir)
+    return S.no_trx(stage, aging, M)
+
+
+@query("pos_lag")
+def q_pos_lag(spark, sf_dir):
+    stage, aging, _ = _stage(spark, sf_dir)
+    return S.with_lags(stage.unionByName(S.no_trx(stage, aging, M)))
+
+
+@query("tiering_transition")
+def q_tiering_transition(spark, sf_dir):
+    stage, aging, _ = _stage(spark, sf_dir)
+    lagged = S.with_lags(stage.unionByName(S.no_trx(stage, aging, M)))
+    return lagged.select("pos_code", "month_year", "previous_tiering", "pos_tiering",
+                         T.transition().alias("tiering_changes"))
+
+
+@query("seed_month_filter")
+def q_seed_month_filter(spark, sf_dir):
+    from lumenflow.functions.dates import month_label
+    _, _, history = _inputs(spark, sf_dir)
+    seed = B.seed_months(spark, M)
+    keyed = history.withColumn("_m", month_label("month_year_date"))
+    return (keyed.join(F.broadcast(seed.withColumnRenamed("month_year", "_m")), "_m", "left_semi")
+            .drop("_m"))
+
+
+@query("diamond_check")
+def q_diamond_check(spark, sf_dir):
+    _, _, history = _inputs(spark, sf_dir)
+    return T.diamond_check(history, B.seed_months(spark, M))
+
+
+@query("diamond_promotion")
+def q_diamond_promotion(spark, sf_dir):
+    """Promotion rule over every month of the history: each outlet-month is
+    joined to the flag earned in the quarter before it."""
+    from lumenflow.functions.dates import quarter_label
+    _, _, history = _inputs(spark, sf_dir)
+    check = T.diamond_check(history, B.seed_months(spark, M))
+    flags = check.select(F.col("pos_code").alias("_p"), F.col("quarter_next").alias("_q"),
+                         "is_diamond")
+    joined = history.join(flags, (history["pos_code"] == flags["_p"])
+                          & (quarter_label(history["month_year_date"]) == flags["_q"]), "left")
+    return joined.select("pos_code", "month_year", "revenue_tiering", "is_diamond",
+                         T.promoted_tier().alias("new_tiering"))
+
+
+@query("pos_final")
+def q_pos_final(spark, sf_dir):
+    stage, aging, _ = _stage(spark, sf_dir)
+    final = S.final_stage(stage, S.no_trx(stage, aging, M), M)
+    return final.drop("etl_date")
+
+
+def _segment(spark, sf_dir):
+    sales, aging, history = _inputs(spark, sf_dir)
+    return S.segment_month(B.month_feed(sales, M), aging, history,
+                           B.seed_months(spark, M), M)
+
+
+@query("pos_segmentation_month")
+def q_pos_segmentation_month(spark, sf_dir):
+    return _segment(spark, sf_dir).drop("etl_date")
+
+
+@query("duplicate_check")
+def q_duplicate_check(spark, sf_dir):
+    stage, aging, _ = _stage(spark, sf_dir)
+    final = S.final_stage(stage, S.no_trx(stage, aging, M), M)
+    return S.duplicate_check(final, concat_key("pos_code", "month_year"))
+
+
+__all__ = ["all_queries", "query", "shift_label"]

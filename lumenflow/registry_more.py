@@ -1,0 +1 @@
+"""Queries of the other pipelines (registered on import)."""
