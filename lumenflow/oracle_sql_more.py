@@ -1,5 +1,92 @@
-"""SQL oracles of the other pipelines."""
+"""SQL oracles of the CDC, table-write and load pipelines."""
+
+from __future__ import annotations
+
+from lumenflow.oracle_sql import _OUT, _p1
+from lumenflow.sources import bindings as B
+
+_MESSAGES = """
+msg AS (
+  SELECT event_id AS "offset", 0 AS "partition", ts, user_id, event_type, value,
+         CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+         CASE WHEN event_type = 'signup' THEN 'c'
+              WHEN event_type IN ('purchase', 'click') THEN 'u'
+              WHEN event_type = 'view' THEN 'r'
+              WHEN event_type = 'error' THEN 'd' END AS op0
+  FROM events
+),
+parsed AS (
+  SELECT "offset", "partition", ts, k,
+         CASE WHEN k IN (0, 3) THEN NULL ELSE op0 END AS op,
+         CASE WHEN k IN (0, 3) THEN 'malformed'
+              WHEN op0 IS NULL OR op0 NOT IN ('c', 'u') THEN 'skipped'
+              WHEN k = 1 THEN 'malformed'
+              ELSE 'accepted' END AS status,
+         CASE WHEN k = 2 THEN NULL ELSE user_id END AS id,
+         CASE WHEN k = 2 THEN NULL ELSE event_type END AS event_type,
+         CASE WHEN k = 2 THEN NULL ELSE value END AS value
+  FROM msg
+),
+acc AS (SELECT * FROM parsed WHERE status = 'accepted')"""
+
+_LATEST = """
+SELECT id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, "offset" DESC) AS rn FROM {src}
+) WHERE rn = 1"""
+
+
+def _cdc(body: str) -> str:
+    return "WITH " + _MESSAGES.strip() + body
 
 
 def more_sql() -> dict[str, str]:
-    return {}
+    q: dict[str, str] = {}
+    q["month_partition_replace"] = _p1(
+        "SELECT * FROM history_full WHERE month_year <> '1995-01' "
+        f"UNION ALL SELECT {_OUT} FROM rn_out")
+
+    q["cdc_reject_split"] = _cdc('\nSELECT "partition", "offset", op, status FROM parsed')
+    q["cdc_latest_by_key"] = _cdc(_LATEST.format(src="acc"))
+    q["cdc_stream_latest"] = q["cdc_latest_by_key"]
+    q["cdc_key_bounded_batch"] = _cdc(f""",
+firsts AS (
+  SELECT id, ts, "offset" FROM (
+    SELECT id, ts, "offset", row_number() OVER (PARTITION BY id ORDER BY ts, "offset") AS rn FROM acc
+  ) WHERE rn = 1
+),
+ranked AS (SELECT *, row_number() OVER (ORDER BY ts, "offset") AS pos FROM firsts),
+cut AS (SELECT ts, "offset" FROM ranked WHERE pos = {B.CDC_BATCH_KEYS}),
+bounded AS (
+  SELECT a.* FROM acc a
+  WHERE NOT EXISTS (SELECT 1 FROM cut)
+     OR EXISTS (SELECT 1 FROM cut c WHERE a.ts < c.ts OR (a.ts = c.ts AND a."offset" <= c."offset"))
+)""" + _LATEST.format(src="bounded"))
+    q["csv_export_roundtrip"] = _cdc(
+        "\nSELECT CAST(id AS INTEGER) AS id, event_type, value FROM ("
+        + _LATEST.format(src="acc") + ") t")
+
+    cust = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
+    staging = f"""WITH rows AS (SELECT {cust} FROM customer WHERE c_acctbal >= {B.STAGING_MIN_ACCTBAL}),
+staging AS (
+  SELECT CASE WHEN c_acctbal > {B.STAGING_NOKEY_ACCTBAL} AND c_acctbal <= {B.STAGING_REPEAT_ACCTBAL}
+              THEN NULL ELSE c_custkey END AS c_custkey,
+         c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM rows
+  UNION ALL
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal + 2, c_mktsegment FROM rows
+  WHERE c_acctbal > {B.STAGING_REPEAT_ACCTBAL}
+)"""
+    q["upsert_existing"] = staging + f""",
+target AS (SELECT {cust} FROM customer WHERE c_acctbal < {B.TARGET_MAX_ACCTBAL})
+SELECT * FROM target t
+WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.c_custkey = t.c_custkey)
+UNION ALL SELECT * FROM staging"""
+    q["upsert_first_load"] = staging + """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM staging"""
+    q["csv_scan_delimited"] = f"SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+    q["bulk_load_parquet"] = "SELECT * FROM events"
+    q["bulk_load_csv"] = ("SELECT CAST(event_id AS INTEGER) AS event_id, ts, CAST(user_id AS INTEGER) AS user_id, "
+                          "event_type, value, props FROM events")
+    q["bulk_load_stats"] = """WITH n AS (SELECT count(*) AS rows FROM lineitem)
+SELECT b AS batch, least(100000, n.rows - (b - 1) * 100000) AS rows
+FROM n, range(1, CAST(ceil(n.rows / 100000.0) AS BIGINT) + 1) AS t(b)"""
+    return q

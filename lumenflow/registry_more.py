@@ -1 +1,154 @@
-"""Queries of the other pipelines (registered on import)."""
+"""Queries of the CDC, table-write and load pipelines (registered on import).
+
+Queries that write do so below the session's shared folder
+(``spark.checkpoint.dir``), each run in a fresh sub-folder, and return the
+written table read back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lumenflow.functions.dates import shift_label
+from lumenflow.operators import cdc
+from lumenflow.plans import ingest
+from lumenflow.plans import segmentation as S
+from lumenflow.registry import M, query
+from lumenflow.session import fresh_path
+from lumenflow.sinks import storage
+from lumenflow.sources import bindings as B
+from lumenflow.sources.files import read_delimited
+from lumenflow.sources.tables import table_path
+from lumenflow.streaming import cdc_stream
+
+OLDEST_MONTH = "1995-01"   # month deleted by an empty replacement in the demo write
+
+
+# --- monthly write-back -----------------------------------------------------
+
+@query("month_partition_replace")
+def q_month_partition_replace(spark, sf_dir):
+    """History written month-partitioned; the run month is computed *from
+    that table* and written back into it; one old month is replaced by an
+    empty result (and so disappears)."""
+    root = fresh_path(spark, "lp_segmentation")
+    (B.segmentation_history_full(spark, sf_dir, M)
+     .write.partitionBy("month_year").parquet(root))
+    table = storage.read_months(spark, root, S.OUTPUT_COLUMNS)
+    history = table.where(F.col("month_year") < F.lit(M))
+    sales = B.pos_sales(spark, sf_dir)
+    result = S.segment_month(B.month_feed(sales, M), B.pos_aging(spark, sf_dir), history,
+                             B.seed_months(spark, M), M)
+    storage.replace_month(result, root, M, S.OUTPUT_COLUMNS)
+    storage.replace_month(table.where(F.lit(False)), root, OLDEST_MONTH, S.OUTPUT_COLUMNS)
+    return storage.read_months(spark, root, S.OUTPUT_COLUMNS).drop("etl_date")
+
+
+# --- change data capture ------------------------------------------------------
+
+def _parsed(spark, sf_dir):
+    return cdc.parse_envelopes(B.cdc_messages(spark, sf_dir), B.CDC_ROW_SCHEMA)
+
+
+@query("cdc_reject_split")
+def q_cdc_reject_split(spark, sf_dir):
+    return cdc.reject_split(_parsed(spark, sf_dir))
+
+
+@query("cdc_latest_by_key")
+def q_cdc_latest_by_key(spark, sf_dir):
+    return cdc.latest_by_key(_parsed(spark, sf_dir), B.CDC_KEY)
+
+
+@query("cdc_key_bounded_batch")
+def q_cdc_key_bounded_batch(spark, sf_dir):
+    return cdc.key_bounded_batch(_parsed(spark, sf_dir), B.CDC_KEY, B.CDC_BATCH_KEYS)
+
+
+@query("cdc_stream_latest")
+def q_cdc_stream_latest(spark, sf_dir):
+    """Envelopes land as files in a topic folder; a streaming query drains
+    it (several micro-batches) and the sink is read back."""
+    topic_dir = fresh_path(spark, "topic")
+    B.cdc_messages(spark, sf_dir).repartition(8).write.parquet(topic_dir)
+    sink = fresh_path(spark, "cdc_sink")
+    source = cdc_stream.file_source(spark, topic_dir, max_files_per_trigger=3)
+    cdc_stream.run_latest_by_key(source, B.CDC_ROW_SCHEMA, B.CDC_KEY, sink,
+                                 fresh_path(spark, "cdc_checkpoint"))
+    return cdc_stream.read_latest(spark, sink, B.CDC_KEY)
+
+
+@query("csv_export_roundtrip")
+def q_csv_export_roundtrip(spark, sf_dir):
+    out_dir = fresh_path(spark, "export")
+    path = f"{out_dir}/{cdc.export_name(B.CDC_TOPIC)}.csv"
+    latest = cdc.latest_by_key(_parsed(spark, sf_dir), B.CDC_KEY)
+    latest.write.option("header", True).csv(path)
+    return read_delimited(spark, path)
+
+
+# --- upsert -------------------------------------------------------------------
+
+def _write_staging_csv(spark, sf_dir):
+    path = fresh_path(spark, "staging") + "/customers.csv"
+    (B.upsert_staging(spark, sf_dir)
+     .write.option("header", True).option("sep", ";").csv(path))
+    return path
+
+
+@query("csv_scan_delimited")
+def q_csv_scan_delimited(spark, sf_dir):
+    path = fresh_path(spark, "delimited") + "/customer.csv"
+    (spark.read.parquet(table_path(sf_dir, "customer"))
+     .write.option("header", True).option("sep", ";").csv(path))
+    return read_delimited(spark, path, sep=";")
+
+
+@query("upsert_existing")
+def q_upsert_existing(spark, sf_dir):
+    root = fresh_path(spark, "upsert_target")
+    storage.write_version(B.upsert_target(spark, sf_dir)
+                          .withColumn(ingest.ETL_COLUMN, F.current_timestamp()), root)
+    staging = ingest.stage(spark, _write_staging_csv(spark, sf_dir))
+    ingest.upsert(spark, staging, root)
+    return storage.read_current(spark, root).drop(ingest.ETL_COLUMN)
+
+
+@query("upsert_first_load")
+def q_upsert_first_load(spark, sf_dir):
+    root = fresh_path(spark, "upsert_new")
+    staging = ingest.stage(spark, _write_staging_csv(spark, sf_dir))
+    ingest.upsert(spark, staging, root)
+    return storage.read_current(spark, root).drop(ingest.ETL_COLUMN)
+
+
+# --- bulk loads -----------------------------------------------------------------
+
+@query("bulk_load_parquet")
+def q_bulk_load_parquet(spark, sf_dir):
+    target, _ = ingest.bulk_load(spark, table_path(sf_dir, "events"),
+                                 fresh_path(spark, "load_parquet"))
+    return spark.read.parquet(target)
+
+
+CSV_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+@query("bulk_load_csv")
+def q_bulk_load_csv(spark, sf_dir):
+    src = fresh_path(spark, "source") + "/events.csv"
+    (spark.read.parquet(table_path(sf_dir, "events"))
+     .write.option("header", True).option("timestampFormat", CSV_TIME_FORMAT)
+     .option("timestampNTZFormat", CSV_TIME_FORMAT).csv(src))
+    target, _ = ingest.bulk_load(spark, src, fresh_path(spark, "load_csv"))
+    return spark.read.parquet(target)
+
+
+@query("bulk_load_stats")
+def q_bulk_load_stats(spark, sf_dir):
+    _, rows = ingest.bulk_load(spark, table_path(sf_dir, "lineitem"),
+                               fresh_path(spark, "load_stats"))
+    return ingest.load_batches(spark, rows)
+
+
+__all__ = ["shift_label"]

@@ -86,3 +86,85 @@ def segmentation_history(spark: SparkSession, sf_dir: str, month: str = RUN_MONT
                                 seed_months(spark, prev), prev,
                                 etl_date=F.lit(None).cast("timestamp"))
     return base.unionByName(prev_rows.select(*S.BASE_COLUMNS))
+
+
+def segmentation_history_full(spark: SparkSession, sf_dir: str, month: str = RUN_MONTH) -> DataFrame:
+    """As ``segmentation_history`` but with all 15 columns of the monthly
+    table (earlier months have no lag, flag or stamp)."""
+    from lumenflow.plans import segmentation as S
+
+    sales = pos_sales(spark, sf_dir)
+    aging = pos_aging(spark, sf_dir)
+    prev = shift_label(month, -1)
+    base = S.calculation(sales.where(F.col("month_year") < F.lit(prev)), aging)
+    prev_rows = S.segment_month(month_feed(sales, prev), aging, base,
+                                seed_months(spark, prev), prev,
+                                etl_date=F.lit(None).cast("timestamp"))
+    return base.unionByName(prev_rows, allowMissingColumns=True).select(*S.OUTPUT_COLUMNS)
+
+
+# --- change data capture ---------------------------------------------------
+
+CDC_TOPIC = "shop.inventory.customers"
+CDC_ROW_SCHEMA = "struct<id:bigint,event_type:string,value:double>"
+CDC_KEY = "id"
+CDC_BATCH_KEYS = 100
+
+
+def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One change envelope per event, shaped like a Kafka record.
+
+    offset = event id (one partition), key = user, op from the event type
+    (signup c; purchase, click u; view r; error d).  The ``k`` value in
+    ``props`` marks damaged messages: 0 not JSON, 1 ``after`` null,
+    2 ``after`` missing, 3 ``payload`` null.
+    """
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props")
+    k = F.get_json_object("props", "$.k").cast("int")
+    op = (F.when(F.col("event_type") == "signup", "c")
+          .when(F.col("event_type").isin("purchase", "click"), "u")
+          .when(F.col("event_type") == "view", "r")
+          .when(F.col("event_type") == "error", "d"))
+    after = F.struct(F.col("user_id").alias("id"), "event_type", "value")
+    full = F.to_json(F.struct(F.struct(op.alias("op"), after.alias("after")).alias("payload")))
+    text = (F.when(k == 0, F.lit("not json"))
+            .when(k == 1, F.format_string('{"payload":{"op":"%s","after":null}}', op))
+            .when(k == 2, F.format_string('{"payload":{"op":"%s"}}', op))
+            .when(k == 3, F.lit('{"payload":null}'))
+            .otherwise(full))
+    return ev.select(
+        F.encode(text, "UTF-8").alias("value"),
+        F.lit(CDC_TOPIC).alias("topic"),
+        F.lit(0).cast("int").alias("partition"),
+        F.col("event_id").cast("bigint").alias("offset"),
+        F.col("ts").alias("timestamp"),
+    )
+
+
+# --- upsert and loads --------------------------------------------------------
+
+UPSERT_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+TARGET_MAX_ACCTBAL = 5000.0     # target holds customers below this balance
+STAGING_MIN_ACCTBAL = 2500.0    # staging holds customers from this balance (overlap 2500-5000)
+STAGING_REPEAT_ACCTBAL = 9900.0  # above: the staging row appears twice
+STAGING_NOKEY_ACCTBAL = 9850.0   # above (and up to the repeat bound): key missing
+
+
+def upsert_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer").select(*UPSERT_COLUMNS)
+    return c.where(F.col("c_acctbal") < TARGET_MAX_ACCTBAL)
+
+
+def upsert_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New balances for richer customers; some keys twice, some missing."""
+    c = read_table(spark, sf_dir, "customer").select(*UPSERT_COLUMNS)
+    rows = c.where(F.col("c_acctbal") >= STAGING_MIN_ACCTBAL)
+    bal = F.col("c_acctbal")
+    key = F.when((bal > STAGING_NOKEY_ACCTBAL) & (bal <= STAGING_REPEAT_ACCTBAL),
+                 F.lit(None)).otherwise(F.col("c_custkey"))
+    first = rows.select(key.alias("c_custkey"), "c_name", "c_nationkey",
+                        (bal + 1).alias("c_acctbal"), "c_mktsegment")
+    again = rows.where(bal > STAGING_REPEAT_ACCTBAL).select(
+        "c_custkey", "c_name", "c_nationkey", (bal + 2).alias("c_acctbal"), "c_mktsegment")
+    return first.unionByName(again)
