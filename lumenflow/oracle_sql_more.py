@@ -89,4 +89,164 @@ SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal,
     q["bulk_load_stats"] = """WITH n AS (SELECT count(*) AS rows FROM lineitem)
 SELECT b AS batch, least(100000, n.rows - (b - 1) * 100000) AS rows
 FROM n, range(1, CAST(ceil(n.rows / 100000.0) AS BIGINT) + 1) AS t(b)"""
+    q.update(_functions())
+    q.update(_address())
+    return q
+
+
+_ADDR = f"""
+seg AS (
+  SELECT n.n_regionkey, n.n_nationkey, d.c_mktsegment,
+         dense_rank() OVER (PARTITION BY n.n_regionkey, n.n_nationkey ORDER BY d.c_mktsegment) AS d
+  FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer) d
+  JOIN nation n ON d.c_nationkey = n.n_nationkey
+),
+region_flat AS (
+  SELECT printf('%02d', r.r_regionkey) AS province_code,
+         upper(CASE r.r_regionkey {' '.join(f"WHEN {k} THEN '{v}'" for k, v in B.DOC_PROVINCE_NAMES.items())}
+               ELSE r.r_name END) AS province_name,
+         printf('%02d', r.r_regionkey) || printf('%02d', n.n_nationkey) AS city_code,
+         upper(n.n_name) AS city_name,
+         printf('%02d', r.r_regionkey) || printf('%02d', n.n_nationkey) || printf('%02d', s.d) AS district_code,
+         upper(c.c_mktsegment) AS district_name,
+         printf('%02d', r.r_regionkey) || printf('%02d', n.n_nationkey) || printf('%02d', s.d)
+           || printf('%06d', c.c_custkey) AS subdistrict_code,
+         upper(c.c_name) AS subdistrict_name
+  FROM customer c
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+  JOIN seg s ON s.n_nationkey = n.n_nationkey AND s.c_mktsegment = c.c_mktsegment
+  WHERE n.n_regionkey <> {B.DROPPED_LEVEL2_REGION}
+),
+master AS (
+  SELECT c.c_custkey + 100000 AS URBAN_ID, r.r_name AS PROVINCE_NAME, n.n_name AS DISTRICT_NAME,
+         c.c_mktsegment AS SUBDISTRICT_NAME,
+         CASE WHEN c.c_acctbal < {B.MASTER_NO_HASH_BELOW} THEN replace(c.c_name, '#', '')
+              WHEN c.c_acctbal > {B.MASTER_OLD_ABOVE} THEN c.c_name || ' (Old)'
+              ELSE c.c_name END AS URBAN_NAME,
+         'ISLAND ' || CAST(r.r_regionkey AS VARCHAR) AS ISLAND_NAME,
+         CASE WHEN c.c_nationkey % 2 = 0 THEN 'KOTA' ELSE 'KABUPATEN' END AS TYPE_LABEL,
+         printf('%05d', (c.c_custkey * 7) % 100000) AS POSTAL_CODE,
+         'SC' || CAST(c.c_custkey AS VARCHAR) AS CODE_SICEPAT,
+         CASE WHEN c.c_acctbal > 5000 THEN 'YES' ELSE 'NO' END AS IS_COD_SICEPAT,
+         'D' || CAST(c.c_nationkey AS VARCHAR) || '-' || CAST(c.c_custkey AS VARCHAR) AS CODE_JNE_DESTINATION,
+         'J' || CAST(c.c_custkey AS VARCHAR) AS CODE_JNE,
+         'O' || CAST(c.c_nationkey AS VARCHAR) AS CODE_JNE_ORIGIN,
+         'T' || CAST(c.c_custkey AS VARCHAR) AS CODE_TIKI
+  FROM customer c
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+  WHERE c.c_acctbal >= {B.MASTER_ABSENT_BELOW}
+),
+mnames AS (
+  SELECT URBAN_ID, upper(coalesce(PROVINCE_NAME, 'NAN')) AS m_province, upper(coalesce(DISTRICT_NAME, 'NAN')) AS m_city,
+         upper(coalesce(SUBDISTRICT_NAME, 'NAN')) AS m_district, upper(coalesce(URBAN_NAME, 'NAN')) AS m_subdistrict
+  FROM master
+),
+mapped AS (
+  SELECT l.subdistrict_code, m.URBAN_ID FROM region_flat l JOIN mnames m
+    ON l.province_name IS NOT DISTINCT FROM m.m_province AND l.city_name IS NOT DISTINCT FROM m.m_city
+   AND l.district_name IS NOT DISTINCT FROM m.m_district AND l.subdistrict_name IS NOT DISTINCT FROM m.m_subdistrict
+),
+left_only AS (
+  SELECT * FROM region_flat l WHERE NOT EXISTS (SELECT 1 FROM mnames m
+    WHERE l.province_name IS NOT DISTINCT FROM m.m_province AND l.city_name IS NOT DISTINCT FROM m.m_city
+      AND l.district_name IS NOT DISTINCT FROM m.m_district AND l.subdistrict_name IS NOT DISTINCT FROM m.m_subdistrict)
+),
+master_only AS (
+  SELECT * FROM mnames m WHERE NOT EXISTS (SELECT 1 FROM region_flat l
+    WHERE l.province_name IS NOT DISTINCT FROM m.m_province AND l.city_name IS NOT DISTINCT FROM m.m_city
+      AND l.district_name IS NOT DISTINCT FROM m.m_district AND l.subdistrict_name IS NOT DISTINCT FROM m.m_subdistrict)
+),
+blocks AS (
+  SELECT DISTINCT l.province_name, m.m_province AS block
+  FROM (SELECT DISTINCT province_name FROM left_only) l, (SELECT DISTINCT m_province FROM master_only) m
+  WHERE CASE WHEN l.province_name = 'ASIA PACIFIC' THEN substring(m.m_province, 1, 1) = 'A'
+             WHEN l.province_name = 'EUROPA' THEN m.m_province = 'EUROPE'
+             ELSE m.m_province = l.province_name END
+),
+lo AS (
+  SELECT l.subdistrict_code, b.block,
+         l.province_name || '_' || l.city_name || '_' || l.district_name || '_' || l.subdistrict_name AS a
+  FROM left_only l JOIN blocks b ON l.province_name = b.province_name
+),
+mo AS (
+  SELECT URBAN_ID, m_province, m_city, m_district,
+         regexp_replace(m_subdistrict, '\\([^)]*\\)', '', 'g') AS m_sub_clean FROM master_only
+),
+pairs AS (
+  SELECT lo.subdistrict_code, mo.URBAN_ID, mo.m_city, mo.m_district, mo.m_sub_clean,
+         round(jaro_winkler_similarity(lo.a, mo.m_province || '_' || mo.m_city || '_' || mo.m_district || '_' || mo.m_sub_clean), 9) AS score
+  FROM lo JOIN mo ON mo.m_province = lo.block
+),
+best AS (
+  SELECT subdistrict_code AS subdistrict_a, URBAN_ID AS subdistrict_b, score AS similarity_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY subdistrict_code
+                                 ORDER BY score DESC, m_city, m_district, m_sub_clean, URBAN_ID) AS rn
+    FROM pairs) WHERE rn = 1 AND score > 0
+),
+merged AS (
+  SELECT f.province_code, f.province_name, m.ISLAND_NAME, f.city_code, f.city_name, m.TYPE_LABEL,
+         f.district_code, f.district_name, f.subdistrict_code, m.URBAN_ID, f.subdistrict_name, m.POSTAL_CODE,
+         m.CODE_SICEPAT, m.IS_COD_SICEPAT, m.CODE_JNE_DESTINATION, m.CODE_JNE, m.CODE_JNE_ORIGIN, m.CODE_TIKI,
+         CAST(1.0 AS DOUBLE) AS similarity_score
+  FROM mapped p JOIN region_flat f ON p.subdistrict_code = f.subdistrict_code JOIN master m ON p.URBAN_ID = m.URBAN_ID
+  UNION ALL
+  SELECT f.province_code, f.province_name, m.ISLAND_NAME, f.city_code, f.city_name, m.TYPE_LABEL,
+         f.district_code, f.district_name, f.subdistrict_code, m.URBAN_ID, f.subdistrict_name, m.POSTAL_CODE,
+         m.CODE_SICEPAT, m.IS_COD_SICEPAT, m.CODE_JNE_DESTINATION, m.CODE_JNE, m.CODE_JNE_ORIGIN, m.CODE_TIKI,
+         b.similarity_score
+  FROM best b JOIN region_flat f ON b.subdistrict_a = f.subdistrict_code JOIN master m ON b.subdistrict_b = m.URBAN_ID
+)"""
+
+
+def _address() -> dict[str, str]:
+    w = "WITH " + _ADDR.strip() + "\n"
+    q: dict[str, str] = {}
+    q["hierarchy_flatten"] = w + "SELECT * FROM region_flat"
+    q["exact_match_split"] = w + (
+        "SELECT 'mapped' AS side, subdistrict_code, URBAN_ID FROM mapped "
+        "UNION ALL SELECT 'left_only', subdistrict_code, CAST(NULL AS BIGINT) FROM left_only "
+        "UNION ALL SELECT 'master_only', CAST(NULL AS VARCHAR), URBAN_ID FROM master_only")
+    q["block_alias_join"] = w + (
+        "SELECT b.province_name, b.block, l.left_rows, m.master_rows FROM blocks b "
+        "JOIN (SELECT province_name, count(*) AS left_rows FROM left_only GROUP BY 1) l ON b.province_name = l.province_name "
+        "JOIN (SELECT m_province, count(*) AS master_rows FROM master_only GROUP BY 1) m ON b.block = m.m_province")
+    q["jaro_winkler_score"] = w + (
+        "SELECT f.subdistrict_code, m.URBAN_ID, round(jaro_winkler_similarity("
+        "f.province_name || '_' || f.city_name || '_' || f.district_name || '_' || f.subdistrict_name, "
+        "m.m_province || '_' || m.m_city || '_' || m.m_district || '_' || "
+        "regexp_replace(m.m_subdistrict, '\\([^)]*\\)', '', 'g')), 9) AS similarity_score "
+        "FROM region_flat f JOIN mnames m ON CAST(substring(f.subdistrict_code, 7) AS BIGINT) + 100000 = m.URBAN_ID")
+    q["fuzzy_best_match"] = w + "SELECT * FROM best"
+    q["address_merge"] = w + "SELECT * FROM merged"
+    q["address_match_pipeline"] = q["address_merge"]
+    return q
+
+
+def _functions() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["fn_concat_key"] = (
+        "SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) || strftime(l_shipdate, '%Y-%m') AS pos_month_key, "
+        "CASE WHEN l_returnflag <> 'N' THEN l_returnflag END || l_linestatus AS flag_status_key FROM lineitem")
+    q["fn_month_start"] = (
+        "SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m') AS month_year, "
+        "CAST(strftime(l_shipdate, '%Y-%m') || '-01' AS DATE) AS month_year_date FROM lineitem")
+    q["fn_month_label"] = "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month_year FROM orders"
+    q["fn_month_shift"] = (
+        "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) - INTERVAL 1 MONTH AS DATE) AS month_before, "
+        "CAST(CAST(o_orderdate AS DATE) + INTERVAL 3 MONTH AS DATE) AS quarter_after, "
+        "strftime(date_trunc('month', CAST(o_orderdate AS DATE)) - INTERVAL 1 MONTH, '%Y-%m') AS previous_month "
+        "FROM orders")
+    d = "CAST(o_orderdate AS DATE)"
+    n = f"({d} + INTERVAL 3 MONTH)"
+    q["fn_quarter_label"] = (
+        f"SELECT o_orderkey, CAST(year({d}) AS VARCHAR) || '-' || CAST(quarter({d}) AS VARCHAR) AS quarter_real, "
+        f"CAST(year({n}) AS VARCHAR) || '-' || CAST(quarter({n}) AS VARCHAR) AS quarter_next FROM orders")
+    q["fn_clean_name"] = (
+        "SELECT p_partkey, regexp_replace(upper(coalesce(CASE WHEN p_size <= 48 THEN "
+        "p_name || ' (' || p_brand || ') ' || p_type END, 'NONE')), '\\([^)]*\\)', '', 'g') AS clean_name FROM part")
+    q["name_prefix_ilike"] = (
+        "SELECT c_custkey, c_mktsegment ILIKE 'auto_%' AS auto_prefixed, "
+        "c_mktsegment ILIKE 'ho_se%' AS house_prefixed, c_name ILIKE 'customer#%' AS name_prefixed FROM customer")
     return q

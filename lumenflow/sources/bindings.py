@@ -168,3 +168,109 @@ def upsert_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = rows.where(bal > STAGING_REPEAT_ACCTBAL).select(
         "c_custkey", "c_name", "c_nationkey", (bal + 2).alias("c_acctbal"), "c_mktsegment")
     return first.unionByName(again)
+
+
+# --- region document and address master -------------------------------------------
+
+# Document province names that differ from the master's, and the block rules
+# that map them back (an equality rename and a prefix rule).
+DOC_PROVINCE_NAMES = {2: "ASIA PACIFIC", 3: "EUROPA"}
+DROPPED_LEVEL2_REGION = 4          # its city map is missing: the whole region vanishes
+CHILDREN_PER_RECORD = 1000         # document fragments hold at most this many children
+
+
+def _code(c, width: int):
+    return F.format_string(f"%0{width}d", c)
+
+
+def region_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four-level region document as JSON lines.
+
+    Levels: province = region, city = nation, district = market segment of
+    the nation's customers, subdistrict = customer.  Codes are zero-padded
+    text (2, 2, 2, 6 digits) and a child map is keyed by the concatenated
+    codes of its ancestors.  Each line holds one fragment
+    ``{"<level>": {...}}`` with at most ``CHILDREN_PER_RECORD`` children, so
+    no single record grows with the data.
+    """
+    region = read_table(spark, sf_dir, "region")
+    nation = read_table(spark, sf_dir, "nation")
+    customer = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    rename = F.col("r_name")
+    for key, name in DOC_PROVINCE_NAMES.items():
+        rename = F.when(F.col("r_regionkey") == key, F.lit(name)).otherwise(rename)
+
+    prov = region.select(_code("r_regionkey", 2).alias("code"), F.upper(rename).alias("name"))
+    cities = (nation.where(F.col("n_regionkey") != DROPPED_LEVEL2_REGION)
+              .select(_code("n_regionkey", 2).alias("parent"), _code("n_nationkey", 2).alias("code"),
+                      F.upper("n_name").alias("name")))
+    seg = (customer.join(nation.select("n_nationkey", "n_regionkey"),
+                         customer["c_nationkey"] == nation["n_nationkey"])
+           .groupBy("n_regionkey", "n_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("_n")))
+    from pyspark.sql import Window
+    seg = seg.withColumn("_d", F.dense_rank().over(
+        Window.partitionBy("n_regionkey", "n_nationkey").orderBy("c_mktsegment")))
+    districts = seg.select(
+        F.concat(_code("n_regionkey", 2), _code("n_nationkey", 2)).alias("parent"),
+        _code("_d", 2).alias("code"), F.upper("c_mktsegment").alias("name"))
+    subs = (customer.join(nation.select("n_nationkey", "n_regionkey"),
+                          customer["c_nationkey"] == nation["n_nationkey"])
+            .join(seg.select("n_nationkey", "c_mktsegment", "_d"), ["n_nationkey", "c_mktsegment"])
+            .select(F.concat(_code("n_regionkey", 2), _code("n_nationkey", 2), _code("_d", 2)).alias("parent"),
+                    _code("c_custkey", 6).alias("code"), F.upper("c_name").alias("name"),
+                    (F.col("c_custkey") / CHILDREN_PER_RECORD).cast("long").alias("_chunk")))
+
+    def fragments(df, level, nested):
+        if not nested:
+            grouped = df.groupBy((F.col("code").cast("long") / CHILDREN_PER_RECORD).cast("long"))
+            body = F.map_from_entries(F.collect_list(F.struct("code", "name")))
+            return grouped.agg(F.to_json(F.create_map(F.lit(level), body)).alias("value")).select("value")
+        chunk = F.col("_chunk") if "_chunk" in df.columns else F.lit(0)
+        grouped = df.groupBy("parent", chunk.alias("_c"))
+        body = F.create_map(F.col("parent"), F.map_from_entries(F.collect_list(F.struct("code", "name"))))
+        return grouped.agg(F.to_json(F.create_map(F.lit(level), body)).alias("value")).select("value")
+
+    return (fragments(prov, "provinsi", False)
+            .unionByName(fragments(cities, "kabupaten", True))
+            .unionByName(fragments(districts, "kecamatan", True))
+            .unionByName(fragments(subs, "kelurahan", True)))
+
+
+MASTER_ABSENT_BELOW = 0.0          # customers with a negative balance are not in the master
+MASTER_NO_HASH_BELOW = 1000.0      # balances in [0, 1000): name written without '#'
+MASTER_OLD_ABOVE = 9000.0          # balances above: name suffixed ' (Old)'
+
+
+def address_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The address master: one row per customer with a non-negative
+    balance, names in mixed case, some spelled differently, and carried
+    attributes derived from the keys."""
+    region = read_table(spark, sf_dir, "region")
+    nation = read_table(spark, sf_dir, "nation")
+    c = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    rows = (c.where(F.col("c_acctbal") >= MASTER_ABSENT_BELOW)
+            .join(nation, c["c_nationkey"] == nation["n_nationkey"])
+            .join(region, nation["n_regionkey"] == region["r_regionkey"]))
+    bal = F.col("c_acctbal")
+    urban = (F.when(bal < MASTER_NO_HASH_BELOW, F.regexp_replace("c_name", "#", ""))
+             .when(bal > MASTER_OLD_ABOVE, F.concat("c_name", F.lit(" (Old)")))
+             .otherwise(F.col("c_name")))
+    key = F.col("c_custkey")
+    return rows.select(
+        (key + 100000).alias("URBAN_ID"),
+        F.col("r_name").alias("PROVINCE_NAME"),
+        F.initcap("n_name").alias("DISTRICT_NAME"),
+        F.col("c_mktsegment").alias("SUBDISTRICT_NAME"),
+        urban.alias("URBAN_NAME"),
+        F.concat(F.lit("ISLAND "), F.col("r_regionkey").cast("string")).alias("ISLAND_NAME"),
+        F.when(F.col("c_nationkey") % 2 == 0, "KOTA").otherwise("KABUPATEN").alias("TYPE_LABEL"),
+        F.format_string("%05d", (key * 7) % 100000).alias("POSTAL_CODE"),
+        F.concat(F.lit("SC"), key.cast("string")).alias("CODE_SICEPAT"),
+        F.when(bal > 5000, "YES").otherwise("NO").alias("IS_COD_SICEPAT"),
+        F.concat(F.lit("D"), F.col("c_nationkey").cast("string"), F.lit("-"), key.cast("string")).alias("CODE_JNE_DESTINATION"),
+        F.concat(F.lit("J"), key.cast("string")).alias("CODE_JNE"),
+        F.concat(F.lit("O"), F.col("c_nationkey").cast("string")).alias("CODE_JNE_ORIGIN"),
+        F.concat(F.lit("T"), key.cast("string")).alias("CODE_TIKI"),
+    )
