@@ -46,6 +46,11 @@ def _codes(strings: list[str], pad: int) -> tuple[np.ndarray, np.ndarray]:
     return out, lens
 
 
+_ONE = np.uint64(1)
+_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+WORD = 64
+
+
 def jaro_winkler(a: list[str], b: list[str]) -> np.ndarray:
     """Similarity of a[k] and b[k] for every k."""
     n = len(a)
@@ -53,7 +58,75 @@ def jaro_winkler(a: list[str], b: list[str]) -> np.ndarray:
         return np.zeros(0)
     A, la = _codes(a, -1)
     B, lb = _codes(b, -2)
-    w1, w2 = A.shape[1], B.shape[1]
+    short = lb <= WORD
+    if short.all():
+        return _finish(A, la, B, lb, *_match_bits(A, la, B, lb))
+    out = np.empty(n)
+    for part in (short, ~short):
+        if part.any():
+            sa, sb = A[part], B[part]
+            sa, sb = sa[:, :max(int(la[part].max()), 1)], sb[:, :max(int(lb[part].max()), 1)]
+            match = _match_bits if part is short else _match_dense
+            out[part] = _finish(sa, la[part], sb, lb[part], *match(sa, la[part], sb, lb[part]))
+    return out
+
+
+def _finish(A, la, B, lb, used_a, used_b) -> np.ndarray:
+    """Score from the matched positions of both strings."""
+    n = A.shape[0]
+    m = used_a.sum(axis=1)
+    ca = A[used_a]          # k-th matched character of a, row by row
+    cb = B[used_b]          # k-th matched character of b, in b's order
+    row_of = np.repeat(np.arange(n), m)
+    half = np.bincount(row_of, weights=(ca != cb), minlength=n).astype(np.int64)
+    t = half // 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        jaro = np.where(m > 0, (m / la + m / lb + (m - t) / np.maximum(m, 1)) / 3.0, 0.0)
+    k = min(PREFIX_MAX, A.shape[1], B.shape[1])
+    same = (A[:, :k] == B[:, :k])
+    prefix = np.cumprod(same, axis=1).sum(axis=1) if k else np.zeros(n)
+    return np.where(jaro > BOOST_THRESHOLD, jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro), jaro)
+
+
+def _match_bits(A, la, B, lb):
+    """Greedy window matching with one 64-bit position mask per character
+    of b (b at most 64 characters): per position of a, the lowest free
+    equal character inside the window is ``cand & -cand``."""
+    n, w1 = A.shape
+    w2 = B.shape[1]
+    # dense ids for the characters present (pads -1 and -2 included)
+    top = int(max(A.max(), B.max())) + 3
+    present = np.zeros(top, dtype=bool)
+    present[A.ravel() + 2] = True
+    present[B.ravel() + 2] = True
+    ids = np.cumsum(present) - 1
+    ai = ids[A + 2]
+    bi = ids[B + 2]
+    rows = np.arange(n)
+    table = np.zeros((n, int(ids[-1]) + 1), dtype=np.uint64)
+    for j in range(w2):
+        table[rows, bi[:, j]] |= _ONE << np.uint64(j)
+    window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
+    used_b = np.zeros(n, dtype=np.uint64)
+    used_a = np.zeros((n, w1), dtype=bool)
+    for i in range(w1):
+        lo = np.maximum(i - window, 0)
+        hi = np.minimum(lb, i + window + 1)
+        hi_mask = np.where(hi >= WORD, _ALL, (_ONE << np.minimum(hi, WORD - 1).astype(np.uint64)) - _ONE)
+        lo_mask = (_ONE << np.minimum(lo, WORD - 1).astype(np.uint64)) - _ONE
+        wmask = np.where((hi > lo) & (i < la), hi_mask & ~lo_mask, np.uint64(0))
+        cand = table[rows, ai[:, i]] & wmask & ~used_b
+        low = cand & (~cand + _ONE)
+        used_b |= low
+        used_a[:, i] = low != 0
+    bits = (used_b[:, None] >> np.arange(w2, dtype=np.uint64)[None, :]) & _ONE
+    return used_a, bits.astype(bool)
+
+
+def _match_dense(A, la, B, lb):
+    """Same matching with boolean matrices, for any length."""
+    n, w1 = A.shape
+    w2 = B.shape[1]
     window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
     used_b = np.zeros((n, w2), dtype=bool)
     used_a = np.zeros((n, w1), dtype=bool)
@@ -73,19 +146,7 @@ def jaro_winkler(a: list[str], b: list[str]) -> np.ndarray:
             r = rows_all[hit]
             used_b[r, first[hit]] = True
             used_a[r, i] = True
-    m = used_a.sum(axis=1)
-    # k-th matched char of a against k-th matched char of b, per row
-    ca = A[used_a]
-    cb = B[used_b]
-    row_of = np.repeat(rows_all, m)
-    half = np.bincount(row_of, weights=(ca != cb), minlength=n)
-    t = (half.astype(np.int64)) // 2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        jaro = np.where(m > 0, (m / la + m / lb + (m - t) / np.maximum(m, 1)) / 3.0, 0.0)
-    k = min(PREFIX_MAX, w1, w2)
-    same = (A[:, :k] == B[:, :k])
-    prefix = np.cumprod(same, axis=1).sum(axis=1) if k else np.zeros(n)
-    return np.where(jaro > BOOST_THRESHOLD, jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro), jaro)
+    return used_a, used_b
 
 
 def jaro_winkler_one(a: str, b: str) -> float:
@@ -97,12 +158,57 @@ def char_histogram(strings: list[str]) -> np.ndarray:
     ``min`` over buckets bounds the number of common characters from
     above, for any alphabet."""
     codes, lens = _codes(strings, -1)
-    out = np.zeros((len(strings), HIST_BUCKETS), dtype=np.int32)
-    if len(strings):
-        valid = codes >= 0
-        rows = np.broadcast_to(np.arange(len(strings))[:, None], codes.shape)[valid]
-        np.add.at(out, (rows, codes[valid] % HIST_BUCKETS), 1)
-    return out
+    n = len(strings)
+    if not n:
+        return np.zeros((0, HIST_BUCKETS), dtype=np.int32)
+    valid = codes >= 0
+    rows = np.broadcast_to(np.arange(n)[:, None], codes.shape)[valid]
+    flat = rows * HIST_BUCKETS + codes[valid] % HIST_BUCKETS
+    return np.bincount(flat, minlength=n * HIST_BUCKETS).reshape(n, HIST_BUCKETS).astype(np.int32)
+
+
+def best_in_block(left: pd.DataFrame, members: pd.DataFrame, ties: list[str]) -> pd.DataFrame:
+    """For every row of ``left`` (``a_id``, ``a``, ``floor``) the best of
+    ``members`` (``b``, ``ties``...) that reaches its floor.
+
+    Pairs are formed in numpy; a pair is scored only when its histogram
+    bound reaches the row's floor.  Returns one row per ``a_id`` that has
+    such a pair: ``a_id``, ``score`` and the tie columns of the winner
+    (highest score, then smallest tie columns)."""
+    cols = ["a_id", "score", *ties]
+    if left.empty or members.empty:
+        return pd.DataFrame({c: [] for c in cols})
+    a_list = left["a"].tolist()
+    b_list = members["b"].tolist()
+    na, nm = len(a_list), len(b_list)
+    ha, hb = char_histogram(a_list), char_histogram(b_list)
+    A, la = _codes(a_list, -1)
+    B, lb = _codes(b_list, -2)
+    common = np.minimum(ha[:, None, :], hb[None, :, :]).sum(axis=2)
+    m = np.minimum(common, np.minimum(la[:, None], lb[None, :])).astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        jaro = np.where(m > 0, (m / la[:, None] + m / lb[None, :] + 1.0) / 3.0, 0.0)
+    k = min(PREFIX_MAX, A.shape[1], B.shape[1])
+    if k:
+        same = (A[:, None, :k] == B[None, :, :k])
+        prefix = np.cumprod(same, axis=2).sum(axis=2)
+    else:
+        prefix = np.zeros((na, nm))
+    ub = np.where(jaro > BOOST_THRESHOLD, jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro), jaro)
+    floor = left["floor"].fillna(0.0).to_numpy()
+    ai, mi = np.nonzero(ub + 1e-9 >= floor[:, None])
+    if ai.size == 0:
+        return pd.DataFrame({c: [] for c in cols})
+    a_arr = np.array(a_list, dtype=object)
+    b_arr = np.array(b_list, dtype=object)
+    score = np.round(jaro_winkler(a_arr[ai].tolist(), b_arr[mi].tolist()), SCORE_DIGITS)
+    cand = pd.DataFrame({"a_id": left["a_id"].to_numpy()[ai], "score": score})
+    for t in ties:
+        cand[t] = members[t].to_numpy()[mi]
+    cand = cand[cand["score"] > 0]
+    cand = cand.sort_values(["a_id", "score", *ties], ascending=[True, False] + [True] * len(ties),
+                            kind="mergesort")
+    return cand.drop_duplicates("a_id", keep="first")[cols]
 
 
 # --- Spark wrappers ---------------------------------------------------------
@@ -118,6 +224,38 @@ def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out).where(ok, None)
 
 
+def upper_bound(a: list[str], b: list[str]) -> np.ndarray:
+    """A score no pair can exceed: common characters bounded by the
+    histogram minimum, then the Jaro formula with no transposition and the
+    full prefix boost of the actual common prefix."""
+    A, la = _codes(a, -1)
+    B, lb = _codes(b, -2)
+    ha, hb = char_histogram(a), char_histogram(b)
+    m = np.minimum(np.minimum(ha, hb).sum(axis=1), np.minimum(la, lb)).astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        jaro = np.where(m > 0, (m / la + m / lb + 1.0) / 3.0, 0.0)
+    k = min(PREFIX_MAX, A.shape[1], B.shape[1])
+    prefix = np.cumprod(A[:, :k] == B[:, :k], axis=1).sum(axis=1) if k else np.zeros(len(a))
+    return np.where(jaro > BOOST_THRESHOLD, jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro), jaro)
+
+
+@F.pandas_udf(DoubleType())
+def jaro_winkler_above_udf(a: pd.Series, b: pd.Series, floor: pd.Series) -> pd.Series:
+    """Rounded similarity for pairs that can reach ``floor``; null for
+    pairs whose upper bound is below it (they cannot win) and for nulls."""
+    ok = (a.notna() & b.notna()).to_numpy()
+    out = np.full(len(a), np.nan)
+    if ok.any():
+        idx = np.nonzero(ok)[0]
+        av, bv = a[ok].tolist(), b[ok].tolist()
+        reach = upper_bound(av, bv) + 1e-9 >= floor[ok].fillna(0.0).to_numpy()
+        if reach.any():
+            keep = idx[reach]
+            out[keep] = np.round(jaro_winkler([av[i] for i in np.nonzero(reach)[0]],
+                                              [bv[i] for i in np.nonzero(reach)[0]]), SCORE_DIGITS)
+    return pd.Series(out).where(~np.isnan(out), None)
+
+
 @F.pandas_udf(ArrayType(IntegerType()))
 def char_histogram_udf(s: pd.Series) -> pd.Series:
     values = s.fillna("").tolist()

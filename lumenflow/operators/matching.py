@@ -214,12 +214,40 @@ def group_bounds(left: DataFrame, groups: DataFrame) -> DataFrame:
     return j.select("a_id", "a", "gid", ub.alias("ub"))
 
 
-def _score(pairs: DataFrame) -> DataFrame:
+TIE_COLUMNS = ("m_city", "m_district", "m_sub_clean", MASTER_ID)
+BLOCK_LEFT_ROWS = 2048      # region rows per scoring call (hot groups are salted)
+
+
+def _score_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("score", JW.jaro_winkler_udf("a", "b"))
 
 
-def _pair_cols():
-    return ["a_id", "a", MASTER_ID, "b", "m_city", "m_district", "m_sub_clean"]
+def score_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Best member per (row, group) for rows ``(a_id, a, floor, gid)``.
+
+    Rows and members are cogrouped on the group id and scored in numpy
+    (``best_in_block``).  A group reached by more than ``BLOCK_LEFT_ROWS``
+    rows is split: rows get a salt, members are replicated per salt, so no
+    call holds more than that many rows times one group of members."""
+    counts = rows.groupBy("gid").agg(F.count(F.lit(1)).alias("_n"))
+    salts = counts.select("gid", F.ceil(F.col("_n") / BLOCK_LEFT_ROWS).cast("int").alias("_s"))
+    r = (rows.join(salts, "gid")
+         .withColumn("salt", F.pmod(F.xxhash64("a_id"), F.col("_s")).cast("int"))
+         .select("gid", "salt", "a_id", "a", "floor"))
+    m = (members.join(salts, "gid")
+         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
+         .select(F.col("gid").alias("m_gid"), F.col("salt").alias("m_salt"), "b", *TIE_COLUMNS))
+    ties = list(TIE_COLUMNS)
+    schema = ("a_id string, score double, m_city string, m_district string, m_sub_clean string, "
+              f"{MASTER_ID} bigint")
+
+    def run(left_pdf, member_pdf):
+        return JW.best_in_block(left_pdf, member_pdf, ties)
+
+    # (the member side is renamed: both sides descend from the same tables,
+    # and cogroup keys are matched by position)
+    return (r.groupBy("gid", "salt").cogroup(m.groupBy("m_gid", "m_salt"))
+            .applyInPandas(run, schema))
 
 
 def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
@@ -237,6 +265,7 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
         master = master.checkpoint(eager=True)
     groups = group_summaries(master)
     bounds = group_bounds(left, groups)
+    members = master.select("gid", "b", *TIE_COLUMNS)
 
     # 1) seed: a master with the same city, district and normalised name
     reps = (master.withColumn("m_norm", _normal(F.col("m_sub_clean")))
@@ -245,31 +274,31 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
     seeds = (left.join(reps, (left["block"] == reps["block"]) & (left["city_name"] == reps["m_city"])
                        & (left["district_name"] == reps["m_district"]) & (left["a_norm"] == reps["m_norm"]))
              .select("a_id", "a", MASTER_ID)
-             .join(master.select(MASTER_ID, "b", "m_city", "m_district", "m_sub_clean").dropDuplicates([MASTER_ID]),
-                   MASTER_ID)
-             .select(*_pair_cols()))
-    # 2) the group with the highest bound, per row
-    # (ties on the bound broken by group id: ``top`` is evaluated twice and
-    # both evaluations must name the same group)
+             .join(master.select(MASTER_ID, "b", *TIE_COLUMNS[:-1]).dropDuplicates([MASTER_ID]), MASTER_ID))
+    seeded = _score_pairs(seeds).select("a_id", "score", *TIE_COLUMNS)
+    if checkpoint:
+        seeded = seeded.checkpoint(eager=True)
+    seed_floor = seeded.groupBy("a_id").agg(F.max("score").alias("floor"))
+    # 2) the group with the highest bound, per row (ties broken by group id:
+    #    ``top`` is used twice and both uses must name the same group)
     top = bounds.groupBy("a_id").agg(F.max_by("gid", F.struct("ub", "gid")).alias("gid"))
-    first = (top.join(bounds.select("a_id", "a", "gid"), ["a_id", "gid"])
-             .join(master.select("gid", MASTER_ID, "b", "m_city", "m_district", "m_sub_clean"), "gid")
-             .select(*_pair_cols()))
-    scored1 = _score(seeds.unionByName(first))
+    first_rows = (top.join(bounds.select("a_id", "a", "gid").dropDuplicates(["a_id", "gid"]), ["a_id", "gid"])
+                  .join(seed_floor, "a_id", "left"))
+    first = score_groups(first_rows, members)
     if checkpoint:
-        scored1 = scored1.checkpoint(eager=True)
-    floor = scored1.groupBy("a_id").agg(F.max("score").alias("floor"))
-    # 3) every other group whose bound reaches that score
-    survivors = (bounds.join(floor, "a_id", "left")
-                 .where(F.col("ub") + 1e-9 >= F.coalesce(F.col("floor"), F.lit(0.0)))
-                 .join(top.withColumnRenamed("gid", "top_gid"), "a_id")
-                 .where(F.col("gid") != F.col("top_gid"))
-                 .select("a_id", "a", "gid"))
-    second = (survivors.join(master.select("gid", MASTER_ID, "b", "m_city", "m_district", "m_sub_clean"), "gid")
-              .select(*_pair_cols()))
-    scored = scored1.unionByName(_score(second))
+        first = first.checkpoint(eager=True)
+    floor = (seeded.unionByName(first).groupBy("a_id").agg(F.max("score").alias("floor")))
+    # 3) every other group whose bound reaches that floor
+    rest = (bounds.join(floor, "a_id", "left")
+            .withColumn("floor", F.coalesce(F.col("floor"), F.lit(0.0)))
+            .where(F.col("ub") + 1e-9 >= F.col("floor"))
+            .join(top.withColumnRenamed("gid", "top_gid"), "a_id")
+            .where(F.col("gid") != F.col("top_gid"))
+            .select("a_id", "a", "gid", "floor"))
+    second = score_groups(rest, members)
+    scored = seeded.unionByName(first).unionByName(second)
     best = (scored.groupBy("a_id").agg(F.min(F.struct(
-        (-F.col("score")).alias("neg"), "m_city", "m_district", "m_sub_clean", MASTER_ID)).alias("w")))
+        (-F.col("score")).alias("neg"), *TIE_COLUMNS)).alias("w")))
     return (best.where(F.col("w.neg") < 0)
             .select(F.col("a_id").alias("subdistrict_a"), F.col(f"w.{MASTER_ID}").alias("subdistrict_b"),
                     (-F.col("w.neg")).alias("similarity_score")))
