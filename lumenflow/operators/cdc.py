@@ -32,29 +32,42 @@ def _is_object(v: Column) -> Column:
 
 
 def parse_envelopes(messages: DataFrame, row_schema: StructType | str) -> DataFrame:
-    """Adds ``status``, ``op`` and ``after`` (typed by ``row_schema``)."""
+    """Adds ``status``, ``op`` and ``after`` (typed by ``row_schema``).
+
+    The checks are ordered so that the common case costs one parse and a
+    few path lookups: a parsed text is an object iff its first non-blank
+    character is ``{``; a payload with an ``op`` is an object; an ``after``
+    is an object iff it casts to the row struct.  Only a payload without
+    ``op`` has its type inspected.
+    """
+    from lumenflow.session import spread
+
+    messages = spread(messages)
     schema = row_schema if isinstance(row_schema, str) else row_schema.simpleString()
-    text = F.col("value").cast("string")
-    v = F.try_parse_json(text)
-    payload = F.try_variant_get(v, "$.payload", "variant")
-    after = F.try_variant_get(payload, "$.after", "variant")
-    op = F.try_variant_get(payload, "$.op", "string")
-
-    top_ok = v.isNotNull() & _is_object(v)
-    payload_bad = payload.isNotNull() & (F.is_variant_null(payload) | ~_is_object(payload))
-    wants_row = op.isin(*UPSERT_OPS)
-    after_bad = after.isNotNull() & (F.is_variant_null(after) | ~_is_object(after))
+    # Each step is its own column so the text is parsed once per message
+    # (Catalyst does not inline an expensive expression used several times).
+    staged = (messages
+              .withColumn("_t", F.col("value").cast("string"))
+              .withColumn("_v", F.try_parse_json("_t"))
+              .withColumn("_p", F.try_variant_get("_v", "$.payload", "variant"))
+              .withColumns({"op": F.try_variant_get("_p", "$.op", "string"),
+                            "_a": F.try_variant_get("_p", "$.after", "variant")})
+              .withColumn("_r", F.try_variant_get("_a", "$", schema)))
+    v, payload, op, after, row = (F.col(c) for c in ("_v", "_p", "op", "_a", "_r"))
     status = (
-        F.when(~top_ok | payload_bad, MALFORMED)
-        .when(payload.isNull() | ~wants_row | op.isNull(), SKIPPED)
-        .when(after_bad, MALFORMED)
+        F.when(v.isNull() | ~F.ltrim("_t").startswith("{"), MALFORMED)
+        .when(payload.isNull(), SKIPPED)
+        .when(op.isNull(), F.when(_is_object(payload), SKIPPED).otherwise(MALFORMED))
+        .when(~op.isin(*UPSERT_OPS), SKIPPED)
+        .when(after.isNull(), ACCEPTED)
+        .when(row.isNull(), MALFORMED)
         .otherwise(ACCEPTED)
     )
-    row = F.when(after.isNull(), F.lit(None).cast(schema)).otherwise(
-        F.try_variant_get(after, "$", schema))
     # An absent ``after`` is an empty row: every field null, key included.
-    row = F.coalesce(row, F.from_json(F.lit("{}"), schema))
-    return messages.withColumns({"status": status, "op": op, "after": row})
+    empty = F.from_json(F.lit("{}"), schema)
+    return (staged.withColumns({"status": status,
+                                "after": F.when(row.isNull(), empty).otherwise(row)})
+            .drop("_t", "_v", "_p", "_a", "_r"))
 
 
 def reject_split(parsed: DataFrame) -> DataFrame:
@@ -66,13 +79,24 @@ def _order(df: DataFrame) -> Column:
     return F.struct(*[F.col(c) for c in ORDER_COLUMNS])
 
 
+def _accepted_order(df: DataFrame) -> Column:
+    """The consumption order of accepted messages, null for the others.
+
+    Aggregates skip null orderings, so acceptance is applied inside the
+    aggregate rather than by a filter: a filter on ``status`` would be
+    pushed below the repartition and evaluate the parse a second time, in
+    the scan task."""
+    return F.when(F.col("status") == ACCEPTED, _order(df))
+
+
 def latest_by_key(parsed: DataFrame, key: str) -> DataFrame:
     """Last image per key in consumption order, expanded to columns."""
-    acc = parsed.where(F.col("status") == ACCEPTED)
-    fields = acc.schema["after"].dataType.fieldNames()
-    newest = (acc.groupBy(F.col("after")[key].alias("_key"))
-              .agg(F.max_by("after", _order(acc)).alias("_row")))
-    return newest.select(*[F.col("_row")[f].alias(f) for f in fields])
+    fields = parsed.schema["after"].dataType.fieldNames()
+    newest = (parsed.groupBy(F.col("after")[key].alias("_key"))
+              .agg(F.max_by("after", _accepted_order(parsed)).alias("_row"),
+                   F.max(_accepted_order(parsed)).alias("_last")))
+    return (newest.where(F.col("_last").isNotNull())
+            .select(*[F.col("_row")[f].alias(f) for f in fields]))
 
 
 def key_bound_cutoff(parsed: DataFrame, key: str, batch_size: int):
@@ -83,8 +107,9 @@ def key_bound_cutoff(parsed: DataFrame, key: str, batch_size: int):
     ``batch_size`` smallest are a top-k (``TakeOrderedAndProject``: k rows
     per task, merged once), and only one scalar reaches the driver.
     """
-    acc = parsed.where(F.col("status") == ACCEPTED)
-    firsts = acc.groupBy(F.col("after")[key].alias("_key")).agg(F.min(_order(acc)).alias("_first"))
+    firsts = (parsed.groupBy(F.col("after")[key].alias("_key"))
+              .agg(F.min(_accepted_order(parsed)).alias("_first"))
+              .where(F.col("_first").isNotNull()))
     top = firsts.orderBy("_first").limit(batch_size)
     row = top.agg(F.count(F.lit(1)).alias("n"), F.max("_first").alias("cut")).first()
     if row is None or row["n"] < batch_size:

@@ -58,3 +58,13 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df):
+    """Round-robin ``df`` over the default parallelism when it arrives in
+    fewer partitions (a file with one row group is one task).  Used only
+    before CPU-heavy per-row work; with enough input splits it is a no-op."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

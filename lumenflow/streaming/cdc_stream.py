@@ -45,11 +45,12 @@ def run_latest_by_key(messages: DataFrame, row_schema: str, key: str, sink: str,
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = cdc.parse_envelopes(batch, row_schema)
-        acc = parsed.where(F.col("status") == cdc.ACCEPTED)
-        order = F.struct(*[F.col(c) for c in cdc.ORDER_COLUMNS])
-        newest = (acc.groupBy(F.col("after")[key].alias("_key"))
+        order = F.when(F.col("status") == cdc.ACCEPTED,
+                       F.struct(*[F.col(c) for c in cdc.ORDER_COLUMNS]))
+        newest = (parsed.groupBy(F.col("after")[key].alias("_key"))
                   .agg(F.max_by(F.struct(order.alias("_order"), F.col("after").alias("_row")),
                                  order).alias("_m"))
+                  .where(F.col("_m").isNotNull())
                   .select("_m._order", "_m._row"))
         newest.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
