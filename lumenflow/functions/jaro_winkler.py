@@ -153,6 +153,12 @@ def jaro_winkler_one(a: str, b: str) -> float:
     return float(jaro_winkler([a], [b])[0])
 
 
+def re_paren(text: str) -> str:
+    """Python form of the bracket removal used on master names (tests)."""
+    import re
+    return re.sub(r"\([^)]*\)", "", text)
+
+
 def char_histogram(strings: list[str]) -> np.ndarray:
     """(n, 64) counts of characters by code point mod 64.  Summing
     ``min`` over buckets bounds the number of common characters from

@@ -26,19 +26,32 @@ FLAT_COLUMNS = ("province_code", "province_name", "city_code", "city_name",
                 "district_code", "district_name", "subdistrict_code", "subdistrict_name")
 
 
+def _last_wins(m, nested: bool):
+    """Rebuild a parsed map so a repeated key keeps its last value (the
+    JSON parser keeps every entry; map construction applies LAST_WIN)."""
+    flat = F.map_from_entries(F.map_entries(m))
+    if not nested:
+        return flat
+    return F.transform_values(flat, lambda _, v: F.map_from_entries(F.map_entries(v)))
+
+
+def _documents(parsed: DataFrame) -> DataFrame:
+    parsed.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    return parsed.select(*[_last_wins(F.col(level), i > 0).alias(level)
+                           for i, level in enumerate(LEVELS)])
+
+
 def read_document(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     """JSON lines (one fragment per line) or whole files (one document each)."""
-    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     if whole_file:
         text = spark.read.text(path, wholetext=True)
-        return text.select(F.from_json("value", DOC_SCHEMA).alias("d")).select("d.*")
-    return spark.read.schema(DOC_SCHEMA).json(path)
+        return _documents(text.select(F.from_json("value", DOC_SCHEMA).alias("d")).select("d.*"))
+    return _documents(spark.read.schema(DOC_SCHEMA).json(path))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Document fragments given as a ``value`` text column."""
-    lines.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
-    return lines.select(F.from_json("value", DOC_SCHEMA).alias("d")).select("d.*")
+    return _documents(lines.select(F.from_json("value", DOC_SCHEMA).alias("d")).select("d.*"))
 
 
 def _children(doc: DataFrame, level: str) -> DataFrame:

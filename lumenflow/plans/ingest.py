@@ -37,7 +37,7 @@ def merge_staging(target: DataFrame | None, staging: DataFrame, key: str,
     keys = staging.select(F.col(key).cast(types.get(key, dict(staging.dtypes)[key])).alias(key)) \
         .where(F.col(key).isNotNull()).distinct()
     kept = target.join(keys, key, "left_anti")
-    return kept.unionByName(stamped)
+    return kept.unionByName(stamped, allowMissingColumns=True)
 
 
 def upsert(spark: SparkSession, staging: DataFrame, table_root: str,
