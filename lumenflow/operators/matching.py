@@ -237,6 +237,12 @@ def score_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
     m = (members.join(salts, "gid")
          .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
          .select(F.col("gid").alias("m_gid"), F.col("salt").alias("m_salt"), "b", *TIE_COLUMNS))
+    # The work here is Python, invisible to AQE's byte-based coalescing, so
+    # both sides are hash-partitioned explicitly (same count, same keys):
+    # the cogroup keeps this partitioning and runs on every core.
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = r.repartition(n, "gid", "salt")
+    m = m.repartition(n, "m_gid", "m_salt")
     ties = list(TIE_COLUMNS)
     schema = ("a_id string, score double, m_city string, m_district string, m_sub_clean string, "
               f"{MASTER_ID} bigint")
@@ -257,14 +263,16 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
     per unmatched region row.  Ties go to the smaller (city, district,
     cleaned subdistrict, id) of the master.  A row whose best score is 0
     (nothing in common) gets no match."""
+    from lumenflow.session import materialize
+
+    keep = materialize if checkpoint else (lambda df, name=None: df)
     left, master = candidate_features(left_only, master_only, rules, group_rows)
-    if checkpoint:
-        # Features feed several joins; cut the lineage once (written to the
-        # session's checkpoint folder) instead of recomputing the scorer input.
-        left = left.checkpoint(eager=True)
-        master = master.checkpoint(eager=True)
+    # Features, bounds and first scores each feed several joins: each is
+    # written once to the shared folder instead of being recomputed.
+    left = keep(left, "fuzzy_left")
+    master = keep(master, "fuzzy_master")
     groups = group_summaries(master)
-    bounds = group_bounds(left, groups)
+    bounds = keep(group_bounds(left, groups), "fuzzy_bounds")
     members = master.select("gid", "b", *TIE_COLUMNS)
 
     # 1) seed: a master with the same city, district and normalised name
@@ -275,18 +283,14 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
                        & (left["district_name"] == reps["m_district"]) & (left["a_norm"] == reps["m_norm"]))
              .select("a_id", "a", MASTER_ID)
              .join(master.select(MASTER_ID, "b", *TIE_COLUMNS[:-1]).dropDuplicates([MASTER_ID]), MASTER_ID))
-    seeded = _score_pairs(seeds).select("a_id", "score", *TIE_COLUMNS)
-    if checkpoint:
-        seeded = seeded.checkpoint(eager=True)
+    seeded = keep(_score_pairs(seeds).select("a_id", "score", *TIE_COLUMNS), "fuzzy_seeded")
     seed_floor = seeded.groupBy("a_id").agg(F.max("score").alias("floor"))
     # 2) the group with the highest bound, per row (ties broken by group id:
     #    ``top`` is used twice and both uses must name the same group)
     top = bounds.groupBy("a_id").agg(F.max_by("gid", F.struct("ub", "gid")).alias("gid"))
     first_rows = (top.join(bounds.select("a_id", "a", "gid").dropDuplicates(["a_id", "gid"]), ["a_id", "gid"])
                   .join(seed_floor, "a_id", "left"))
-    first = score_groups(first_rows, members)
-    if checkpoint:
-        first = first.checkpoint(eager=True)
+    first = keep(score_groups(first_rows, members), "fuzzy_first")
     floor = (seeded.unionByName(first).groupBy("a_id").agg(F.max("score").alias("floor")))
     # 3) every other group whose bound reaches that floor
     rest = (bounds.join(floor, "a_id", "left")

@@ -15,6 +15,7 @@ from lumenflow.functions.dates import shift_label
 from lumenflow.functions.strings import concat_key
 from lumenflow.operators import tiering as T
 from lumenflow.plans import segmentation as S
+from lumenflow.session import materialize
 from lumenflow.sources import bindings as B
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,9 +41,13 @@ M = B.RUN_MONTH
 
 
 def _inputs(spark, sf_dir):
-    sales = B.pos_sales(spark, sf_dir)
+    """Feed, ages and history of the run.  In production these are stored
+    tables; here they are derived, so the aggregated feed and the history
+    are written once to the shared folder instead of being re-derived from
+    lineitem by every branch of the plan."""
+    sales = materialize(B.pos_sales(spark, sf_dir))
     aging = B.pos_aging(spark, sf_dir)
-    history = B.segmentation_history(spark, sf_dir, M)
+    history = materialize(B.segmentation_history(spark, sf_dir, M, sales, aging))
     return sales, aging, history
 
 

@@ -14,7 +14,7 @@ from lumenflow.operators import cdc
 from lumenflow.plans import ingest
 from lumenflow.plans import segmentation as S
 from lumenflow.registry import M, query
-from lumenflow.session import fresh_path
+from lumenflow.session import fresh_path, materialize
 from lumenflow.sinks import storage
 from lumenflow.sources import bindings as B
 from lumenflow.sources.files import read_delimited
@@ -32,12 +32,13 @@ def q_month_partition_replace(spark, sf_dir):
     that table* and written back into it; one old month is replaced by an
     empty result (and so disappears)."""
     root = fresh_path(spark, "lp_segmentation")
-    (B.segmentation_history_full(spark, sf_dir, M)
+    sales = materialize(B.pos_sales(spark, sf_dir))
+    aging = B.pos_aging(spark, sf_dir)
+    (B.segmentation_history_full(spark, sf_dir, M, sales, aging)
      .write.partitionBy("month_year").parquet(root))
     table = storage.read_months(spark, root, S.OUTPUT_COLUMNS)
     history = table.where(F.col("month_year") < F.lit(M))
-    sales = B.pos_sales(spark, sf_dir)
-    result = S.segment_month(B.month_feed(sales, M), B.pos_aging(spark, sf_dir), history,
+    result = S.segment_month(B.month_feed(sales, M), aging, history,
                              B.seed_months(spark, M), M)
     storage.replace_month(result, root, M, S.OUTPUT_COLUMNS)
     storage.replace_month(table.where(F.lit(False)), root, OLDEST_MONTH, S.OUTPUT_COLUMNS)

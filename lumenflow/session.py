@@ -68,3 +68,14 @@ def spread(df):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet below the shared folder and continue
+    from the written table: the plan is computed once (a reliable RDD
+    checkpoint computes it twice), the lineage is cut, the copy survives
+    executor loss, and later scans get column pruning and pushdown."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spread(spark.read.parquet(path))

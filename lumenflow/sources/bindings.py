@@ -69,38 +69,35 @@ def month_feed(sales: DataFrame, month: str) -> DataFrame:
     return sales.where(F.col("month_year") == F.lit(month))
 
 
-def segmentation_history(spark: SparkSession, sf_dir: str, month: str = RUN_MONTH) -> DataFrame:
+def segmentation_history(spark: SparkSession, sf_dir: str, month: str = RUN_MONTH,
+                         sales: DataFrame | None = None, aging: DataFrame | None = None,
+                         full: bool = False) -> DataFrame:
     """The monthly table as it stands before ``month`` is run.
 
     Months before the previous one hold the plain tiers of their feed; the
     previous month is produced by running the monthly step itself, so it
-    carries 'No Trx' rows as a real table would.
+    carries 'No Trx' rows as a real table would.  ``full`` gives all 15
+    columns (earlier months have no lag, flag or stamp), otherwise the 8
+    base columns.
     """
     from lumenflow.plans import segmentation as S
 
-    sales = pos_sales(spark, sf_dir)
-    aging = pos_aging(spark, sf_dir)
+    sales = sales if sales is not None else pos_sales(spark, sf_dir)
+    aging = aging if aging is not None else pos_aging(spark, sf_dir)
     prev = shift_label(month, -1)
     base = S.calculation(sales.where(F.col("month_year") < F.lit(prev)), aging)
     prev_rows = S.segment_month(month_feed(sales, prev), aging, base,
                                 seed_months(spark, prev), prev,
                                 etl_date=F.lit(None).cast("timestamp"))
+    if full:
+        return base.unionByName(prev_rows, allowMissingColumns=True).select(*S.OUTPUT_COLUMNS)
     return base.unionByName(prev_rows.select(*S.BASE_COLUMNS))
 
 
-def segmentation_history_full(spark: SparkSession, sf_dir: str, month: str = RUN_MONTH) -> DataFrame:
-    """As ``segmentation_history`` but with all 15 columns of the monthly
-    table (earlier months have no lag, flag or stamp)."""
-    from lumenflow.plans import segmentation as S
-
-    sales = pos_sales(spark, sf_dir)
-    aging = pos_aging(spark, sf_dir)
-    prev = shift_label(month, -1)
-    base = S.calculation(sales.where(F.col("month_year") < F.lit(prev)), aging)
-    prev_rows = S.segment_month(month_feed(sales, prev), aging, base,
-                                seed_months(spark, prev), prev,
-                                etl_date=F.lit(None).cast("timestamp"))
-    return base.unionByName(prev_rows, allowMissingColumns=True).select(*S.OUTPUT_COLUMNS)
+def segmentation_history_full(spark: SparkSession, sf_dir: str, month: str = RUN_MONTH,
+                              sales: DataFrame | None = None,
+                              aging: DataFrame | None = None) -> DataFrame:
+    return segmentation_history(spark, sf_dir, month, sales, aging, full=True)
 
 
 # --- change data capture ---------------------------------------------------
