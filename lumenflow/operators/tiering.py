@@ -127,19 +127,39 @@ def with_revenue_tiers(df: DataFrame) -> DataFrame:
     })
 
 
-def diamond_check(history: DataFrame, seed_months: DataFrame) -> DataFrame:
+def diamond_check(history: DataFrame, seed_months: DataFrame,
+                  partition_column: str | None = None) -> DataFrame:
     """Distinct Diamond months per outlet and quarter, counted only for
     months listed in the seed; the flag applies to the *next* quarter.
 
-    The seed is a handful of month labels: it is broadcast (its size is the
-    number of seed rows, checked by the caller's reader) and applied as a
-    semi join, so the history scan is never shuffled for it.
+    The seed is a short month list (its size is checked when it is read):
+    it is applied as a broadcast semi join, and its months are also turned
+    into date ranges on ``month_year_date`` (pushed to the Parquet reader)
+    and, when the history is partitioned by its month label
+    (``partition_column``), into a partition filter, so only the seed
+    months of the history are scanned.
     """
-    from lumenflow.functions.dates import month_label
-
+    from lumenflow.functions.dates import month_label, month_start, shift_label
+
+    labels = sorted({r[0] for r in seed_months.select("month_year").collect() if r[0]})
+    rows = history.where(F.col("revenue_tiering") == DIAMOND)
+    if labels:
+        ranges = None
+        for m in labels:
+            try:
+                nxt = shift_label(m, 1)
+            except ValueError:
+                ranges = None        # not a yyyy-MM label: rely on the semi join alone
+                break
+            r = ((F.col("month_year_date") >= month_start(F.lit(m)))
+                 & (F.col("month_year_date") < month_start(F.lit(nxt))))
+            ranges = r if ranges is None else ranges | r
+        if ranges is not None:
+            rows = rows.where(ranges)
+        if partition_column:
+            rows = rows.where(F.col(partition_column).isin(labels))
     rows = (
-        history.where(F.col("revenue_tiering") == DIAMOND)
-        .withColumn("_month_key", month_label("month_year_date"))
+        rows.withColumn("_month_key", month_label("month_year_date"))
         .join(F.broadcast(seed_months.select(F.col("month_year").alias("_month_key"))),
               "_month_key", "left_semi")
     )

@@ -128,12 +128,18 @@ def promote(final: DataFrame, check: DataFrame, month: str) -> DataFrame:
 
 def segment_month(raw: DataFrame, aging: DataFrame, history: DataFrame,
                   seed_months: DataFrame, month: str,
-                  etl_date: Column | None = None) -> DataFrame:
-    """The whole monthly step; returns the 15 output columns for ``month``."""
+                  etl_date: Column | None = None,
+                  history_partition: str | None = "month_year") -> DataFrame:
+    """The whole monthly step; returns the 15 output columns for ``month``.
+
+    ``history_partition`` names the history's month-label column (the
+    partition column of the stored table, equal to the label of
+    ``month_year_date``); it lets the Diamond check read only the seed
+    months.  Pass None for a history without that invariant."""
     calc = calculation(raw, aging)
     stage = union_stage(history, calc, month)
     final = final_stage(stage, no_trx(stage, aging, month), month, etl_date)
-    check = T.diamond_check(history, seed_months)
+    check = T.diamond_check(history, seed_months, history_partition)
     return promote(final, check, month)
 
 

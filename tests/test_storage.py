@@ -92,3 +92,21 @@ def test_format_dispatch(spark, scratch):
     target, rows = ingest.bulk_load(spark, path, scratch("dst"))
     assert rows == 250_001
     assert [tuple(r) for r in ingest.load_batches(spark, rows).collect()] == [(1, 100000), (2, 100000), (3, 50001)]
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, scratch):
+    import os
+    root = scratch("bucketed")
+    target = spark.createDataFrame([(i, f"n{i}") for i in range(200)], "id bigint, name string")
+    ingest.upsert_bucketed(spark, target, root, "id", buckets=8, etl_date=F.lit(dt.datetime(2024, 1, 1)))
+    before = {b: sorted(os.listdir(f"{root}/key_bucket={b}")) for b in range(8)}
+    staging = _staging(spark, scratch, "id;name\n5;five\n5;five-again\n;nokey\n999;new")
+    touched = ingest.upsert_bucketed(spark, staging, root, buckets=8,
+                                     etl_date=F.lit(dt.datetime(2024, 2, 1)))
+    assert 1 <= len(touched) <= 3
+    after = {b: sorted(os.listdir(f"{root}/key_bucket={b}")) for b in range(8)}
+    assert all(before[b] == after[b] for b in range(8) if b not in touched)
+    rows = ingest.read_bucketed(spark, root).collect()
+    assert len(rows) == 200 - 1 + 4
+    assert sorted(r.name for r in rows if r.id == 5) == ["five", "five-again"]
+    assert any(r.id is None for r in rows) and any(r.id == 999 for r in rows)
