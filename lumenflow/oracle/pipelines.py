@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lumenflow.oracle_sql import _OUT, _p1
+from lumenflow.oracle.segmentation import _OUT, _p1
 from lumenflow.sources import bindings as B
 
 _MESSAGES = """

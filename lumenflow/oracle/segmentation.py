@@ -1,4 +1,4 @@
-"""Independent DuckDB SQL for every hashed query.
+"""DuckDB SQL of the outlet-segmentation queries.
 
 Each entry re-derives its inputs from the raw driver tables (views
 ``lineitem``, ``supplier``, ... are registered by the checker) and states
@@ -177,10 +177,3 @@ def segmentation_sql() -> dict[str, str]:
     q["duplicate_check"] = _p1(
         "SELECT pos_code || month_year AS unique_field FROM rn_final GROUP BY 1 HAVING count(*) > 1")
     return q
-
-
-def all_sql() -> dict[str, str]:
-    from lumenflow import oracle_sql_more
-    out = segmentation_sql()
-    out.update(oracle_sql_more.more_sql())
-    return out
