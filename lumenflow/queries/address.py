@@ -11,7 +11,7 @@ from lumenflow.operators import hierarchy as H
 from lumenflow.operators import matching as MT
 from lumenflow.plans import address_match as AM
 from lumenflow.queries import query
-from lumenflow.session import fresh_path
+from lumenflow.session import fresh_path, materialize
 from lumenflow.sources import bindings as B
 
 # Block rules of the binding: the defaults, plus the two renamed provinces of
@@ -29,7 +29,14 @@ def _document_path(spark, sf_dir):
 
 
 def _region(spark, sf_dir):
-    return H.flatten(H.read_document(spark, _document_path(spark, sf_dir)))
+    """The flattened region table, written once (it feeds the exact split,
+    the fuzzy part and the merge)."""
+    return materialize(H.flatten(H.read_document(spark, _document_path(spark, sf_dir))), "region_flat")
+
+
+def _master(spark, sf_dir):
+    """The address master (a stored table in production), written once."""
+    return materialize(B.address_master(spark, sf_dir), "address_master")
 
 
 @query("hierarchy_flatten")
@@ -39,7 +46,7 @@ def q_hierarchy_flatten(spark, sf_dir):
 
 @query("exact_match_split")
 def q_exact_match_split(spark, sf_dir):
-    mapped, left_only, master_only = MT.exact_split(_region(spark, sf_dir), B.address_master(spark, sf_dir))
+    mapped, left_only, master_only = MT.exact_split(_region(spark, sf_dir), _master(spark, sf_dir))
     return (mapped.select(F.lit("mapped").alias("side"), "subdistrict_code", MT.MASTER_ID)
             .unionByName(left_only.select(F.lit("left_only").alias("side"), "subdistrict_code",
                                           F.lit(None).cast("bigint").alias(MT.MASTER_ID)))
@@ -50,7 +57,7 @@ def q_exact_match_split(spark, sf_dir):
 
 @query("block_alias_join")
 def q_block_alias_join(spark, sf_dir):
-    _, left_only, master_only = MT.exact_split(_region(spark, sf_dir), B.address_master(spark, sf_dir))
+    _, left_only, master_only = MT.exact_split(_region(spark, sf_dir), _master(spark, sf_dir))
     lp = left_only.groupBy("province_name").agg(F.count(F.lit(1)).alias("left_rows"))
     mp = master_only.groupBy("m_province").agg(F.count(F.lit(1)).alias("master_rows"))
     blocks = MT.block_map(lp.select("province_name"), mp.select("m_province"), BINDING_RULES)
@@ -63,7 +70,7 @@ def q_block_alias_join(spark, sf_dir):
 def q_jaro_winkler_score(spark, sf_dir):
     """Each region row scored against the master row of the same customer."""
     region = _region(spark, sf_dir)
-    names = MT.master_names(B.address_master(spark, sf_dir))
+    names = MT.master_names(_master(spark, sf_dir))
     a = _join(*MT.LEFT_NAMES)
     b = _join("m_province", "m_city", "m_district", STR.strip_parenthesised("m_subdistrict"))
     owner = (F.substring("subdistrict_code", 7, 64).cast("bigint") + 100000)
@@ -75,7 +82,7 @@ def q_jaro_winkler_score(spark, sf_dir):
 
 def _fuzzy(spark, sf_dir):
     region = _region(spark, sf_dir)
-    master = B.address_master(spark, sf_dir)
+    master = _master(spark, sf_dir)
     mapped, left_only, master_only = MT.exact_split(region, master)
     return region, master, mapped, MT.fuzzy_best_match(left_only, master_only, BINDING_RULES)
 
@@ -94,6 +101,6 @@ def q_address_merge(spark, sf_dir):
 @query("address_match_pipeline")
 def q_address_match_pipeline(spark, sf_dir):
     out = fresh_path(spark, "locality_detail")
-    AM.run(spark, _document_path(spark, sf_dir), B.address_master(spark, sf_dir), out,
+    AM.run(spark, _document_path(spark, sf_dir), _master(spark, sf_dir), out,
            BINDING_RULES)
     return AM.read_output(spark, out)
