@@ -182,8 +182,15 @@ def best_in_block(left: pd.DataFrame, members: pd.DataFrame, ties: list[str]) ->
     such a pair: ``a_id``, ``score`` and the tie columns of the winner
     (highest score, then smallest tie columns)."""
     cols = ["a_id", "score", *ties]
+
+    def empty() -> pd.DataFrame:
+        out = {"a_id": pd.Series([], dtype=object), "score": pd.Series([], dtype="float64")}
+        for t in ties:
+            out[t] = pd.Series([], dtype=members[t].dtype if t in members else object)
+        return pd.DataFrame(out)
+
     if left.empty or members.empty:
-        return pd.DataFrame({c: [] for c in cols})
+        return empty()
     a_list = left["a"].tolist()
     b_list = members["b"].tolist()
     na, nm = len(a_list), len(b_list)
@@ -204,7 +211,7 @@ def best_in_block(left: pd.DataFrame, members: pd.DataFrame, ties: list[str]) ->
     floor = left["floor"].fillna(0.0).to_numpy()
     ai, mi = np.nonzero(ub + 1e-9 >= floor[:, None])
     if ai.size == 0:
-        return pd.DataFrame({c: [] for c in cols})
+        return empty()
     a_arr = np.array(a_list, dtype=object)
     b_arr = np.array(b_list, dtype=object)
     score = np.round(jaro_winkler(a_arr[ai].tolist(), b_arr[mi].tolist()), SCORE_DIGITS)

@@ -147,3 +147,20 @@ def test_fuzzy_best_match_equals_brute_force(spark):
     assert got == expect
     # ties exist in this fixture, so the tie order is exercised
     assert len(got) > 50
+
+
+def test_salted_hot_groups_give_the_same_answer(spark, monkeypatch):
+    """With at most 3 region rows per scoring call every group is split
+    into salts (members replicated); the result must not change."""
+    rnd = random.Random(11)
+    words = ["KAMPUNG", "KAMPONG", "DESA", "DUSUN"]
+    left_rows = [(f"L{i:03d}", "TIMUR", rnd.choice(words), "KEC", rnd.choice(words) + str(rnd.randrange(9)))
+                 for i in range(60)]
+    master_rows = [(500 + i, "TIMUR", rnd.choice(words), "KEC", rnd.choice(words) + str(rnd.randrange(9)) + "X")
+                   for i in range(40)]
+    region, master = _region(spark, left_rows), _master(spark, master_rows)
+    _, left_only, master_only = MT.exact_split(region, master)
+    plain = {tuple(r) for r in MT.fuzzy_best_match(left_only, master_only, group_rows=8).collect()}
+    monkeypatch.setattr(MT, "BLOCK_LEFT_ROWS", 3)
+    salted = {tuple(r) for r in MT.fuzzy_best_match(left_only, master_only, group_rows=8).collect()}
+    assert plain == salted and len(plain) == 60
