@@ -192,26 +192,49 @@ def candidate_features(left_only: DataFrame, master_only: DataFrame,
     return left, master
 
 
-def group_summaries(master: DataFrame) -> DataFrame:
+# Levels of the master hierarchy searched from the top; the leaves are the
+# salted chunks (``gid``) of at most ``group_rows`` rows.
+LEVELS = (("block", "m_city"), ("block", "m_city", "m_district"),
+          ("block", "m_city", "m_district", "gid"))
+
+
+def summaries(master: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Per node of a level: length range, per-bucket character maxima and
+    the common 4-character prefix (null when members differ)."""
     hmax = F.array(*[F.max(F.col("hb")[i]) for i in range(JW.HIST_BUCKETS)])
-    return (master.groupBy("block", "gid").agg(
+    return (master.groupBy(*keys).agg(
         F.min("lb").alias("g_min"), F.max("lb").alias("g_max"), hmax.alias("g_hist"),
         F.min("pb").alias("_p0"), F.max("pb").alias("_p1"))
-        .select("block", "gid", "g_min", "g_max", "g_hist",
+        .select(*keys, "g_min", "g_max", "g_hist",
                 F.when(F.col("_p0") == F.col("_p1"), F.col("_p0")).alias("g_pre")))
 
 
-def group_bounds(left: DataFrame, groups: DataFrame) -> DataFrame:
-    """(a_id, gid, ub): the best score any member of the group could reach."""
-    j = left.join(groups, "block")
+def node_bound() -> Column:
+    """The best score any member of a node could reach, for the row in
+    the same record (``a``, ``la``, ``ha`` against the node summary)."""
     c = _shared(F.col("ha"), F.col("g_hist"))
     la = F.col("la")
     best_len = F.least(F.greatest(c, F.col("g_min")), F.col("g_max"))
     ub_j = F.greatest(_ub_from_counts(c, la, F.col("g_min")),
                       _ub_from_counts(c, la, F.col("g_max")),
                       _ub_from_counts(c, la, best_len))
-    ub = _boost(ub_j, _prefix_len(F.col("a"), F.col("g_pre")))
-    return j.select("a_id", "a", "gid", ub.alias("ub"))
+    return _boost(ub_j, _prefix_len(F.col("a"), F.col("g_pre")))
+
+
+def bounds_below(rows: DataFrame, level: DataFrame, parent_keys: tuple[str, ...],
+                 keys: tuple[str, ...]) -> DataFrame:
+    """Children of each row's surviving parent nodes, with their bound.
+    ``rows`` carries a_id, a, la, ha and the parent key columns."""
+    j = rows.join(level, list(parent_keys))
+    return j.select("a_id", "a", "la", "ha", *keys, node_bound().alias("ub"))
+
+
+def _best_child(bounded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The child with the highest bound per row (ties by key, so repeated
+    evaluation names the same child)."""
+    node = F.struct(*keys)
+    best = bounded.groupBy("a_id").agg(F.max_by(node, F.struct("ub", node)).alias("_n"))
+    return best.select("a_id", *[F.col(f"_n.{k}").alias(k) for k in keys])
 
 
 TIE_COLUMNS = ("m_city", "m_district", "m_sub_clean", MASTER_ID)
@@ -262,17 +285,24 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
     """(subdistrict_a, subdistrict_b, similarity_score): the best master row
     per unmatched region row.  Ties go to the smaller (city, district,
     cleaned subdistrict, id) of the master.  A row whose best score is 0
-    (nothing in common) gets no match."""
+    (nothing in common) gets no match.
+
+    Branch and bound down the master hierarchy (block -> city -> district
+    -> chunk): a greedy descent along the highest bounds gives every row a
+    floor (together with a seed candidate); then only nodes whose bound
+    reaches the floor are opened, level by level, and only the chunks left
+    at the bottom are scored.
+    """
     from lumenflow.session import materialize
 
     keep = materialize if checkpoint else (lambda df, name=None: df)
     left, master = candidate_features(left_only, master_only, rules, group_rows)
-    # Features, bounds and first scores each feed several joins: each is
-    # written once to the shared folder instead of being recomputed.
+    # Features and first scores feed several joins: each is written once to
+    # the shared folder instead of being recomputed.
     left = keep(left, "fuzzy_left")
     master = keep(master, "fuzzy_master")
-    groups = group_summaries(master)
-    bounds = keep(group_bounds(left, groups), "fuzzy_bounds")
+    levels = [keep(summaries(master, keys), f"fuzzy_level{i}") for i, keys in enumerate(LEVELS)]
+    rows = left.select("a_id", "a", "la", "ha", "block")
     members = master.select("gid", "b", *TIE_COLUMNS)
 
     # 1) seed: a master with the same city, district and normalised name
@@ -285,20 +315,36 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
              .join(master.select(MASTER_ID, "b", *TIE_COLUMNS[:-1]).dropDuplicates([MASTER_ID]), MASTER_ID))
     seeded = keep(_score_pairs(seeds).select("a_id", "score", *TIE_COLUMNS), "fuzzy_seeded")
     seed_floor = seeded.groupBy("a_id").agg(F.max("score").alias("floor"))
-    # 2) the group with the highest bound, per row (ties broken by group id:
-    #    ``top`` is used twice and both uses must name the same group)
-    top = bounds.groupBy("a_id").agg(F.max_by("gid", F.struct("ub", "gid")).alias("gid"))
-    first_rows = (top.join(bounds.select("a_id", "a", "gid").dropDuplicates(["a_id", "gid"]), ["a_id", "gid"])
+
+    # 2) greedy descent: best city, best district in it, best chunk in it
+    top_keys: tuple[str, ...] = ("block",)
+    row_once = rows.select("a_id", "a", "la", "ha").dropDuplicates(["a_id"])
+    current = rows
+    first_level = keep(bounds_below(rows, levels[0], ("block",), LEVELS[0]), "fuzzy_cities")
+    for i, keys in enumerate(LEVELS):
+        bounded = first_level if i == 0 else bounds_below(current, levels[i], top_keys, keys)
+        best = _best_child(bounded, keys)
+        current = row_once.join(best, "a_id")
+        top_keys = keys
+    top = keep(current.select("a_id", "gid"), "fuzzy_top")
+    first_rows = (top.join(row_once.select("a_id", "a"), "a_id")
                   .join(seed_floor, "a_id", "left"))
     first = keep(score_groups(first_rows, members), "fuzzy_first")
-    floor = (seeded.unionByName(first).groupBy("a_id").agg(F.max("score").alias("floor")))
-    # 3) every other group whose bound reaches that floor
-    rest = (bounds.join(floor, "a_id", "left")
-            .withColumn("floor", F.coalesce(F.col("floor"), F.lit(0.0)))
-            .where(F.col("ub") + 1e-9 >= F.col("floor"))
-            .join(top.withColumnRenamed("gid", "top_gid"), "a_id")
-            .where(F.col("gid") != F.col("top_gid"))
-            .select("a_id", "a", "gid", "floor"))
+    floor = seeded.unionByName(first).groupBy("a_id").agg(F.max("score").alias("floor"))
+
+    # 3) open, level by level, only the nodes whose bound reaches the floor
+    def reach(df: DataFrame) -> DataFrame:
+        return (df.join(floor, "a_id", "left")
+                .where(F.col("ub") + 1e-9 >= F.coalesce(F.col("floor"), F.lit(0.0))))
+
+    alive = reach(first_level)
+    for i in range(1, len(LEVELS)):
+        alive = reach(bounds_below(alive.select("a_id", "a", "la", "ha", *LEVELS[i - 1]),
+                                   levels[i], LEVELS[i - 1], LEVELS[i]))
+    rest = keep(alive.join(top.withColumnRenamed("gid", "top_gid"), "a_id")
+                .where(F.col("gid") != F.col("top_gid"))
+                .select("a_id", "a", "gid", F.coalesce(F.col("floor"), F.lit(0.0)).alias("floor")),
+                "fuzzy_rest")
     second = score_groups(rest, members)
     scored = seeded.unionByName(first).unionByName(second)
     best = (scored.groupBy("a_id").agg(F.min(F.struct(
