@@ -9,7 +9,7 @@ oracle derives the same inputs independently.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenflow.functions.dates import month_label, month_start, previous_quarter_months, shift_label
@@ -205,7 +205,6 @@ def region_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     seg = (customer.join(nation.select("n_nationkey", "n_regionkey"),
                          customer["c_nationkey"] == nation["n_nationkey"])
            .groupBy("n_regionkey", "n_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("_n")))
-    from pyspark.sql import Window
     seg = seg.withColumn("_d", F.dense_rank().over(
         Window.partitionBy("n_regionkey", "n_nationkey").orderBy("c_mktsegment")))
     districts = seg.select(
