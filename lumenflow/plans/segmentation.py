@@ -147,3 +147,21 @@ def duplicate_check(df: DataFrame, key: Column) -> DataFrame:
     """Values of ``key`` seen more than once (null is a value here)."""
     return (df.groupBy(key.alias("unique_field")).count()
             .where(F.col("count") > 1).select("unique_field"))
+
+
+def run_month(feed: DataFrame, aging: DataFrame, table_root: str,
+              seed_months: DataFrame, month: str) -> int:
+    """One monthly run against the stored, month-partitioned table.
+
+    Reads the history from the table itself (only the previous month and
+    the seed months are scanned, by partition filters), computes ``month``
+    and replaces that month's partition with the result (an empty result
+    removes it).  Re-running a month gives the same table.  Returns the
+    number of rows written.
+    """
+    from lumenflow.sinks import storage
+
+    spark = feed.sparkSession
+    table = storage.read_months(spark, table_root, OUTPUT_COLUMNS)
+    result = segment_month(feed, aging, table, seed_months, month)
+    return storage.replace_month(result, table_root, month, OUTPUT_COLUMNS)

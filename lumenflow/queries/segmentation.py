@@ -158,10 +158,7 @@ def q_month_partition_replace(spark, sf_dir):
     aging = B.pos_aging(spark, sf_dir)
     (B.segmentation_history_full(spark, sf_dir, M, sales, aging)
      .write.partitionBy("month_year").parquet(root))
+    S.run_month(B.month_feed(sales, M), aging, root, B.seed_months(spark, M), M)
     table = storage.read_months(spark, root, S.OUTPUT_COLUMNS)
-    history = table.where(F.col("month_year") < F.lit(M))
-    result = S.segment_month(B.month_feed(sales, M), aging, history,
-                             B.seed_months(spark, M), M)
-    storage.replace_month(result, root, M, S.OUTPUT_COLUMNS)
     storage.replace_month(table.where(F.lit(False)), root, OLDEST_MONTH, S.OUTPUT_COLUMNS)
     return storage.read_months(spark, root, S.OUTPUT_COLUMNS).drop("etl_date")

@@ -90,3 +90,23 @@ def test_month_filter_stays_above_lag(spark):
     out = _run(spark, _raw(spark, [("2024-01", "p", 5_000_000)]), aging, history, "2024-01").first()
     assert (out.previous_tiering, out.previous_revenue, out.tiering_changes) == \
         ("G/P", 30_000_000, "Downgrade to Regular")
+
+
+def test_run_month_is_idempotent_and_reads_its_own_table(spark, scratch):
+    from lumenflow.sinks import storage
+    aging = spark.createDataFrame([("p1", 10), ("p2", 10)], "pos_code string, pos_aging int")
+    root = scratch("lp")
+    first = _run(spark, _raw(spark, [("2024-01", "p1", 30_000_000), ("2024-01", "p2", 1)]),
+                 aging, _raw(spark, []).select(*[F.lit(None).cast(t).alias(c) for c, t in zip(
+                     S.BASE_COLUMNS, ["string", "date", "string", "bigint", "int", "string", "string", "string"])]).limit(0),
+                 "2024-01")
+    first.write.partitionBy("month_year").parquet(root)
+    feed = _raw(spark, [("2024-02", "p2", 2)])
+    assert S.run_month(feed, aging, root, _seed(spark, "2024-02"), "2024-02") == 2
+    once = sorted((r.month_year, r.pos_code, r.pos_tiering, r.tiering_changes)
+                  for r in storage.read_months(spark, root, S.OUTPUT_COLUMNS).collect())
+    assert S.run_month(feed, aging, root, _seed(spark, "2024-02"), "2024-02") == 2
+    twice = sorted((r.month_year, r.pos_code, r.pos_tiering, r.tiering_changes)
+                   for r in storage.read_months(spark, root, S.OUTPUT_COLUMNS).collect())
+    assert once == twice
+    assert ("2024-02", "p1", "No Trx", "No Trx G/P") in once
