@@ -88,24 +88,38 @@ def _finish(A, la, B, lb, used_a, used_b) -> np.ndarray:
     return np.where(jaro > BOOST_THRESHOLD, jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro), jaro)
 
 
-def _match_bits(A, la, B, lb):
-    """Greedy window matching with one 64-bit position mask per character
-    of b (b at most 64 characters): per position of a, the lowest free
-    equal character inside the window is ``cand & -cand``."""
-    n, w1 = A.shape
-    w2 = B.shape[1]
-    # dense ids for the characters present (pads -1 and -2 included)
-    top = int(max(A.max(), B.max())) + 3
+def _dense_ids(*mats: np.ndarray) -> tuple[list[np.ndarray], int]:
+    """Small dense ids for the characters present (pads -1 and -2 kept
+    apart), so position tables have one column per character seen."""
+    top = int(max(m.max() for m in mats)) + 3
     present = np.zeros(top, dtype=bool)
-    present[A.ravel() + 2] = True
-    present[B.ravel() + 2] = True
+    for m in mats:
+        present[m.ravel() + 2] = True
     ids = np.cumsum(present) - 1
-    ai = ids[A + 2]
-    bi = ids[B + 2]
+    return [ids[m + 2] for m in mats], int(ids[-1]) + 1
+
+
+def _position_table(bi: np.ndarray, width: int) -> np.ndarray:
+    """(rows, alphabet) bit masks: bit j set where b[j] is that character."""
+    n, w2 = bi.shape
     rows = np.arange(n)
-    table = np.zeros((n, int(ids[-1]) + 1), dtype=np.uint64)
+    table = np.zeros((n, width), dtype=np.uint64)
     for j in range(w2):
         table[rows, bi[:, j]] |= _ONE << np.uint64(j)
+    return table
+
+
+def _match_bits(A, la, B, lb, ai=None, table=None):
+    """Greedy window matching with one 64-bit position mask per character
+    of b (b at most 64 characters): per position of a, the lowest free
+    equal character inside the window is ``cand & -cand``.  ``ai`` and
+    ``table`` may be given precomputed (dense ids of A, masks of B)."""
+    n, w1 = A.shape
+    w2 = B.shape[1]
+    if table is None:
+        (ai, bi), width = _dense_ids(A, B)
+        table = _position_table(bi, width)
+    rows = np.arange(n)
     window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
     used_b = np.zeros(n, dtype=np.uint64)
     used_a = np.zeros((n, w1), dtype=bool)
@@ -123,6 +137,23 @@ def _match_bits(A, la, B, lb):
     return used_a, bits.astype(bool)
 
 
+def jaro_winkler_indexed(a: list[str], b: list[str], ai: np.ndarray, bi: np.ndarray) -> np.ndarray:
+    """Similarity of a[ai[k]] and b[bi[k]] for every k, encoding each
+    string once and building each b's position masks once."""
+    if len(ai) == 0:
+        return np.zeros(0)
+    A, la = _codes(a, -1)
+    B, lb = _codes(b, -2)
+    if lb.max() > WORD:
+        return jaro_winkler([a[i] for i in ai], [b[j] for j in bi])
+    (aid, bid), width = _dense_ids(A, B)
+    table = _position_table(bid, width)
+    PA, PB = A[ai], B[bi]
+    pla, plb = la[ai], lb[bi]
+    used = _match_bits(PA, pla, PB, plb, ai=aid[ai], table=table[bi])
+    return _finish(PA, pla, PB, plb, *used)
+
+
 def _match_dense(A, la, B, lb):
     """Same matching with boolean matrices, for any length."""
     n, w1 = A.shape
@@ -212,9 +243,7 @@ def best_in_block(left: pd.DataFrame, members: pd.DataFrame, ties: list[str]) ->
     ai, mi = np.nonzero(ub + 1e-9 >= floor[:, None])
     if ai.size == 0:
         return empty()
-    a_arr = np.array(a_list, dtype=object)
-    b_arr = np.array(b_list, dtype=object)
-    score = np.round(jaro_winkler(a_arr[ai].tolist(), b_arr[mi].tolist()), SCORE_DIGITS)
+    score = np.round(jaro_winkler_indexed(a_list, b_list, ai, mi), SCORE_DIGITS)
     cand = pd.DataFrame({"a_id": left["a_id"].to_numpy()[ai], "score": score})
     for t in ties:
         cand[t] = members[t].to_numpy()[mi]
