@@ -64,8 +64,12 @@ def spread(df):
     """Round-robin ``df`` over the default parallelism when it arrives in
     fewer partitions (a file with one row group is one task).  Used only
     before CPU-heavy per-row work; with enough input splits it is a no-op."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave it to AQE
+        return df
+    if current < target:
         return df.repartition(target)
     return df
 

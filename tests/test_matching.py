@@ -164,3 +164,15 @@ def test_salted_hot_groups_give_the_same_answer(spark, monkeypatch):
     monkeypatch.setattr(MT, "BLOCK_LEFT_ROWS", 3)
     salted = {tuple(r) for r in MT.fuzzy_best_match(left_only, master_only, group_rows=8).collect()}
     assert plain == salted and len(plain) == 60
+
+
+def test_whole_file_document(spark, scratch):
+    doc = {"provinsi": {"11": "A", "11": "A2"}, "kabupaten": {"11": {"01": "B"}},
+           "kecamatan": {"1101": {"01": "C"}}, "kelurahan": {"110101": {"01": "D", "02": "E"}}}
+    path = scratch("doc") + "/wilayah.json"
+    import os
+    os.makedirs(path)
+    with open(path + "/part.json", "w") as f:
+        f.write(json.dumps(doc, indent=2))          # pretty-printed: one document over many lines
+    rows = sorted(tuple(r) for r in H.flatten(H.read_document(spark, path, whole_file=True)).collect())
+    assert [r[-1] for r in rows] == ["D", "E"] and rows[0][1] == "A2"
