@@ -100,3 +100,44 @@ def test_stream_equals_batch(spark, scratch):
 
 def test_export_name():
     assert cdc.export_name("db.inventory.customers") == "db_inventory_customers"
+
+
+def _consume_runs(values, batch_size):
+    """Successive runs of a one-by-one consumer: each run stops right after
+    the message that brings it to ``batch_size`` keys and commits there."""
+    runs, start = [], 0
+    while start < len(values):
+        batch, i = {}, start
+        while i < len(values):
+            v = values[i]
+            i += 1
+            try:
+                msg = json.loads(v)
+                payload = msg.get("payload", {})
+                if payload.get("op") in ("c", "u"):
+                    after = payload.get("after", {})
+                    batch[after.get("id")] = after
+            except (json.JSONDecodeError, AttributeError, TypeError):
+                pass
+            if len(batch) >= batch_size:
+                break
+        runs.append(sorted(((k if k is not None else -1), r.get("name")) for k, r in batch.items()))
+        start = i
+    return runs
+
+
+def test_bounded_runs_commit_after_export(spark, scratch):
+    from lumenflow.streaming import cdc_stream
+    rnd = random.Random(5)
+    values = [_env(rnd.choice("ccuud"), {"id": rnd.randrange(25), "name": f"n{i}"}) for i in range(160)]
+    msgs = _messages(spark, values)
+    state, export = scratch("state"), scratch("export") + "/t_customers.csv"
+    got = []
+    while True:
+        n = cdc_stream.consume_bounded(msgs, SCHEMA, "id", state, export, batch_size=10)
+        if n == 0:
+            break
+        rows = spark.read.option("header", True).schema("id bigint, name string").csv(export).collect()
+        got.append(sorted(((r.id if r.id is not None else -1), r.name) for r in rows))
+    expect = [r for r in _consume_runs(values, 10) if r]
+    assert got == expect and len(got) >= 3
