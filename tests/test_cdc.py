@@ -141,3 +141,13 @@ def test_bounded_runs_commit_after_export(spark, scratch):
         got.append(sorted(((r.id if r.id is not None else -1), r.name) for r in rows))
     expect = [r for r in _consume_runs(values, 10) if r]
     assert got == expect and len(got) >= 3
+
+
+def test_missing_key_counts_once_in_the_bound(spark):
+    values = [_env("c", {"id": 1, "name": "a"}), _env("c"), _env("u"), _env("c", {"id": 2, "name": "b"}),
+              _env("c", {"id": 3, "name": "c"}), _env("u", {"id": 1, "name": "z"})]
+    parsed = cdc.parse_envelopes(_messages(spark, values), SCHEMA)
+    for size in (1, 2, 3, 4, 9):
+        got = sorted(((r.id if r.id is not None else -1), r.name)
+                     for r in cdc.key_bounded_batch(parsed, "id", size).collect())
+        assert got == _consume(values, size), size

@@ -110,3 +110,17 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, scratch):
     assert len(rows) == 200 - 1 + 4
     assert sorted(r.name for r in rows if r.id == 5) == ["five", "five-again"]
     assert any(r.id is None for r in rows) and any(r.id == 999 for r in rows)
+
+
+def test_seed_is_read_as_text_and_size_checked(spark, scratch, monkeypatch):
+    import pytest
+    from lumenflow.sources import files
+    path = scratch("seed") + "/filter_month.csv"
+    spark.createDataFrame([("month_year",), ("2023-10",), ("2023-11",), ("2023-12",)], "value string") \
+        .coalesce(1).write.text(path)
+    seed = files.read_seed(spark, path)
+    assert dict(seed.dtypes) == {"month_year": "string"}
+    assert sorted(r.month_year for r in seed.collect()) == ["2023-10", "2023-11", "2023-12"]
+    monkeypatch.setattr(files, "SEED_MAX_ROWS", 2)
+    with pytest.raises(ValueError):
+        files.read_seed(spark, path)
