@@ -8,25 +8,27 @@ Fuzzy part (exact result, pruned work).  For every unmatched region row
 the master row with the highest Jaro-Winkler score over the four joined
 names is wanted, among the unmatched master rows of its *block* (master
 provinces reached through the block rules).  Scoring every pair of a block
-is quadratic, so candidates are pruned with an upper bound that never
-under-estimates the score:
-
-* master rows are split into *groups* of at most ``group_rows`` rows
-  (same block, city and district; larger sets are salted into chunks), and
-  each group is summarised by its length range, its first four characters
-  and the per-bucket maximum of its character histograms;
-* for a row ``a`` and a group ``G`` the bound follows from the number of
-  characters the two could share (histogram minimum), the lengths and the
-  prefix: a pair can never score above it;
-* a first score per row comes from a seed candidate (same city, district
-  and normalised subdistrict name) and from the members of the group with
-  the highest bound;
-* only groups whose bound reaches that score are expanded to pairs and
-  scored.  The winner is an aggregate ``min(struct(-score, tie columns))``
-  (partial per task, final per row), so no group is ever collected.
-
-Work per row is (groups in its blocks) + (members of groups that can still
-win); pairs of groups that cannot win are never produced.
+is quadratic, so the search is a branch and bound down the master's own
+hierarchy, block -> city -> district -> chunk (chunks hold at most
+``group_rows`` rows; larger districts are salted into several chunks):
+
+* every node is summarised by its length range, its common four-character
+  prefix and the per-bucket maximum of its members' character histograms;
+  for a row and a node these give a score no member can exceed (common
+  characters at most the histogram minimum, no transpositions, full prefix
+  boost);
+* a floor per row comes from a seed candidate (same city, district and
+  normalised subdistrict name) and from a greedy descent along the highest
+  bounds (best city, best district in it, best chunk in it, scored);
+* then only nodes whose bound reaches the floor are opened, level by
+  level, and the surviving chunks are scored in a cogrouped
+  ``applyInPandas`` that also checks the exact per-pair bound first; a
+  chunk reached by many rows is split by a salt;
+* the winner is an aggregate ``min(struct(-score, tie columns))`` (partial
+  per task, final per row), so no group is ever collected.
+
+Work per row is (cities of its blocks) + (children of surviving nodes);
+pairs in nodes that cannot win are never produced.
 """
 
 from __future__ import annotations
