@@ -29,7 +29,13 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
               .option("startingOffsets", "earliest"))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return reader.load()
+    try:
+        return reader.load()
+    except Exception as exc:  # the connector is a separate package
+        if "kafka" in str(exc).lower() and "data source" in str(exc).lower():
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka connector on the "
+                               "classpath; use file_source() for a folder of messages") from exc
+        raise
 
 
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
