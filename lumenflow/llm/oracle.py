@@ -6,4 +6,15 @@ SQL: dict[str, str] = {
         g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
         FROM t JOIN g USING (body)""",
+    "op2_url_filter": r"""
+        WITH rules(h, p, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                                             ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+        cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        named AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM cut),
+        parsed AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                          regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM named),
+        best AS (SELECT page_id, max(struct_pack(n := length(h || p), rule := h || p, verdict := verdict)) AS b
+                 FROM parsed JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+        SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict
+        FROM parsed LEFT JOIN best USING (page_id)""",
 }
