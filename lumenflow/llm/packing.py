@@ -30,7 +30,7 @@ from lumenflow.session import materialize
 MAX_TOKENS = 4096
 GROUP_ROWS = 50_000          # pieces that one packing task holds
 ROUNDS = 4                   # exchanges at most; a round that gains nothing ends them
-CACHE_WORDS = 1_500_000      # encoded word parts that a Python worker remembers (about 60 MB)
+CACHE_WORDS = 1_000_000      # encoded word parts that a Python worker remembers (about 40 MB)
 
 # Byte classes.  A boundary between two of ASCII letter, digit and mark always
 # parts two pre-tokens; an apostrophe may join what follows it, a byte over
@@ -67,9 +67,12 @@ class _Encoder:
         self.flat = np.empty(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, parts: list[str]) -> None:
-        got = self.tokenizer.encode_batch(parts, add_special_tokens=False)
-        count = np.fromiter((len(g.ids) for g in got), np.int64, len(got))
-        flat = np.fromiter((i for g in got for i in g.ids), np.uint32, int(count.sum()))
+        found: list[np.ndarray] = []
+        for a in range(0, len(parts), 1000):        # an encoding takes far more room than its ids
+            found += [np.array(g.ids, np.uint32)
+                      for g in self.tokenizer.encode_batch(parts[a:a + 1000], add_special_tokens=False)]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.concatenate(found)
         if len(self.keys) + len(keys) > CACHE_WORDS:
             self.forget()
         at = np.searchsorted(self.keys, keys)
