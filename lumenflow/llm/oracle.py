@@ -17,4 +17,53 @@ SQL: dict[str, str] = {
                  FROM parsed JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
         SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict
         FROM parsed LEFT JOIN best USING (page_id)""",
+    "op9_preference_format": r"""
+        WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text
+                   FROM conversations WHERE conv_id IS NOT NULL),
+        n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM t),
+        last AS (SELECT conv_id, max(i) AS pos FROM n WHERE role = 'assistant' GROUP BY conv_id),
+        answer AS (SELECT n.conv_id, n.text FROM n JOIN last ON n.conv_id = last.conv_id AND n.i = last.pos),
+        pair AS (SELECT last.conv_id, pos, a.text AS good, b.text AS bad, a.text = b.text AS tie
+                 FROM last JOIN answer a ON a.conv_id = last.conv_id JOIN answer b ON b.conv_id = xor(last.conv_id, 1)),
+        prompt AS (SELECT p.conv_id, string_agg('<|im_start|>' || n.role || chr(10) || n.text || '<|im_end|>' || chr(10), '' ORDER BY n.i) AS prompt
+                   FROM pair p JOIN n ON n.conv_id = p.conv_id AND (n.i < p.pos OR p.tie AND n.i = p.pos) GROUP BY p.conv_id)
+        SELECT p.conv_id AS pair_id, CASE WHEN tie THEN pos ELSE pos - 1 END AS n_prompt_turns, coalesce(prompt, '') AS prompt,
+               CASE WHEN tie THEN '' ELSE '<|im_start|>assistant' || chr(10) || good || '<|im_end|>' || chr(10) END AS chosen,
+               CASE WHEN tie THEN '' ELSE '22-' || (22 + length(good) + 10) END AS chosen_loss,
+               CASE WHEN tie THEN '' ELSE '<|im_start|>assistant' || chr(10) || bad || '<|im_end|>' || chr(10) END AS rejected,
+               CASE WHEN tie THEN '' ELSE '22-' || (22 + length(bad) + 10) END AS rejected_loss, tie
+        FROM pair p LEFT JOIN prompt USING (conv_id)""",
+    "op7_source_mixing": r"""
+        WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS k, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens,
+                          coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          coalesce(TRY_CAST(regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1) AS INT), 0) % 4 AS no FROM documents),
+        items AS (SELECT doc_id, k, 'd' || no AS domain, 4 - no AS wd, lang, CASE WHEN lang = 'en' THEN 4 ELSE 2 END AS wl, source,
+                         sum(tokens)::BIGINT AS tokens, count(*) AS n FROM d GROUP BY ALL),
+        leaves AS (SELECT domain, wd, lang, wl, source, sum(tokens)::BIGINT AS tokens FROM items GROUP BY ALL),
+        c1 AS (SELECT domain, wd AS w, sum(tokens)::BIGINT * 2 AS cap FROM leaves GROUP BY ALL),
+        o1 AS (SELECT *, (SELECT sum(tokens)::BIGINT FROM leaves) - coalesce(sum(cap) OVER (ORDER BY cap / w, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS lft,
+                      sum(w) OVER (ORDER BY cap / w, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS rst,
+                      row_number() OVER (ORDER BY cap / w, domain) AS nth FROM c1),
+        f1 AS (SELECT min(nth) AS nth, arg_min(lft, nth) AS lft, arg_min(rst, nth) AS rst FROM o1 WHERE cap * rst > lft * w),
+        b1 AS (SELECT domain, CASE WHEN f1.nth IS NULL OR o1.nth < f1.nth THEN cap ELSE (f1.lft * w) // f1.rst END AS budget FROM o1, f1),
+        c2 AS (SELECT domain, lang, wl AS w, sum(tokens)::BIGINT * 2 AS cap FROM leaves GROUP BY ALL),
+        o2 AS (SELECT c2.*, budget - coalesce(sum(cap) OVER (PARTITION BY domain ORDER BY cap / w, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS lft,
+                      sum(w) OVER (PARTITION BY domain ORDER BY cap / w, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS rst,
+                      row_number() OVER (PARTITION BY domain ORDER BY cap / w, lang) AS nth FROM c2 JOIN b1 USING (domain)),
+        f2 AS (SELECT domain, min(nth) AS nth, arg_min(lft, nth) AS lft, arg_min(rst, nth) AS rst FROM o2 WHERE cap * rst > lft * w GROUP BY domain),
+        b2 AS (SELECT domain, lang, CASE WHEN f2.nth IS NULL OR o2.nth < f2.nth THEN cap ELSE (f2.lft * w) // f2.rst END AS budget FROM o2 LEFT JOIN f2 USING (domain)),
+        c3 AS (SELECT domain, lang, source, 1 AS w, tokens, tokens * 2 AS cap FROM leaves),
+        o3 AS (SELECT c3.*, budget - coalesce(sum(cap) OVER (PARTITION BY domain, lang ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS lft,
+                      sum(w) OVER (PARTITION BY domain, lang ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS rst,
+                      row_number() OVER (PARTITION BY domain, lang ORDER BY cap / w, source) AS nth FROM c3 JOIN b2 USING (domain, lang)),
+        f3 AS (SELECT domain, lang, min(nth) AS nth, arg_min(lft, nth) AS lft, arg_min(rst, nth) AS rst FROM o3 WHERE cap * rst > lft * w GROUP BY domain, lang),
+        b3 AS (SELECT domain, lang, source, tokens AS total, CASE WHEN f3.nth IS NULL OR o3.nth < f3.nth THEN cap ELSE (f3.lft * w) // f3.rst END AS budget
+               FROM o3 LEFT JOIN f3 USING (domain, lang)),
+        q AS (SELECT *, CASE WHEN total > 0 THEN least(2, budget // greatest(total, 1)) ELSE 0 END AS epochs FROM b3),
+        p AS (SELECT i.*, epochs, budget - epochs * total AS rest,
+                     sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('7:' || epochs || ':' || coalesce(doc_id::VARCHAR, '') || ':' || k), doc_id
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+              FROM items i JOIN q USING (domain, lang, source)),
+        c AS (SELECT *, epochs + CASE WHEN run <= rest THEN 1 ELSE 0 END AS copies FROM p)
+        SELECT doc_id, domain, lang, source, unnest(generate_series(0, copies - 1))::INT AS epoch, tokens // n AS n_tokens FROM c WHERE copies > 0""",
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import exact_dedup, near_dedup, packing, quality, substring_dedup, toxicity, url_filter
+from lumenflow.llm import chat, exact_dedup, mixing, near_dedup, packing, quality, substring_dedup, toxicity, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -54,10 +54,18 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels"))).drop("score")
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_pairs(chat.answer_pairs(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_url_filter": op2_url_filter,
@@ -65,5 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_source_mixing": op7_source_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_preference_format": op9_preference_format,
 }
