@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import chat, exact_dedup, mixing, near_dedup, packing, quality, substring_dedup, toxicity, url_filter
+from lumenflow.llm import chat, exact_dedup, mixing, near_dedup, packing, pii, quality, substring_dedup, toxicity, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -66,6 +66,14 @@ def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_pairs(chat.answer_pairs(table(spark, sf_dir, "conversations")))
 
 
+SURROGATE_KEY = b"surrogates-1"       # a deployment passes its own secret
+
+
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, SURROGATE_KEY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_url_filter": op2_url_filter,
@@ -76,4 +84,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_source_mixing": op7_source_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_preference_format": op9_preference_format,
+    "op10_pii_surrogates": op10_pii_surrogates,
 }
