@@ -18,12 +18,14 @@ a = A exp(-r t).  At the commonest weight (once in the text, not common in the
 corpus: ln w = 0) t is 0 and a is A, so the smallest hash decides; only the
 other shingles need the full formula.
 
-Samples form ``BANDS`` bands of ``ROWS``; texts that share a band are compared:
-in each band's group with one member (chosen by a hash of member and band, so
-bands differ), then with 3, 12, ... further members, until every member of a
-group has been compared with all the others that are not in its class already.
-Pairs that share a group but not a class are all compared in the end, without
-listing the pairs of a group of copies.
+Samples form ``BANDS`` bands of ``ROWS``.  Texts that share a band belong to one
+family (a link from each to the smallest of the band's group, and components of
+these links, so a group costs as many rows as it has members).  All texts of a
+family are compared exactly, in blocks of ``BLOCK`` texts: a task gets two
+blocks, compares every pair by one matrix product and returns a spanning forest
+of the links, so no pair of texts is ever a row and no link's class is lost.
+A large family is many pairs of blocks, dealt over the tasks; equal texts are
+one member.
 
 Defined results: a text without words (null, empty, white space) is a class of
 its own; a text of fewer than five words is one shingle; rows with the same
@@ -36,7 +38,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow.llm.components import components
@@ -48,6 +50,8 @@ THRESHOLD = 0.8
 BANDS = 20
 ROWS = 5
 COMMON = 0.01               # document frequency below which the weight no longer rises
+BLOCK = 192                 # texts of a family that are compared at once, twice that a task
+STRIP = 4096                # columns of a block's matrix at once
 BLOCK_BYTES = 16 << 20      # text whose shingles a task counts at once
 SEED = 20240607
 
@@ -76,14 +80,17 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np
 
 def _distinct(shingles: np.ndarray, at: np.ndarray):
     """Per text its distinct shingles, with their counts."""
-    text = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    order = np.lexsort((shingles, text))
+    text = np.repeat(np.arange(len(at) - 1, dtype=_U), np.diff(at))
+    bits = _U(max(1, int(len(at) - 1).bit_length()))
+    # one sort key: the text, then the shingle without its lowest bits (two
+    # shingles of a text that differ in those only would, at worst, stay apart)
+    order = np.argsort((text << (_U(64) - bits)) | (shingles >> bits))
     s, d = shingles[order], text[order]
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(s)))
-    return s[first], count, np.searchsorted(d[first], np.arange(len(at)))
+    return s[first], count, np.searchsorted(d[first], np.arange(len(at), dtype=_U))
 
 
 def _weights_log(s: np.ndarray, count: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -136,19 +143,19 @@ def sample(s: np.ndarray, logs: np.ndarray, at: np.ndarray, k: int) -> np.ndarra
 
 
 def _slices(batches):
+    """(rows, word hashes, first word of each, bytes) of each slice of texts."""
     for batch in batches:
-        ids = batch.column(0)
         for a, b, raw, offs in text_slices(text_column(batch, "text")):
             s, e, first = word_spans(raw, offs)
-            yield ids.slice(a, b - a), span_hash(raw, s, e), first, len(raw)
+            yield batch.slice(a, b - a), span_hash(raw, s, e), first, len(raw)
 
 
 def _counted(batches):
     """Blocks of slices: (documents, shingles with the number of documents)."""
     parts, docs, size = [], 0, 0
-    for ids, words, first, n in _slices(batches):
+    for part, words, first, n in _slices(batches):
         parts.append(_distinct(*shingle_hashes(words, first))[0])
-        docs, size = docs + len(ids), size + n
+        docs, size = docs + part.num_rows, size + n
         if size >= BLOCK_BYTES:
             yield docs, *np.unique(np.concatenate(parts), return_counts=True)
             parts, docs, size = [], 0, 0
@@ -166,7 +173,7 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     Second, these are counted exactly.  The result obeys the same bound
     (a few MB) and is broadcast.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("text").cast("string").alias("text"))
 
     def name(batches):
         for n, keys, count in _counted(batches):
@@ -189,10 +196,20 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     keys = np.sort(np.array([r[0] for r in able.collect()], np.int64).view(_U))
 
     def count(batches):
-        for _, got, n in _counted(batches):
-            held = np.isin(got, keys, assume_unique=True)
-            yield pa.RecordBatch.from_arrays([pa.array(got[held].view(np.int64)), pa.array(n[held].astype(np.int64))],
-                                             names=["shingle", "n"])
+        top = np.zeros(1 << 20, bool)
+        top[keys >> _U(44)] = True
+        total = np.zeros(len(keys), np.int64)
+        for _, words, first, _ in _slices(batches):
+            s, at = shingle_hashes(words, first)
+            maybe = np.flatnonzero(top[s >> _U(44)])
+            where = np.minimum(np.searchsorted(keys, s[maybe]), len(keys) - 1)
+            hit = keys[where] == s[maybe]
+            text = np.searchsorted(at, maybe[hit], side="right")
+            pairs = np.unique(text.astype(np.int64) * len(keys) + where[hit])     # once a document
+            np.add.at(total, pairs % len(keys), 1)
+        some = total > 0
+        yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(total[some])],
+                                         names=["shingle", "n"])
 
     if not len(keys):
         return np.empty(0, _U), np.empty(0)
@@ -204,18 +221,23 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], 1 + np.log(1 / share) / np.log(1 / COMMON)
 
 
-_SIGNED = "doc_id long, node binary, bands array<long>"
+_SIGNED = "doc_id long, tkey long, node binary, bands array<long>"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, tkey, text): an id may repeat, id and text together name a row."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), text.alias("text"))
 
 
 def signatures(docs: DataFrame, common) -> DataFrame:
-    """(doc_id, node, bands): ``node`` is 128 bits of the word sequence (null
-    without words), ``bands`` a hash of each band's samples."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """(doc_id, tkey, node, bands): ``node`` is 128 bits of the word sequence
+    (null without words), ``bands`` a hash of each band's samples."""
 
     def sign(batches):
         table = common.value
-        for ids, words, first, _ in _slices(batches):
-            n = len(ids)
+        for part, words, first, _ in _slices(batches):
+            n = part.num_rows
             s, count, at = _distinct(*shingle_hashes(words, first))
             logs = _weights_log(s, count, table)
             bands = np.empty((n, BANDS), _U)
@@ -226,13 +248,13 @@ def signatures(docs: DataFrame, common) -> DataFrame:
                 bands[:, b] = h
             some = np.diff(first) > 0
             yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array(_nodes(words, first), pa.binary()),
+                [part.column(0), part.column(1), pa.array(_nodes(words, first), pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()),
                                           pa.array(bands.ravel().view(np.int64)),
                                           mask=pa.array(~some))],
-                names=["doc_id", "node", "bands"])
+                names=["doc_id", "tkey", "node", "bands"])
 
-    return rows.mapInArrow(sign, _SIGNED)
+    return _keyed(docs).mapInArrow(sign, _SIGNED)
 
 
 def _nodes(words: np.ndarray, first: np.ndarray) -> list[bytes | None]:
@@ -247,100 +269,147 @@ def _nodes(words: np.ndarray, first: np.ndarray) -> list[bytes | None]:
 
 def similarity(x: np.ndarray, y: np.ndarray, common) -> float:
     """Weighted Jaccard similarity of two word-hash sequences."""
-    sets = []
-    for w in (x, y):
-        s, count, _ = _distinct(*shingle_hashes(w, np.array([0, len(w)])))
-        sets.append((s, np.exp(_weights_log(s, count, common))))
-    (sx, wx), (sy, wy) = sets
-    _, ix, iy = np.intersect1d(sx, sy, assume_unique=True, return_indices=True)
-    both = np.minimum(wx[ix], wy[iy]).sum()
-    return float(both / (wx.sum() + wy.sum() - both)) if len(sx) and len(sy) else 0.0
-
-
-def _verify(pairs: DataFrame, texts: DataFrame, common, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity reaches the threshold."""
-    def check(batches):
-        table = common.value
-        for batch in batches:
-            x, y = word_hashes(text_column(batch, "x")), word_hashes(text_column(batch, "y"))
-            ok = [similarity(p, q, table) >= threshold - 1e-9 for p, q in zip(x, y)]
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+    found = block_similarity([x, y], common)
+    return float(found[0, 1])
+
+
+def block_similarity(texts: list[np.ndarray], common) -> np.ndarray:
+    """Weighted Jaccard similarities of all texts of a small block.
+
+    A shingle's weights in two texts are its counts times one factor, so the
+    sum of minima is a product of 0/1 matrices whose columns are (shingle,
+    1st time), (shingle, 2nd time), ..., scaled by the factor.  Columns that
+    one text alone has add nothing and are left out; the rest is multiplied in
+    strips, so the working memory doesn't follow the texts' lengths."""
+    n = len(texts)
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    s, count, at = _distinct(*shingle_hashes(np.concatenate([*texts, np.empty(0, _U)]), first))
+    factor = np.exp(_weights_log(s, np.ones(len(s)), common))
+    weight = np.bincount(np.repeat(np.arange(n), np.diff(at)), weights=factor * count, minlength=n)
+    text = np.repeat(np.repeat(np.arange(n), np.diff(at)), count)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    key = mix(np.repeat(s, count) + nth.astype(_U) * _U(0x9E3779B97F4A7C15))
+    keys, column, times = np.unique(key, return_inverse=True, return_counts=True)
+    scale = np.empty(len(keys))
+    scale[column] = np.sqrt(np.repeat(factor, count))
+    shared = np.flatnonzero(times > 1)
+    place = np.full(len(keys), -1)
+    place[shared] = np.arange(len(shared))
+    held = place[column] >= 0
+    text, column = text[held], column[held]
+    order = np.argsort(place[column], kind="stable")
+    text, column = text[order], column[order]
+    both = np.zeros((n, n))
+    for a in range(0, len(shared), STRIP):
+        lo, hi = np.searchsorted(place[column], [a, a + STRIP])
+        strip = np.zeros((n, min(STRIP, len(shared) - a)))
+        strip[text[lo:hi], place[column[lo:hi]] - a] = scale[column[lo:hi]]
+        both += strip @ strip.T
+    np.fill_diagonal(both, weight)
+    union = weight[:, None] + weight[None, :] - both
+    return np.divide(both, union, out=np.zeros((n, n)), where=union > 0)
+
+
+def _forest(close: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a block that keep its components: at most one fewer than texts."""
+    root = list(range(len(close)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(close, 1))):
+        a, b = find(int(i)), find(int(j))
+        if a != b:
+            root[b] = a
+            out.append((int(i), int(j)))
+    return out
 
-    one = texts.select(F.col("node").alias("a"), F.col("text").alias("x"))
-    two = texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
-    return (pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y")
-            .mapInArrow(check, "a binary, b binary"))
 
+def _link_blocks(common, threshold: float):
+    """Links of each block of a stream sorted by block (family, lo, hi)."""
+    def links(nodes: list[bytes], texts: list) -> list[tuple[bytes, bytes]]:
+        hashes = list(word_hashes(pa.array(texts, pa.large_string())))
+        sims = block_similarity(hashes, common.value)
+        return [(nodes[i], nodes[j]) for i, j in _forest(sims >= threshold - 1e-9)]
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id, class_size, kept): ``class_id`` is the smallest id of
-    the class; the row with that id stays."""
+    def run(batches):
+        key, nodes, texts, out = None, [], [], []
+        for batch in batches:
+            for fam, lo, hi, node, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if (fam, lo, hi) != key:
+                    out += links(nodes, texts) if len(nodes) > 1 else []
+                    key, nodes, texts = (fam, lo, hi), [], []
+                nodes.append(node)
+                texts.append(text)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], names=["a", "b"])
+                out = []
+        out += links(nodes, texts) if len(nodes) > 1 else []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], names=["a", "b"])
+    return run
+
+
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, tkey, class_id, class_size, kept) of every row."""
     spark: SparkSession = docs.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(docs))
     signed = materialize(signatures(docs, common), "signed")
+    # copies are one member of the search, stood for by one row
     nodes = signed.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    band_rows = nodes.select("node", "doc_id", F.posexplode("bands").alias("band", "value")).select(
-        "node", "doc_id", F.xxhash64("band", "value").alias("bucket"), F.xxhash64("node", "band").alias("turn"))
-    shared = band_rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = materialize(band_rows.join(shared, "bucket"), "members")
+        F.min(F.struct("doc_id", "tkey")).alias("row"), F.first("bands").alias("bands"))
+
+    # families: a link from each member of a band's group to the smallest one
+    band_rows = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(
+        "node", F.xxhash64("band", "value").alias("bucket"))
+    shared = band_rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a")).where("n > 1")
+    # written, so that the join deals both sides itself and can split a hot group
+    shared = materialize(shared.select("bucket", "a"), "shared")
+    families = components(band_rows.withColumnRenamed("node", "b").join(shared, "bucket")
+                          .where("a <> b").select("a", "b"))
+    sizes = families.groupBy("comp").agg(F.count("*").alias("n"))
+    placed = families.join(sizes, "comp").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.join(nodes.select("node", "row.*"), "node")
+
+    texts = _keyed(docs).alias("d").join(
+        placed.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.tkey") == F.col("w.tkey"))).select(
+        "node", "text", "comp", "block", "blocks").dropDuplicates(["node"])
+    pairs = texts.select("comp", "block", "node", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pairs = pairs.select("comp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "text")
+    links = (pairs.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi", "node")
+             .mapInArrow(_link_blocks(common, threshold), "a binary, b binary"))
+    classes = components(links)
+
+    named = materialize(signed.join(classes, "node", "left").select(
+        "doc_id", "tkey", F.coalesce("comp", "node").alias("comp")), "named")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey"))
+    tops = named.where("comp is not null").groupBy("comp").agg(first.alias("top"), F.count("*").alias("class_size"))
+    out = named.join(tops.where("class_size > 1"), "comp", "left")
+    alone = F.col("class_size").isNull()
+    return out.select(
+        "doc_id", "tkey", F.when(alone, F.col("doc_id")).otherwise(F.col("top.doc_id")).alias("class_id"),
+        F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
+        (alone | (F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("tkey") == F.col("top.tkey")))).alias("kept"))
 
-    wanted = members.select("doc_id", "node").distinct()
-    mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def add_node(batches):
-        for batch in batches:
-            out = []
-            for _, _, raw, offs in text_slices(text_column(batch, "text")):
-                s, e, first = word_spans(raw, offs)
-                out += _nodes(span_hash(raw, s, e), first)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
-                                             names=["node", "text", "own"])
-
-    # null ids compare equal here; a repeated id is told apart by its words
-    texts = mine.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("node", "text")
-    texts = materialize(texts.mapInArrow(add_node, "node binary, text string, own binary")
-                        .where("node = own").dropDuplicates(["node"]).select("node", "text"), "texts")
-
-    links, classes = None, None
-    done, upto = 0, 1
-    while True:
-        here = members.select("bucket", "node", "turn")
-        if classes is None:
-            here = here.withColumn("comp", F.col("node"))
-        else:
-            here = here.join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            open_ = (here.groupBy("bucket").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                     .where((F.col("lo") != F.col("hi")) & (F.col("n") > done + 1)).select("bucket"))
-            here = materialize(here.join(open_, "bucket"), "open")
-            if here.isEmpty():
-                break
-        order = Window.partitionBy("bucket").orderBy("turn", "node")
-        centre = (here.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca"), "turn", "node")
-                  .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= upto)
-                  .where(F.col("rank") > done).select("bucket", "a", "ca"))
-        pairs = (here.select("bucket", F.col("node").alias("b"), F.col("comp").alias("cb")).join(centre, "bucket")
-                 .where("ca <> cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        found = materialize(_verify(pairs, texts, common, threshold), "links")
-        links = found if links is None else links.unionByName(found)
-        classes = components(links)
-        done, upto = upto, upto * 4
-
-    named = signed.join(classes, "node", "left").select(
-        "doc_id", F.coalesce("comp", "node").alias("comp"))
-    named = materialize(named, "named")
-    tops = named.where("comp is not null").groupBy("comp").agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    many = tops.where("class_size > 1")
-    out = named.join(many, "comp", "left")
-    class_id = F.when(F.col("class_size").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-    return out.select("doc_id", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-                      F.col("doc_id").eqNullSafe(class_id).alias("kept"))
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, class_id, class_size, kept): ``class_id`` is the smallest id of
+    the class; the row with that id stays."""
+    return _classes(docs, threshold).drop("tkey")
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class; all columns of ``docs``."""
+    """One document of each class; all columns of ``docs``.  Rows that repeat
+    both id and text stay or go together (``exact_dedup`` folds them)."""
     names = docs.columns
-    gone = near_classes(docs, threshold).where("not kept").select(F.col("doc_id").alias("_lf_id")).distinct()
-    return (docs.withColumn("_lf_id", F.col("doc_id").cast("long"))
-            .join(gone, "_lf_id", "left_anti").select(*names))
+    gone = _classes(docs, threshold).where("not kept").select(
+        F.col("doc_id").alias("_lf_i"), F.col("tkey").alias("_lf_k")).distinct()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    mine = docs.withColumns({"_lf_id": F.col("doc_id").cast("long"), "_lf_key": F.xxhash64(text)})
+    return mine.join(gone, F.col("_lf_id").eqNullSafe(F.col("_lf_i")) & (F.col("_lf_key") == F.col("_lf_k")),
+                     "left_anti").select(*names)

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1 << 15
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -71,7 +72,7 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES):
     row, n = 0, len(offs) - 1
     while row < n:
         end = int(np.searchsorted(offs, offs[row] + limit, side="right")) - 1
-        end = min(max(end, row + 1), n)
+        end = min(max(end, row + 1), row + SLICE_ROWS, n)
         yield row, end, raw[offs[row]:offs[end]], offs[row:end + 1] - offs[row]
         row = end
 
