@@ -5,9 +5,10 @@ from __future__ import annotations
 from lumenflow.oracle.segmentation import _OUT, _p1
 from lumenflow.sources import bindings as B
 
+# Consumed by offset, partitions side by side; k = 4 and 5 are ordinary messages.
 _MESSAGES = """
 msg AS (
-  SELECT event_id AS "offset", 0 AS "partition", ts, user_id, event_type, value,
+  SELECT event_id AS "offset", CAST(user_id % 2 AS INTEGER) AS "partition", user_id, event_type, value,
          CAST(json_extract(props, '$.k') AS INTEGER) AS k,
          CASE WHEN event_type = 'signup' THEN 'c'
               WHEN event_type IN ('purchase', 'click') THEN 'u'
@@ -16,7 +17,7 @@ msg AS (
   FROM events
 ),
 parsed AS (
-  SELECT "offset", "partition", ts, k,
+  SELECT "offset", "partition", k,
          CASE WHEN k IN (0, 3) THEN NULL ELSE op0 END AS op,
          CASE WHEN k IN (0, 3) THEN 'malformed'
               WHEN op0 IS NULL OR op0 NOT IN ('c', 'u') THEN 'skipped'
@@ -24,17 +25,49 @@ parsed AS (
               ELSE 'accepted' END AS status,
          CASE WHEN k = 2 THEN NULL ELSE user_id END AS id,
          CASE WHEN k = 2 THEN NULL ELSE event_type END AS event_type,
-         CASE WHEN k = 2 THEN NULL ELSE value END AS value
+         CASE WHEN k IN (2, 6) THEN NULL ELSE value END AS value
   FROM msg
 ),
 acc AS (SELECT * FROM parsed WHERE status = 'accepted')"""
 
 _LATEST = """
 SELECT id, event_type, value FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, "offset" DESC) AS rn FROM {src}
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY "offset" DESC, "partition" DESC) AS rn FROM {src}
 ) WHERE rn = 1"""
 
 
+def _runs(runs: int, keys: int) -> str:
+    """Successive bounded runs, each from the offsets where the one before it
+    stopped: partitions advance together by their distance from there."""
+    out = """,
+next0 AS (SELECT "partition", min("offset") AS nxt FROM parsed GROUP BY 1)"""
+    for r in range(runs):
+        out += f""",
+here{r} AS (
+  SELECT p.*, p."offset" - n.nxt AS far FROM parsed p JOIN next{r} n USING ("partition") WHERE p."offset" >= n.nxt
+),
+first{r} AS (
+  SELECT arg_min(struct_pack(far := far, part := "partition"), struct_pack(far := far, part := "partition")) AS at
+  FROM here{r} WHERE status = 'accepted' GROUP BY id
+),
+cut{r} AS (
+  SELECT max(at) AS at FROM (SELECT at, row_number() OVER (ORDER BY at) AS n, count(*) OVER () AS total FROM first{r})
+  WHERE n <= {keys} AND total >= {keys}
+),
+take{r} AS (
+  SELECT h.* FROM here{r} h, cut{r} c
+  WHERE c.at IS NULL OR struct_pack(far := h.far, part := h."partition") <= c.at
+),
+next{r + 1} AS (
+  SELECT n."partition", coalesce(max(t."offset") + 1, n.nxt) AS nxt FROM next{r} n LEFT JOIN take{r} t USING ("partition")
+  GROUP BY n."partition", n.nxt
+)"""
+    parts = [f"""SELECT id, event_type, value, {r} AS run FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY "offset" DESC) AS rn FROM take{r} WHERE status = 'accepted'
+) WHERE rn = 1""" for r in range(runs)]
+    return out + "\n" + "\nUNION ALL ".join(parts)
+
+
 def _cdc(body: str) -> str:
     return "WITH " + _MESSAGES.strip() + body
 
@@ -48,25 +81,31 @@ def more_sql() -> dict[str, str]:
     q["cdc_reject_split"] = _cdc('\nSELECT "partition", "offset", op, status FROM parsed')
     q["cdc_latest_by_key"] = _cdc(_LATEST.format(src="acc"))
     q["cdc_stream_latest"] = q["cdc_latest_by_key"]
+    q["cdc_field_report"] = _cdc("""
+SELECT fault, count(*) AS messages FROM acc, (VALUES ('note: unknown'), ('value: type')) f(fault)
+WHERE k = 6 GROUP BY fault""")
+    q["cdc_bounded_runs"] = _cdc(_runs(3, 100))
     q["cdc_key_bounded_batch"] = _cdc(f""",
 firsts AS (
-  SELECT id, ts, "offset" FROM (
-    SELECT id, ts, "offset", row_number() OVER (PARTITION BY id ORDER BY ts, "offset") AS rn FROM acc
+  SELECT id, "offset", "partition" FROM (
+    SELECT id, "offset", "partition", row_number() OVER (PARTITION BY id ORDER BY "offset", "partition") AS rn FROM acc
   ) WHERE rn = 1
 ),
-ranked AS (SELECT *, row_number() OVER (ORDER BY ts, "offset") AS pos FROM firsts),
-cut AS (SELECT ts, "offset" FROM ranked WHERE pos = {B.CDC_BATCH_KEYS}),
+ranked AS (SELECT *, row_number() OVER (ORDER BY "offset", "partition") AS pos FROM firsts),
+cut AS (SELECT "offset", "partition" FROM ranked WHERE pos = {B.CDC_BATCH_KEYS}),
 bounded AS (
   SELECT a.* FROM acc a
   WHERE NOT EXISTS (SELECT 1 FROM cut)
-     OR EXISTS (SELECT 1 FROM cut c WHERE a.ts < c.ts OR (a.ts = c.ts AND a."offset" <= c."offset"))
+     OR EXISTS (SELECT 1 FROM cut c WHERE a."offset" < c."offset" OR (a."offset" = c."offset" AND a."partition" <= c."partition"))
 )""" + _LATEST.format(src="bounded"))
     q["csv_export_roundtrip"] = _cdc(
         "\nSELECT CAST(id AS INTEGER) AS id, event_type, value FROM ("
         + _LATEST.format(src="acc") + ") t")
 
     cust = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
-    staging = f"""WITH rows AS (SELECT {cust} FROM customer WHERE c_acctbal >= {B.STAGING_MIN_ACCTBAL}),
+
+    def staging(where: str) -> str:
+        return f"""WITH rows AS (SELECT {cust} FROM customer WHERE {where}),
 staging AS (
   SELECT CASE WHEN c_acctbal > {B.STAGING_NOKEY_ACCTBAL} AND c_acctbal <= {B.STAGING_REPEAT_ACCTBAL}
               THEN NULL ELSE c_custkey END AS c_custkey,
@@ -75,20 +114,19 @@ staging AS (
   SELECT c_custkey, c_name, c_nationkey, c_acctbal + 2, c_mktsegment FROM rows
   WHERE c_acctbal > {B.STAGING_REPEAT_ACCTBAL}
 )"""
-    q["upsert_existing"] = staging + f""",
+
+    q["upsert_existing"] = staging(f"c_acctbal >= {B.STAGING_MIN_ACCTBAL}") + f""",
 target AS (SELECT {cust} FROM customer WHERE c_acctbal < {B.TARGET_MAX_ACCTBAL})
-SELECT * FROM target t
-WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.c_custkey = t.c_custkey)
-UNION ALL SELECT * FROM staging"""
-    q["upsert_first_load"] = staging + """
+SELECT * REPLACE (CAST(c_custkey AS DOUBLE) AS c_custkey) FROM (
+  SELECT * FROM target t
+  WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.c_custkey = t.c_custkey)
+  UNION ALL SELECT * FROM staging)"""
+    q["upsert_first_load"] = staging("true") + """
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM staging"""
     q["csv_scan_delimited"] = f"SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
     q["bulk_load_parquet"] = "SELECT * FROM events"
-    q["bulk_load_csv"] = ("SELECT CAST(event_id AS INTEGER) AS event_id, ts, CAST(user_id AS INTEGER) AS user_id, "
-                          "event_type, value, props FROM events")
-    q["bulk_load_stats"] = """WITH n AS (SELECT count(*) AS rows FROM lineitem)
-SELECT b AS batch, least(100000, n.rows - (b - 1) * 100000) AS rows
-FROM n, range(1, CAST(ceil(n.rows / 100000.0) AS BIGINT) + 1) AS t(b)"""
+    q["bulk_load_csv"] = "SELECT * FROM events"
+    q["bulk_load_stats"] = "SELECT count(*) AS rows, true AS no_empty_part, true AS as_reported FROM lineitem"
     q.update(_functions())
     q.update(_address())
     return q

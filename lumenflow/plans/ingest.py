@@ -1,16 +1,25 @@
 """Staged upsert of a delimited file, and bulk loads.
 
 Upsert: rows of the target whose key appears in the staging file are
-replaced by the staging rows, stamped with ``etl_date``.  The new table is
-``target LEFT ANTI JOIN staging keys UNION staging`` written as a new
-version, so a failure leaves the previous version intact (no half-applied
-delete).  Staging keys are de-duplicated before the join (one row per key
-and map task), and the anti join is broadcast by AQE only when the key
-set is measured small; otherwise it is a shuffle join.
+replaced by the staging rows, stamped with ``etl_date``.  The table is kept
+in key buckets.  Each upsert writes the new rows of the touched buckets to a
+folder of its own and then a new version of the manifest, a small table of
+(bucket, folder); untouched buckets keep their folders.  The manifest's
+commit is the only switch, so a failed upsert leaves the whole previous
+table, and a reader of an older manifest still finds its files.
+
+The manifest also holds the key and the number of buckets, so both are fixed
+by the first load and can't drift between calls (``rebucket`` changes the
+number).  Staging columns take the target's types before anything is hashed.
+Rows with a null key are never deleted, so they are only ever added, in
+folders of their own, and never rewritten.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +29,8 @@ from lumenflow.sources.files import read_by_extension, read_delimited
 ETL_COLUMN = "etl_date"
 
 
-def stage(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    return read_delimited(spark, path, sep=sep)
+def stage(spark: SparkSession, path: str, sep: str = ";", schema: str | None = None) -> DataFrame:
+    return read_delimited(spark, path, sep=sep, schema=schema)
 
 
 def merge_staging(target: DataFrame | None, staging: DataFrame, key: str,
@@ -30,76 +39,170 @@ def merge_staging(target: DataFrame | None, staging: DataFrame, key: str,
     stamped = staging.withColumn(ETL_COLUMN, etl_date)
     if target is None:
         return stamped
-    # Insert is by name, cast to the target's types.
-    types = dict(target.dtypes)
-    stamped = stamped.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c)
-                               for c in stamped.columns])
-    keys = staging.select(F.col(key).cast(types.get(key, dict(staging.dtypes)[key])).alias(key)) \
-        .where(F.col(key).isNotNull()).distinct()
+    stamped = conform(stamped, target)
+    # one row per key and map task before the join; AQE broadcasts the keys
+    # only when they measure small
+    keys = stamped.select(key).where(F.col(key).isNotNull()).distinct()
     kept = target.join(keys, key, "left_anti")
     return kept.unionByName(stamped, allowMissingColumns=True)
 
 
-def upsert(spark: SparkSession, staging: DataFrame, table_root: str,
-           key: str | None = None, etl_date: Column | None = None) -> str:
-    """Apply the staging rows to the versioned table at ``table_root``;
-    the first column is the key unless ``key`` is given."""
-    key = key or staging.columns[0]
-    stamp = etl_date if etl_date is not None else F.current_timestamp()
-    target = storage.read_current(spark, table_root)
-    return storage.write_version(merge_staging(target, staging, key, stamp), table_root)
+def conform(staging: DataFrame, target: DataFrame) -> DataFrame:
+    """Staging columns cast by name to the target's types."""
+    types = dict(target.dtypes)
+    return staging.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c)
+                            for c in staging.columns])
 
 
 BUCKET_COLUMN = "key_bucket"
+MIN_BUCKETS = 16
+ROWS_PER_BUCKET = 5_000_000     # what the first load aims at
+FILES_PER_BUCKET = 4            # tasks that write one bucket
+NO_KEY = -1                     # manifest entry of the folders of rows without a key
+
+
+@dataclass(frozen=True)
+class Manifest:
+    key: str
+    buckets: int
+    folders: tuple[tuple[int, str], ...]
+
+    def paths(self, wanted=None) -> list[str]:
+        return [p for b, p in self.folders if wanted is None or b in wanted]
+
+
+def read_manifest(spark: SparkSession, table_root: str) -> Manifest | None:
+    """At most one row a bucket and one for each load without a key."""
+    table = storage.read_current(spark, f"{table_root}/manifest")
+    if table is None:
+        return None
+    rows = table.collect()
+    return Manifest(rows[0]["key"], rows[0]["buckets"],
+                    tuple(sorted((r["bucket"], r["folder"]) for r in rows if r["folder"] is not None)))
+
+
+def _commit(spark: SparkSession, table_root: str, m: Manifest, schema: str) -> None:
+    rows = [(m.key, m.buckets, schema, b, p) for b, p in m.folders] or [(m.key, m.buckets, schema, NO_KEY, None)]
+    storage.write_version(spark.createDataFrame(
+        rows, "key string, buckets int, columns string, bucket int, folder string").coalesce(1), f"{table_root}/manifest")
 
 
 def key_bucket(key: str, buckets: int) -> Column:
-    """Bucket of a key; hashed through its text form so that a key read as
-    int from a CSV and stored as bigint lands in the same bucket."""
-    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+    """Bucket of a key; ``NO_KEY`` for a missing one."""
+    return F.when(F.col(key).isNull(), F.lit(NO_KEY)).otherwise(
+        F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
+
+
+def _write_buckets(df: DataFrame, key: str, buckets: int, table_root: str) -> dict[int, str]:
+    """Write the rows below a new folder; (bucket -> folder) of what was written.
+    ``FILES_PER_BUCKET`` tasks share a bucket and its rows are spread over them
+    by all columns, so repeated or missing keys don't meet in one task."""
+    spark = df.sparkSession
+    root = f"{table_root}/data/{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(FILES_PER_BUCKET))
+    (df.withColumn(BUCKET_COLUMN, key_bucket(key, buckets))
+     .repartition(BUCKET_COLUMN, part)
+     .write.partitionBy(BUCKET_COLUMN).parquet(root))
+    fs, p = storage._fs(spark, root)
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return {int(n.split("=")[1]): f"{root}/{n}" for n in names if n.startswith(f"{BUCKET_COLUMN}=")}
+
+
+def _schema_of(spark: SparkSession, table_root: str) -> str:
+    return storage.read_current(spark, f"{table_root}/manifest").first()["columns"]
+
+
+def _read(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def table_exists(spark: SparkSession, table_root: str) -> bool:
+    return storage.table_exists(spark, f"{table_root}/manifest")
+
+
+def read_bucketed(spark: SparkSession, table_root: str) -> DataFrame:
+    manifest = read_manifest(spark, table_root)
+    if manifest is None:
+        raise ValueError(f"no table at {table_root}")
+    return _read(spark, manifest.paths(), _schema_of(spark, table_root))
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
 
 
 def upsert_bucketed(spark: SparkSession, staging: DataFrame, table_root: str,
-                    key: str | None = None, buckets: int = 64,
+                    key: str | None = None, buckets: int | None = None,
                     etl_date: Column | None = None) -> list[int]:
-    """Upsert into a table partitioned by key bucket, rewriting only the
-    buckets the staging keys fall into.
-
-    Cost is (staging + touched buckets), not the whole table: the touched
-    bucket ids (at most ``buckets`` values) prune the read, and dynamic
-    partition overwrite replaces exactly those bucket folders.  Returns the
-    buckets rewritten.  Unlike ``upsert`` the replacement is atomic per
-    bucket, not for the table as a whole.
+    """Upsert into the table at ``table_root``, rewriting only the buckets the
+    staging keys fall into; returns the buckets rewritten.
+
+    The first column is the key unless ``key`` is given.  ``buckets`` is for
+    the first load (by default about ``ROWS_PER_BUCKET`` rows each); later a
+    value that differs from the table's is refused, as is another key.
     """
     key = key or staging.columns[0]
     stamp = etl_date if etl_date is not None else F.current_timestamp()
-    if not storage.exists(spark, table_root):
+    manifest = read_manifest(spark, table_root)
+    if manifest is None:
         merged = merge_staging(None, staging, key, stamp)
-        merged.withColumn(BUCKET_COLUMN, key_bucket(key, buckets)) \
-            .write.partitionBy(BUCKET_COLUMN).parquet(table_root)
-        return list(range(buckets))
-    touched = sorted(r[0] for r in staging.select(key_bucket(key, buckets).alias("b"))
-                     .distinct().collect())
-    current = (spark.read.parquet(table_root)
-               .where(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN))
-    merged = merge_staging(current, staging, key, stamp)
-    (merged.withColumn(BUCKET_COLUMN, key_bucket(key, buckets))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COLUMN).parquet(table_root))
+        count = buckets or max(MIN_BUCKETS, -(-staging.count() // ROWS_PER_BUCKET))
+        written = _write_buckets(merged, key, count, table_root)
+        _commit(spark, table_root, Manifest(key, count, tuple(written.items())), _ddl(merged))
+        return sorted(b for b in written if b != NO_KEY)
+    if key != manifest.key or buckets not in (None, manifest.buckets):
+        raise ValueError(f"the table is bucketed by {manifest.key} in {manifest.buckets} buckets, "
+                         f"not by {key} in {buckets}")
+    schema = _schema_of(spark, table_root)
+    staging = conform(staging, spark.createDataFrame([], schema))
+    keyed = staging.where(F.col(key).isNotNull())
+    touched = sorted(r[0] for r in keyed.select(key_bucket(key, manifest.buckets).alias("b")).distinct().collect())
+    current = _read(spark, manifest.paths(set(touched)), schema)
+    merged = merge_staging(current, staging, key, stamp)      # rows without a key: only the new ones
+    written = _write_buckets(merged, key, manifest.buckets, table_root)
+    stray = set(written) - set(touched) - {NO_KEY}
+    if stray:
+        raise AssertionError(f"buckets {sorted(stray)} were written but not read")
+    kept = [(b, p) for b, p in manifest.folders if b not in touched]
+    _commit(spark, table_root, Manifest(key, manifest.buckets, tuple(kept + list(written.items()))), _ddl(merged))
     return touched
 
 
-def read_bucketed(spark: SparkSession, table_root: str) -> DataFrame:
-    return spark.read.parquet(table_root).drop(BUCKET_COLUMN)
+def rebucket(spark: SparkSession, table_root: str, buckets: int) -> None:
+    """The same rows in another number of buckets, as a new version."""
+    manifest = read_manifest(spark, table_root)
+    rows = read_bucketed(spark, table_root)
+    written = _write_buckets(rows, manifest.key, buckets, table_root)
+    _commit(spark, table_root, Manifest(manifest.key, buckets, tuple(written.items())), _ddl(rows))
+
+
+def vacuum(spark: SparkSession, table_root: str, keep: int = 1) -> list[str]:
+    """Remove all but the newest ``keep`` manifests and the folders that none
+    of those names (explicit: older readers lose their files)."""
+    storage.vacuum(spark, f"{table_root}/manifest", keep)
+    fs, p = storage._fs(spark, f"{table_root}/manifest")
+    named: set[str] = set()
+    for st in fs.listStatus(p):
+        if st.isDirectory():
+            rows = spark.read.parquet(st.getPath().toString()).select("folder").where("folder is not null").collect()
+            named |= {r[0].rsplit("/", 1)[0].rsplit("/", 1)[-1] for r in rows}
+    fs, p = storage._fs(spark, f"{table_root}/data")
+    gone = [st.getPath().toString() for st in fs.listStatus(p) if st.getPath().getName() not in named]
+    for path in gone:
+        storage.delete(spark, path)
+    return gone
 
 
 def bulk_load(spark: SparkSession, source_path: str, target_path: str,
-              sep: str = ",") -> tuple[str, int]:
+              sep: str = ",", schema: str | None = None) -> tuple[str, int]:
     """Replace the target with the whole source file (format chosen by the
     file name).  Returns the target path and the number of rows loaded,
     read from the written files' footers (exact even when tasks were
-    retried, and no second pass over the data)."""
-    df = read_by_extension(spark, source_path, sep=sep)
+    retried, and no second pass over the data).  A CSV is read once if its
+    ``schema`` (DDL) is given, twice if its types are to be inferred."""
+    df = read_by_extension(spark, source_path, sep=sep, schema=schema)
     df.write.mode("overwrite").parquet(target_path)
     return target_path, spark.read.parquet(target_path).count()
 
@@ -112,10 +215,9 @@ def load_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
     df.write.mode("overwrite").jdbc(url, table, properties=props)
 
 
-def load_batches(spark: SparkSession, rows: int, batch_rows: int = 100_000) -> DataFrame:
-    """Batch numbers and sizes a loader of ``batch_rows`` per batch reports
-    for ``rows`` input rows (1-based batch numbers)."""
-    n = (rows + batch_rows - 1) // batch_rows
-    return (spark.range(1, n + 1).select(
-        F.col("id").alias("batch"),
-        F.least(F.lit(batch_rows), F.lit(rows) - (F.col("id") - 1) * batch_rows).alias("rows")))
+def load_statistics(spark: SparkSession, target_path: str) -> DataFrame:
+    """(file, rows, bytes) of each file that a load wrote: measured on what is
+    there, one row per written part."""
+    files = spark.read.parquet(target_path).select("_metadata.file_name", "_metadata.file_size")
+    return files.groupBy(F.col("file_name").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max("file_size").alias("bytes"))

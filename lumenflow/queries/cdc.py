@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lumenflow.operators import cdc
 from lumenflow.queries import query
 from lumenflow.session import fresh_path
@@ -9,8 +11,11 @@ from lumenflow.sources import bindings as B
 from lumenflow.sources.files import read_delimited
 from lumenflow.streaming import cdc_stream
 
+
 def _parsed(spark, sf_dir):
-    return cdc.parse_envelopes(B.cdc_messages(spark, sf_dir), B.CDC_ROW_SCHEMA)
+    # the events file is one task; parsing is worth more
+    return cdc.parse_envelopes(B.cdc_messages(spark, sf_dir), B.CDC_ROW_SCHEMA,
+                               partitions=spark.sparkContext.defaultParallelism)
 
 
 @query("cdc_reject_split")
@@ -28,6 +33,30 @@ def q_cdc_key_bounded_batch(spark, sf_dir):
     return cdc.key_bounded_batch(_parsed(spark, sf_dir), B.CDC_KEY, B.CDC_BATCH_KEYS)
 
 
+@query("cdc_field_report")
+def q_cdc_field_report(spark, sf_dir):
+    return cdc.field_report(_parsed(spark, sf_dir))
+
+
+@query("cdc_bounded_runs")
+def q_cdc_bounded_runs(spark, sf_dir):
+    """The consumer's first runs: each reads on from the committed offsets,
+    exports its keys as CSV under the topic's name and commits."""
+    topic_dir = fresh_path(spark, "topic")
+    B.cdc_messages(spark, sf_dir).repartitionByRange(8, "partition", "offset").write.parquet(topic_dir)
+    messages = spark.read.schema(cdc_stream.MESSAGE_SCHEMA).parquet(topic_dir)
+    state, exports = fresh_path(spark, "position"), fresh_path(spark, "exports")
+    out = None
+    for run in range(B.CDC_RUNS):
+        where = f"{exports}/run{run}"
+        cdc_stream.consume_bounded(messages, B.CDC_ROW_SCHEMA, B.CDC_KEY, state, where, B.CDC_TOPIC, B.CDC_BATCH_KEYS)
+        path = f"{where}/{cdc.export_name(B.CDC_TOPIC)}.csv"
+        rows = (spark.read.option("header", True).schema("id bigint, event_type string, value double").csv(path)
+                .withColumn("run", F.lit(run)))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("cdc_stream_latest")
 def q_cdc_stream_latest(spark, sf_dir):
     """Envelopes land as files in a topic folder; a streaming query drains

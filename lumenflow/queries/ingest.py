@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lumenflow.plans import ingest
 from lumenflow.queries import query
 from lumenflow.session import fresh_path
-from lumenflow.sinks import storage
 from lumenflow.sources import bindings as B
 from lumenflow.sources.files import read_delimited
 from lumenflow.sources.tables import table_path
 
-def _write_staging_csv(spark, sf_dir):
+
+def _write_staging_csv(spark, sf_dir, rows=B.upsert_staging):
     path = fresh_path(spark, "staging") + "/customers.csv"
-    (B.upsert_staging(spark, sf_dir)
+    (rows(spark, sf_dir)
      .write.option("header", True).option("sep", ";").csv(path))
     return path
 
@@ -30,21 +32,23 @@ UPSERT_BUCKETS = 16
 
 @query("upsert_existing")
 def q_upsert_existing(spark, sf_dir):
-    """Target stored by key bucket; the upsert rewrites only the buckets
-    that the staging keys touch."""
+    """Target stored by key bucket with a ``double`` key, staging read from a
+    CSV whose key is an ``int``; only the touched buckets are rewritten."""
     root = fresh_path(spark, "upsert_target")
-    ingest.upsert_bucketed(spark, B.upsert_target(spark, sf_dir), root, "c_custkey", UPSERT_BUCKETS)
+    target = B.upsert_target(spark, sf_dir).withColumn("c_custkey", F.col("c_custkey").cast("double"))
+    ingest.upsert_bucketed(spark, target, root, "c_custkey", UPSERT_BUCKETS)
     staging = ingest.stage(spark, _write_staging_csv(spark, sf_dir))
-    ingest.upsert_bucketed(spark, staging, root, buckets=UPSERT_BUCKETS)
+    ingest.upsert_bucketed(spark, staging, root)
     return ingest.read_bucketed(spark, root).drop(ingest.ETL_COLUMN)
 
 
 @query("upsert_first_load")
 def q_upsert_first_load(spark, sf_dir):
+    """No target yet: the whole customer table is staged and becomes it."""
     root = fresh_path(spark, "upsert_new")
-    staging = ingest.stage(spark, _write_staging_csv(spark, sf_dir))
-    ingest.upsert(spark, staging, root)
-    return storage.read_current(spark, root).drop(ingest.ETL_COLUMN)
+    staging = ingest.stage(spark, _write_staging_csv(spark, sf_dir, B.upsert_first_staging))
+    ingest.upsert_bucketed(spark, staging, root)
+    return ingest.read_bucketed(spark, root).drop(ingest.ETL_COLUMN)
 
 
 # --- bulk loads -----------------------------------------------------------------
@@ -59,21 +63,24 @@ def q_bulk_load_parquet(spark, sf_dir):
 CSV_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 @query("bulk_load_csv")
 def q_bulk_load_csv(spark, sf_dir):
+    """A CSV with a declared schema: one pass over the source."""
     src = fresh_path(spark, "source") + "/events.csv"
     (spark.read.parquet(table_path(sf_dir, "events"))
      .write.option("header", True).option("timestampFormat", CSV_TIME_FORMAT)
      .option("timestampNTZFormat", CSV_TIME_FORMAT).csv(src))
-    target, _ = ingest.bulk_load(spark, src, fresh_path(spark, "load_csv"))
+    target, _ = ingest.bulk_load(spark, src, fresh_path(spark, "load_csv"), schema=EVENTS_SCHEMA)
     return spark.read.parquet(target)
 
 
 @query("bulk_load_stats")
 def q_bulk_load_stats(spark, sf_dir):
-    _, rows = ingest.bulk_load(spark, table_path(sf_dir, "lineitem"),
-                               fresh_path(spark, "load_stats"))
-    return ingest.load_batches(spark, rows)
-
-
-__all__ = ["shift_label"]
+    """Rows and parts of a load, measured on the written files."""
+    target, rows = ingest.bulk_load(spark, table_path(sf_dir, "lineitem"), fresh_path(spark, "load_stats"))
+    return ingest.load_statistics(spark, target).agg(
+        F.sum("rows").alias("rows"), (F.min("rows") > 0).alias("no_empty_part"),
+        (F.sum("rows") == F.lit(rows)).alias("as_reported"))

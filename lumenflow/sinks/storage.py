@@ -3,7 +3,8 @@
 * Versioned tables: each write goes to a new ``v=<n>`` folder below the
   table root; the job's ``_SUCCESS`` marker commits it and readers take the
   newest committed version.  A reader is never overwritten by its own
-  writer (overwriting a path being read deletes the input first).
+  writer (overwriting a path being read deletes the input first), and old
+  versions go only by an explicit ``vacuum``.
 * Month-partitioned tables: ``month_year=<label>`` folders replaced one at
   a time with dynamic partition overwrite.
 
@@ -65,20 +66,29 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(path) if path else None
 
 
-def write_version(df: DataFrame, root: str, keep: int = 2) -> str:
-    """Write ``df`` as the next version; older committed versions beyond
-    ``keep`` are removed afterwards."""
+def write_version(df: DataFrame, root: str) -> str:
+    """Write ``df`` as the next version.  Older versions stay readable; they
+    are removed only by ``vacuum``."""
     spark = df.sparkSession
     taken = _versions(spark, root)
     nxt = (taken[-1][0] + 1) if taken else 1
     path = f"{root}/v={nxt:08d}"
     df.write.mode("errorifexists").parquet(path)
-    committed = [n for n, ok in _versions(spark, root) if ok]
-    for n in committed[:-keep]:
-        delete(spark, f"{root}/v={n:08d}")
     return path
 
 
+def vacuum(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Remove committed versions older than the newest ``keep`` (an explicit
+    call: a reader may still hold an old version).  Returns what went."""
+    if keep < 1:
+        raise ValueError("the current version is never removed")
+    committed = [n for n, ok in _versions(spark, root) if ok]
+    gone = [f"{root}/v={n:08d}" for n in committed[:-keep]]
+    for path in gone:
+        delete(spark, path)
+    return gone
+
+
 def replace_month(df: DataFrame, root: str, month: str, columns: tuple[str, ...],
                   partition_column: str = "month_year") -> int:
     """Make partition ``month`` of the table hold exactly the rows of ``df``.
@@ -103,6 +113,12 @@ def replace_month(df: DataFrame, root: str, month: str, columns: tuple[str, ...]
     return n
 
 
-def read_months(spark: SparkSession, root: str, columns: tuple[str, ...]) -> DataFrame:
-    """The month-partitioned table with its columns in declared order."""
-    return spark.read.parquet(root).select(*columns)
+def read_months(spark: SparkSession, root: str, schema: str,
+                partition_column: str = "month_year") -> DataFrame:
+    """The month-partitioned table with its declared columns (``schema`` is
+    their DDL, in order).  Nothing is inferred, so a table that doesn't exist
+    yet, or whose last month was emptied, is an empty table."""
+    if not exists(spark, root):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(root).select(
+        *spark.createDataFrame([], schema).columns)

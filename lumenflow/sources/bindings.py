@@ -106,15 +106,19 @@ CDC_TOPIC = "shop.inventory.customers"
 CDC_ROW_SCHEMA = "struct<id:bigint,event_type:string,value:double>"
 CDC_KEY = "id"
 CDC_BATCH_KEYS = 100
+CDC_RUNS = 3
 
 
 def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One change envelope per event, shaped like a Kafka record.
 
-    offset = event id (one partition), key = user, op from the event type
-    (signup c; purchase, click u; view r; error d).  The ``k`` value in
-    ``props`` marks damaged messages: 0 not JSON, 1 ``after`` null,
-    2 ``after`` missing, 3 ``payload`` null.
+    offset = event id, partition = user mod 2, key = user, op from the event
+    type (signup c; purchase, click u; view r; error d).  Timestamps run
+    backwards within every seven messages and partition 1 lags a day behind.
+    The ``k`` value in ``props`` marks odd messages: 0 not JSON, 1 ``after``
+    null, 2 ``after`` missing, 3 ``payload`` null, 4 white space before the
+    JSON, 5 ``payload`` given twice (the first one stale), 6 a field the row
+    schema lacks and a value of another type.
     """
     ev = read_table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", "props")
@@ -125,17 +129,25 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
           .when(F.col("event_type") == "error", "d"))
     after = F.struct(F.col("user_id").alias("id"), "event_type", "value")
     full = F.to_json(F.struct(F.struct(op.alias("op"), after.alias("after")).alias("payload")))
+    odd = F.to_json(F.struct(F.struct(op.alias("op"), F.struct(
+        F.col("user_id").alias("id"), "event_type", F.lit("n/a").alias("value"),
+        F.lit("x").alias("note")).alias("after")).alias("payload")))
     text = (F.when(k == 0, F.lit("not json"))
             .when(k == 1, F.format_string('{"payload":{"op":"%s","after":null}}', op))
             .when(k == 2, F.format_string('{"payload":{"op":"%s"}}', op))
             .when(k == 3, F.lit('{"payload":null}'))
+            .when(k == 4, F.concat(F.lit("\n\t "), full))
+            .when(k == 5, F.concat(F.lit('{"payload":{"op":"d"},'), F.substring(full, 2, 1 << 30)))
+            .when(k == 6, odd)
             .otherwise(full))
+    partition = (F.col("user_id") % 2).cast("int")
+    back = F.make_interval(days=partition, hours=F.pmod("event_id", F.lit(7)).cast("int"))
     return ev.select(
         F.encode(text, "UTF-8").alias("value"),
         F.lit(CDC_TOPIC).alias("topic"),
-        F.lit(0).cast("int").alias("partition"),
+        partition.alias("partition"),
         F.col("event_id").cast("bigint").alias("offset"),
-        F.col("ts").alias("timestamp"),
+        (F.col("ts").cast("timestamp") - back).alias("timestamp"),
     )
 
 
@@ -156,7 +168,15 @@ def upsert_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New balances for richer customers; some keys twice, some missing."""
     c = read_table(spark, sf_dir, "customer").select(*UPSERT_COLUMNS)
-    rows = c.where(F.col("c_acctbal") >= STAGING_MIN_ACCTBAL)
+    return _staged(c.where(F.col("c_acctbal") >= STAGING_MIN_ACCTBAL))
+
+
+def upsert_first_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for every customer."""
+    return _staged(read_table(spark, sf_dir, "customer").select(*UPSERT_COLUMNS))
+
+
+def _staged(rows: DataFrame) -> DataFrame:
     bal = F.col("c_acctbal")
     key = F.when((bal > STAGING_NOKEY_ACCTBAL) & (bal <= STAGING_REPEAT_ACCTBAL),
                  F.lit(None)).otherwise(F.col("c_custkey"))

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 SEED_SCHEMA = "month_year string"   # never inferred: 2023-10 would become a timestamp
-SEED_MAX_ROWS = 10_000              # a month list; anything larger is not a seed
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ",", header: bool = True,
@@ -22,20 +21,15 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ",", header: bool
     return reader.option("inferSchema", True).csv(path)
 
 
-def read_by_extension(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def read_by_extension(spark: SparkSession, path: str, sep: str = ",", schema: str | None = None) -> DataFrame:
     """``.csv`` is tested first, then ``.parquet``; anything else is refused."""
     if ".csv" in path:
-        return read_delimited(spark, path, sep=sep)
+        return read_delimited(spark, path, sep=sep, schema=schema)
     if ".parquet" in path:
         return spark.read.parquet(path)
     raise ValueError(f"only .csv or .parquet inputs are loaded, got {path!r}")
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
-    """The month seed, declared as text, with its size checked so that it
-    can be broadcast."""
-    seed = read_delimited(spark, path, schema=SEED_SCHEMA)
-    n = seed.count()
-    if n > SEED_MAX_ROWS:
-        raise ValueError(f"seed {path} has {n} rows; a month seed holds at most {SEED_MAX_ROWS}")
-    return seed
+    """The month seed, declared as text."""
+    return read_delimited(spark, path, schema=SEED_SCHEMA)

@@ -12,7 +12,7 @@ idempotent and the checkpoint gives at-least-once delivery.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow.operators import cdc
@@ -51,8 +51,7 @@ def run_latest_by_key(messages: DataFrame, row_schema: str, key: str, sink: str,
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = cdc.parse_envelopes(batch, row_schema)
-        order = F.when(F.col("status") == cdc.ACCEPTED,
-                       F.struct(*[F.col(c) for c in cdc.ORDER_COLUMNS]))
+        order = cdc.accepted_order()
         newest = (parsed.groupBy(F.col("after")[key].alias("_key"))
                   .agg(F.max_by(F.struct(order.alias("_order"), F.col("after").alias("_row")),
                                  order).alias("_m"))
@@ -76,49 +75,88 @@ def read_latest(spark: SparkSession, sink: str, key: str) -> DataFrame:
     return newest.select(*[F.col("_row")[f].alias(f) for f in fields])
 
 
-def _position_row(spark: SparkSession, position, schema) -> DataFrame:
-    return spark.createDataFrame([tuple(position[c] for c in cdc.ORDER_COLUMNS)], schema)
+def compact_batches(spark: SparkSession, sink: str, key: str, upto: int) -> str:
+    """Fold the batches up to ``upto`` into one folder beside them, newest row
+    per key, and return the new sink: later reads scan the distinct keys and
+    the newer batches instead of every batch ever written.  The old sink is
+    left for its readers."""
+    target = f"{sink}-upto-{upto}"
+    old = spark.read.parquet(sink)
+    (old.where(F.col("batch") <= upto).groupBy(F.col("_row")[key].alias("_key"))
+     .agg(F.max_by(F.struct("_order", "_row"), "_order").alias("_m")).select("_m.*")
+     .write.mode("overwrite").parquet(f"{target}/batch={upto}"))
+    newer = old.where(F.col("batch") > upto)
+    if not newer.isEmpty():
+        newer.write.mode("append").partitionBy("batch").parquet(target)
+    return target
+
+
+FIRST_WINDOW = 4        # offsets a partition that a run first looks at, per key of its bound
 
 
 def consume_bounded(messages: DataFrame, row_schema: str, key: str, state_root: str,
-                    export_path: str, batch_size: int = 1000) -> int:
+                    export_dir: str, topic: str, batch_size: int = 1000) -> int:
     """One bounded run of the change consumer over a replayable source.
 
-    Reads the messages after the committed position (kept as a one-row
-    versioned table below ``state_root``), takes the exact first batch of at
-    most ``batch_size`` distinct keys (``cdc.key_bound_cutoff``), writes the
-    newest row per key to ``export_path`` as CSV with a header (replacing
-    the previous export), and only then commits the new position, so a
-    failed run is simply repeated (at least once).  Returns the number of
-    rows exported; 0 when nothing was pending.
+    The committed position is one offset per partition (a small versioned
+    table below ``state_root``): a run reads the messages from there on, so a
+    message is read whatever its timestamp.  Partitions are read side by side
+    (order: distance from the committed offset, then partition) until
+    ``batch_size`` distinct keys are held or nothing is left.  To find that
+    place the run looks at a window of offsets per partition and doubles it
+    while it holds too few keys; the window is a plain range of (partition,
+    offset), which the source can push down, so a long backlog isn't read for
+    a small batch.
+
+    The newest row per key goes to ``<export_dir>/<topic with underscores>.csv``
+    (replacing the export before it), unless there is none: then the export
+    stays.  Only afterwards the new offsets are committed, so a failed run is
+    repeated (at least once).  Returns the number of rows exported.
     """
     from lumenflow.sinks import storage
 
     spark = messages.sparkSession
-    order = F.struct(*[F.col(c) for c in cdc.ORDER_COLUMNS])
-    types = {c: messages.schema[c].dataType for c in cdc.ORDER_COLUMNS}
-
-    def bound(position) -> Column:
-        return F.struct(*[F.lit(position[c]).cast(types[c]).alias(c) for c in cdc.ORDER_COLUMNS])
-
     committed = storage.read_current(spark, state_root)
-    pending = messages
-    if committed is not None:
-        last = committed.first()
-        pending = messages.where(order > bound(last))
-    parsed = cdc.parse_envelopes(pending, row_schema)
-    cut = cdc.key_bound_cutoff(parsed, key, batch_size)
-    if cut is None:
-        end = pending.agg(F.max(order).alias("m")).first()["m"]
-        if end is None:
-            return 0
-        batch = parsed
-    else:
-        end = cut
-        batch = parsed.where(order <= bound(cut))
+    # a row per partition of the topic
+    start = {r["partition"]: r["next"] for r in committed.collect()} if committed is not None else {}
+    ends = {r["partition"]: (r["lo"], r["hi"]) for r in messages.groupBy("partition").agg(
+        F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()}
+    base = {p: max(start.get(p, lo), lo) for p, (lo, hi) in ends.items() if hi >= start.get(p, lo)}
+    if not base:
+        return 0
+    left = max(ends[p][1] - base[p] + 1 for p in base)
+
+    def window(size: int) -> DataFrame:
+        """Messages less than ``size`` offsets from each partition's start; the
+        ends keep a growing source out of the run."""
+        some = F.lit(False)
+        far = F.lit(None).cast("bigint")
+        for p, first in base.items():
+            last = min(first + size - 1, ends[p][1])
+            some = some | ((F.col("partition") == p) & F.col("offset").between(first, last))
+            far = F.when(F.col("partition") == p, F.col("offset") - first).otherwise(far)
+        return cdc.parse_envelopes(messages.where(some), row_schema).withColumn("_far", far)
+
+    order = F.struct("_far", "partition")
+    size, cut = FIRST_WINDOW * batch_size, None
+    while True:
+        parsed = window(size)
+        cut = cdc.key_bound_cutoff(parsed, key, batch_size, order)
+        if cut is not None or size >= left:
+            break
+        size *= 2
+    batch = parsed
+    if cut is not None:
+        batch = parsed.where(order <= F.struct(F.lit(cut["_far"]).cast("bigint").alias("_far"),
+                                               F.lit(cut["partition"]).cast("int").alias("partition")))
+    nexts = {p: (ends[p][1] + 1 if cut is None else min(
+        base[p] + cut["_far"] + (1 if p <= cut["partition"] else 0), ends[p][1] + 1)) for p in base}
     out = cdc.latest_by_key(batch, key)
-    out.write.mode("overwrite").option("header", True).csv(export_path)
-    n = spark.read.option("header", True).csv(export_path).count()
-    schema = ", ".join(f"{c} {types[c].simpleString()}" for c in cdc.ORDER_COLUMNS)
-    storage.write_version(_position_row(spark, end, schema), state_root)
+    n = 0
+    if not out.isEmpty():
+        path = f"{export_dir}/{cdc.export_name(topic)}.csv"
+        out.write.mode("overwrite").option("header", True).csv(path)
+        n = spark.read.option("header", True).csv(path).count()
+    storage.write_version(spark.createDataFrame(
+        sorted((start | nexts).items()), "partition int, next bigint").coalesce(1), state_root)
     return n

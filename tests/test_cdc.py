@@ -131,10 +131,11 @@ def test_bounded_runs_commit_after_export(spark, scratch):
     rnd = random.Random(5)
     values = [_env(rnd.choice("ccuud"), {"id": rnd.randrange(25), "name": f"n{i}"}) for i in range(160)]
     msgs = _messages(spark, values)
-    state, export = scratch("state"), scratch("export") + "/t_customers.csv"
+    state, where = scratch("state"), scratch("export")
+    export = where + "/db_customers.csv"
     got = []
     while True:
-        n = cdc_stream.consume_bounded(msgs, SCHEMA, "id", state, export, batch_size=10)
+        n = cdc_stream.consume_bounded(msgs, SCHEMA, "id", state, where, "db.customers", batch_size=10)
         if n == 0:
             break
         rows = spark.read.option("header", True).schema("id bigint, name string").csv(export).collect()
@@ -153,6 +154,79 @@ def test_missing_key_counts_once_in_the_bound(spark):
         assert got == _consume(values, size), size
 
 
+def _at(spark, rows):
+    """Messages (value, partition, offset, seconds)."""
+    t0 = dt.datetime(2024, 1, 1)
+    return spark.createDataFrame([(v.encode(), p, o, t0 + dt.timedelta(seconds=s)) for v, p, o, s in rows],
+                                 "value binary, partition int, offset bigint, timestamp timestamp")
+
+
+def test_offset_not_timestamp_orders_a_partition(spark):
+    rows = [(_env("c", {"id": 1, "name": "old"}), 0, 0, 50), (_env("u", {"id": 1, "name": "new"}), 0, 1, 10)]
+    parsed = cdc.parse_envelopes(_at(spark, rows), SCHEMA)
+    assert [r.name for r in cdc.latest_by_key(parsed, "id").collect()] == ["new"]
+
+
+def test_a_late_partition_is_still_read(spark, scratch):
+    from lumenflow.streaming import cdc_stream
+    state, where = scratch("state"), scratch("export")
+    first = [(_env("c", {"id": i, "name": "a"}), 0, i, 1000 + i) for i in range(5)]
+    assert cdc_stream.consume_bounded(_at(spark, first), SCHEMA, "id", state, where, "t", 1000) == 5
+    late = first + [(_env("c", {"id": 9, "name": "late"}), 1, 0, 1)]
+    assert cdc_stream.consume_bounded(_at(spark, late), SCHEMA, "id", state, where, "t", 1000) == 1
+    assert spark.read.option("header", True).csv(f"{where}/t.csv").first()["name"] == "late"
+
+
+def test_an_empty_run_keeps_the_export(spark, scratch):
+    from lumenflow.streaming import cdc_stream
+    state, where = scratch("state"), scratch("export")
+    rows = [(_env("c", {"id": 1, "name": "a"}), 0, 0, 0)]
+    assert cdc_stream.consume_bounded(_at(spark, rows), SCHEMA, "id", state, where, "t") == 1
+    rows.append((_env("d", {"id": 1, "name": "a"}), 0, 1, 1))
+    assert cdc_stream.consume_bounded(_at(spark, rows), SCHEMA, "id", state, where, "t") == 0
+    assert spark.read.option("header", True).csv(f"{where}/t.csv").count() == 1
+    rows.append((_env("u", {"id": 2, "name": "b"}), 0, 2, 2))
+    assert cdc_stream.consume_bounded(_at(spark, rows), SCHEMA, "id", state, where, "t") == 1
+
+
+def test_small_windows_grow_until_the_bound(spark, scratch, monkeypatch):
+    from lumenflow.streaming import cdc_stream
+    monkeypatch.setattr(cdc_stream, "FIRST_WINDOW", 1)
+    rows = [(_env("c", {"id": i // 6, "name": f"n{i}"}), i % 2, 10 ** 6 * (i % 2) + i // 2, -i) for i in range(120)]
+    state, where, got = scratch("state"), scratch("export"), []
+    while n := cdc_stream.consume_bounded(_at(spark, rows), SCHEMA, "id", state, where, "t", 4):
+        got.append(n)
+    assert sum(got) >= 20 and max(got) == 4
+
+
+def test_blanks_and_repeated_keys_are_valid(spark):
+    values = ["\n\t " + _env("c", {"id": 1, "name": "a"}) + "\r\n",
+              '{"payload":{"op":"d"},"payload":{"op":"u","after":{"id":2,"id":3,"name":"x"}}}', '{"payload":{"op":"c"', "\t"]
+    parsed = cdc.parse_envelopes(_messages(spark, values), SCHEMA)
+    assert [r.status for r in parsed.orderBy("offset").collect()] == ["accepted", "accepted", "malformed", "malformed"]
+    assert sorted((r.id, r.name) for r in cdc.latest_by_key(parsed, "id").collect()) == [(1, "a"), (3, "x")]
+
+
+def test_unknown_and_mistyped_fields_are_counted(spark):
+    values = [_env("c", {"id": "x1", "name": "a", "extra": 1}), _env("u", {"id": 2, "extra": None}), _env("d", {"id": 2, "other": 1})]
+    report = cdc.field_report(cdc.parse_envelopes(_messages(spark, values), SCHEMA))
+    assert {r.fault: r.messages for r in report.collect()} == {"extra: unknown": 2, "id: type": 1}
+
+
+def test_compacted_sink_reads_the_same(spark, scratch):
+    from lumenflow.streaming import cdc_stream
+    values = [_env("u", {"id": i % 13, "name": f"v{i}"}) for i in range(100)]
+    topic = scratch("topic")
+    from pyspark.sql import functions as F
+    _messages(spark, values).withColumn("topic", F.lit("t")).repartition(4).write.parquet(topic)
+    sink = scratch("sink")
+    cdc_stream.run_latest_by_key(cdc_stream.file_source(spark, topic, 1), SCHEMA, "id", sink, scratch("ckpt"))
+    want = sorted(tuple(r) for r in cdc_stream.read_latest(spark, sink, "id").collect())
+    for upto in (1, 99):
+        folded = cdc_stream.compact_batches(spark, sink, "id", upto)
+        assert sorted(tuple(r) for r in cdc_stream.read_latest(spark, folded, "id").collect()) == want
+
+
 def test_kafka_source_without_connector_says_so(spark):
     import pytest
     from lumenflow.streaming import cdc_stream

@@ -7,6 +7,7 @@ from lumenflow.plans import ingest
 from lumenflow.sinks import storage
 
 COLS = ("month_year", "pos_code", "revenue")
+SCHEMA = "month_year string, pos_code string, revenue bigint"
 
 
 def _rows(spark, rows):
@@ -16,33 +17,43 @@ def _rows(spark, rows):
 def test_replace_month_while_reading_the_same_table(spark, scratch):
     root = scratch("lp")
     _rows(spark, [("2024-01", "a", 1), ("2024-02", "a", 2)]).write.partitionBy("month_year").parquet(root)
-    table = storage.read_months(spark, root, COLS)
+    table = storage.read_months(spark, root, SCHEMA)
     # next month computed from the table itself, written back into it
     nxt = table.where(F.col("month_year") == "2024-02").withColumn("month_year", F.lit("2024-03")) \
         .withColumn("revenue", F.col("revenue") + 1)
     assert storage.replace_month(nxt, root, "2024-03", COLS) == 1
     # re-running the month replaces, never appends
     assert storage.replace_month(nxt, root, "2024-03", COLS) == 1
-    got = sorted(tuple(r) for r in storage.read_months(spark, root, COLS).collect())
+    got = sorted(tuple(r) for r in storage.read_months(spark, root, SCHEMA).collect())
     assert got == [("2024-01", "a", 1), ("2024-02", "a", 2), ("2024-03", "a", 3)]
 
 
 def test_empty_result_deletes_the_month(spark, scratch):
     root = scratch("lp")
     _rows(spark, [("2024-01", "a", 1), ("2024-02", "b", 2)]).write.partitionBy("month_year").parquet(root)
-    empty = storage.read_months(spark, root, COLS).where(F.lit(False))
+    empty = storage.read_months(spark, root, SCHEMA).where(F.lit(False))
     assert storage.replace_month(empty, root, "2024-02", COLS) == 0
-    assert [r.month_year for r in storage.read_months(spark, root, COLS).collect()] == ["2024-01"]
+    assert [r.month_year for r in storage.read_months(spark, root, SCHEMA).collect()] == ["2024-01"]
 
 
 def test_rows_of_other_months_are_not_written(spark, scratch):
     root = scratch("lp")
     _rows(spark, [("2024-01", "a", 1)]).write.partitionBy("month_year").parquet(root)
     storage.replace_month(_rows(spark, [("2024-01", "x", 9), ("2024-02", "b", 2)]), root, "2024-02", COLS)
-    got = sorted(tuple(r) for r in storage.read_months(spark, root, COLS).collect())
+    got = sorted(tuple(r) for r in storage.read_months(spark, root, SCHEMA).collect())
     assert got == [("2024-01", "a", 1), ("2024-02", "b", 2)]
 
 
+def test_month_table_from_nothing_and_emptied(spark, scratch):
+    root = scratch("lp")
+    assert storage.read_months(spark, root, SCHEMA).count() == 0
+    assert storage.replace_month(_rows(spark, [("2024-01", "a", 1)]), root, "2024-01", COLS) == 1
+    assert storage.replace_month(_rows(spark, []), root, "2024-01", COLS) == 0
+    assert storage.read_months(spark, root, SCHEMA).collect() == []
+    assert storage.replace_month(_rows(spark, [("2024-02", "b", 2)]), root, "2024-02", COLS) == 1
+    assert [tuple(r) for r in storage.read_months(spark, root, SCHEMA).collect()] == [("2024-02", "b", 2)]
+
+
 def _staging(spark, scratch, text):
     path = scratch("staging") + "/test.csv"
     spark.createDataFrame([(line,) for line in text.split("\n")], "value string") \
@@ -55,13 +66,14 @@ def test_upsert_first_load_then_existing(spark, scratch):
     stamp = F.lit(dt.datetime(2024, 1, 1))
     first = _staging(spark, scratch, "id;name\n3;Ana\n4;Budi\n5;Cici\n6;Dedi")
     assert first.columns == ["id", "name"] and dict(first.dtypes)["id"] == "int"
-    ingest.upsert(spark, first, root, etl_date=stamp)
-    assert storage.table_exists(spark, root)
+    assert not ingest.table_exists(spark, root)
+    ingest.upsert_bucketed(spark, first, root, etl_date=stamp)
+    assert ingest.table_exists(spark, root)
     # duplicate key 5 and a null key: both inserted; key 4 replaced; 3 and 6 kept
     second = _staging(spark, scratch, "id;name\n4;Budi2\n5;Eka\n5;Eka2\n;Nokey")
-    ingest.upsert(spark, second, root, etl_date=F.lit(dt.datetime(2024, 2, 1)))
+    ingest.upsert_bucketed(spark, second, root, etl_date=F.lit(dt.datetime(2024, 2, 1)))
     got = sorted((r.id if r.id is not None else -1, r.name, r.etl_date.month)
-                 for r in storage.read_current(spark, root).collect())
+                 for r in ingest.read_bucketed(spark, root).collect())
     assert got == [(-1, "Nokey", 2), (3, "Ana", 1), (4, "Budi2", 2), (5, "Eka", 2),
                    (5, "Eka2", 2), (6, "Dedi", 1)]
 
@@ -77,8 +89,11 @@ def test_versions_keep_the_previous_table_readable(spark, scratch):
     root = scratch("versions")
     storage.write_version(spark.range(3).toDF("id"), root)
     storage.write_version(spark.range(5).toDF("id"), root)
-    storage.write_version(spark.range(7).toDF("id"), root, keep=2)
-    assert storage.read_current(spark, root).count() == 7
+    first = spark.read.parquet(f"{root}/v=00000001")
+    storage.write_version(spark.range(7).toDF("id"), root)
+    assert storage.read_current(spark, root).count() == 7 and first.count() == 3
+    assert len([1 for _, ok in storage._versions(spark, root) if ok]) == 3
+    assert len(storage.vacuum(spark, root, keep=2)) == 1
     assert len([1 for _, ok in storage._versions(spark, root) if ok]) == 2
 
 
@@ -91,29 +106,84 @@ def test_format_dispatch(spark, scratch):
     spark.range(250_001).write.parquet(path)
     target, rows = ingest.bulk_load(spark, path, scratch("dst"))
     assert rows == 250_001
-    assert [tuple(r) for r in ingest.load_batches(spark, rows).collect()] == [(1, 100000), (2, 100000), (3, 50001)]
+    parts = ingest.load_statistics(spark, target).collect()
+    assert sum(r["rows"] for r in parts) == 250_001 and all(r["bytes"] > 0 for r in parts)
 
 
 def test_bucketed_upsert_rewrites_only_touched_buckets(spark, scratch):
-    import os
     root = scratch("bucketed")
     target = spark.createDataFrame([(i, f"n{i}") for i in range(200)], "id bigint, name string")
     ingest.upsert_bucketed(spark, target, root, "id", buckets=8, etl_date=F.lit(dt.datetime(2024, 1, 1)))
-    before = {b: sorted(os.listdir(f"{root}/key_bucket={b}")) for b in range(8)}
+    before = dict(ingest.read_manifest(spark, root).folders)
+    old = ingest.read_bucketed(spark, root)
     staging = _staging(spark, scratch, "id;name\n5;five\n5;five-again\n;nokey\n999;new")
-    touched = ingest.upsert_bucketed(spark, staging, root, buckets=8,
-                                     etl_date=F.lit(dt.datetime(2024, 2, 1)))
-    assert 1 <= len(touched) <= 3
-    after = {b: sorted(os.listdir(f"{root}/key_bucket={b}")) for b in range(8)}
-    assert all(before[b] == after[b] for b in range(8) if b not in touched)
+    touched = ingest.upsert_bucketed(spark, staging, root, etl_date=F.lit(dt.datetime(2024, 2, 1)))
+    assert 1 <= len(touched) <= 2
+    after = dict(ingest.read_manifest(spark, root).folders)
+    assert all((before[b] == after[b]) == (b not in touched) for b in range(8))
     rows = ingest.read_bucketed(spark, root).collect()
-    assert len(rows) == 200 - 1 + 4
+    assert len(rows) == 200 - 1 + 4 and old.count() == 200
     assert sorted(r.name for r in rows if r.id == 5) == ["five", "five-again"]
     assert any(r.id is None for r in rows) and any(r.id == 999 for r in rows)
 
 
-def test_seed_is_read_as_text_and_size_checked(spark, scratch, monkeypatch):
+def test_upsert_with_another_key_type_loses_nothing(spark, scratch):
+    root = scratch("typed")
+    target = spark.createDataFrame([(float(i), "t") for i in range(200)], "id double, name string")
+    ingest.upsert_bucketed(spark, target, root, "id", buckets=16)
+    staging = spark.createDataFrame([(i, "s") for i in range(5)], "id int, name string")
+    ingest.upsert_bucketed(spark, staging, root)
+    rows = ingest.read_bucketed(spark, root).collect()
+    assert len(rows) == 200 and len({r.id for r in rows}) == 200
+    assert sorted(r.id for r in rows if r.name == "s") == [0, 1, 2, 3, 4]
+
+
+def test_the_bucket_count_belongs_to_the_table(spark, scratch):
     import pytest
+    root = scratch("counted")
+    target = spark.createDataFrame([(i, "t") for i in range(20)], "id bigint, name string")
+    staging = spark.createDataFrame([(i, "s") for i in range(5)], "id bigint, name string")
+    ingest.upsert_bucketed(spark, target, root, "id", buckets=4)
+    with pytest.raises(ValueError):
+        ingest.upsert_bucketed(spark, staging, root, "id", buckets=8)
+    with pytest.raises(ValueError):
+        ingest.upsert_bucketed(spark, staging, root, "name")
+    ingest.upsert_bucketed(spark, staging, root)
+    assert ingest.read_bucketed(spark, root).count() == 20
+    ingest.rebucket(spark, root, 8)
+    ingest.upsert_bucketed(spark, staging, root, buckets=8)
+    assert ingest.read_bucketed(spark, root).count() == 20
+
+
+def test_a_failed_upsert_leaves_the_table(spark, scratch, monkeypatch):
+    import pytest
+    root = scratch("failed")
+    target = spark.createDataFrame([(i, "t") for i in range(20)], "id bigint, name string")
+    ingest.upsert_bucketed(spark, target, root, "id", buckets=4)
+
+    def no(*_):
+        raise RuntimeError("stopped before the commit")
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "_commit", no)
+        with pytest.raises(RuntimeError):
+            ingest.upsert_bucketed(spark, spark.createDataFrame([(1, "s")], "id bigint, name string"), root)
+    assert {r.name for r in ingest.read_bucketed(spark, root).collect()} == {"t"}
+    assert len(ingest.vacuum(spark, root)) == 1          # the orphaned folder
+    assert ingest.read_bucketed(spark, root).count() == 20
+
+
+def test_rows_without_a_key_are_only_added(spark, scratch):
+    root = scratch("nokey")
+    ingest.upsert_bucketed(spark, spark.createDataFrame([(None, "a"), (1, "b")], "id int, name string"), root, "id")
+    first = [p for b, p in ingest.read_manifest(spark, root).folders if b == ingest.NO_KEY]
+    ingest.upsert_bucketed(spark, spark.createDataFrame([(None, "c")], "id int, name string"), root)
+    ingest.upsert_bucketed(spark, spark.createDataFrame([(1, "d")], "id int, name string"), root)
+    manifest = ingest.read_manifest(spark, root)
+    assert set(first) < {p for b, p in manifest.folders if b == ingest.NO_KEY}
+    assert sorted(r.name for r in ingest.read_bucketed(spark, root).collect()) == ["a", "c", "d"]
+
+
+def test_seed_is_read_as_text(spark, scratch):
     from lumenflow.sources import files
     path = scratch("seed") + "/filter_month.csv"
     spark.createDataFrame([("month_year",), ("2023-10",), ("2023-11",), ("2023-12",)], "value string") \
@@ -121,6 +191,3 @@ def test_seed_is_read_as_text_and_size_checked(spark, scratch, monkeypatch):
     seed = files.read_seed(spark, path)
     assert dict(seed.dtypes) == {"month_year": "string"}
     assert sorted(r.month_year for r in seed.collect()) == ["2023-10", "2023-11", "2023-12"]
-    monkeypatch.setattr(files, "SEED_MAX_ROWS", 2)
-    with pytest.raises(ValueError):
-        files.read_seed(spark, path)
