@@ -132,36 +132,23 @@ def diamond_check(history: DataFrame, seed_months: DataFrame,
     """Distinct Diamond months per outlet and quarter, counted only for
     months listed in the seed; the flag applies to the *next* quarter.
 
-    The seed is a short month list (its size is checked when it is read):
-    it is applied as a broadcast semi join, and its months are also turned
-    into date ranges on ``month_year_date`` (pushed to the Parquet reader)
-    and, when the history is partitioned by its month label
-    (``partition_column``), into a partition filter, so only the seed
-    months of the history are scanned.
+    The seed is applied as a semi join, planned by its measured size.  Its
+    first and last month (one row) also bound ``month_year_date``, which the
+    Parquet reader gets, and, when the history is partitioned by its month
+    label (``partition_column``), the partitions that are listed.
     """
-    from lumenflow.functions.dates import month_label, month_start, shift_label
+    from lumenflow.functions.dates import month_label, month_start
 
-    labels = sorted({r[0] for r in seed_months.select("month_year").collect() if r[0]})
+    first, last = seed_months.agg(F.min("month_year"), F.max("month_year")).first()
     rows = history.where(F.col("revenue_tiering") == DIAMOND)
-    if labels:
-        ranges = None
-        for m in labels:
-            try:
-                nxt = shift_label(m, 1)
-            except ValueError:
-                ranges = None        # not a yyyy-MM label: rely on the semi join alone
-                break
-            r = ((F.col("month_year_date") >= month_start(F.lit(m)))
-                 & (F.col("month_year_date") < month_start(F.lit(nxt))))
-            ranges = r if ranges is None else ranges | r
-        if ranges is not None:
-            rows = rows.where(ranges)
+    if first is not None:
+        rows = rows.where((F.col("month_year_date") >= month_start(F.lit(first)))
+                          & (F.col("month_year_date") <= F.last_day(month_start(F.lit(last)))))
         if partition_column:
-            rows = rows.where(F.col(partition_column).isin(labels))
+            rows = rows.where(F.col(partition_column).between(first, last))
     rows = (
         rows.withColumn("_month_key", month_label("month_year_date"))
-        .join(F.broadcast(seed_months.select(F.col("month_year").alias("_month_key"))),
-              "_month_key", "left_semi")
+        .join(seed_months.select(F.col("month_year").alias("_month_key")), "_month_key", "left_semi")
     )
     return (
         rows.groupBy(

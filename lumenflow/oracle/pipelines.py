@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from lumenflow.oracle.segmentation import _OUT, _p1
 from lumenflow.sources import bindings as B
 
 # Consumed by offset, partitions side by side; k = 4 and 5 are ordinary messages.
@@ -47,16 +46,16 @@ here{r} AS (
   SELECT p.*, p."offset" - n.nxt AS far FROM parsed p JOIN next{r} n USING ("partition") WHERE p."offset" >= n.nxt
 ),
 first{r} AS (
-  SELECT arg_min(struct_pack(far := far, part := "partition"), struct_pack(far := far, part := "partition")) AS at
+  SELECT arg_min(struct_pack(far := far, part := "partition"), struct_pack(far := far, part := "partition")) AS place
   FROM here{r} WHERE status = 'accepted' GROUP BY id
 ),
 cut{r} AS (
-  SELECT max(at) AS at FROM (SELECT at, row_number() OVER (ORDER BY at) AS n, count(*) OVER () AS total FROM first{r})
+  SELECT max(place) AS place FROM (SELECT place, row_number() OVER (ORDER BY place) AS n, count(*) OVER () AS total FROM first{r})
   WHERE n <= {keys} AND total >= {keys}
 ),
 take{r} AS (
   SELECT h.* FROM here{r} h, cut{r} c
-  WHERE c.at IS NULL OR struct_pack(far := h.far, part := h."partition") <= c.at
+  WHERE c.place IS NULL OR struct_pack(far := h.far, part := h."partition") <= c.place
 ),
 next{r + 1} AS (
   SELECT n."partition", coalesce(max(t."offset") + 1, n.nxt) AS nxt FROM next{r} n LEFT JOIN take{r} t USING ("partition")
@@ -74,10 +73,6 @@ def _cdc(body: str) -> str:
 
 def more_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["month_partition_replace"] = _p1(
-        "SELECT * FROM history_full WHERE month_year <> '1995-01' "
-        f"UNION ALL SELECT {_OUT} FROM rn_out")
-
     q["cdc_reject_split"] = _cdc('\nSELECT "partition", "offset", op, status FROM parsed')
     q["cdc_latest_by_key"] = _cdc(_LATEST.format(src="acc"))
     q["cdc_stream_latest"] = q["cdc_latest_by_key"]

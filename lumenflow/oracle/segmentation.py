@@ -1,179 +1,144 @@
 """DuckDB SQL of the outlet-segmentation queries.
 
-Each entry re-derives its inputs from the raw driver tables (views
-``lineitem``, ``supplier``, ... are registered by the checker) and states
-the rule in plain SQL, so a mistake in the Spark code cannot hide in a
-shared helper.
+The rules are tables joined to the data: a revenue ladder with bounds, and the
+named moves between two tiers.  Inputs are derived from the raw driver tables
+(``lineitem``, ``supplier``, ... are registered as views by the checker); run
+months are written out here, nothing is taken from the package.
 """
 
 from __future__ import annotations
 
-from lumenflow.functions.dates import previous_quarter_months, shift_label
-from lumenflow.sources import bindings as B
-
-RUN = B.RUN_MONTH
-PREV = shift_label(RUN, -1)
-
-_SALES = f"""
+# Run month, the month before it, and the seed months of either run: the
+# quarter before the run's quarter.
+RUN, PREVIOUS = "2000-04", "2000-03"
+SEED = {RUN: ("2000-01", "2000-02", "2000-03"), PREVIOUS: ("1999-10", "1999-11", "1999-12")}
+
+# Ladder bounds, tier names, ages and move labels.
+RULES = """
+ladder(least, below, tier, group_tier) AS (VALUES
+  (0, 10000000, 'Bronze', 'Regular'),
+  (10000000, 25000000, 'Silver', 'Regular'),
+  (25000000, 50000000, 'Gold', 'G/P'),
+  (50000000, 150000000, 'Platinum', 'G/P'),
+  (150000000, NULL, 'Diamond', 'G/P')),
+moves(was, became, label) AS (VALUES
+  ('G/P', 'G/P', 'Active G/P'),
+  ('G/P', 'Regular', 'Downgrade to Regular'),
+  ('G/P', 'No Trx', 'No Trx G/P'),
+  ('NEW', 'G/P', 'New G/P'),
+  ('Regular', 'G/P', 'Upgrade to G/P'),
+  ('No Trx', 'G/P', 'Back Active to G/P'),
+  ('Regular', 'Regular', 'Active Regular'),
+  ('Regular', 'No Trx', 'No Trx Regular'),
+  ('NEW', 'Regular', 'New Regular'),
+  ('No Trx', 'Regular', 'Back Active to Regular'),
+  ('No Trx', 'No Trx', 'Churn'))"""
+
+INPUTS = """
 sales AS (
-  SELECT strftime(l_shipdate, '%Y-%m') AS month_year,
-         CAST(strftime(l_shipdate, '%Y-%m') || '-01' AS DATE) AS month_year_date,
-         CAST(l_suppkey AS VARCHAR) AS pos_code,
-         CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) * {B.REVENUE_SCALE} AS BIGINT) AS revenue
-  FROM lineitem WHERE l_returnflag = 'R'
-  GROUP BY 1, 2, 3
-),
+  SELECT pos_code, month_year, (month_year || '-01')::DATE AS month_year_date, revenue FROM (
+    SELECT l_suppkey || '-' || (l_partkey % (l_suppkey % 16 + 1)) AS pos_code, strftime(l_shipdate, '%Y-%m') AS month_year,
+           (sum(l_extendedprice::DECIMAL(18, 2)) * 900)::BIGINT AS revenue
+    FROM lineitem GROUP BY ALL)),
+outlet AS (
+  SELECT s_suppkey || '-' || slot AS pos_code, ((s_suppkey + slot) % 24)::INTEGER AS age, s_acctbal AS bal
+  FROM (SELECT s_suppkey, s_acctbal, unnest(range(0, s_suppkey % 16 + 1)) AS slot FROM supplier) WHERE s_acctbal >= 0),
 aging AS (
-  SELECT CAST(s_suppkey AS VARCHAR) AS pos_code, CAST(s_suppkey % {B.AGING_MONTHS} AS INTEGER) AS pos_aging
-  FROM supplier WHERE s_acctbal >= 0
-  UNION ALL
-  SELECT CAST(s_suppkey AS VARCHAR), CAST(s_suppkey % {B.AGING_MONTHS} + 1 AS INTEGER)
-  FROM supplier WHERE s_acctbal >= 0 AND s_acctbal > {B.REBOOKED_ACCTBAL}
-)"""
-
-_REV = """CASE WHEN {r} > 0 AND {r} < 10000000 THEN 'Bronze'
-      WHEN {r} >= 10000000 AND {r} < 25000000 THEN 'Silver'
-      WHEN {r} >= 25000000 AND {r} < 50000000 THEN 'Gold'
-      WHEN {r} >= 50000000 AND {r} < 150000000 THEN 'Platinum'
-      WHEN {r} >= 150000000 THEN 'Diamond' ELSE 'Undefined' END"""
-_REAL = """CASE WHEN {r} > 0 AND {r} < 25000000 THEN 'Regular'
-      WHEN {r} >= 25000000 THEN 'G/P' ELSE 'Undefined' END"""
-_POS = "CASE WHEN {a} < 3 THEN 'NEW' ELSE " + _REAL + " END"
-_TRANS = """CASE
-      WHEN previous_tiering = 'G/P' AND pos_tiering = 'G/P' THEN 'Active G/P'
-      WHEN previous_tiering = 'G/P' AND pos_tiering = 'Regular' THEN 'Downgrade to Regular'
-      WHEN previous_tiering = 'G/P' AND pos_tiering = 'No Trx' THEN 'No Trx G/P'
-      WHEN previous_tiering = 'NEW' AND pos_tiering = 'G/P' THEN 'New G/P'
-      WHEN previous_tiering = 'NEW' AND pos_tiering = 'Regular' THEN 'New Regular'
-      WHEN previous_tiering = 'Regular' AND pos_tiering = 'G/P' THEN 'Upgrade to G/P'
-      WHEN previous_tiering = 'Regular' AND pos_tiering = 'Regular' THEN 'Active Regular'
-      WHEN previous_tiering = 'Regular' AND pos_tiering = 'No Trx' THEN 'No Trx Regular'
-      WHEN previous_tiering = 'No Trx' AND pos_tiering = 'G/P' THEN 'Back Active to G/P'
-      WHEN previous_tiering = 'No Trx' AND pos_tiering = 'Regular' THEN 'Back Active to Regular'
-      WHEN previous_tiering = 'No Trx' AND pos_tiering = 'No Trx' THEN 'Churn'
-      ELSE NULL END"""
-_BASE = ("month_year, month_year_date, pos_code, revenue, pos_aging, pos_tiering, "
-         "real_pos_tiering, revenue_tiering")
-_ORDER_ASC = ("month_year_date ASC NULLS FIRST, pos_aging ASC NULLS FIRST, pos_tiering ASC NULLS FIRST, "
-              "real_pos_tiering ASC NULLS FIRST, revenue ASC NULLS FIRST")
-_ORDER_DESC = ("month_year_date DESC NULLS LAST, pos_aging DESC NULLS LAST, pos_tiering DESC NULLS LAST, "
-               "real_pos_tiering DESC NULLS LAST, revenue DESC NULLS LAST")
-
-
-def _quarter(d: str, ahead: int = 0) -> str:
-    if ahead:
-        d = f"({d} + INTERVAL {3 * ahead} MONTH)"
-    return f"(CAST(year({d}) AS VARCHAR) || '-' || CAST(quarter({d}) AS VARCHAR))"
-
-
-def _calc(name: str, src: str) -> str:
-    return f"""{name} AS (
-  SELECT s.month_year, s.month_year_date, s.pos_code, s.revenue, a.pos_aging,
-    {_POS.format(a='a.pos_aging', r='s.revenue')} AS pos_tiering,
-    {_REAL.format(r='s.revenue')} AS real_pos_tiering,
-    {_REV.format(r='s.revenue')} AS revenue_tiering
-  FROM {src} s LEFT JOIN aging a ON s.pos_code = a.pos_code
-)"""
-
-
-def _seed(month: str) -> str:
-    return "(VALUES " + ", ".join(f"('{m}')" for m in previous_quarter_months(month)) + ") AS seed(month_year)"
-
-
-def _step(p: str, month: str, hist: str) -> list[str]:
-    """CTEs of one monthly step; names are prefixed with ``p``."""
-    prev = shift_label(month, -1)
-    return [
-        f"{p}_raw AS (SELECT * FROM sales WHERE month_year = '{month}')",
-        _calc(f"{p}_calc", f"{p}_raw"),
-        f"""{p}_stage AS (
-  SELECT {_BASE} FROM {hist} WHERE month_year = '{prev}'
-  UNION ALL SELECT {_BASE} FROM {p}_calc)""",
-        f"""{p}_latest AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pos_code ORDER BY {_ORDER_DESC}) AS rn
-                 FROM {p}_stage) WHERE rn = 1)""",
-        f"""{p}_notrx AS (
-  SELECT '{month}' AS month_year, DATE '{month}-01' AS month_year_date, l.pos_code,
-         CAST(0 AS BIGINT) AS revenue, a.pos_aging, 'No Trx' AS pos_tiering,
-         'Undefined' AS real_pos_tiering, 'Undefined' AS revenue_tiering
-  FROM {p}_latest l LEFT JOIN aging a ON l.pos_code = a.pos_code
-  WHERE l.month_year <> '{month}')""",
-        f"""{p}_lag AS (
-  SELECT *, lag(pos_tiering) OVER w AS previous_tiering,
-         lag(real_pos_tiering) OVER w AS previous_real_tiering,
-         lag(revenue) OVER w AS previous_revenue
-  FROM (SELECT * FROM {p}_stage UNION ALL SELECT * FROM {p}_notrx) u
-  WINDOW w AS (PARTITION BY pos_code ORDER BY {_ORDER_ASC}))""",
-        f"""{p}_final AS (
-  SELECT *, {_TRANS} AS tiering_changes FROM {p}_lag WHERE month_year = '{month}')""",
-        f"""{p}_check AS (
-  SELECT *, CASE WHEN total_diamond > 2 THEN 'Diamond' ELSE 'Not Diamond' END AS is_diamond
-  FROM (SELECT pos_code, {_quarter('month_year_date')} AS quarter_real,
-               {_quarter('month_year_date', 1)} AS quarter_next,
-               count(DISTINCT month_year) AS total_diamond
-        FROM {hist}
-        WHERE revenue_tiering = 'Diamond'
-          AND strftime(month_year_date, '%Y-%m') IN (SELECT month_year FROM {_seed(month)})
-        GROUP BY 1, 2, 3) g)""",
-        f"""{p}_out AS (
-  SELECT f.*, c.is_diamond,
-         CASE WHEN c.is_diamond = 'Diamond' THEN 'Diamond'
-              WHEN f.revenue_tiering = 'Diamond' THEN 'Platinum'
-              ELSE f.revenue_tiering END AS new_tiering
-  FROM {p}_final f LEFT JOIN {p}_check c
-    ON f.pos_code = c.pos_code AND {_quarter('f.month_year_date')} = c.quarter_next
-  WHERE f.month_year = '{month}')""",
-    ]
-
-
-_OUT = (_BASE + ", previous_tiering, previous_real_tiering, previous_revenue, "
-        "tiering_changes, is_diamond, new_tiering")
+  SELECT pos_code, age AS pos_aging FROM outlet UNION ALL SELECT pos_code, age + 1 FROM outlet WHERE bal > 9500)"""
 
+_BASE = "month_year, month_year_date, pos_code, revenue, pos_aging, pos_tiering, real_pos_tiering, revenue_tiering"
+_ADDED = ("previous_tiering", "previous_real_tiering", "previous_revenue", "tiering_changes", "is_diamond", "new_tiering")
+_OUT = ", ".join((_BASE, *_ADDED))
+# Month order of an outlet; the rest makes it total where ages are booked twice.
+_TOTAL = ("month_year_date", "pos_aging", "pos_tiering", "real_pos_tiering", "revenue")
 
-def _p1(select: str) -> str:
-    ctes = [_SALES.strip()]
-    ctes.append(_calc("hbase", f"(SELECT * FROM sales WHERE month_year < '{PREV}')"))
-    ctes += _step("pv", PREV, "hbase")
-    ctes.append(f"history AS (SELECT {_BASE} FROM hbase UNION ALL SELECT {_BASE} FROM pv_out)")
-    ctes.append(f"""history_full AS (
-  SELECT {_BASE}, CAST(NULL AS VARCHAR) AS previous_tiering, CAST(NULL AS VARCHAR) AS previous_real_tiering,
-         CAST(NULL AS BIGINT) AS previous_revenue, CAST(NULL AS VARCHAR) AS tiering_changes,
-         CAST(NULL AS VARCHAR) AS is_diamond, CAST(NULL AS VARCHAR) AS new_tiering FROM hbase
-  UNION ALL SELECT {_OUT} FROM pv_out)""")
-    ctes += _step("rn", RUN, "history")
-    return "WITH " + ",\n".join(ctes) + "\n" + select
+
+def _by(direction: str) -> str:
+    return ", ".join(f"{c} {direction}" for c in _TOTAL)
+
+
+def _quarter(date: str) -> str:
+    return f"year({date}) || '-' || quarter({date})"
+
+
+def _tiered(source: str) -> str:
+    return f"""SELECT s.month_year, s.month_year_date, s.pos_code, s.revenue, a.pos_aging,
+    if(coalesce(a.pos_aging < 3, false), 'NEW', coalesce(l.group_tier, 'Undefined')) AS pos_tiering,
+    coalesce(l.group_tier, 'Undefined') AS real_pos_tiering, coalesce(l.tier, 'Undefined') AS revenue_tiering
+  FROM {source} s LEFT JOIN aging a USING (pos_code)
+  LEFT JOIN ladder l ON s.revenue > 0 AND s.revenue >= l.least AND (l.below IS NULL OR s.revenue < l.below)"""
 
 
-_OUT = (_BASE + ", previous_tiering, previous_real_tiering, previous_revenue, "
-        "tiering_changes, is_diamond, new_tiering")
+def _run(tag: str, month: str, before: str, history: str) -> str:
+    """The tables of one monthly run, named with ``tag``."""
+    seed = ", ".join(f"'{m}'" for m in SEED[month])
+    return f"""
+{tag}_feed AS (SELECT * FROM sales WHERE month_year = '{month}'),
+{tag}_stage AS ({_tiered(f"{tag}_feed")} UNION ALL SELECT {_BASE} FROM {history} WHERE month_year = '{before}'),
+{tag}_newest AS (SELECT * FROM {tag}_stage QUALIFY row_number() OVER (PARTITION BY pos_code ORDER BY {_by("DESC NULLS LAST")}) = 1),
+{tag}_gone AS (
+  SELECT '{month}' AS month_year, DATE '{month}-01' AS month_year_date, n.pos_code, 0::BIGINT AS revenue, a.pos_aging,
+    'No Trx' AS pos_tiering, 'Undefined' AS real_pos_tiering, 'Undefined' AS revenue_tiering
+  FROM {tag}_newest n LEFT JOIN aging a USING (pos_code) WHERE n.month_year <> '{month}'),
+{tag}_lagged AS (
+  SELECT *, lag(pos_tiering) OVER o AS previous_tiering, lag(real_pos_tiering) OVER o AS previous_real_tiering,
+    lag(revenue) OVER o AS previous_revenue
+  FROM (FROM {tag}_stage UNION ALL FROM {tag}_gone) WINDOW o AS (PARTITION BY pos_code ORDER BY {_by("ASC NULLS FIRST")})),
+{tag}_moved AS (SELECT g.*, m.label AS tiering_changes FROM {tag}_lagged g LEFT JOIN moves m
+  ON m.was = g.previous_tiering AND m.became = g.pos_tiering),
+{tag}_final AS (SELECT * FROM {tag}_moved WHERE month_year = '{month}'),
+{tag}_peaks AS (SELECT DISTINCT pos_code, month_year, month_year_date FROM {history}
+  WHERE revenue_tiering = 'Diamond' AND month_year IN ({seed})),
+{tag}_flag AS (
+  SELECT pos_code, {_quarter("month_year_date")} AS quarter_real, {_quarter("(month_year_date + INTERVAL 3 MONTH)")} AS quarter_next,
+    count(*) AS total_diamond, if(count(*) > 2, 'Diamond', 'Not Diamond') AS is_diamond
+  FROM {tag}_peaks GROUP BY ALL),
+{tag}_out AS (SELECT f.*, d.is_diamond, {_NEW_TIER.format(t="f")} AS new_tiering
+  FROM {tag}_final f LEFT JOIN {tag}_flag d ON d.pos_code = f.pos_code AND d.quarter_next = {_quarter("f.month_year_date")})"""
+
+
+_NEW_TIER = "if(d.is_diamond = 'Diamond', 'Diamond', if({t}.revenue_tiering = 'Diamond', 'Platinum', {t}.revenue_tiering))"
+_NOTHING = "NULL::VARCHAR AS previous_tiering, NULL::VARCHAR AS previous_real_tiering, NULL::BIGINT AS previous_revenue, " \
+           "NULL::VARCHAR AS tiering_changes, NULL::VARCHAR AS is_diamond, NULL::VARCHAR AS new_tiering"
+
+
+def _plain(select: str) -> str:
+    return f"WITH {RULES.strip()},{INPUTS}\n{select}"
+
+
+def _p1(select: str) -> str:
+    """``select`` over the two runs; months before them hold plain tiers."""
+    return _plain("").rstrip() + f""",
+early AS (SELECT * FROM sales WHERE month_year < '{PREVIOUS}'),
+past AS ({_tiered("early")}),
+{_run("one", PREVIOUS, "2000-02", "past").strip()},
+history AS (SELECT {_BASE} FROM past UNION ALL SELECT {_BASE} FROM one_out),
+history_full AS (SELECT {_BASE}, {_NOTHING} FROM past UNION ALL SELECT {_OUT} FROM one_out),
+{_run("two", RUN, PREVIOUS, "history").strip()}
+{select}"""
 
 
 def segmentation_sql() -> dict[str, str]:
-    q: dict[str, str] = {}
-    q["revenue_tiering"] = ("WITH " + _SALES.strip() + "\nSELECT pos_code, month_year, revenue, "
-                            + _REV.format(r="revenue") + " AS revenue_tiering FROM sales")
-    q["real_pos_tiering"] = ("WITH " + _SALES.strip() + "\nSELECT pos_code, month_year, revenue, "
-                             + _REAL.format(r="revenue") + " AS real_pos_tiering FROM sales")
-    q["pos_tiering"] = ("WITH " + _SALES.strip() + ",\n" + _calc("c", "sales")
-                        + f"\nSELECT {_BASE} FROM c")
-    q["previous_month_slice"] = _p1(f"SELECT {_BASE} FROM history WHERE month_year = '{PREV}'")
-    q["pos_union_stage"] = _p1("SELECT * FROM rn_stage")
-    q["latest_per_pos"] = _p1("SELECT pos_code, month_year, revenue, pos_tiering FROM rn_latest")
-    q["no_trx_pos"] = _p1("SELECT * FROM rn_notrx")
-    q["pos_lag"] = _p1("SELECT * FROM rn_lag")
-    q["tiering_transition"] = _p1(
-        f"SELECT pos_code, month_year, previous_tiering, pos_tiering, {_TRANS} AS tiering_changes FROM rn_lag")
-    q["seed_month_filter"] = _p1(
-        f"SELECT * FROM history WHERE strftime(month_year_date, '%Y-%m') IN (SELECT month_year FROM {_seed(RUN)})")
-    q["diamond_check"] = _p1("SELECT * FROM rn_check")
-    q["diamond_promotion"] = _p1(
-        "SELECT h.pos_code, h.month_year, h.revenue_tiering, c.is_diamond, "
-        "CASE WHEN c.is_diamond = 'Diamond' THEN 'Diamond' WHEN h.revenue_tiering = 'Diamond' "
-        "THEN 'Platinum' ELSE h.revenue_tiering END AS new_tiering "
-        f"FROM history h LEFT JOIN rn_check c ON h.pos_code = c.pos_code "
-        f"AND {_quarter('h.month_year_date')} = c.quarter_next")
-    q["pos_final"] = _p1("SELECT * FROM rn_final")
-    q["pos_segmentation_month"] = _p1(f"SELECT {_OUT} FROM rn_out")
-    q["duplicate_check"] = _p1(
-        "SELECT pos_code || month_year AS unique_field FROM rn_final GROUP BY 1 HAVING count(*) > 1")
-    return q
+    seed = ", ".join(f"'{m}'" for m in SEED[RUN])
+    tiers = "SELECT pos_code, month_year, revenue, {column} FROM (" + _tiered("(SELECT * FROM sales)") + ") t"
+    once = " GROUP BY ALL"        # two age records don't repeat a tier
+    promoted = _NEW_TIER.format(t="h")
+    return {
+        "revenue_tiering": _plain(tiers.format(column="revenue_tiering") + once),
+        "real_pos_tiering": _plain(tiers.format(column="real_pos_tiering") + once),
+        "pos_tiering": _plain(_tiered("sales")),
+        "previous_month_slice": _p1(f"SELECT * FROM history WHERE month_year = '{PREVIOUS}'"),
+        "pos_union_stage": _p1("FROM two_stage"),
+        "latest_per_pos": _p1("SELECT pos_code, month_year, revenue, pos_tiering FROM two_newest"),
+        "no_trx_pos": _p1("FROM two_gone"),
+        "pos_lag": _p1("FROM two_lagged"),
+        "tiering_transition": _p1("SELECT pos_code, month_year, previous_tiering, pos_tiering, tiering_changes FROM two_moved"),
+        "seed_month_filter": _p1(f"SELECT * FROM history WHERE month_year IN ({seed})"),
+        "diamond_check": _p1("FROM two_flag"),
+        "diamond_promotion": _p1(f"SELECT h.pos_code, h.month_year, h.revenue_tiering, d.is_diamond, {promoted} AS new_tiering "
+                                 f"FROM history h LEFT JOIN two_flag d ON d.pos_code = h.pos_code AND d.quarter_next = {_quarter('h.month_year_date')}"),
+        "pos_final": _p1("FROM two_final"),
+        "pos_segmentation_month": _p1("FROM two_out"),
+        "duplicate_check": _p1("SELECT pos_code || month_year AS unique_field FROM two_final GROUP BY 1 HAVING count(*) > 1"),
+        "month_partition_replace": _p1(f"SELECT * FROM history_full WHERE month_year <> '1995-01' UNION ALL SELECT {_OUT} FROM two_out"),
+    }

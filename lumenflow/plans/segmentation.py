@@ -32,6 +32,16 @@ OUTPUT_COLUMNS = (
     *BASE_COLUMNS, *LAG_COLUMNS, "tiering_changes", "etl_date", "is_diamond",
     "new_tiering",
 )
+# Declared types of the stored table; money as the feed gives it.
+BASE_SCHEMA = ("month_year string, month_year_date date, pos_code string, revenue {money}, pos_aging int, "
+               "pos_tiering string, real_pos_tiering string, revenue_tiering string")
+OUTPUT_SCHEMA = BASE_SCHEMA + (", previous_tiering string, previous_real_tiering string, previous_revenue {money}, "
+                               "tiering_changes string, etl_date timestamp, is_diamond string, new_tiering string")
+
+
+def table_schema(money: str = "bigint", base: bool = False) -> str:
+    """DDL of the 15 stored columns (``base``: of the first 8)."""
+    return (BASE_SCHEMA if base else OUTPUT_SCHEMA).format(money=money)
 
 
 def _month_order(descending: bool = False) -> list[Column]:
@@ -157,11 +167,11 @@ def run_month(feed: DataFrame, aging: DataFrame, table_root: str,
     the seed months are scanned, by partition filters), computes ``month``
     and replaces that month's partition with the result (an empty result
     removes it).  Re-running a month gives the same table.  Returns the
-    number of rows written.
+    number of rows written.  A table that doesn't exist yet is empty.
     """
     from lumenflow.sinks import storage
 
     spark = feed.sparkSession
-    table = storage.read_months(spark, table_root, OUTPUT_COLUMNS)
+    table = storage.read_months(spark, table_root, table_schema(dict(feed.dtypes)["revenue"]))
     result = segment_month(feed, aging, table, seed_months, month)
     return storage.replace_month(result, table_root, month, OUTPUT_COLUMNS)

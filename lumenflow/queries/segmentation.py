@@ -1,4 +1,4 @@
-"""Outlet segmentation queries (binding: outlet = supplier, run 2000-04)."""
+"""Outlet segmentation queries (binding: outlet = supplier and part group, run 2000-04)."""
 
 from __future__ import annotations
 
@@ -11,19 +11,28 @@ from lumenflow.queries import query
 from lumenflow.session import fresh_path, materialize
 from lumenflow.sinks import storage
 from lumenflow.sources import bindings as B
+from lumenflow.sources.files import read_seed
 
 M = B.RUN_MONTH
 
 
 def _inputs(spark, sf_dir):
     """Feed, ages and history of the run.  In production these are stored
-    tables; here they are derived, so the aggregated feed and the history
-    are written once to the shared folder instead of being re-derived from
-    lineitem by every branch of the plan."""
+    tables; here they are derived, so the aggregated feed and the history,
+    partitioned by month, are written once to the shared folder instead of
+    being re-derived from lineitem by every branch of the plan."""
     sales = materialize(B.pos_sales(spark, sf_dir))
     aging = B.pos_aging(spark, sf_dir)
-    history = materialize(B.segmentation_history(spark, sf_dir, M, sales, aging))
-    return sales, aging, history
+    root = fresh_path(spark, "history")
+    B.segmentation_history(spark, sf_dir, M, sales, aging).write.partitionBy("month_year").parquet(root)
+    return sales, aging, storage.read_months(spark, root, S.table_schema(base=True))
+
+
+def _seed(spark):
+    """The month seed, as the CSV file that it is."""
+    path = fresh_path(spark, "seeds") + "/filter_month.csv"
+    B.seed_months(spark, M).write.option("header", True).csv(path)
+    return read_seed(spark, path)
 
 
 def _stage(spark, sf_dir):
@@ -93,16 +102,14 @@ def q_tiering_transition(spark, sf_dir):
 def q_seed_month_filter(spark, sf_dir):
     from lumenflow.functions.dates import month_label
     _, _, history = _inputs(spark, sf_dir)
-    seed = B.seed_months(spark, M)
     keyed = history.withColumn("_m", month_label("month_year_date"))
-    return (keyed.join(F.broadcast(seed.withColumnRenamed("month_year", "_m")), "_m", "left_semi")
-            .drop("_m"))
+    return keyed.join(_seed(spark).withColumnRenamed("month_year", "_m"), "_m", "left_semi").drop("_m")
 
 
 @query("diamond_check")
 def q_diamond_check(spark, sf_dir):
     _, _, history = _inputs(spark, sf_dir)
-    return T.diamond_check(history, B.seed_months(spark, M))
+    return T.diamond_check(history, _seed(spark), "month_year")
 
 
 @query("diamond_promotion")
@@ -111,7 +118,7 @@ def q_diamond_promotion(spark, sf_dir):
     joined to the flag earned in the quarter before it."""
     from lumenflow.functions.dates import quarter_label
     _, _, history = _inputs(spark, sf_dir)
-    check = T.diamond_check(history, B.seed_months(spark, M))
+    check = T.diamond_check(history, _seed(spark), "month_year")
     flags = check.select(F.col("pos_code").alias("_p"), F.col("quarter_next").alias("_q"),
                          "is_diamond")
     joined = history.join(flags, (history["pos_code"] == flags["_p"])
@@ -130,7 +137,7 @@ def q_pos_final(spark, sf_dir):
 def _segment(spark, sf_dir):
     sales, aging, history = _inputs(spark, sf_dir)
     return S.segment_month(B.month_feed(sales, M), aging, history,
-                           B.seed_months(spark, M), M)
+                           _seed(spark), M)
 
 
 @query("pos_segmentation_month")
@@ -158,7 +165,7 @@ def q_month_partition_replace(spark, sf_dir):
     aging = B.pos_aging(spark, sf_dir)
     (B.segmentation_history_full(spark, sf_dir, M, sales, aging)
      .write.partitionBy("month_year").parquet(root))
-    S.run_month(B.month_feed(sales, M), aging, root, B.seed_months(spark, M), M)
-    table = storage.read_months(spark, root, S.OUTPUT_COLUMNS)
+    S.run_month(B.month_feed(sales, M), aging, root, _seed(spark), M)
+    table = storage.read_months(spark, root, S.table_schema())
     storage.replace_month(table.where(F.lit(False)), root, OLDEST_MONTH, S.OUTPUT_COLUMNS)
-    return storage.read_months(spark, root, S.OUTPUT_COLUMNS).drop("etl_date")
+    return storage.read_months(spark, root, S.table_schema()).drop("etl_date")

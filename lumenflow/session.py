@@ -9,6 +9,7 @@ below that folder.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -21,7 +22,9 @@ SCRATCH_CONF = "spark.checkpoint.dir"
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app: str = "lumenflow") -> SparkSession:
     master = master or os.environ.get("LUMENFLOW_MASTER", "local[8]")
-    return (
+    shared = os.environ.get("LUMENFLOW_SHARED") or (
+        tempfile.mkdtemp(prefix="lumenflow-") if master.startswith("local[") else None)
+    builder = (
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -33,20 +36,25 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LUMENFLOW_DRIVER_MEMORY", "16g"))
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config(SCRATCH_CONF, shared)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
+    """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir``; only when the session leaves it unset
-    (local runs and tests) a fresh local folder is created and registered.
+    Unset, it is an error, except in one process (``local[...]``), where any
+    folder is shared and a fresh one is registered.
     """
     base = spark.conf.get(SCRATCH_CONF, None)
     if not base:
         base = spark.sparkContext.getConf().get(SCRATCH_CONF, None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {SCRATCH_CONF} to a folder that the driver and all executors of {master} share")
         base = tempfile.mkdtemp(prefix="lumenflow-")
         spark.conf.set(SCRATCH_CONF, base)
         spark.sparkContext.setCheckpointDir(base)
@@ -55,23 +63,29 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+_owned: list[list[str]] = []
 
 
-def spread(df):
-    """Round-robin ``df`` over the default parallelism when it arrives in
-    fewer partitions (a file with one row group is one task).  Used only
-    before CPU-heavy per-row work; with enough input splits it is a no-op."""
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new, unused path below the shared folder."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _owned:
+        _owned[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession):
+    """Own the intermediate tables written inside: they are removed at the
+    end.  For jobs that write their result themselves; a DataFrame that is
+    returned still reads them."""
+    _owned.append([])
     try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave it to AQE
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
+        yield
+    finally:
+        from lumenflow.sinks import storage
+        for path in _owned.pop():
+            storage.delete(spark, path)
 
 
 def materialize(df, name: str = "stage"):
@@ -82,4 +96,4 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spread(spark.read.parquet(path))
+    return spark.read.parquet(path)

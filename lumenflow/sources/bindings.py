@@ -17,27 +17,31 @@ from lumenflow.sources.tables import read_table
 
 # Binding parameters (fixed, shared with the SQL oracle).
 RUN_MONTH = "2000-04"
-REVENUE_SCALE = 900           # outlet revenue = returned line value x 900
-AGING_MONTHS = 24             # outlet age in months = supplier key mod 24
+REVENUE_SCALE = 900           # outlet revenue = line value x 900
+OUTLET_SLOTS = 16             # a supplier has (key mod 16) + 1 outlets
+AGING_MONTHS = 24             # outlet age in months = (supplier key + outlet) mod 24
 REBOOKED_ACCTBAL = 9500.0     # suppliers above this balance hold a second age record
 
 
 # --- outlet segmentation ---------------------------------------------------
 
+def _slots(suppkey: str):
+    """Outlets that a supplier's parts are dealt to: 1 to 16, so that some
+    outlets sell every month and others rarely."""
+    return F.col(suppkey) % OUTLET_SLOTS + 1
+
+
 def pos_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outlet = supplier, month = ship month, revenue of returned lines.
+    """Outlet = supplier and part group, month = ship month, all lines.
 
     One partial + final aggregate over lineitem; money is summed as
     decimal so the result does not depend on summation order.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_shipdate", "l_extendedprice", "l_returnflag")
+    li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_shipdate", "l_extendedprice")
+    outlet = F.concat_ws("-", F.col("l_suppkey").cast("string"),
+                         (F.col("l_partkey") % _slots("l_suppkey")).cast("string"))
     agg = (
-        li.where(F.col("l_returnflag") == "R")
-        .groupBy(
-            F.col("l_suppkey").cast("string").alias("pos_code"),
-            month_label("l_shipdate").alias("month_year"),
-        )
+        li.groupBy(outlet.alias("pos_code"), month_label("l_shipdate").alias("month_year"))
         .agg((F.sum(F.col("l_extendedprice").cast("decimal(18,2)")) * REVENUE_SCALE)
              .cast("bigint").alias("revenue"))
     )
@@ -46,16 +50,17 @@ def pos_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pos_aging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outlet age records.  Suppliers with a negative balance have none
-    (left-join misses); rich suppliers have two (the table is not unique)."""
+    """Outlet age records.  Outlets of suppliers with a negative balance have
+    none (left-join misses); those of rich ones have two (the table is not
+    unique)."""
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
-    booked = s.where(F.col("s_acctbal") >= 0)
-    age = (F.col("s_suppkey") % AGING_MONTHS)
-    first = booked.select(F.col("s_suppkey").cast("string").alias("pos_code"),
-                          age.cast("int").alias("pos_aging"))
+    booked = s.where(F.col("s_acctbal") >= 0).withColumn(
+        "slot", F.explode(F.sequence(F.lit(0).cast("bigint"), (_slots("s_suppkey") - 1).cast("bigint"))))
+    code = F.concat_ws("-", F.col("s_suppkey").cast("string"), F.col("slot").cast("string"))
+    age = (F.col("s_suppkey") + F.col("slot")) % AGING_MONTHS
+    first = booked.select(code.alias("pos_code"), age.cast("int").alias("pos_aging"))
     second = booked.where(F.col("s_acctbal") > REBOOKED_ACCTBAL).select(
-        F.col("s_suppkey").cast("string").alias("pos_code"),
-        (age + 1).cast("int").alias("pos_aging"))
+        code.alias("pos_code"), (age + 1).cast("int").alias("pos_aging"))
     return first.unionByName(second)
 
 
