@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType
 
 PREFIX_MAX = 4
 PREFIX_WEIGHT = 0.1
@@ -149,16 +149,6 @@ def _match_dense(A, la, B, lb):
     return used_a, used_b
 
 
-def jaro_winkler_one(a: str, b: str) -> float:
-    return float(jaro_winkler([a], [b])[0])
-
-
-def re_paren(text: str) -> str:
-    """Python form of the bracket removal used on master names (tests)."""
-    import re
-    return re.sub(r"\([^)]*\)", "", text)
-
-
 def char_histogram(strings: list[str]) -> np.ndarray:
     """(n, 64) counts of characters by code point mod 64.  Summing
     ``min`` over buckets bounds the number of common characters from
@@ -198,16 +188,13 @@ def best_in_block(left: pd.DataFrame, members: pd.DataFrame, ties: list[str]) ->
     A, la = _codes(a_list, -1)
     B, lb = _codes(b_list, -2)
     common = np.minimum(ha[:, None, :], hb[None, :, :]).sum(axis=2)
-    m = np.minimum(common, np.minimum(la[:, None], lb[None, :])).astype(float)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        jaro = np.where(m > 0, (m / la[:, None] + m / lb[None, :] + 1.0) / 3.0, 0.0)
     k = min(PREFIX_MAX, A.shape[1], B.shape[1])
     if k:
         same = (A[:, None, :k] == B[None, :, :k])
         prefix = np.cumprod(same, axis=2).sum(axis=2)
     else:
         prefix = np.zeros((na, nm))
-    ub = np.where(jaro > BOOST_THRESHOLD, jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro), jaro)
+    ub = bound(common, la[:, None], lb[None, :], prefix)
     floor = left["floor"].fillna(0.0).to_numpy()
     ai, mi = np.nonzero(ub + 1e-9 >= floor[:, None])
     if ai.size == 0:
@@ -237,36 +224,50 @@ def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out).where(ok, None)
 
 
-def upper_bound(a: list[str], b: list[str]) -> np.ndarray:
-    """A score no pair can exceed: common characters bounded by the
-    histogram minimum, then the Jaro formula with no transposition and the
-    full prefix boost of the actual common prefix."""
-    A, la = _codes(a, -1)
-    B, lb = _codes(b, -2)
-    ha, hb = char_histogram(a), char_histogram(b)
-    m = np.minimum(np.minimum(ha, hb).sum(axis=1), np.minimum(la, lb)).astype(float)
+def bound(common, la, lb, prefix):
+    """The best score for at most ``common`` equal characters: no transposition
+    and the full boost of the common prefix."""
+    m = np.minimum(common, np.minimum(la, lb)).astype(float)
     with np.errstate(divide="ignore", invalid="ignore"):
         jaro = np.where(m > 0, (m / la + m / lb + 1.0) / 3.0, 0.0)
-    k = min(PREFIX_MAX, A.shape[1], B.shape[1])
-    prefix = np.cumprod(A[:, :k] == B[:, :k], axis=1).sum(axis=1) if k else np.zeros(len(a))
     return np.where(jaro > BOOST_THRESHOLD, jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro), jaro)
 
 
+def _matrix(packed: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), np.uint16).reshape(len(packed), HIST_BUCKETS)
+
+
 @F.pandas_udf(DoubleType())
-def jaro_winkler_above_udf(a: pd.Series, b: pd.Series, floor: pd.Series) -> pd.Series:
-    """Rounded similarity for pairs that can reach ``floor``; null for
-    pairs whose upper bound is below it (they cannot win) and for nulls."""
-    ok = (a.notna() & b.notna()).to_numpy()
-    out = np.full(len(a), np.nan)
-    if ok.any():
-        idx = np.nonzero(ok)[0]
-        av, bv = a[ok].tolist(), b[ok].tolist()
-        reach = upper_bound(av, bv) + 1e-9 >= floor[ok].fillna(0.0).to_numpy()
-        if reach.any():
-            keep = idx[reach]
-            out[keep] = np.round(jaro_winkler([av[i] for i in np.nonzero(reach)[0]],
-                                              [bv[i] for i in np.nonzero(reach)[0]]), SCORE_DIGITS)
-    return pd.Series(out).where(~np.isnan(out), None)
+def node_bound_udf(hist: pd.Series, length: pd.Series, head: pd.Series, node_hist: pd.Series,
+                   shortest: pd.Series, longest: pd.Series, node_head: pd.Series) -> pd.Series:
+    """The best score that any member of a node could reach for a row: equal
+    characters at most the histograms' minimum, the best length of the node's
+    range, the common prefix (all of it where the members' prefixes differ)."""
+    if not len(hist):
+        return pd.Series([], dtype="float64")
+    common = np.minimum(_matrix(hist), _matrix(node_hist)).sum(axis=1, dtype=np.int64)
+    la, lo, hi = (x.to_numpy(np.int64) for x in (length, shortest, longest))
+    prefix = np.fromiter((PREFIX_MAX if y is None else _common_prefix(x, y) for x, y in zip(head, node_head)),
+                         np.int64, len(hist))
+    best = np.zeros(len(hist))
+    for lb in (lo, hi, np.clip(common, lo, hi)):
+        best = np.maximum(best, bound(common, la, lb, prefix))
+    return pd.Series(best)
+
+
+def _common_prefix(x: str, y: str) -> int:
+    n = 0
+    for c, d in zip(x, y):
+        if c != d:
+            break
+        n += 1
+    return n
+
+
+@F.pandas_udf(BinaryType())
+def pack_histogram_udf(counts: pd.Series) -> pd.Series:
+    """A histogram as 64 16-bit counts (names are far shorter than 65,535)."""
+    return pd.Series([np.minimum(np.asarray(c), 65535).astype(np.uint16).tobytes() for c in counts])
 
 
 @F.pandas_udf(ArrayType(IntegerType()))

@@ -9,8 +9,9 @@ Every level is exploded and the levels are chained with inner equi-joins on
 the parent code, so an entry whose parent is missing disappears with its
 whole subtree.  The large level (subdistricts) is joined last, against the
 small joined upper levels, which AQE broadcasts when they measure small.
-A key repeated inside one map keeps its last value (map key de-duplication
-policy ``LAST_WIN``), as a JSON object decoded into a dictionary does.
+A key repeated inside one map keeps its last value, as a JSON object decoded
+into a dictionary does: entries are exploded with their position and the
+last one of a (document, parent, code) stays.
 """
 
 from __future__ import annotations
@@ -26,23 +27,17 @@ FLAT_COLUMNS = ("province_code", "province_name", "city_code", "city_name",
                 "district_code", "district_name", "subdistrict_code", "subdistrict_name")
 
 
-def _last_wins(m, nested: bool):
-    """Rebuild a parsed map so a repeated key keeps its last value (the
-    JSON parser keeps every entry; map construction applies LAST_WIN)."""
-    flat = F.map_from_entries(F.map_entries(m))
-    if not nested:
-        return flat
-    return F.transform_values(flat, lambda _, v: F.map_from_entries(F.map_entries(v)))
+DOC_ID = "_doc"
 
 
 def _documents(parsed: DataFrame) -> DataFrame:
-    parsed.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
-    return parsed.select(*[_last_wins(F.col(level), i > 0).alias(level)
-                           for i, level in enumerate(LEVELS)])
+    """The four maps of each document; repeated keys are told apart by document."""
+    return parsed.select(F.monotonically_increasing_id().alias(DOC_ID), *LEVELS)
 
 
 def read_document(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
-    """JSON lines (one fragment per line) or whole files (one document each)."""
+    """JSON lines (one fragment per line) or whole files (one document each:
+    a single JSON value is one row, its entries are dealt out once exploded)."""
     if whole_file:
         text = spark.read.text(path, wholetext=True)
         return _documents(text.select(F.from_json("value", DOC_SCHEMA).alias("d")).select("d.*"))
@@ -54,13 +49,19 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return _documents(lines.select(F.from_json("value", DOC_SCHEMA).alias("d")).select("d.*"))
 
 
+def _entries(doc: DataFrame, level: str, key: list[str], value: str) -> DataFrame:
+    """Entries of a map column; of a repeated key the last one."""
+    rows = doc.select(DOC_ID, *key, F.posexplode(level).alias("_at", "code", value))
+    return rows.groupBy(DOC_ID, *key, "code").agg(F.max_by(value, "_at").alias(value))
+
+
 def _children(doc: DataFrame, level: str) -> DataFrame:
-    outer = doc.select(F.explode(level).alias("parent", "children"))
-    return outer.select("parent", F.explode("children").alias("code", "name"))
+    outer = _entries(doc, level, [], "children").withColumnRenamed("code", "parent")
+    return _entries(outer, "children", ["parent"], "name").select("parent", "code", "name")
 
 
 def flatten(doc: DataFrame) -> DataFrame:
-    prov = doc.select(F.explode("provinsi").alias("province_code", "province_name"))
+    prov = _entries(doc, "provinsi", [], "province_name").select(F.col("code").alias("province_code"), "province_name")
     cities = _children(doc, "kabupaten").select(
         F.col("parent").alias("province_code"),
         F.concat("parent", "code").alias("city_code"), F.col("name").alias("city_name"))

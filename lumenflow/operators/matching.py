@@ -7,35 +7,35 @@ no partner on either side go on to the fuzzy part.
 Fuzzy part (exact result, pruned work).  For every unmatched region row
 the master row with the highest Jaro-Winkler score over the four joined
 names is wanted, among the unmatched master rows of its *block* (master
-provinces reached through the block rules).  Scoring every pair of a block
-is quadratic, so the search is a branch and bound down the master's own
-hierarchy, block -> city -> district -> chunk (chunks hold at most
-``group_rows`` rows; larger districts are salted into several chunks):
+provinces reached through the block rules).  The search is a branch and
+bound down the master's own hierarchy, block -> city -> district -> chunk:
 
+* members are put in order of city, district and the sorted characters of
+  their name (a range shuffle) and cut into chunks of ``group_rows``
+  neighbours, so the members of a chunk consist of nearly the same
+  characters and its summary is tight;
 * every node is summarised by its length range, its common four-character
   prefix and the per-bucket maximum of its members' character histograms;
-  for a row and a node these give a score no member can exceed (common
-  characters at most the histogram minimum, no transpositions, full prefix
-  boost);
-* a floor per row comes from a seed candidate (same city, district and
-  normalised subdistrict name) and from a greedy descent along the highest
-  bounds (best city, best district in it, best chunk in it, scored);
-* then only nodes whose bound reaches the floor are opened, level by
-  level, and the surviving chunks are scored in a cogrouped
-  ``applyInPandas`` that also checks the exact per-pair bound first; a
-  chunk reached by many rows is split by a salt;
+  for a row and a node these give a score no member can exceed;
+* a floor per row comes from a descent along the highest bounds (best city,
+  best district in it, the ``SEED_CHUNKS`` best chunks in it, scored);
+* then only nodes whose bound reaches the floor are opened, level by level,
+  and the surviving chunks are scored in a cogrouped ``applyInPandas`` that
+  also checks the exact per-pair bound first; a chunk reached by many rows
+  is split by a salt;
 * the winner is an aggregate ``min(struct(-score, tie columns))`` (partial
   per task, final per row), so no group is ever collected.
 
-Work per row is (cities of its blocks) + (children of surviving nodes);
-pairs in nodes that cannot win are never produced.
+Between levels only ids and bounds travel on; a row's histogram (128 bytes)
+is joined where a bound is computed.  Written are the features, the chunk
+summaries and the first scores, which several branches read.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenflow.functions import jaro_winkler as JW
@@ -102,7 +102,8 @@ def exact_split(region: DataFrame, master: DataFrame) -> tuple[DataFrame, DataFr
     partner).  The three joins hash both sides on the same four keys, so
     Spark reuses the shuffles."""
     left = region.select("subdistrict_code", *LEFT_NAMES)
-    names = master_names(master)
+    # a master row without an id can't be anyone's match
+    names = master_names(master.where(F.col(MASTER_ID).isNotNull()))
     cond = _same_names(left, names)
     mapped = left.join(names, cond, "inner").select("subdistrict_code", MASTER_ID)
     left_only = left.join(names, cond, "left_anti")
@@ -137,114 +138,76 @@ def block_map(left_provinces: DataFrame, master_provinces: DataFrame,
 
 # --- fuzzy best match ----------------------------------------------------------
 
-def _ub_from_counts(c: Column, la: Column, lb: Column) -> Column:
-    """Jaro upper bound for at most ``c`` common characters."""
-    m = F.least(c, la, lb).cast("double")
-    return F.when(m > 0, (m / la + m / lb + F.lit(1.0)) / 3.0).otherwise(F.lit(0.0))
+def _normal_chars(c: Column) -> Column:
+    return F.array_join(F.array_sort(F.split(c, "")), "")
 
 
-def _boost(j: Column, p: Column) -> Column:
-    return F.when(j > JW.BOOST_THRESHOLD, j + p * JW.PREFIX_WEIGHT * (F.lit(1.0) - j)).otherwise(j)
-
-
-def _prefix_len(a: Column, pre: Column) -> Column:
-    """Common prefix length (at most 4) of ``a`` and ``pre``; 4 when
-    ``pre`` is null (the group's members do not share one prefix)."""
-    n = F.lit(0)
-    for k in range(1, JW.PREFIX_MAX + 1):
-        n = n + (F.substring(a, 1, k) == F.substring(pre, 1, k)).cast("int")
-    return F.when(pre.isNull(), F.lit(JW.PREFIX_MAX)).otherwise(n)
-
-
-def _shared(ha: Column, hb: Column) -> Column:
-    return F.aggregate(F.zip_with(ha, hb, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+# The row key of a region row: a repeated code with other names is another row.
+ROW = ("a_id", "a")
+TIE_COLUMNS = ("m_province", "m_city", "m_district", "m_sub_clean", MASTER_ID)
+LEVELS = (("block", "m_city"), ("block", "m_city", "m_district"),
+          ("block", "m_city", "m_district", "gid"))
+BLOCK_LEFT_ROWS = 2048      # region rows per scoring call (hot groups are salted)
+SEED_CHUNKS = 3             # chunks scored for the floor of a row
 
 
-def _normal(c: Column) -> Column:
-    return F.regexp_replace(F.upper(c), "[^\\p{L}\\p{N}]", "")
+def joined_left(left_only: DataFrame) -> DataFrame:
+    return left_only.select(F.col("subdistrict_code").alias("a_id"), join_names(*LEFT_NAMES).alias("a"), "province_name")
 
 
-def candidate_features(left_only: DataFrame, master_only: DataFrame,
-                       rules: tuple[BlockRule, ...], group_rows: int) -> tuple[DataFrame, DataFrame]:
+def candidate_features(left_only: DataFrame, master_only: DataFrame, rules: tuple[BlockRule, ...],
+                       group_rows: int) -> tuple[DataFrame, DataFrame]:
     """Rows with their block, joined string, length, histogram and prefix;
-    master rows also carry their group id."""
-    a = join_names(*LEFT_NAMES)
-    left = (left_only.select(F.col("subdistrict_code").alias("a_id"), a.alias("a"),
-                             "province_name", "city_name", "district_name",
-                             _normal(F.col("subdistrict_name")).alias("a_norm"))
-            .where(F.col("a").isNotNull()))
+    master rows also carry their chunk id.  A region row with a missing name
+    has no string to compare; ``unmatched`` reports it."""
+    left = joined_left(left_only).where(F.col("a").isNotNull())
     sub_clean = strip_parenthesised(F.col("m_subdistrict"))
     master = master_only.select(
         MASTER_ID, "m_province", "m_city", "m_district", sub_clean.alias("m_sub_clean"),
         join_names("m_province", "m_city", "m_district", sub_clean).alias("b"))
     blocks = block_map(left.select("province_name").distinct(),
                        master.select("m_province").distinct(), rules)
-    left = (left.join(blocks, "province_name")
-            .select("a_id", "a", "block", "city_name", "district_name", "a_norm",
-                    F.length("a").alias("la"), JW.char_histogram_udf("a").alias("ha"),
+    left = (left.join(blocks, "province_name").distinct()
+            .select(*ROW, "block", F.length("a").alias("la"),
+                    JW.pack_histogram_udf(JW.char_histogram_udf("a")).alias("ha"),
                     F.substring("a", 1, JW.PREFIX_MAX).alias("pa")))
-    sizes = master.groupBy("m_province", "m_city", "m_district").agg(F.count(F.lit(1)).alias("_n"))
-    master = master.join(sizes, ["m_province", "m_city", "m_district"])
-    chunk = F.pmod(F.xxhash64(MASTER_ID), F.ceil(F.col("_n") / group_rows).cast("long"))
-    master = master.select(
-        MASTER_ID, F.col("m_province").alias("block"), "m_city", "m_district", "m_sub_clean", "b",
-        F.xxhash64("m_province", "m_city", "m_district", chunk).alias("gid"),
+    n = int(master.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["m_province", "m_city", "m_district", F.length("b"), _normal_chars(F.col("m_sub_clean")), "b", MASTER_ID]
+    # the id counts the rows of a range-sorted task: neighbours share a chunk
+    master = master.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
+        MASTER_ID, F.col("m_province").alias("block"), "m_province", "m_city", "m_district", "m_sub_clean", "b",
+        F.expr(f"monotonically_increasing_id() div {group_rows}").alias("_run"),
         F.length("b").alias("lb"), JW.char_histogram_udf("b").alias("hb"),
         F.substring("b", 1, JW.PREFIX_MAX).alias("pb"))
-    return left, master
-
-
-# Levels of the master hierarchy searched from the top; the leaves are the
-# salted chunks (``gid``) of at most ``group_rows`` rows.
-LEVELS = (("block", "m_city"), ("block", "m_city", "m_district"),
-          ("block", "m_city", "m_district", "gid"))
+    return left, master.withColumn("gid", F.xxhash64("block", "m_city", "m_district", "_run")).drop("_run")
 
 
-def summaries(master: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Per node of a level: length range, per-bucket character maxima and
-    the common 4-character prefix (null when members differ)."""
+def summaries(master: DataFrame) -> DataFrame:
+    """Per chunk: length range, per-bucket character maxima and the common
+    4-character prefix (null when members differ)."""
     hmax = F.array(*[F.max(F.col("hb")[i]) for i in range(JW.HIST_BUCKETS)])
-    return (master.groupBy(*keys).agg(
+    return (master.groupBy(*LEVELS[-1]).agg(
         F.min("lb").alias("g_min"), F.max("lb").alias("g_max"), hmax.alias("g_hist"),
         F.min("pb").alias("_p0"), F.max("pb").alias("_p1"))
-        .select(*keys, "g_min", "g_max", "g_hist",
+        .select(*LEVELS[-1], "g_min", "g_max", "g_hist",
                 F.when(F.col("_p0") == F.col("_p1"), F.col("_p0")).alias("g_pre")))
 
 
-def node_bound() -> Column:
-    """The best score any member of a node could reach, for the row in
-    the same record (``a``, ``la``, ``ha`` against the node summary)."""
-    c = _shared(F.col("ha"), F.col("g_hist"))
-    la = F.col("la")
-    best_len = F.least(F.greatest(c, F.col("g_min")), F.col("g_max"))
-    ub_j = F.greatest(_ub_from_counts(c, la, F.col("g_min")),
-                      _ub_from_counts(c, la, F.col("g_max")),
-                      _ub_from_counts(c, la, best_len))
-    return _boost(ub_j, _prefix_len(F.col("a"), F.col("g_pre")))
+def summaries_above(chunks: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The summaries of an upper level, from those of the chunks."""
+    hmax = F.array(*[F.max(F.col("g_hist")[i]) for i in range(JW.HIST_BUCKETS)])
+    return chunks.groupBy(*keys).agg(
+        F.min("g_min").alias("g_min"), F.max("g_max").alias("g_max"), hmax.alias("g_hist"),
+        F.when((F.min("g_pre") == F.max("g_pre")) & (F.count("g_pre") == F.count(F.lit(1))), F.min("g_pre")).alias("g_pre"))
 
 
-def bounds_below(rows: DataFrame, level: DataFrame, parent_keys: tuple[str, ...],
+def bounds_below(nodes: DataFrame, left: DataFrame, level: DataFrame, parent: tuple[str, ...],
                  keys: tuple[str, ...]) -> DataFrame:
-    """Children of each row's surviving parent nodes, with their bound.
-    ``rows`` carries a_id, a, la, ha and the parent key columns."""
-    j = rows.join(level, list(parent_keys))
-    return j.select("a_id", "a", "la", "ha", *keys, node_bound().alias("ub"))
-
-
-def _best_child(bounded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """The child with the highest bound per row (ties by key, so repeated
-    evaluation names the same child)."""
-    node = F.struct(*keys)
-    best = bounded.groupBy("a_id").agg(F.max_by(node, F.struct("ub", node)).alias("_n"))
-    return best.select("a_id", *[F.col(f"_n.{k}").alias(k) for k in keys])
-
-
-TIE_COLUMNS = ("m_city", "m_district", "m_sub_clean", MASTER_ID)
-BLOCK_LEFT_ROWS = 2048      # region rows per scoring call (hot groups are salted)
-
-
-def _score_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumn("score", JW.jaro_winkler_udf("a", "b"))
+    """Children of each row's nodes, with their bound: (row, keys, ub)."""
+    packed = level.withColumn("g_hist", JW.pack_histogram_udf("g_hist"))
+    j = nodes.join(left.select(*ROW, "block", "la", "ha", "pa"), [*ROW, "block"]) if parent != ("block",) else left
+    ub = JW.node_bound_udf("ha", "la", "pa", "g_hist", "g_min", "g_max", "g_pre")
+    return j.join(packed, list(parent)).select(*ROW, *keys, ub.alias("ub"))
 
 
 def score_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
@@ -257,8 +220,8 @@ def score_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
     counts = rows.groupBy("gid").agg(F.count(F.lit(1)).alias("_n"))
     salts = counts.select("gid", F.ceil(F.col("_n") / BLOCK_LEFT_ROWS).cast("int").alias("_s"))
     r = (rows.join(salts, "gid")
-         .withColumn("salt", F.pmod(F.xxhash64("a_id"), F.col("_s")).cast("int"))
-         .select("gid", "salt", "a_id", "a", "floor"))
+         .withColumn("salt", F.pmod(F.xxhash64(*ROW), F.col("_s")).cast("int"))
+         .select("gid", "salt", *ROW, "floor"))
     m = (members.join(salts, "gid")
          .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
          .select(F.col("gid").alias("m_gid"), F.col("salt").alias("m_salt"), "b", *TIE_COLUMNS))
@@ -269,11 +232,16 @@ def score_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
     r = r.repartition(n, "gid", "salt")
     m = m.repartition(n, "m_gid", "m_salt")
     ties = list(TIE_COLUMNS)
-    schema = ("a_id string, score double, m_city string, m_district string, m_sub_clean string, "
-              f"{MASTER_ID} bigint")
+    schema = ("a_id string, a string, score double, m_province string, m_city string, m_district string, "
+              f"m_sub_clean string, {MASTER_ID} bigint")
 
     def run(left_pdf, member_pdf):
-        return JW.best_in_block(left_pdf, member_pdf, ties)
+        # (row numbers stand for the two-column row key)
+        out = JW.best_in_block(left_pdf.assign(a_id=range(len(left_pdf))), member_pdf, ties)
+        at = out["a_id"].to_numpy(dtype=int)
+        out["a_id"] = left_pdf["a_id"].to_numpy()[at]
+        out.insert(1, "a", left_pdf["a"].to_numpy()[at])
+        return out
 
     # (the member side is renamed: both sides descend from the same tables,
     # and cogroup keys are matched by position)
@@ -283,79 +251,74 @@ def score_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
 
 def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
                      rules: tuple[BlockRule, ...] = DEFAULT_RULES,
-                     group_rows: int = 64, checkpoint: bool = True) -> DataFrame:
+                     group_rows: int = 32, only_codes: tuple[str, ...] | None = None,
+                     report: dict | None = None) -> DataFrame:
     """(subdistrict_a, subdistrict_b, similarity_score): the best master row
-    per unmatched region row.  Ties go to the smaller (city, district,
-    cleaned subdistrict, id) of the master.  A row whose best score is 0
-    (nothing in common) gets no match.
-
-    Branch and bound down the master hierarchy (block -> city -> district
-    -> chunk): a greedy descent along the highest bounds gives every row a
-    floor (together with a seed candidate); then only nodes whose bound
-    reaches the floor are opened, level by level, and only the chunks left
-    at the bottom are scored.
+    per unmatched region row.  Ties go to the smaller (province, city,
+    district, cleaned subdistrict, id) of the master.  A row whose best score
+    is 0 (nothing in common) gets no match.  ``only_codes`` restricts the
+    search to some subdistrict codes.  ``report`` is filled with the number
+    of pairs in the blocks and of pairs that reached the scorer.
     """
     from lumenflow.session import materialize
 
-    keep = materialize if checkpoint else (lambda df, name=None: df)
+    if only_codes is not None:
+        left_only = left_only.where(F.col("subdistrict_code").isin(*only_codes))
     left, master = candidate_features(left_only, master_only, rules, group_rows)
-    # Features and first scores feed several joins: each is written once to
-    # the shared folder instead of being recomputed.
-    left = keep(left, "fuzzy_left")
-    master = keep(master, "fuzzy_master")
-    levels = [keep(summaries(master, keys), f"fuzzy_level{i}") for i, keys in enumerate(LEVELS)]
-    rows = left.select("a_id", "a", "la", "ha", "block")
+    left = materialize(left, "fuzzy_left")
+    master = materialize(master, "fuzzy_master")
+    chunks = materialize(summaries(master), "fuzzy_chunks")
+    cities, districts = summaries_above(chunks, LEVELS[0]), summaries_above(chunks, LEVELS[1])
     members = master.select("gid", "b", *TIE_COLUMNS)
 
-    # 1) seed: a master with the same city, district and normalised name
-    reps = (master.withColumn("m_norm", _normal(F.col("m_sub_clean")))
-            .groupBy("block", "m_city", "m_district", "m_norm")
-            .agg(F.min(MASTER_ID).alias(MASTER_ID)))
-    seeds = (left.join(reps, (left["block"] == reps["block"]) & (left["city_name"] == reps["m_city"])
-                       & (left["district_name"] == reps["m_district"]) & (left["a_norm"] == reps["m_norm"]))
-             .select("a_id", "a", MASTER_ID)
-             .join(master.select(MASTER_ID, "b", *TIE_COLUMNS[:-1]).dropDuplicates([MASTER_ID]), MASTER_ID))
-    seeded = keep(_score_pairs(seeds).select("a_id", "score", *TIE_COLUMNS), "fuzzy_seeded")
-    seed_floor = seeded.groupBy("a_id").agg(F.max("score").alias("floor"))
-
-    # 2) greedy descent: best city, best district in it, best chunk in it
-    top_keys: tuple[str, ...] = ("block",)
-    row_once = rows.select("a_id", "a", "la", "ha").dropDuplicates(["a_id"])
-    current = rows
-    first_level = keep(bounds_below(rows, levels[0], ("block",), LEVELS[0]), "fuzzy_cities")
-    for i, keys in enumerate(LEVELS):
-        bounded = first_level if i == 0 else bounds_below(current, levels[i], top_keys, keys)
-        best = _best_child(bounded, keys)
-        current = row_once.join(best, "a_id")
-        top_keys = keys
-    top = keep(current.select("a_id", "gid"), "fuzzy_top")
-    first_rows = (top.join(row_once.select("a_id", "a"), "a_id")
-                  .join(seed_floor, "a_id", "left"))
-    first = keep(score_groups(first_rows, members), "fuzzy_first")
-    floor = seeded.unionByName(first).groupBy("a_id").agg(F.max("score").alias("floor"))
-
-    # 3) open, level by level, only the nodes whose bound reaches the floor
-    def reach(df: DataFrame) -> DataFrame:
-        return (df.join(floor, "a_id", "left")
+    # 1) floor: best city, best district in it, best chunks in it (ties by key)
+    def best(bounded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        node = F.struct(*keys)
+        top = bounded.groupBy(*ROW).agg(F.max_by(node, F.struct("ub", node)).alias("_n"))
+        return top.select(*ROW, "_n.*")
+
+    city = best(bounds_below(left, left, cities, ("block",), LEVELS[0]), LEVELS[0])
+    district = best(bounds_below(city, left, districts, LEVELS[0], LEVELS[1]), LEVELS[1])
+    order = Window.partitionBy(*ROW).orderBy(F.desc("ub"), "gid")
+    seeds = materialize(
+        bounds_below(district, left, chunks, LEVELS[1], LEVELS[2])
+        .withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= SEED_CHUNKS)
+        .select(*ROW, "gid"), "fuzzy_seeds")
+    first = materialize(score_groups(seeds.withColumn("floor", F.lit(0.0)), members), "fuzzy_first")
+    floor = first.groupBy(*ROW).agg(F.max("score").alias("floor"))
+
+    # 2) open, level by level, only the nodes whose bound reaches the floor
+    def reach(bounded: DataFrame) -> DataFrame:
+        return (bounded.join(floor, list(ROW), "left")
                 .where(F.col("ub") + 1e-9 >= F.coalesce(F.col("floor"), F.lit(0.0))))
 
-    alive = reach(first_level)
-    for i in range(1, len(LEVELS)):
-        alive = reach(bounds_below(alive.select("a_id", "a", "la", "ha", *LEVELS[i - 1]),
-                                   levels[i], LEVELS[i - 1], LEVELS[i]))
-    rest = keep(alive.join(top.withColumnRenamed("gid", "top_gid"), "a_id")
-                .where(F.col("gid") != F.col("top_gid"))
-                .select("a_id", "a", "gid", F.coalesce(F.col("floor"), F.lit(0.0)).alias("floor")),
-                "fuzzy_rest")
-    second = score_groups(rest, members)
-    scored = seeded.unionByName(first).unionByName(second)
-    best = (scored.groupBy("a_id").agg(F.min(F.struct(
-        (-F.col("score")).alias("neg"), *TIE_COLUMNS)).alias("w")))
-    return (best.where(F.col("w.neg") < 0)
+    alive = reach(bounds_below(left, left, cities, ("block",), LEVELS[0])).select(*ROW, *LEVELS[0])
+    alive = reach(bounds_below(alive, left, districts, LEVELS[0], LEVELS[1])).select(*ROW, *LEVELS[1])
+    alive = reach(bounds_below(alive, left, chunks, LEVELS[1], LEVELS[2]))
+    rest = materialize(alive.join(seeds, [*ROW, "gid"], "left_anti")
+                       .select(*ROW, "gid", F.coalesce(F.col("floor"), F.lit(0.0)).alias("floor")), "fuzzy_rest")
+    if report is not None:
+        size = master.groupBy("gid").agg(F.count(F.lit(1)).alias("n"))
+        reached = seeds.select("gid").unionByName(rest.select("gid")).join(size, "gid").agg(F.sum("n")).first()[0]
+        blocks = master.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+        report["block_pairs"] = left.join(blocks, "block").agg(F.sum("n")).first()[0] or 0
+        report["scored_pairs"] = reached or 0
+    scored = first.unionByName(score_groups(rest, members))
+    best_of = scored.groupBy(*ROW).agg(F.min(F.struct((-F.col("score")).alias("neg"), *TIE_COLUMNS)).alias("w"))
+    return (best_of.where(F.col("w.neg") < 0)
             .select(F.col("a_id").alias("subdistrict_a"), F.col(f"w.{MASTER_ID}").alias("subdistrict_b"),
                     (-F.col("w.neg")).alias("similarity_score")))
 
 
+def unmatched(left_only: DataFrame, fuzzy: DataFrame) -> DataFrame:
+    """Region rows that got no match, with the reason: a missing name, or no
+    master row in their block with anything in common."""
+    lost = joined_left(left_only).join(
+        fuzzy.select(F.col("subdistrict_a").alias("a_id")).distinct(), "a_id", "left_anti")
+    return lost.select(F.col("a_id").alias("subdistrict_code"),
+                       F.when(F.col("a").isNull(), "missing name").otherwise("no candidate").alias("reason"))
+
+
 # --- merge ----------------------------------------------------------------------
 
 def merge_matches(mapped: DataFrame, fuzzy: DataFrame, region: DataFrame,

@@ -152,7 +152,8 @@ region_flat AS (
   WHERE n.n_regionkey <> {B.DROPPED_LEVEL2_REGION}
 ),
 master AS (
-  SELECT c.c_custkey + 100000 AS URBAN_ID, r.r_name AS PROVINCE_NAME, n.n_name AS DISTRICT_NAME,
+  SELECT CASE WHEN c.c_custkey % {B.MASTER_NO_ID_EVERY} = 0 THEN NULL
+              WHEN c.c_custkey % {B.MASTER_SAME_ID_EVERY} = 0 THEN c.c_custkey + 99999 ELSE c.c_custkey + 100000 END AS URBAN_ID, r.r_name AS PROVINCE_NAME, n.n_name AS DISTRICT_NAME,
          c.c_mktsegment AS SUBDISTRICT_NAME,
          CASE WHEN c.c_acctbal < {B.MASTER_NO_HASH_BELOW} THEN replace(c.c_name, '#', '')
               WHEN c.c_acctbal > {B.MASTER_OLD_ABOVE} THEN c.c_name || ' (Old)'
@@ -174,7 +175,7 @@ master AS (
 mnames AS (
   SELECT URBAN_ID, upper(coalesce(PROVINCE_NAME, 'NAN')) AS m_province, upper(coalesce(DISTRICT_NAME, 'NAN')) AS m_city,
          upper(coalesce(SUBDISTRICT_NAME, 'NAN')) AS m_district, upper(coalesce(URBAN_NAME, 'NAN')) AS m_subdistrict
-  FROM master
+  FROM master WHERE URBAN_ID IS NOT NULL
 ),
 mapped AS (
   SELECT l.subdistrict_code, m.URBAN_ID FROM region_flat l JOIN mnames m
@@ -208,14 +209,14 @@ mo AS (
          regexp_replace(m_subdistrict, '\\([^)]*\\)', '', 'g') AS m_sub_clean FROM master_only
 ),
 pairs AS (
-  SELECT lo.subdistrict_code, mo.URBAN_ID, mo.m_city, mo.m_district, mo.m_sub_clean,
+  SELECT lo.subdistrict_code, mo.URBAN_ID, mo.m_province, mo.m_city, mo.m_district, mo.m_sub_clean,
          round(jaro_winkler_similarity(lo.a, mo.m_province || '_' || mo.m_city || '_' || mo.m_district || '_' || mo.m_sub_clean), 9) AS score
   FROM lo JOIN mo ON mo.m_province = lo.block
 ),
 best AS (
   SELECT subdistrict_code AS subdistrict_a, URBAN_ID AS subdistrict_b, score AS similarity_score FROM (
     SELECT *, row_number() OVER (PARTITION BY subdistrict_code
-                                 ORDER BY score DESC, m_city, m_district, m_sub_clean, URBAN_ID) AS rn
+                                 ORDER BY score DESC, m_province, m_city, m_district, m_sub_clean, URBAN_ID) AS rn
     FROM pairs) WHERE rn = 1 AND score > 0
 ),
 merged AS (
@@ -252,6 +253,12 @@ def _address() -> dict[str, str]:
         "regexp_replace(m.m_subdistrict, '\\([^)]*\\)', '', 'g')), 9) AS similarity_score "
         "FROM region_flat f JOIN mnames m ON CAST(substring(f.subdistrict_code, 7) AS BIGINT) + 100000 = m.URBAN_ID")
     q["fuzzy_best_match"] = w + "SELECT * FROM best"
+    q["region_export"] = q["hierarchy_flatten"]
+    # a row without a subdistrict name can't be mapped (no master name is missing)
+    q["address_unmatched"] = w.replace("upper(c.c_name) AS subdistrict_name",
+                                       "CASE WHEN c.c_custkey % 50 <> 0 THEN upper(c.c_name) END AS subdistrict_name") + (
+        "SELECT l.subdistrict_code, CASE WHEN l.subdistrict_name IS NULL THEN 'missing name' ELSE 'no candidate' END AS reason "
+        "FROM left_only l WHERE l.subdistrict_code NOT IN (SELECT subdistrict_a FROM best)")
     q["address_merge"] = w + "SELECT * FROM merged"
     q["address_match_pipeline"] = q["address_merge"]
     return q

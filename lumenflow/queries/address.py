@@ -92,6 +92,24 @@ def q_fuzzy_best_match(spark, sf_dir):
     return _fuzzy(spark, sf_dir)[3]
 
 
+@query("address_unmatched")
+def q_address_unmatched(spark, sf_dir):
+    """Region rows that end without a match: every 50th has no subdistrict name."""
+    region = _region(spark, sf_dir)
+    hole = F.substring("subdistrict_code", 7, 64).cast("bigint") % 50 == 0
+    region = materialize(region.withColumn("subdistrict_name", F.when(~hole, F.col("subdistrict_name"))), "region_holes")
+    _, left_only, master_only = MT.exact_split(region, _master(spark, sf_dir))
+    return MT.unmatched(left_only, MT.fuzzy_best_match(left_only, master_only, BINDING_RULES))
+
+
+@query("region_export")
+def q_region_export(spark, sf_dir):
+    """The flattened region table exported as CSV, read back as text."""
+    out = AM.export_region(spark, _document_path(spark, sf_dir), fresh_path(spark, "region_export"))
+    schema = ", ".join(f"{c} string" for c in H.FLAT_COLUMNS)
+    return spark.read.option("header", True).schema(schema).csv(out)
+
+
 @query("address_merge")
 def q_address_merge(spark, sf_dir):
     region, master, mapped, fuzzy = _fuzzy(spark, sf_dir)

@@ -260,13 +260,16 @@ def region_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MASTER_ABSENT_BELOW = 0.0          # customers with a negative balance are not in the master
 MASTER_NO_HASH_BELOW = 1000.0      # balances in [0, 1000): name written without '#'
+MASTER_NO_ID_EVERY = 97            # customers with such a key have no id
+MASTER_SAME_ID_EVERY = 89          # ... and these the id before theirs
 MASTER_OLD_ABOVE = 9000.0          # balances above: name suffixed ' (Old)'
 
 
 def address_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The address master: one row per customer with a non-negative
     balance, names in mixed case, some spelled differently, and carried
-    attributes derived from the keys."""
+    attributes derived from the keys.  Some rows have no id, some the id of
+    the customer before them."""
     region = read_table(spark, sf_dir, "region")
     nation = read_table(spark, sf_dir, "nation")
     c = read_table(spark, sf_dir, "customer").select(
@@ -280,7 +283,8 @@ def address_master(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(F.col("c_name")))
     key = F.col("c_custkey")
     return rows.select(
-        (key + 100000).alias("URBAN_ID"),
+        F.when(key % MASTER_NO_ID_EVERY == 0, F.lit(None)).otherwise(
+            key + 100000 - (key % MASTER_SAME_ID_EVERY == 0).cast("int")).alias("URBAN_ID"),
         F.col("r_name").alias("PROVINCE_NAME"),
         F.initcap("n_name").alias("DISTRICT_NAME"),
         F.col("c_mktsegment").alias("SUBDISTRICT_NAME"),

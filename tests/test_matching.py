@@ -3,6 +3,8 @@ import itertools
 import json
 import random
 
+import re
+
 import duckdb
 import numpy as np
 from hypothesis import given, settings
@@ -23,13 +25,21 @@ def test_scorer_equals_duckdb(pairs):
     ref = [_DUCK.execute("select jaro_winkler_similarity(?, ?)", list(p)).fetchone()[0] for p in pairs]
     got = JW.jaro_winkler([a for a, _ in pairs], [b for _, b in pairs])
     assert np.allclose(got, ref, atol=1e-12)
-    assert np.all(JW.upper_bound([a for a, _ in pairs], [b for _, b in pairs]) + 1e-12 >= got)
+    assert np.all(_bound(pairs) + 1e-12 >= got)
+
+
+def _bound(pairs):
+    """The bound of a node that holds one member."""
+    ha, hb = (JW.char_histogram([p[i] for p in pairs]) for i in (0, 1))
+    la, lb = (np.array([len(p[i]) for p in pairs]) for i in (0, 1))
+    head = np.array([JW._common_prefix(a[:4], b[:4]) for a, b in pairs])
+    return JW.bound(np.minimum(ha, hb).sum(axis=1), la, lb, head)
 
 
 def test_scorer_long_strings():
     a, b = "X" * 80 + "ABC", "X" * 79 + "ACB"
     ref = _DUCK.execute("select jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0]
-    assert abs(JW.jaro_winkler_one(a, b) - ref) < 1e-12
+    assert abs(float(JW.jaro_winkler([a], [b])[0]) - ref) < 1e-12
 
 
 def _doc(spark, obj_or_lines):
@@ -110,15 +120,15 @@ def _brute(left_rows, master_rows, rules):
         best = None
         for uid, mp, mc, md, ms in master_rows:
             mp, mc, md = mp.upper(), mc.upper(), md.upper()
-            clean = JW.re_paren(ms.upper())
+            clean = re.sub(r"\([^)]*\)", "", ms.upper())
             if mp not in blocks[p]:
                 continue
-            score = round(JW.jaro_winkler_one(a, "_".join([mp, mc, md, clean])), 9)
-            key = (-score, mc, md, clean, uid)
+            score = round(float(JW.jaro_winkler([a], ["_".join([mp, mc, md, clean])])[0]), 9)
+            key = (-score, mp, mc, md, clean, uid)
             if score > 0 and (best is None or key < best):
                 best = key
         if best:
-            out[code] = (best[4], -best[0])
+            out[code] = (best[5], -best[0])
     return out
 
 
@@ -149,6 +159,23 @@ def test_fuzzy_best_match_equals_brute_force(spark):
     assert len(got) > 50
 
 
+def test_missing_names_ids_and_repeats(spark):
+    """A row without a name is reported, a master without an id is no match, and
+    rows that share an id or a code are told apart by their names."""
+    region = _region(spark, [("L1", "P", "C", "D", None), ("L2", "P", "C", "D", "SAME"), ("L3", "P", "C", "D", "ALPHA1"),
+                             ("L3", "P", "C", "D", "BETA1"), ("L4", "Q", "C", "D", "S")])
+    master = _master(spark, [(None, "P", "C", "D", "SAME"), (7, "P", "C", "D", "ALPHA2"), (7, "P", "X", "Y", "ZZZ"), (8, "P", "C", "D", "BETA2")])
+    mapped, left_only, master_only = MT.exact_split(region, master)
+    assert mapped.count() == 0 and left_only.count() == 5 and master_only.count() == 3
+    fuzzy = MT.fuzzy_best_match(left_only, master_only)
+    got = sorted((r.subdistrict_a, r.subdistrict_b) for r in fuzzy.collect())
+    assert [a for a, _ in got] == ["L2", "L3", "L3"] and got[1:] == [("L3", 7), ("L3", 8)]
+    lost = {(r.subdistrict_code, r.reason) for r in MT.unmatched(left_only, fuzzy).collect()}
+    assert lost == {("L1", "missing name"), ("L4", "no candidate")}
+    some = MT.fuzzy_best_match(left_only, master_only, only_codes=("L2",))
+    assert [r.subdistrict_a for r in some.collect()] == ["L2"]
+
+
 def test_salted_hot_groups_give_the_same_answer(spark, monkeypatch):
     """With at most 3 region rows per scoring call every group is split
     into salts (members replicated); the result must not change."""

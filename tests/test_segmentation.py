@@ -104,9 +104,9 @@ def test_run_month_is_idempotent_and_reads_its_own_table(spark, scratch):
     feed = _raw(spark, [("2024-02", "p2", 2)])
     assert S.run_month(feed, aging, root, _seed(spark, "2024-02"), "2024-02") == 2
     once = sorted((r.month_year, r.pos_code, r.pos_tiering, r.tiering_changes)
-                  for r in storage.read_months(spark, root, S.OUTPUT_COLUMNS).collect())
+                  for r in storage.read_months(spark, root, S.table_schema()).collect())
     assert S.run_month(feed, aging, root, _seed(spark, "2024-02"), "2024-02") == 2
     twice = sorted((r.month_year, r.pos_code, r.pos_tiering, r.tiering_changes)
-                   for r in storage.read_months(spark, root, S.OUTPUT_COLUMNS).collect())
+                   for r in storage.read_months(spark, root, S.table_schema()).collect())
     assert once == twice
     assert ("2024-02", "p1", "No Trx", "No Trx G/P") in once
