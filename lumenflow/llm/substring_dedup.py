@@ -45,7 +45,7 @@ from lumenflow.session import materialize
 WINDOW = 35
 GRAM = 8
 SHARD_WORDS = 40_000
-WIDE = 400
+WIDE = 4_000                # different passages of an anchor that one automaton may read
 
 _U = np.uint64
 _PLACE = 28                 # bits of a gram's place in the key that orders grams
@@ -257,7 +257,8 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, tkey, spans): word ranges [from, to) that repeated windows cover."""
     found = materialize(anchors(docs), "anchors")
-    often = found.groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1").select("anchor")
+    # written, so that the join deals both sides itself and can split a hot anchor
+    often = materialize(found.groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1").select("anchor"), "often")
     found = materialize(found.join(often, "anchor", "left_semi"), "repeated")
     kinds = found.groupBy("anchor", "passage").agg(
         F.count("*").alias("times"), F.min(F.struct("doc_id", "tkey", "start", "n")).alias("at"))
