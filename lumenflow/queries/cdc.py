@@ -46,14 +46,13 @@ def q_cdc_bounded_runs(spark, sf_dir):
     B.cdc_messages(spark, sf_dir).repartitionByRange(8, "partition", "offset").write.parquet(topic_dir)
     messages = spark.read.schema(cdc_stream.MESSAGE_SCHEMA).parquet(topic_dir)
     state, exports = fresh_path(spark, "position"), fresh_path(spark, "exports")
-    out = None
+    schema = "id bigint, event_type string, value double"
+    out = spark.createDataFrame([], schema + ", run int")
     for run in range(B.CDC_RUNS):
         where = f"{exports}/run{run}"
-        cdc_stream.consume_bounded(messages, B.CDC_ROW_SCHEMA, B.CDC_KEY, state, where, B.CDC_TOPIC, B.CDC_BATCH_KEYS)
-        path = f"{where}/{cdc.export_name(B.CDC_TOPIC)}.csv"
-        rows = (spark.read.option("header", True).schema("id bigint, event_type string, value double").csv(path)
-                .withColumn("run", F.lit(run)))
-        out = rows if out is None else out.unionByName(rows)
+        if cdc_stream.consume_bounded(messages, B.CDC_ROW_SCHEMA, B.CDC_KEY, state, where, B.CDC_TOPIC, B.CDC_BATCH_KEYS):
+            rows = spark.read.option("header", True).schema(schema).csv(f"{where}/{cdc.export_name(B.CDC_TOPIC)}.csv")
+            out = out.unionByName(rows.withColumn("run", F.lit(run)))
     return out
 
 
