@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenflow.llm.words import text_column
+from lumenflow.llm.words import text_lists
 from lumenflow.session import materialize
 
 # fixed values: titles and the gender they tell, by script
@@ -242,6 +242,7 @@ def surrogates(entities: DataFrame, key: bytes, draw: Callable = _drawn) -> Data
 def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
     """``docs`` with every entity of ``text`` replaced, all columns, and
     ``n_entities``.  Rows without one pass through where they lie."""
+    docs = docs.drop("n_entities")
     names = docs.columns
     key_of = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     mine = docs.withColumns({"_lf_id": F.col("doc_id").cast("long"), "_lf_key": key_of})
@@ -249,7 +250,9 @@ def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
 
     def seen(batches):
         for batch in batches:
-            rows = [(i, k, x[2], x[3]) for i, k, t in zip(*(c.to_pylist() for c in batch.columns)) for x in find(t)]
+            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            rows = [(ids[a + j], keys[a + j], x[2], x[3]) for a, texts in text_lists(batch, "text")
+                    for j, t in enumerate(texts) for x in find(t)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string()))],
                 names=["_lf_id", "_lf_key", "kind", "normal"])
@@ -263,15 +266,16 @@ def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
     def split(with_entities: bool):
         def run(batches):
             for batch in batches:
-                texts = text_column(batch, "text").to_pylist()
-                yield batch.filter(pa.array([bool(find(t)) == with_entities for t in texts], pa.bool_()))
+                held = [bool(find(t)) == with_entities for _, texts in text_lists(batch, "text") for t in texts]
+                yield batch.filter(pa.array(held, pa.bool_()))
         return run
 
     def replace(batches):
         for batch in batches:
             new, counts = [], []
             given_lists = batch.column(batch.schema.get_field_index("_lf_given")).to_pylist()
-            for text, given_list in zip(text_column(batch, "text").to_pylist(), given_lists):
+            texts = (t for _, some in text_lists(batch, "text") for t in some)
+            for text, given_list in zip(texts, given_lists):
                 table = {(g["kind"], g["normal"]): g["surrogate"] for g in given_list}
                 found, out, at = find(text), [], 0
                 for a, b, kind, normal in found:

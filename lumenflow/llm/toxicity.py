@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenflow.llm.words import text_column
+from lumenflow.llm.words import text_lists
 from lumenflow.session import materialize
 
 MAX_TOXIC = 4_000           # labelled rows that the fit reads at most
@@ -42,6 +42,7 @@ MAX_TERMS = 2_000           # terms of the lexicon
 MIN_DOCS = 5                # toxic documents that must hold a term ...
 MIN_SHARE = 0.005           # ... and their share of the toxic documents
 MIN_LOG_ODDS = 1.5
+MIN_G2 = 30.0               # and the evidence against chance (likelihood ratio), as very many terms are tried
 GRAMS = range(3, 9)         # lengths of parts of words
 EXCEPTION_DOCS = 3          # clean documents that must hold an exception phrase
 CUT = 0.5
@@ -101,9 +102,9 @@ def evidence(automaton, folded: str) -> tuple[float, float, float, float]:
     return 100 * total / len(folded), max(h[2] for h in hits), math.log1p(total), 100 * len(hits) / len(folded)
 
 
-def _parts(word: str) -> set[str]:
+def _parts(word: str) -> tuple[str, ...]:
     padded = f" {word} "
-    return {padded[i:i + n] for n in GRAMS for i in range(len(padded) - n + 1)}
+    return tuple({padded[i:i + n] for n in GRAMS for i in range(len(padded) - n + 1)})
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
@@ -120,7 +121,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
 
 def _texts(batches):
     for batch in batches:
-        yield from zip(text_column(batch, "text").to_pylist(), batch.column(1).to_pylist())
+        labels = batch.column(1).to_pylist()
+        for a, texts in text_lists(batch, "text"):
+            yield from zip(texts, labels[a:a + len(texts)])
+
+
+def _term_counts(toxic: Counter, clean: Counter) -> pa.RecordBatch:
+    terms = sorted(toxic.keys() | clean.keys())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()),
+         pa.array([clean[t] for t in terms], pa.int64())], names=["term", "toxic", "clean"])
 
 
 def _count_terms(batches):
@@ -130,20 +140,14 @@ def _count_terms(batches):
         for word in set(fold(text or "").split()):
             if word not in known:
                 known[word] = _parts(word)
-            parts |= known[word]
+            parts.update(known[word])
         (toxic if label else clean).update(parts)
-        if len(known) > 50_000:
+        if len(known) > 5_000:
             known.clear()
-    terms = sorted(toxic)              # a term that no toxic text holds can't enter the lexicon
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()), pa.array([0] * len(terms), pa.int64())],
-        names=["term", "toxic", "clean"])
-    rest = sorted(clean)
-    for a in range(0, len(rest), 100_000):
-        chunk = rest[a:a + 100_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(chunk, pa.string()), pa.array([0] * len(chunk), pa.int64()), pa.array([clean[t] for t in chunk], pa.int64())],
-            names=["term", "toxic", "clean"])
+        if len(toxic) + len(clean) > 300_000:       # counts so far; they are summed after the shuffle
+            yield _term_counts(toxic, clean)
+            toxic, clean = Counter(), Counter()
+    yield _term_counts(toxic, clean)
 
 
 def _phrases(terms: dict[str, float]):
@@ -164,10 +168,7 @@ def _phrases(terms: dict[str, float]):
                 if after >= 0:
                     found.add(folded[a:after + 1])
             (toxic if label else clean).update(found)
-        keys = sorted(toxic.keys() | clean.keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), pa.array([toxic[k] for k in keys], pa.int64()),
-             pa.array([clean[k] for k in keys], pa.int64())], names=["term", "toxic", "clean"])
+        yield _term_counts(toxic, clean)
     return run
 
 
@@ -196,9 +197,18 @@ def learn(docs: DataFrame, labels: DataFrame, held_out) -> Lexicon:
     spread = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
     least = max(MIN_DOCS, MIN_SHARE * n_toxic)
     odds = (F.log((F.col("toxic") + 0.5) / F.lit(n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(n_clean + 1.0)))
+    n_all, share = n_toxic + n_clean, n_toxic / (n_toxic + n_clean)
+
+    def cell(seen, expected):
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(F.lit(0.0))
+
+    a, b = F.col("toxic"), F.col("clean")
+    g2 = 2 * (cell(a, (a + b) * share) + cell(b, (a + b) * (1 - share))
+              + cell(F.lit(n_toxic) - a, (n_all - a - b) * share) + cell(F.lit(n_clean) - b, (n_all - a - b) * (1 - share)))
     strong = (spread.mapInArrow(_count_terms, "term string, toxic long, clean long")
               .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-              .where(F.col("toxic") >= least).withColumn("weight", odds).where(F.col("weight") >= MIN_LOG_ODDS))
+              .where(F.col("toxic") >= least).withColumn("weight", odds)
+              .where((F.col("weight") >= MIN_LOG_ODDS) & (g2 >= MIN_G2)))
     # a part of a longer term with the same documents says nothing more
     inner = strong.select(F.explode(F.array(F.expr("substring(term, 2)"), F.expr("substring(term, 1, length(term) - 1)"))).alias("term"), "toxic", "clean").distinct()
     own = strong.join(inner, ["term", "toxic", "clean"], "left_anti")
@@ -224,18 +234,21 @@ def learn(docs: DataFrame, labels: DataFrame, held_out) -> Lexicon:
     return lexicon
 
 
+def _scores(batch: pa.RecordBatch, automaton, lexicon: Lexicon) -> np.ndarray:
+    if lexicon.weights is None:
+        return np.zeros(batch.num_rows)
+    x = np.array([evidence(automaton, fold(t or "")) for _, texts in text_lists(batch, "text") for t in texts]).reshape(-1, 4)
+    z = np.c_[np.ones(len(x)), (x - lexicon.centre) / lexicon.scale] @ lexicon.weights
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """(doc_id, score, predicted) of every row; labels, language, source and id
     are not looked at."""
     def run(batches):
         automaton = lexicon.automaton()
         for batch in batches:
-            x = np.array([evidence(automaton, fold(t or "")) for t in text_column(batch, "text").to_pylist()]).reshape(-1, 4)
-            if lexicon.weights is None:
-                p = np.zeros(len(x))
-            else:
-                z = np.c_[np.ones(len(x)), (x - lexicon.centre) / lexicon.scale] @ lexicon.weights
-                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            p = _scores(batch, automaton, lexicon)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= CUT).astype(np.int32))],
                                              names=["doc_id", "score", "predicted"])
 
@@ -251,17 +264,9 @@ def crc_held_out(doc_id):
 def drop_toxic(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """The rows that are not predicted toxic; all columns.  Each row is judged
     where it lies, so nothing is shuffled."""
-    names, schema = docs.columns, docs.schema
-
     def run(batches):
         automaton = lexicon.automaton()
         for batch in batches:
-            if lexicon.weights is None:
-                yield batch
-                continue
-            x = np.array([evidence(automaton, fold(t or "")) for t in text_column(batch, "text").to_pylist()]).reshape(-1, 4)
-            z = np.c_[np.ones(len(x)), (x - lexicon.centre) / lexicon.scale] @ lexicon.weights
-            keep = 1 / (1 + np.exp(-np.clip(z, -30, 30))) < CUT
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, schema).select(*names)
+            yield batch.filter(pa.array(_scores(batch, automaton, lexicon) < CUT, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

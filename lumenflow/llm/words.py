@@ -112,3 +112,11 @@ def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
         column = column.cast(pa.string())
     return column
+
+
+def text_lists(batch: pa.RecordBatch, name: str, rows: int = 256):
+    """(first row, texts as Python strings) of a few rows at a time, so that a
+    task never holds a whole batch twice."""
+    column = text_column(batch, name)
+    for a in range(0, len(column), rows):
+        yield a, column.slice(a, rows).to_pylist()
