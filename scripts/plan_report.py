@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from lumenflow.queries import all_queries  # noqa: E402
 from lumenflow.session import build_session  # noqa: E402
 
-HEADLINE = ("pos_segmentation_month", "diamond_check", "cdc_latest_by_key", "cdc_key_bounded_batch",
+HEADLINE = ("pos_segmentation_month", "previous_month_slice", "seed_month_filter", "diamond_check", "cdc_latest_by_key", "cdc_key_bounded_batch",
             "exact_match_split", "fuzzy_best_match", "address_merge", "upsert_existing",
             "hierarchy_flatten", "duplicate_check")
 
@@ -49,6 +49,23 @@ def main() -> None:
         s = summary(plan)
         print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['scans']} | {s['pushed']} | "
               f"{s['partition']} | {s['python']} | {s['widest_read']} |")
+    fuzzy_pairs(spark, sf_dir)
+
+
+def fuzzy_pairs(spark, sf_dir: str) -> None:
+    """Pairs of the blocks and pairs whose chunk is opened, at ``sf_dir`` and at
+    ten times its rows."""
+    from lumenflow.operators import matching
+    from lumenflow.queries import address
+
+    print("\n| data | pairs in the blocks | in opened chunks | share |")
+    print("| --- | --- | --- | --- |")
+    for path in (sf_dir, sf_dir.replace("sf0.01", "sf0.1")):
+        report: dict = {}
+        _, left, master = matching.exact_split(address._region(spark, path), address._master(spark, path))
+        matching.fuzzy_best_match(left, master, address.BINDING_RULES, report=report)
+        share = report["scored_pairs"] / max(report["block_pairs"], 1)
+        print(f"| {os.path.basename(path)} | {report['block_pairs']} | {report['scored_pairs']} | {share:.0%} |")
 
 
 if __name__ == "__main__":
