@@ -52,7 +52,7 @@ ROWS = 5
 COMMON = 0.01               # document frequency below which the weight no longer rises
 BLOCK = 192                 # texts of a family that are compared at once, twice that a task
 STRIP = 4096                # columns of a block's matrix at once
-BLOCK_BYTES = 16 << 20      # text whose shingles a task counts at once
+BLOCK_BYTES = 6 << 20       # text whose shingles a task counts at once
 SEED = 20240607
 
 _U = np.uint64

@@ -3,7 +3,8 @@
 ``token_pieces``  texts -> pieces of at most ``max_tokens`` ids
 ``pack``          pieces -> sequences: best-fit decreasing in groups; the bin
                   count of a group is certified by a lower bound; groups with a
-                  gap exchange the documents of their open bins and pack again
+                  gap exchange the documents of their open bins (certified ones
+                  those of their emptiest bin) and pack again
 ``sequences``     packed pieces -> the id lists themselves
 
 Defined results: a null or empty text is the one id ``eos``; rows that repeat a
@@ -29,7 +30,7 @@ from lumenflow.session import materialize
 
 MAX_TOKENS = 4096
 GROUP_ROWS = 50_000          # pieces that one packing task holds
-ROUNDS = 4                   # exchanges at most; a round that gains nothing ends them
+ROUNDS = 6                   # packings at most; one that saves nothing ends them
 CACHE_WORDS = 1_000_000      # encoded word parts that a Python worker remembers (about 40 MB)
 
 # Byte classes.  A boundary between two of ASCII letter, digit and mark always
@@ -212,17 +213,18 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 _PACKED = ("doc_id long, piece int, start long, length long, ids_crc32 long, lane int, "
-           "grp long, bin long, offset long, fill long, bins long, bound long")
+           "grp long, bin long, offset long, loose boolean")
 
 
 def _pack_group(capacity: int):
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "piece", "lane"], kind="stable").reset_index(drop=True)
         lengths = frame["length"].to_numpy(np.int64)
         bins, offsets, count = best_fit_decreasing(lengths, capacity)
         fill = np.bincount(bins, weights=lengths, minlength=count).astype(np.int64)
-        return frame.assign(bin=bins, offset=offsets, fill=fill[bins], bins=count,
-                            bound=lower_bound(lengths, capacity))
+        # a certified group only gives up what all its bins round up to
+        given = fill < capacity if count > lower_bound(lengths, capacity) else (np.arange(count) == fill.argmin()) & (fill < capacity)
+        return frame.assign(bin=bins, offset=offsets, loose=given[bins])
     return run
 
 
@@ -231,9 +233,10 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group_rows: int = GROU
 
     Groups hold about ``group_rows`` pieces, spread by a hash that includes a
     per-task counter, so a document id that is repeated endlessly is spread
-    too.  A group whose bin count equals its bound is settled.  The others keep
-    their full bins and give up the rest, which are dealt over new groups and
-    packed again while that saves bins.
+    too.  A group whose bin count equals its bound can't be packed better by
+    itself; it gives up its emptiest bin.  The others give up all bins that
+    aren't full.  What was given up is dealt over new, larger groups and packed
+    again while that saves bins.
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "lane"]
     pieces = materialize(pieces.select(*names), "pieces")
@@ -242,27 +245,24 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group_rows: int = GROU
     before: tuple[DataFrame, int] | None = None
     todo = pieces
     for round_ in range(ROUNDS):
-        groups = max(1, -(-n // group_rows))
+        groups = max(1, -(-n // (group_rows << round_)))
         spread = F.pmod(F.xxhash64("doc_id", "piece", "lane", F.lit(round_)), F.lit(groups))
         packed = materialize(
             todo.select(*names, spread.alias("grp")).groupBy("grp")
             .applyInPandas(_pack_group(max_tokens), _PACKED)
             .withColumn("sequence_id", F.lit(round_ << 56) + F.shiftleft("grp", 28) + F.col("bin")), "packed")
-        gap = F.col("bins") > F.col("bound")
-        loose = packed.where(gap & (F.col("fill") < max_tokens))
-        total, n, loose_bins = (packed.agg(
-            F.sum(F.when(F.col("offset") == 0, 1).otherwise(0)),
-            F.sum(F.when(gap & (F.col("fill") < max_tokens), 1).otherwise(0)),
-            F.sum(F.when(gap & (F.col("fill") < max_tokens) & (F.col("offset") == 0), 1).otherwise(0)),
-        ).first())
-        if before and (total or 0) >= before[1]:      # nothing saved: the earlier packing stands
+        head = F.when(F.col("offset") == 0, 1).otherwise(0)         # one row of each bin
+        total, n, loose_bins = packed.agg(F.sum(head), F.sum(F.col("loose").cast("int")),
+                                          F.sum(F.when(F.col("loose"), head).otherwise(0))).first()
+        if before and total >= before[1]:       # nothing saved: the earlier packing stands
             settled.append(before[0])
             break
-        if not n or round_ == ROUNDS - 1 or groups == 1:
+        if not n or groups == 1 or round_ == ROUNDS - 1:
             settled.append(packed)
             break
-        settled.append(packed.where(~(gap & (F.col("fill") < max_tokens))))
-        before, todo = (loose, loose_bins), loose
+        settled.append(packed.where("not loose"))
+        before = packed.where("loose"), loose_bins
+        todo = before[0]
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)

@@ -144,7 +144,7 @@ def _count_terms(batches):
         (toxic if label else clean).update(parts)
         if len(known) > 5_000:
             known.clear()
-        if len(toxic) + len(clean) > 300_000:       # counts so far; they are summed after the shuffle
+        if len(toxic) + len(clean) > 120_000:       # counts so far; they are summed after the shuffle
             yield _term_counts(toxic, clean)
             toxic, clean = Counter(), Counter()
     yield _term_counts(toxic, clean)

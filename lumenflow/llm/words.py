@@ -1,9 +1,9 @@
 """Words of whole Arrow batches, cut and hashed with numpy.
 
 A word is a maximal run of bytes other than ``\\x20`` and ``\\x09-\\x0D``, as it
-stands (null: no words).  Texts are handled in slices of about ``SLICE_BYTES``
-so that the working arrays of a task stay small however large a batch is; a
-single longer text is a slice of its own.
+stands (null: no words).  Texts are handled in slices of ``SLICE_BYTES`` or
+so, so that the working arrays of a task stay small however large a batch is;
+a single longer text is a slice of its own.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SLICE_ROWS = 1 << 15
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
