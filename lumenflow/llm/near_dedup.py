@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow.llm.components import components
-from lumenflow.llm.words import mix, span_hash, text_column, text_slices, word_hashes, word_spans
+from lumenflow.llm.words import mix, small_batches, span_hash, text_column, text_slices, word_hashes, word_spans
 from lumenflow.session import materialize
 
 N_GRAM = 5
@@ -354,8 +354,8 @@ def _link_blocks(common, threshold: float):
     return run
 
 
-def _classes(docs: DataFrame, threshold: float) -> DataFrame:
-    """(doc_id, tkey, class_id, class_size, kept) of every row."""
+def _search(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(signatures, classes of the linked nodes), both written."""
     spark: SparkSession = docs.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(docs))
     signed = materialize(signatures(docs, common), "signed")
@@ -383,8 +383,13 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     pairs = pairs.select("comp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "text")
     links = (pairs.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi", "node")
              .mapInArrow(_link_blocks(common, threshold), "a binary, b binary"))
-    classes = components(links)
+    return signed, components(links)
+
 
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, tkey, class_id, class_size, kept) of every row."""
+    with small_batches(docs.sparkSession):
+        signed, classes = _search(docs, threshold)
     named = materialize(signed.join(classes, "node", "left").select(
         "doc_id", "tkey", F.coalesce("comp", "node").alias("comp")), "named")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey"))

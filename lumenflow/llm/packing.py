@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenflow.llm.words import span_hash, text_column, text_slices
+from lumenflow.llm.words import small_batches, span_hash, text_column, text_slices
 from lumenflow.session import materialize
 
 MAX_TOKENS = 4096
@@ -239,7 +239,8 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group_rows: int = GROU
     again while that saves bins.
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "lane"]
-    pieces = materialize(pieces.select(*names), "pieces")
+    with small_batches(pieces.sparkSession):        # the texts are encoded here
+        pieces = materialize(pieces.select(*names), "pieces")
     n = pieces.count()
     settled: list[DataFrame] = []
     before: tuple[DataFrame, int] | None = None

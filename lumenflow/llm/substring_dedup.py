@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumenflow.llm.words import span_hash, text_column, text_slices, word_spans
+from lumenflow.llm.words import small_batches, span_hash, text_column, text_slices, word_spans
 from lumenflow.session import materialize
 
 WINDOW = 35
@@ -256,7 +256,8 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, tkey, spans): word ranges [from, to) that repeated windows cover."""
-    found = materialize(anchors(docs), "anchors")
+    with small_batches(docs.sparkSession):
+        found = materialize(anchors(docs), "anchors")
     # written, so that the join deals both sides itself and can split a hot anchor
     often = materialize(found.groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1").select("anchor"), "often")
     found = materialize(found.join(often, "anchor", "left_semi"), "repeated")
@@ -266,7 +267,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     whole = kinds.where("times > 1").select("anchor", "passage", F.lit(0).alias("lo"), F.col("n").alias("hi"))
 
     several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    held = materialize(_words_of(docs, kinds.join(several.select("anchor"), "anchor", "left_semi")), "passages")
+    with small_batches(docs.sparkSession):
+        held = materialize(_words_of(docs, kinds.join(several.select("anchor"), "anchor", "left_semi")), "passages")
     routed = held.join(several, "anchor")
     narrow = routed.where(F.col("kinds") <= WIDE).select("anchor", "passage", "times", "words")
     spans = narrow.repartition("anchor").sortWithinPartitions("anchor", "passage").mapInArrow(_match_shards, _SPAN)

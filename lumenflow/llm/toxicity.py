@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenflow.llm.words import text_lists
+from lumenflow.llm.words import small_batches, text_lists
 from lumenflow.session import materialize
 
 MAX_TOXIC = 4_000           # labelled rows that the fit reads at most
@@ -189,6 +189,11 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 def learn(docs: DataFrame, labels: DataFrame, held_out) -> Lexicon:
     """``held_out``: a function of the id column, true for rows not to learn from."""
+    with small_batches(docs.sparkSession):
+        return _learn(docs, labels, held_out)
+
+
+def _learn(docs: DataFrame, labels: DataFrame, held_out) -> Lexicon:
     rows = materialize(training_rows(docs, labels, held_out), "labelled")
     counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = counts.get(1, 0), counts.get(0, 0)

@@ -8,6 +8,8 @@ a single longer text is a slice of its own.
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -107,6 +109,27 @@ def word_hashes(column: pa.Array):
             yield h[a:b]
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1_000
+
+
+@contextlib.contextmanager
+def small_batches(spark):
+    """While an operator's own jobs run, a task exchanges at most ``BATCH_ROWS``
+    texts with Python at once (either process holds a batch, or two, beside its
+    work); the session's setting is put back."""
+    before = spark.conf.get(BATCH, None)
+    if before is None or int(before) <= 0 or int(before) > BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH)
+        else:
+            spark.conf.set(BATCH, before)
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     column = batch.column(batch.schema.get_field_index(name))
     if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
