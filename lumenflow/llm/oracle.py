@@ -66,4 +66,15 @@ SQL: dict[str, str] = {
               FROM items i JOIN q USING (domain, lang, source)),
         c AS (SELECT *, epochs + CASE WHEN run <= rest THEN 1 ELSE 0 END AS copies FROM p)
         SELECT doc_id, domain, lang, source, unnest(generate_series(0, copies - 1))::INT AS epoch, tokens // n AS n_tokens FROM c WHERE copies > 0""",
+    "op4_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        windows AS (SELECT doc_id, unnest(range(1, len(words) - 33)) AS i,
+                           unnest(list_transform(range(1, len(words) - 33), lambda i: md5(array_to_string(words[i:i + 34], ' ')))) AS k
+                    FROM w WHERE len(words) >= 35),
+        twice AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows JOIN twice USING (k)),
+        placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w),
+        kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS body FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)""",
 }
