@@ -187,7 +187,11 @@ def best_in_block(left: pd.DataFrame, members: pd.DataFrame, ties: list[str]) ->
     ha, hb = char_histogram(a_list), char_histogram(b_list)
     A, la = _codes(a_list, -1)
     B, lb = _codes(b_list, -2)
-    common = np.minimum(ha[:, None, :], hb[None, :, :]).sum(axis=2)
+    # only buckets that both sides use, in the narrowest type
+    used = np.flatnonzero(ha.any(axis=0) & hb.any(axis=0))
+    width = np.uint8 if max(ha.max(initial=0), hb.max(initial=0)) < 256 else np.int32
+    ha, hb = ha[:, used].astype(width), hb[:, used].astype(width)
+    common = np.minimum(ha[:, None, :], hb[None, :, :]).sum(axis=2, dtype=np.int32)
     k = min(PREFIX_MAX, A.shape[1], B.shape[1])
     if k:
         same = (A[:, None, :k] == B[None, :, :k])
