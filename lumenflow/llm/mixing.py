@@ -100,9 +100,8 @@ def allocate(items: DataFrame, tree: list[Level], budget: int | None, max_epochs
         children = (leaves.groupBy(*path).agg((F.sum("tokens") * max_epochs).alias("cap"), F.max(f"_w_{name}").alias("weight"))
                     .where("weight > 0"))
         if depth == 0:
-            total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all"))
-            amount = F.col("all") if budget is None else F.lit(budget)
-            shared = _share(children.crossJoin(F.broadcast(total)), ["all"], name, amount).drop("all")     # one row
+            total = budget if budget is not None else leaves.agg(F.sum("tokens")).first()[0] or 0
+            shared = _share(children.withColumn("_root", F.lit(0)), ["_root"], name, F.lit(total).cast("long")).drop("_root")
         else:
             parent = path[:-1]
             given = shared.select(*parent, F.col("budget").alias("given"))
