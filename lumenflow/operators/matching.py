@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from lumenflow.functions import jaro_winkler as JW
 from lumenflow.functions.strings import join_names, strip_parenthesised, text_upper
+from lumenflow.session import materialize
 
 # Output and master column names.
 MASTER_NAME_COLUMNS = ("PROVINCE_NAME", "DISTRICT_NAME", "SUBDISTRICT_NAME", "URBAN_NAME")
@@ -160,11 +161,12 @@ def candidate_features(left_only: DataFrame, master_only: DataFrame, rules: tupl
     """Rows with their block, joined string, length, histogram and prefix;
     master rows also carry their chunk id.  A region row with a missing name
     has no string to compare; ``unmatched`` reports it."""
-    left = joined_left(left_only).where(F.col("a").isNotNull())
+    # the anti-joins feed the block map, the features and a range sample: written once
+    left = materialize(joined_left(left_only).where(F.col("a").isNotNull()), "fuzzy_rows")
     sub_clean = strip_parenthesised(F.col("m_subdistrict"))
-    master = master_only.select(
+    master = materialize(master_only.select(
         MASTER_ID, "m_province", "m_city", "m_district", sub_clean.alias("m_sub_clean"),
-        join_names("m_province", "m_city", "m_district", sub_clean).alias("b"))
+        join_names("m_province", "m_city", "m_district", sub_clean).alias("b")), "fuzzy_members")
     blocks = block_map(left.select("province_name").distinct(),
                        master.select("m_province").distinct(), rules)
     left = (left.join(blocks, "province_name").distinct()
@@ -260,8 +262,6 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
     search to some subdistrict codes.  ``report`` is filled with the number
     of pairs in the blocks and of pairs that reached the scorer.
     """
-    from lumenflow.session import materialize
-
     if only_codes is not None:
         left_only = left_only.where(F.col("subdistrict_code").isin(*only_codes))
     left, master = candidate_features(left_only, master_only, rules, group_rows)
