@@ -94,6 +94,12 @@ def compact_batches(spark: SparkSession, sink: str, key: str, upto: int) -> str:
 FIRST_WINDOW = 4        # offsets a partition that a run first looks at, per key of its bound
 
 
+def topic_ends(messages: DataFrame) -> dict[int, tuple[int, int]]:
+    """The first and last offset of each partition, a row per partition."""
+    return {r["partition"]: (r["lo"], r["hi"]) for r in messages.groupBy("partition").agg(
+        F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()}
+
+
 def consume_bounded(messages: DataFrame, row_schema: str, key: str, state_root: str,
                     export_dir: str, topic: str, batch_size: int = 1000) -> int:
     """One bounded run of the change consumer over a replayable source.
@@ -113,17 +119,23 @@ def consume_bounded(messages: DataFrame, row_schema: str, key: str, state_root:
     stays.  Only afterwards the new offsets are committed, so a failed run is
     repeated (at least once).  Returns the number of rows exported.
     """
+    return next_run(messages, row_schema, key, state_root, export_dir, topic, batch_size, topic_ends(messages)) or 0
+
+
+def next_run(messages: DataFrame, row_schema: str, key: str, state_root: str, export_dir: str,
+             topic: str, batch_size: int, ends: dict[int, tuple[int, int]]) -> int | None:
+    """``consume_bounded`` up to ``ends`` (of ``topic_ends``).  None once the
+    committed offsets have reached them, which a run that exports no row (0)
+    does not mean: draining a topic is calling this until it gives None."""
     from lumenflow.sinks import storage
 
     spark = messages.sparkSession
     committed = storage.read_current(spark, state_root)
     # a row per partition of the topic
     start = {r["partition"]: r["next"] for r in committed.collect()} if committed is not None else {}
-    ends = {r["partition"]: (r["lo"], r["hi"]) for r in messages.groupBy("partition").agg(
-        F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()}
     base = {p: max(start.get(p, lo), lo) for p, (lo, hi) in ends.items() if hi >= start.get(p, lo)}
     if not base:
-        return 0
+        return None
     left = max(ends[p][1] - base[p] + 1 for p in base)
 
     def window(size: int) -> DataFrame:

@@ -3,6 +3,8 @@ import datetime as dt
 import json
 import random
 
+from pyspark.sql import functions as F
+
 from lumenflow.operators import cdc
 
 SCHEMA = "struct<id:bigint,name:string>"
@@ -144,6 +146,18 @@ def test_bounded_runs_commit_after_export(spark, scratch):
     assert got == expect and len(got) >= 3
 
 
+def test_bounded_runs_drain_the_topic(spark, monkeypatch):
+    from lumenflow.queries import all_queries
+    from lumenflow.sources import bindings as B
+    # every key once, then skipped messages only: four full runs, a rest, and nothing is left unread
+    rows = [(_env("c", {"id": i, "event_type": "signup", "value": i / 2}), i % 2, i // 2, i) for i in range(4 * B.CDC_BATCH_KEYS + 50)]
+    rows += [(_env("d", {"id": 1}), 0, 1000 + i, 0) for i in range(5)]
+    topic = _at(spark, rows).withColumn("topic", F.lit(B.CDC_TOPIC))
+    monkeypatch.setattr(B, "cdc_messages", lambda spark, sf_dir: topic)
+    got = all_queries()["cdc_bounded_runs"](spark, "unused").collect()
+    assert sorted((r.run, r.id) for r in got) == [(i // B.CDC_BATCH_KEYS, i) for i in range(4 * B.CDC_BATCH_KEYS + 50)]
+
+
 def test_missing_key_counts_once_in_the_bound(spark):
     values = [_env("c", {"id": 1, "name": "a"}), _env("c"), _env("u"), _env("c", {"id": 2, "name": "b"}),
               _env("c", {"id": 3, "name": "c"}), _env("u", {"id": 1, "name": "z"})]
