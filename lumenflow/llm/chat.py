@@ -5,9 +5,10 @@ of turns (same role and text), rendered once as the prompt, and the rest of
 either conversation as a completion with the character ranges that carry loss:
 the text of an assistant turn and its end mark, never a role header, nor a turn
 of the user or the system.
-``answer_pairs``  conversations -> such pairs: a conversation up to its last
+``all_answer_pairs``  conversations -> such pairs: a conversation up to its last
 answer against the same turns with the answer of its neighbour (the
-conversation whose id differs in the last bit).
+conversation whose id differs in the last bit), or of the next conversation that
+has one where the neighbour has none.
 
 A conversation's turns become one array in its row, in the order of turn, role
 and text; nothing larger than a conversation is gathered.
@@ -15,17 +16,21 @@ and text; nothing larger than a conversation is gathered.
 Defined results: a null text is empty, a null role is ``user``; turns that repeat
 in every column count once; a pair with a null id, or without turns on either
 side, is no pair; equal conversations have the whole as prompt and two empty
-completions (``tie``); an empty table gives none; other columns are ignored.
+completions (``tie``); an empty table gives none; other columns are ignored; a
+conversation without an answer is no pair; the only one with an answer is paired
+with itself (``tie``); turns after the last answer follow neither completion and
+are left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # fixed values: the marks of a turn
 HEAD, MIDDLE, TAIL = "<|im_start|>", "\n", "<|im_end|>\n"
 END_MARK = len(TAIL) - 1        # the loss covers the end mark but not the line break
+BUCKETS = 1024                  # of the order in which answers follow each other
 
 
 def gathered(turns: DataFrame, key: str) -> DataFrame:
@@ -70,14 +75,32 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
         ((F.size("chosen_turns") == 0) & (F.size("rejected_turns") == 0)).alias("tie"))
 
 
-def answer_pairs(conversations: DataFrame) -> DataFrame:
-    """(pair_id, chosen, rejected) of every conversation that has an answer and
-    whose neighbour has one."""
+def all_answer_pairs(conversations: DataFrame) -> DataFrame:
+    """(pair_id, chosen, rejected, neighbour) of every conversation that has an
+    answer.  ``neighbour``: the rejected answer is the neighbour's; if that has
+    none, it is that of the next conversation with an answer, in the order of
+    bucket (a hash of the id) and id, the first one after the last."""
     rows = gathered(conversations.withColumn("conv_id", F.col("conv_id").cast("long")), "conv_id")
     at = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1)))
     rows = rows.withColumn("at", at).where("at is not null")
-    answer = F.element_at("turns", F.col("at"))
-    other = rows.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), answer.alias("answer"))
-    return rows.join(other, "conv_id").select(
+    answers = rows.select("conv_id", F.element_at("turns", F.col("at")).alias("answer"))
+    other = answers.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("answer").alias("theirs"))
+
+    dealt = answers.withColumn("bucket", F.pmod(F.xxhash64("conv_id"), F.lit(BUCKETS)).cast("int"))
+    inside = dealt.select("conv_id", "bucket", F.lead("answer").over(Window.partitionBy("bucket").orderBy("conv_id")).alias("inside"))
+    # a row a bucket: what follows its last conversation
+    firsts = dealt.groupBy("bucket").agg(F.min_by("answer", "conv_id").alias("answer"))
+    order = Window.orderBy("bucket")
+    edges = firsts.select("bucket", F.coalesce(
+        F.lead("answer").over(order), F.first("answer").over(order.rowsBetween(Window.unboundedPreceding, 0))).alias("edge"))
+    follows = inside.join(edges, "bucket").select("conv_id", F.coalesce("inside", "edge").alias("following"))
+
+    return rows.join(other, "conv_id", "left").join(follows, "conv_id").select(
         F.col("conv_id").alias("pair_id"), F.slice("turns", F.lit(1), F.col("at")).alias("chosen"),
-        F.concat(F.slice("turns", F.lit(1), F.col("at") - 1), F.array("answer")).alias("rejected"))
+        F.concat(F.slice("turns", F.lit(1), F.col("at") - 1), F.array(F.coalesce("theirs", "following"))).alias("rejected"),
+        F.col("theirs").isNotNull().alias("neighbour"))
+
+
+def answer_pairs(conversations: DataFrame) -> DataFrame:
+    """Of these, the pairs of neighbours."""
+    return all_answer_pairs(conversations).where("neighbour").drop("neighbour")

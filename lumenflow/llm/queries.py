@@ -63,7 +63,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.format_pairs(chat.answer_pairs(table(spark, sf_dir, "conversations")))
+    return chat.format_pairs(chat.all_answer_pairs(table(spark, sf_dir, "conversations")))
 
 
 SURROGATE_KEY = b"surrogates-1"       # a deployment passes its own secret

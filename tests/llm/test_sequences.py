@@ -203,3 +203,25 @@ def test_answer_pairs(spark):
     assert got[0]["prompt"] == rendered([("user", "q")]) and got[0]["chosen"] == rendered([("assistant", "no")]) and got[0]["rejected"] == rendered([("assistant", "")])
     assert got[4]["tie"] and got[4]["chosen"] == "" and got[4]["prompt"] == rendered([("assistant", "s")])
     assert chat.format_pairs(chat.answer_pairs(df.limit(0))).collect() == []
+
+
+def test_every_answer_gets_a_pair(spark):
+    from lumenflow.llm.queries import op9_preference_format
+    # even ids only: no neighbour has an answer; 7 has none itself
+    rows = [(i, 0, "user", f"q{i}") for i in range(0, 200, 2)] + [(i, 1, "assistant", f"a{i}") for i in range(0, 200, 2)]
+    rows += [(7, 0, "user", "alone"), (0, 2, "user", "later")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.format_pairs(chat.all_answer_pairs(df)).collect()
+    assert sorted(r["pair_id"] for r in got) == list(range(0, 200, 2))
+    assert all(r["chosen"] == rendered([("assistant", f"a{r['pair_id']}")]) and r["prompt"] == rendered([("user", f"q{r['pair_id']}")]) for r in got)
+    assert len({r["rejected"] for r in got}) == 100 and not any(r["rejected"] == r["chosen"] for r in got)      # one cycle of all
+    dense = df.unionByName(spark.createDataFrame([(1, 0, "assistant", "b")], df.schema))
+    near = {r["pair_id"]: r for r in chat.format_pairs(chat.all_answer_pairs(dense)).collect()}
+    assert near[0]["rejected"] == rendered([("assistant", "b")]) and near[1]["rejected"] == rendered([("assistant", "a0")]) and len(near) == 101
+    one = chat.format_pairs(chat.all_answer_pairs(df.where("conv_id = 4"))).collect()
+    assert [r["tie"] for r in one] == [True]
+
+    class Session:
+        class read:
+            parquet = staticmethod(lambda path: df)
+    assert op9_preference_format(Session, "unused").count() == 100
