@@ -15,8 +15,14 @@ number of words and script, and its title's gender; upper case stays upper.
 Equal normal forms get equal surrogates everywhere (coreference).  Distinctness
 is checked: of the entities whose surrogates agree, and of those whose surrogate
 is some original of the corpus, all but the first draw again with the next
-round, until none is left; the entity table is distributed and small beside
-the texts, which are never shuffled unless they hold an entity.
+round, until none is left.  A kind's space may be too small for that (more than
+half of the one-letter addresses are in the corpus, a quoted secret is dashes only),
+so from round ``SAME_LENGTH`` on the surrogate grows by a character a round, as names
+do from the first; IPv4 addresses can't, and must be fewer than half of all there are.
+The entity table is distributed and small beside the texts, which are never shuffled
+unless they hold an entity.
+
+An international phone number has 7 to 15 digits.
 
 Defined results: null stays null, empty stays empty; rows that repeat come out
 alike; an empty table gives none; other columns are untouched.
@@ -75,6 +81,10 @@ _PATTERNS: list[tuple[str, str]] = [
 _ANY = re.compile("|".join(p for _, p in _PATTERNS))
 _MAYBE = re.compile(rf"[0-9@]|(?:{_TITLE})\b|[\"'][A-Za-z0-9_\-/+]{{20}}")
 _NAME = re.compile(rf"({_TITLE})(\.?) (.*)", re.S)
+_RUN = re.compile(r"(\d+)\)?")
+
+SAME_LENGTH = 4         # rounds in which a surrogate keeps its original's length
+PHONE_DIGITS = 7, 15    # of an international number, country code and all
 
 Entity = tuple[int, int, str, str]
 
@@ -94,6 +104,21 @@ def _normal(kind: str, raw: str) -> str:
     return raw
 
 
+def _phone_end(text: str, a: int, b: int) -> int | None:
+    """Where the phone number in ``text[a:b]`` ends: after the last run of digits
+    that it can hold; None if too few are left."""
+    if text[a] != "+":
+        return b
+    end, digits = None, 0
+    for run in _RUN.finditer(text, a, b):
+        digits += len(run[1])
+        if digits > PHONE_DIGITS[1]:
+            break
+        if digits >= PHONE_DIGITS[0]:
+            end = run.end()
+    return end
+
+
 def find(text: str | None) -> list[Entity]:
     """(from, to, kind, normal form) of each entity, left to right, apart."""
     if not text or not _MAYBE.search(text):
@@ -109,6 +134,11 @@ def find(text: str | None) -> list[Entity]:
                 continue
             if len(words) > 1 and not (words[1].istitle() or words[0].isupper() and words[1].isupper()):
                 at = b = b - len(words[1]) - 1
+        if kind == "phone":
+            if (end := _phone_end(text, a, b)) is None:
+                at = a + 1
+                continue
+            at = b = end
         out.append((a, b, kind, _normal(kind, text[a:b])))
     return out
 
@@ -155,30 +185,32 @@ def _script(word: str) -> str:
 
 def draw_surrogate(key: bytes, kind: str, normal: str, round_: int) -> str:
     """The surrogate's normal form, of the same length and alphabet (names: the
-    same number of words and script; they grow with the round)."""
+    same number of words and script); they grow with the round, names from the
+    first, others from ``SAME_LENGTH`` on."""
     d = _Draw(key, kind, normal, str(round_))
+    more = max(0, round_ - SAME_LENGTH + 1)
     if kind == "email":
         local, _, domain = normal.partition("@")
         host, _, top = domain.rpartition(".")
         # letters beyond ASCII become ASCII, so that the address stays one
-        return "".join(d.like(c if c.isascii() else "a") for c in local) + "@" + "".join(map(d.like, host)) + "." + top
+        return "".join(d.like(c if c.isascii() else "a") for c in local + "a" * more) + "@" + "".join(map(d.like, host)) + "." + top
     if kind == "ipv4":
         return ".".join(str(1 + d.below(223) if not i else d.below(256)) for i in range(4))
     if kind == "card":
-        body = "".join(map(d.like, normal[:-1]))
+        body = "".join(map(d.like, normal[:-1] + "0" * more))
         return body + (str(_luhn(body)) if _luhn(normal[:-1]) == int(normal[-1]) else d.like("0"))
     if kind == "iban":
-        rest = "".join(map(d.like, normal[4:]))
+        rest = "".join(map(d.like, normal[4:] + "0" * more))
         real = normal[2:4] == _iban_check(normal[:2], normal[4:])
         return normal[:2] + (_iban_check(normal[:2], rest) if real else d.like("0") + d.like("0")) + rest
     if kind == "phone":
         keep = 2 if normal.startswith("+") else 0           # the plus and the country code's first digit
-        return normal[:keep] + "".join(map(d.like, normal[keep:]))
+        return normal[:keep] + "".join(map(d.like, normal[keep:] + "0" * more))
     if kind == "secret":
         if re.fullmatch(r"[0-9a-f]+", normal):
-            return "".join("0123456789abcdef"[d.below(16)] for _ in normal)
+            return "".join("0123456789abcdef"[d.below(16)] for _ in range(len(normal) + more))
         head = re.match(r"(?:AKIA|gh[pousr]_|sk-)?", normal)[0]
-        return head + "".join(map(d.like, normal[len(head):]))
+        return head + "".join(map(d.like, normal[len(head):] + "a" * more))
     if kind == "name":
         gender, *words = normal.split(" ")
         out = []
@@ -192,14 +224,14 @@ def draw_surrogate(key: bytes, kind: str, normal: str, round_: int) -> str:
                 parts = _SYLLABLES[script]
                 out.append(("".join(parts[d.below(len(parts))] for _ in range(3 + round_)) + _ENDINGS[script, sex]).capitalize())
         return gender + " " + " ".join(out)
-    return "".join(map(d.like, normal))
+    return "".join(map(d.like, normal + "0" * more))
 
 
 def dress(kind: str, raw: str, surrogate: str) -> str:
     """The surrogate in the original's clothes: separators, case, title."""
     if kind in ("card", "ssn", "iban", "phone"):
         source = iter(surrogate)
-        return "".join(next(source) if c.isalnum() or c == "+" else c for c in raw)
+        return "".join(next(source) if c.isalnum() or c == "+" else c for c in raw) + "".join(source)
     if kind == "name":
         title, dot, rest = _NAME.match(raw).groups()
         name = surrogate.split(" ", 1)[1]

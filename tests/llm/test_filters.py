@@ -227,3 +227,24 @@ def test_surrogates_stay_distinct_when_draws_collide(spark):
     got = pii.surrogates(entities, b"k", narrow).collect()
     assert len(got) == 40 == len({r["surrogate"] for r in got})
     assert not {r["surrogate"] for r in got} & {str(i) for i in range(40)}
+
+
+def test_small_classes_get_surrogates(spark):
+    """More than half of a class are originals, or it has a single value."""
+    def bounded(entities, key, round_):
+        assert round_ < 25
+        return pii._drawn(entities, key, round_)
+
+    rows = [("phone", f"+1{i:02d}") for i in range(60)] + [("ssn", str(i)) for i in range(6)] + [("secret", "-" * 20), ("email", "_@-.com")]
+    rows += [("email", f"{a}@{b}.co") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnop"]
+    got = pii.surrogates(spark.createDataFrame(rows, "kind string, normal string"), b"k", bounded).collect()
+    given = {(r["kind"], r["surrogate"]) for r in got}
+    assert len(got) == len(rows) == len(given) and not given & set(rows)
+    assert all(r["surrogate"].startswith("+1") for r in got if r["kind"] == "phone")
+    assert all(r["surrogate"].endswith(".co") for r in got if r["kind"] == "email" and r["normal"] != "_@-.com")
+    assert pii.dress("phone", "+1 (50)", "+18234") == "+1 (82)34"
+
+
+def test_phones_have_a_plausible_number_of_digits():
+    assert pii.find("+150 and (+199), +1 2 3") == []
+    assert [x[3] for x in pii.find("+49 30 123 4567, +12345678901234567890")] == ["+49301234567"]
