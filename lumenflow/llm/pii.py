@@ -81,6 +81,7 @@ _PATTERNS: list[tuple[str, str]] = [
 _ANY = re.compile("|".join(p for _, p in _PATTERNS))
 _MAYBE = re.compile(rf"[0-9@]|(?:{_TITLE})\b|[\"'][A-Za-z0-9_\-/+]{{20}}")
 _NAME = re.compile(rf"({_TITLE})(\.?) (.*)", re.S)
+_IPV4 = re.compile(dict(_PATTERNS)["ipv4"])
 _RUN = re.compile(r"(\d+)\)?")
 
 SAME_LENGTH = 4         # rounds in which a surrogate keeps its original's length
@@ -106,13 +107,16 @@ def _normal(kind: str, raw: str) -> str:
 
 def _phone_end(text: str, a: int, b: int) -> int | None:
     """Where the phone number in ``text[a:b]`` ends: after the last run of digits
-    that it can hold; None if too few are left."""
+    that it can hold, and before an address that starts behind a whole number; None
+    if too few are left."""
     if text[a] != "+":
         return b
     end, digits = None, 0
+    # an address has 15 characters at most, and what follows it decides
+    addresses = {m.start() for m in _IPV4.finditer(text, a, b + 17)}
     for run in _RUN.finditer(text, a, b):
         digits += len(run[1])
-        if digits > PHONE_DIGITS[1]:
+        if digits > PHONE_DIGITS[1] or end is not None and run.start() in addresses:
             break
         if digits >= PHONE_DIGITS[0]:
             end = run.end()

@@ -248,3 +248,11 @@ def test_small_classes_get_surrogates(spark):
 def test_phones_have_a_plausible_number_of_digits():
     assert pii.find("+150 and (+199), +1 2 3") == []
     assert [x[3] for x in pii.find("+49 30 123 4567, +12345678901234567890")] == ["+49301234567"]
+
+
+def test_a_phone_leaves_the_address_behind_it():
+    for text in ("+1 (826) 555-4081 190.137.223.204", "+49 30 123 4567 10.2.3.4.", "+1 826 555 4081 1.2.3.4 5"):
+        assert [k for _, _, k, _ in pii.find(text)] == ["phone", "ipv4"], text
+    assert pii.find("+1 (826) 555-4081 190.137.223.204")[0][3] == "+18265554081"
+    # dots alone don't make an address
+    assert [x[2:] for x in pii.find("+41 44.123.45.67 +1.826.555.4081")] == [("phone", "+41441234567"), ("phone", "+18265554081")]
