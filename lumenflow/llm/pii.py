@@ -80,6 +80,7 @@ _PATTERNS: list[tuple[str, str]] = [
 ]
 _ANY = re.compile("|".join(p for _, p in _PATTERNS))
 _MAYBE = re.compile(rf"[0-9@]|(?:{_TITLE})\b|[\"'][A-Za-z0-9_\-/+]{{20}}")
+_KEYS = ("AKIA", "sk-", "ghp_", "gho_", "ghu_", "ghs_", "ghr_")
 _NAME = re.compile(rf"({_TITLE})(\.?) (.*)", re.S)
 _IPV4 = re.compile(dict(_PATTERNS)["ipv4"])
 _RUN = re.compile(r"(\d+)\)?")
@@ -125,7 +126,7 @@ def _phone_end(text: str, a: int, b: int) -> int | None:
 
 def find(text: str | None) -> list[Entity]:
     """(from, to, kind, normal form) of each entity, left to right, apart."""
-    if not text or not _MAYBE.search(text):
+    if not text or not (_MAYBE.search(text) or any(k in text for k in _KEYS)):
         return []
     out, at = [], 0
     while m := _ANY.search(text, at):

@@ -256,3 +256,8 @@ def test_a_phone_leaves_the_address_behind_it():
     assert pii.find("+1 (826) 555-4081 190.137.223.204")[0][3] == "+18265554081"
     # dots alone don't make an address
     assert [x[2:] for x in pii.find("+41 44.123.45.67 +1.826.555.4081")] == [("phone", "+41441234567"), ("phone", "+18265554081")]
+
+
+def test_keys_of_letters_only_are_found():
+    for secret in ("sk-" + "abcdefghij" * 2, "AKIA" + "ABCDEFGHIJKLMNOP", *(f"gh{c}_" + "abcdefghij" * 3 for c in "pousr")):
+        assert pii.find(f"the key is {secret} here") == [(11, 11 + len(secret), "secret", secret)], secret
