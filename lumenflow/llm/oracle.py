@@ -77,4 +77,34 @@ SQL: dict[str, str] = {
         kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS body FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
         SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
         FROM w LEFT JOIN kept USING (doc_id)""",
+    "op11_ranked_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+        all_of AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+        tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+        w AS (SELECT item_id, term, times * floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+              FROM q JOIN df USING (term), all_of),
+        s AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+              FROM w JOIN tf USING (term), all_of GROUP BY item_id, r, doc_id),
+        o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+        SELECT item_id, rank::INT AS rank, doc_id, score FROM o WHERE rank <= 20""",
+    "op12_fill_in_middle": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS body, sha256('1:' || doc_id) AS h,
+                          regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents),
+        c AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+                     CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>')
+                            OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+                          WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+        p AS (SELECT *, array_to_string(u[1:least(a, b)], '') AS pre, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS mid,
+                     array_to_string(u[greatest(a, b) + 1:n], '') AS suf FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                      ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(body) AS restored_sha256
+        FROM p""",
 }

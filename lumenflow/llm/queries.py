@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import chat, exact_dedup, mixing, near_dedup, packing, pii, quality, substring_dedup, toxicity, url_filter
+from lumenflow.llm import (chat, exact_dedup, fim, lexical_search, mixing, near_dedup, packing, pii, quality, substring_dedup,
+                           toxicity, url_filter)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -74,6 +75,15 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, SURROGATE_KEY)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark")).drop("qkey")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_url_filter": op2_url_filter,
@@ -85,4 +95,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_preference_format": op9_preference_format,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }

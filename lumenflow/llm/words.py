@@ -114,13 +114,13 @@ BATCH_ROWS = 1_000
 
 
 @contextlib.contextmanager
-def small_batches(spark):
-    """While an operator's own jobs run, a task exchanges at most ``BATCH_ROWS``
+def small_batches(spark, rows: int = BATCH_ROWS):
+    """While an operator's own jobs run, a task exchanges at most ``rows``
     texts with Python at once (either process holds a batch, or two, beside its
     work); the session's setting is put back."""
     before = spark.conf.get(BATCH, None)
-    if before is None or int(before) <= 0 or int(before) > BATCH_ROWS:
-        spark.conf.set(BATCH, str(BATCH_ROWS))
+    if before is None or int(before) <= 0 or int(before) > rows:
+        spark.conf.set(BATCH, str(rows))
     try:
         yield
     finally:
