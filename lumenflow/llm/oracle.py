@@ -107,4 +107,23 @@ SQL: dict[str, str] = {
                sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
                       ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(body) AS restored_sha256
         FROM p""",
+    "op13_suffix_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        parts AS (SELECT r, doc_id, c, substr(h, 2 * c + 1, 2198) AS part FROM (
+                    SELECT *, unnest(range(0, greatest(length(h) // 2 - 99, 0), 1000)) AS c FROM d)),
+        w AS (SELECT r, doc_id, c + i AS pos, md5(substr(part, 2 * i + 1, 200)) AS k FROM (
+                SELECT *, unnest(range(0, length(part) // 2 - 99)) AS i FROM parts)),
+        f AS (SELECT k, min(struct_pack(doc_id := doc_id, pos := pos)) AS first FROM w GROUP BY k HAVING count(*) > 1),
+        g AS (SELECT r, pos, lag(pos) OVER (PARTITION BY r ORDER BY pos) AS before
+              FROM w JOIN f USING (k) WHERE struct_pack(doc_id := doc_id, pos := pos) > first),
+        n AS (SELECT r, pos, sum(CASE WHEN before IS NULL OR pos > before + 100 THEN 1 ELSE 0 END)
+                OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS no FROM g),
+        runs AS (SELECT r, no, min(pos) AS a, max(pos) + 100 AS b FROM n GROUP BY r, no),
+        gaps AS (SELECT r, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS x, a AS y FROM runs
+                 UNION ALL SELECT d.r, coalesce(max(b), 0), any_value(length(h) // 2) FROM d LEFT JOIN runs USING (r) GROUP BY d.r),
+        kept AS (SELECT r, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x) AS kept FROM gaps JOIN d USING (r) GROUP BY r),
+        total AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+        SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(kept)) AS kept_sha256
+        FROM d JOIN kept USING (r) LEFT JOIN total USING (r)""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow.llm import (chat, exact_dedup, fim, lexical_search, mixing, near_dedup, packing, pii, quality, substring_dedup,
-                           toxicity, url_filter)
+                           suffix_dedup, toxicity, url_filter)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -84,6 +84,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fim_report(table(spark, sf_dir, "documents"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_url_filter": op2_url_filter,
@@ -97,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii_surrogates": op10_pii_surrogates,
     "op11_ranked_search": op11_ranked_search,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
