@@ -19,8 +19,9 @@ corpus: ln w = 0) t is 0 and a is A, so the smallest hash decides; only the
 other shingles need the full formula.
 
 Samples form ``BANDS`` bands of ``ROWS``.  Texts that share a band belong to one
-family (a link from each to the smallest of the band's group, and components of
-these links, so a group costs as many rows as it has members).  All texts of a
+family (links from the smallest member of a text's bands' groups to the text and to the
+other groups' smallest, and components of these links, so a group costs as many rows as
+it has members).  All texts of a
 family are compared exactly, in blocks of ``BLOCK`` texts: a task gets two
 blocks, compares every pair by one matrix product and returns a spanning forest
 of the links, so no pair of texts is ever a row and no link's class is lost.
@@ -369,8 +370,11 @@ def _search(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     shared = band_rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a")).where("n > 1")
     # written, so that the join deals both sides itself and can split a hot group
     shared = materialize(shared.select("bucket", "a"), "shared")
-    families = components(band_rows.withColumnRenamed("node", "b").join(shared, "bucket")
-                          .where("a <> b").select("a", "b"))
+    # a node and the smallest members of its groups are one family: a link from the
+    # smallest of these to the node and to each of the others (one a band at most)
+    minima = band_rows.join(shared, "bucket").groupBy("node").agg(F.collect_set("a").alias("others"), F.min("a").alias("low"))
+    ends = minima.select("low", F.explode(F.array_distinct(F.concat("others", F.array("node")))).alias("b"))
+    families = components(ends.select(F.col("low").alias("a"), "b"))
     sizes = families.groupBy("comp").agg(F.count("*").alias("n"))
     placed = families.join(sizes, "comp").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
