@@ -35,36 +35,25 @@ SELECT id, event_type, value FROM (
 ) WHERE rn = 1"""
 
 
-def _runs(runs: int, keys: int) -> str:
-    """Successive bounded runs, each from the offsets where the one before it
-    stopped: partitions advance together by their distance from there."""
-    out = """,
-next0 AS (SELECT "partition", min("offset") AS nxt FROM parsed GROUP BY 1)"""
-    for r in range(runs):
-        out += f""",
-here{r} AS (
-  SELECT p.*, p."offset" - n.nxt AS far FROM parsed p JOIN next{r} n USING ("partition") WHERE p."offset" >= n.nxt
-),
-first{r} AS (
-  SELECT arg_min(struct_pack(far := far, part := "partition"), struct_pack(far := far, part := "partition")) AS place
-  FROM here{r} WHERE status = 'accepted' GROUP BY id
-),
-cut{r} AS (
-  SELECT max(place) AS place FROM (SELECT place, row_number() OVER (ORDER BY place) AS n, count(*) OVER () AS total FROM first{r})
-  WHERE n <= {keys} AND total >= {keys}
-),
-take{r} AS (
-  SELECT h.* FROM here{r} h, cut{r} c
-  WHERE c.place IS NULL OR struct_pack(far := h.far, part := h."partition") <= c.place
+def _runs(keys: int) -> str:
+    """Successive bounded runs over the whole topic.  Partitions advance together by their
+    distance from their first offset; a run that starts at place s ends at the ``keys``-th
+    message from there on whose key last occurred before s."""
+    return f""",
+firsts AS (SELECT "partition", min("offset") AS lo FROM parsed GROUP BY 1),
+line AS (SELECT acc.*, row_number() OVER (ORDER BY "offset" - lo, "partition") AS i FROM acc JOIN firsts USING ("partition")),
+linked AS (SELECT *, coalesce(lag(i) OVER (PARTITION BY id ORDER BY i), 0) AS before FROM line),
+run AS (
+  SELECT 0 AS run, 1::BIGINT AS s
+  UNION ALL
+  SELECT run + 1, list_sort(list(i))[{keys}] + 1 FROM run JOIN linked ON i >= s AND before < s
+  GROUP BY run, s HAVING count(*) >= {keys}
 ),
-next{r + 1} AS (
-  SELECT n."partition", coalesce(max(t."offset") + 1, n.nxt) AS nxt FROM next{r} n LEFT JOIN take{r} t USING ("partition")
-  GROUP BY n."partition", n.nxt
-)"""
-    parts = [f"""SELECT id, event_type, value, {r} AS run FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY "offset" DESC) AS rn FROM take{r} WHERE status = 'accepted'
-) WHERE rn = 1""" for r in range(runs)]
-    return out + "\n" + "\nUNION ALL ".join(parts)
+bounds AS (SELECT run, s, coalesce(lead(s) OVER (ORDER BY run), 9223372036854775807) AS e FROM run)
+SELECT id, event_type, value, run FROM (
+  SELECT id, event_type, value, run, row_number() OVER (PARTITION BY run, id ORDER BY i DESC) AS rn
+  FROM linked JOIN bounds ON i >= s AND i < e
+) WHERE rn = 1"""
 
 
 def _cdc(body: str) -> str:
@@ -79,7 +68,7 @@ def more_sql() -> dict[str, str]:
     q["cdc_field_report"] = _cdc("""
 SELECT fault, count(*) AS messages FROM acc, (VALUES ('note: unknown'), ('value: type')) f(fault)
 WHERE k = 6 GROUP BY fault""")
-    q["cdc_bounded_runs"] = _cdc(_runs(3, 100))
+    q["cdc_bounded_runs"] = _cdc(_runs(B.CDC_BATCH_KEYS)).replace("WITH ", "WITH RECURSIVE ", 1)
     q["cdc_key_bounded_batch"] = _cdc(f""",
 firsts AS (
   SELECT id, "offset", "partition" FROM (

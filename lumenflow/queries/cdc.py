@@ -38,21 +38,18 @@ def q_cdc_field_report(spark, sf_dir):
 
 @query("cdc_bounded_runs")
 def q_cdc_bounded_runs(spark, sf_dir):
-    """The consumer's runs until the topic is drained: each reads on from the
-    committed offsets, exports its keys as CSV under the topic's name and commits."""
+    """The consumer's runs over the whole topic: each ends where it holds
+    ``CDC_BATCH_KEYS`` keys, and all are exported as CSV under the topic's name."""
     topic_dir = fresh_path(spark, "topic")
     B.cdc_messages(spark, sf_dir).repartitionByRange(8, "partition", "offset").write.parquet(topic_dir)
     messages = spark.read.schema(cdc_stream.MESSAGE_SCHEMA).parquet(topic_dir)
-    state, exports = fresh_path(spark, "position"), fresh_path(spark, "exports")
-    ends, run, exported = cdc_stream.topic_ends(messages), 0, 0
-    while (n := cdc_stream.next_run(messages, B.CDC_ROW_SCHEMA, B.CDC_KEY, state, f"{exports}/run={run}", B.CDC_TOPIC,
-                                    B.CDC_BATCH_KEYS, ends)) is not None:
-        run, exported = run + 1, exported + n
+    exports = fresh_path(spark, "exports")
+    exported = cdc_stream.drain_backlog(messages, B.CDC_ROW_SCHEMA, B.CDC_KEY, fresh_path(spark, "position"), exports,
+                                        B.CDC_TOPIC, B.CDC_BATCH_KEYS)
     schema = "id bigint, event_type string, value double, run int"
     if not exported:
         return spark.createDataFrame([], schema)
-    return (spark.read.option("header", True).option("basePath", exports).schema(schema)
-            .csv(f"{exports}/run=*/{cdc.export_name(B.CDC_TOPIC)}.csv"))
+    return spark.read.option("header", True).schema(schema).csv(f"{exports}/{cdc.export_name(B.CDC_TOPIC)}.csv")
 
 
 @query("cdc_stream_latest")

@@ -111,7 +111,6 @@ CDC_TOPIC = "shop.inventory.customers"
 CDC_ROW_SCHEMA = "struct<id:bigint,event_type:string,value:double>"
 CDC_KEY = "id"
 CDC_BATCH_KEYS = 100
-CDC_RUNS = 3
 
 
 def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

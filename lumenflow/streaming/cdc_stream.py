@@ -12,10 +12,14 @@ idempotent and the checkpoint gives at-least-once delivery.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.operators import cdc
+from lumenflow.operators import backlog, cdc
+from lumenflow.session import materialize
+from lumenflow.sinks import storage
 
 MESSAGE_SCHEMA = ("value binary, topic string, partition int, offset bigint, "
                   "timestamp timestamp")
@@ -107,8 +111,11 @@ def consume_bounded(messages: DataFrame, row_schema: str, key: str, state_root:
     The committed position is one offset per partition (a small versioned
     table below ``state_root``): a run reads the messages from there on, so a
     message is read whatever its timestamp.  Partitions are read side by side
-    (order: distance from the committed offset, then partition) until
-    ``batch_size`` distinct keys are held or nothing is left.  To find that
+    (order: distance from the partition's origin, then partition; the origin is
+    its first offset when it was first seen, set so that it joins the others where
+    they are) until ``batch_size`` distinct keys are held or nothing is left.  The
+    order doesn't depend on where runs begin, so runs one by one and
+    ``drain_backlog`` cut at the same messages.  To find that
     place the run looks at a window of offsets per partition and doubles it
     while it holds too few keys; the window is a plain range of (partition,
     offset), which the source can push down, so a long backlog isn't read for
@@ -127,27 +134,22 @@ def next_run(messages: DataFrame, row_schema: str, key: str, state_root: str, ex
     """``consume_bounded`` up to ``ends`` (of ``topic_ends``).  None once the
     committed offsets have reached them, which a run that exports no row (0)
     does not mean: draining a topic is calling this until it gives None."""
-    from lumenflow.sinks import storage
-
-    spark = messages.sparkSession
-    committed = storage.read_current(spark, state_root)
-    # a row per partition of the topic
-    start = {r["partition"]: r["next"] for r in committed.collect()} if committed is not None else {}
-    base = {p: max(start.get(p, lo), lo) for p, (lo, hi) in ends.items() if hi >= start.get(p, lo)}
+    topic_start = _Position.read(messages.sparkSession, state_root, ends)
+    base, origin = topic_start.base, topic_start.origin
     if not base:
         return None
-    left = max(ends[p][1] - base[p] + 1 for p in base)
+    spark = messages.sparkSession
+    least = min(base[p] - origin[p] for p in base)
+    left = max(ends[p][1] - origin[p] for p in base) - least + 1
 
     def window(size: int) -> DataFrame:
-        """Messages less than ``size`` offsets from each partition's start; the
-        ends keep a growing source out of the run."""
+        """Messages less than ``size`` steps from the first; the ends keep a growing
+        source out of the run."""
         some = F.lit(False)
-        far = F.lit(None).cast("bigint")
         for p, first in base.items():
-            last = min(first + size - 1, ends[p][1])
+            last = min(origin[p] + least + size - 1, ends[p][1])
             some = some | ((F.col("partition") == p) & F.col("offset").between(first, last))
-            far = F.when(F.col("partition") == p, F.col("offset") - first).otherwise(far)
-        return cdc.parse_envelopes(messages.where(some), row_schema).withColumn("_far", far)
+        return cdc.parse_envelopes(messages.where(some), row_schema).withColumn("_far", _far(origin))
 
     order = F.struct("_far", "partition")
     size, cut = FIRST_WINDOW * batch_size, None
@@ -161,14 +163,78 @@ def next_run(messages: DataFrame, row_schema: str, key: str, state_root: str, ex
     if cut is not None:
         batch = parsed.where(order <= F.struct(F.lit(cut["_far"]).cast("bigint").alias("_far"),
                                                F.lit(cut["partition"]).cast("int").alias("partition")))
-    nexts = {p: (ends[p][1] + 1 if cut is None else min(
-        base[p] + cut["_far"] + (1 if p <= cut["partition"] else 0), ends[p][1] + 1)) for p in base}
+    nexts = {p: (ends[p][1] + 1 if cut is None else max(base[p], min(
+        origin[p] + cut["_far"] + (1 if p <= cut["partition"] else 0), ends[p][1] + 1))) for p in base}
     out = cdc.latest_by_key(batch, key)
     n = 0
     if not out.isEmpty():
         path = f"{export_dir}/{cdc.export_name(topic)}.csv"
         out.write.mode("overwrite").option("header", True).csv(path)
         n = spark.read.option("header", True).csv(path).count()
-    storage.write_version(spark.createDataFrame(
-        sorted((start | nexts).items()), "partition int, next bigint").coalesce(1), state_root)
+    topic_start.commit(spark, state_root, nexts)
+    return n
+
+
+def _far(origin: dict[int, int]) -> Column:
+    """Distance of a message from its partition's origin."""
+    far = F.lit(None).cast("bigint")
+    for p, first in origin.items():
+        far = F.when(F.col("partition") == p, F.col("offset") - first).otherwise(far)
+    return far
+
+
+@dataclass(frozen=True)
+class _Position:
+    """Where a consumer stands: a row per partition of the topic."""
+    known: dict[int, tuple[int, int]]       # committed: next offset, origin
+    base: dict[int, int]                    # first offset to read, of partitions that have one
+    origin: dict[int, int]
+
+    @staticmethod
+    def read(spark: SparkSession, state_root: str, ends: dict[int, tuple[int, int]]) -> _Position:
+        committed = storage.read_current(spark, state_root)
+        known = {r["partition"]: (r["next"], r["origin"]) for r in committed.collect()} if committed is not None else {}
+        level = max((nxt - origin for nxt, origin in known.values()), default=0)
+        origin = {p: known[p][1] if p in known else lo - level for p, (lo, _) in ends.items()}
+        start = {p: max(known[p][0], lo) if p in known else lo for p, (lo, _) in ends.items()}
+        base = {p: start[p] for p, (_, hi) in ends.items() if hi >= start[p]}
+        return _Position(known, base, {p: origin[p] for p in base})
+
+    def commit(self, spark: SparkSession, state_root: str, nexts: dict[int, int]) -> None:
+        rows = {p: (nxt, origin) for p, (nxt, origin) in self.known.items()} | {p: (n, self.origin[p]) for p, n in nexts.items()}
+        storage.write_version(spark.createDataFrame(
+            sorted((p, *r) for p, r in rows.items()), "partition int, next bigint, origin bigint").coalesce(1), state_root)
+
+
+def drain_backlog(messages: DataFrame, row_schema: str, key: str, state_root: str, export_dir: str,
+                  topic: str, batch_size: int = 1000, width: int = backlog.WIDTH) -> int:
+    """All runs of ``consume_bounded`` up to the topic's present ends, together.
+
+    The runs end at the same messages and hold the same rows as those called one by one, but
+    their boundaries are found for the whole backlog (``operators.backlog``) and all are
+    exported by one write, to ``<export_dir>/<topic with underscores>.csv/run=<n>``, n from 0.
+    The ends are committed after it.  Returns the number of rows exported."""
+    spark = messages.sparkSession
+    ends = topic_ends(messages)
+    here = _Position.read(spark, state_root, ends)
+    if not here.base:
+        return 0
+    least = min(first - here.origin[p] for p, first in here.base.items())
+    levels = max(ends[p][1] - here.origin[p] for p in here.base) - least + 1
+    order = sorted(here.base)
+    some, turn = F.lit(False), F.lit(None).cast("bigint")
+    for i, p in enumerate(order):
+        some = some | ((F.col("partition") == p) & F.col("offset").between(here.base[p], ends[p][1]))
+        turn = F.when(F.col("partition") == p, F.lit(i).cast("bigint")).otherwise(turn)
+    parsed = cdc.parse_envelopes(messages.where(some), row_schema)
+    placed = parsed.withColumn("pos", (_far(here.origin) - least) * len(order) + turn)
+    # written, as the boundaries and the export both read it, and the parse isn't repeated
+    accepted = materialize(placed.select("pos", "status", "after").where(F.col("status") == cdc.ACCEPTED).drop("status"), "accepted")
+    runs = backlog.plan_runs(accepted.select("pos", F.xxhash64(F.col("after")[key]).alias("key")), levels * len(order), batch_size, width)
+    path = f"{export_dir}/{cdc.export_name(topic)}.csv"
+    newest = (backlog.with_runs(accepted, runs, width).groupBy("run", F.col("after")[key].alias("_key"))
+              .agg(F.max_by("after", "pos").alias("_row")).select("_row.*", "run"))
+    newest.write.mode("overwrite").option("header", True).partitionBy("run").csv(path)
+    n = 0 if accepted.isEmpty() else spark.read.option("header", True).csv(path).count()
+    here.commit(spark, state_root, {p: ends[p][1] + 1 for p in here.base})
     return n
