@@ -105,6 +105,7 @@ SELECT * REPLACE (CAST(c_custkey AS DOUBLE) AS c_custkey) FROM (
   SELECT * FROM target t
   WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.c_custkey = t.c_custkey)
   UNION ALL SELECT * FROM staging)"""
+    q["upsert_merge_on_read"] = q["upsert_concurrent"] = q["upsert_existing"]
     q["upsert_first_load"] = staging("true") + """
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM staging"""
     q["csv_scan_delimited"] = f"SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from lumenflow.plans import ingest
@@ -42,6 +44,32 @@ def q_upsert_existing(spark, sf_dir):
     return ingest.read_bucketed(spark, root).drop(ingest.ETL_COLUMN)
 
 
+@query("upsert_merge_on_read")
+def q_upsert_merge_on_read(spark, sf_dir):
+    """The same upsert by deletion vectors: the target's rows stay where they are."""
+    root = fresh_path(spark, "upsert_positions")
+    target = B.upsert_target(spark, sf_dir).withColumn("c_custkey", F.col("c_custkey").cast("double"))
+    ingest.upsert_by_positions(spark, target, root, "c_custkey", UPSERT_BUCKETS)
+    ingest.upsert_by_positions(spark, ingest.stage(spark, _write_staging_csv(spark, sf_dir)), root)
+    return ingest.read_bucketed(spark, root).drop(ingest.ETL_COLUMN)
+
+
+@query("upsert_concurrent")
+def q_upsert_concurrent(spark, sf_dir):
+    """The staging rows in two upserts at the same time, odd keys and the others."""
+    root = fresh_path(spark, "upsert_raced")
+    target = B.upsert_target(spark, sf_dir).withColumn("c_custkey", F.col("c_custkey").cast("double"))
+    ingest.upsert_bucketed(spark, target, root, "c_custkey", UPSERT_BUCKETS)
+    staging = ingest.stage(spark, _write_staging_csv(spark, sf_dir))
+    odd = F.coalesce(F.col("c_custkey") % 2 == 1, F.lit(False))
+    with ThreadPoolExecutor(2) as pool:
+        upserts = [pool.submit(ingest.upsert_bucketed, spark, staging.where(odd), root),
+                   pool.submit(ingest.upsert_by_positions, spark, staging.where(~odd), root)]
+        for done in upserts:
+            done.result()
+    return ingest.read_bucketed(spark, root).drop(ingest.ETL_COLUMN)
+
+
 @query("upsert_first_load")
 def q_upsert_first_load(spark, sf_dir):
     """No target yet: the whole customer table is staged and becomes it."""

@@ -186,24 +186,28 @@ def _far(origin: dict[int, int]) -> Column:
 @dataclass(frozen=True)
 class _Position:
     """Where a consumer stands: a row per partition of the topic."""
+    version: int                            # of the committed table
     known: dict[int, tuple[int, int]]       # committed: next offset, origin
     base: dict[int, int]                    # first offset to read, of partitions that have one
     origin: dict[int, int]
 
     @staticmethod
     def read(spark: SparkSession, state_root: str, ends: dict[int, tuple[int, int]]) -> _Position:
-        committed = storage.read_current(spark, state_root)
-        known = {r["partition"]: (r["next"], r["origin"]) for r in committed.collect()} if committed is not None else {}
+        version = storage.current_number(spark, state_root)
+        rows = storage.read_version(spark, state_root, version).collect() if version else []
+        known = {r["partition"]: (r["next"], r["origin"]) for r in rows}
         level = max((nxt - origin for nxt, origin in known.values()), default=0)
         origin = {p: known[p][1] if p in known else lo - level for p, (lo, _) in ends.items()}
         start = {p: max(known[p][0], lo) if p in known else lo for p, (lo, _) in ends.items()}
         base = {p: start[p] for p, (_, hi) in ends.items() if hi >= start[p]}
-        return _Position(known, base, {p: origin[p] for p in base})
+        return _Position(version, known, base, {p: origin[p] for p in base})
 
     def commit(self, spark: SparkSession, state_root: str, nexts: dict[int, int]) -> None:
+        """Refused (``storage.ConflictError``) if another consumer has moved on meanwhile."""
         rows = {p: (nxt, origin) for p, (nxt, origin) in self.known.items()} | {p: (n, self.origin[p]) for p, n in nexts.items()}
         storage.write_version(spark.createDataFrame(
-            sorted((p, *r) for p, r in rows.items()), "partition int, next bigint, origin bigint").coalesce(1), state_root)
+            sorted((p, *r) for p, r in rows.items()), "partition int, next bigint, origin bigint").coalesce(1),
+            state_root, self.version)
 
 
 def drain_backlog(messages: DataFrame, row_schema: str, key: str, state_root: str, export_dir: str,

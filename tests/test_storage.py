@@ -89,12 +89,12 @@ def test_versions_keep_the_previous_table_readable(spark, scratch):
     root = scratch("versions")
     storage.write_version(spark.range(3).toDF("id"), root)
     storage.write_version(spark.range(5).toDF("id"), root)
-    first = spark.read.parquet(f"{root}/v=00000001")
+    first = storage.read_version(spark, root, 1)
     storage.write_version(spark.range(7).toDF("id"), root)
     assert storage.read_current(spark, root).count() == 7 and first.count() == 3
-    assert len([1 for _, ok in storage._versions(spark, root) if ok]) == 3
+    assert storage.versions(spark, root) == [1, 2, 3]
     assert len(storage.vacuum(spark, root, keep=2)) == 1
-    assert len([1 for _, ok in storage._versions(spark, root) if ok]) == 2
+    assert storage.versions(spark, root) == [2, 3]
 
 
 def test_format_dispatch(spark, scratch):
@@ -191,3 +191,152 @@ def test_seed_is_read_as_text(spark, scratch):
     seed = files.read_seed(spark, path)
     assert dict(seed.dtypes) == {"month_year": "string"}
     assert sorted(r.month_year for r in seed.collect()) == ["2023-10", "2023-11", "2023-12"]
+
+
+def test_one_of_two_writers_gets_the_next_version(spark, scratch):
+    import pytest
+    root = scratch("raced")
+    assert storage.write_version(spark.range(1), root, 0) == 1
+    assert storage.write_version(spark.range(2), root, 1) == 2
+    for stale in (0, 1):
+        with pytest.raises(storage.ConflictError):
+            storage.write_version(spark.range(9), root, stale)
+    assert storage.read_current(spark, root).count() == 2
+    storage.vacuum(spark, root, 1)
+    with pytest.raises(storage.ConflictError):                     # its number is free again, but it is stale
+        storage.write_version(spark.range(9), root, 0)
+    assert storage.write_version(spark.range(3), root) == 3
+
+
+def test_many_writers_at_once_lose_nothing(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+    path = scratch("claims") + "/_commits/v=00000001"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: storage._claim(spark, path, f"writer-{i}"), range(32)))
+    assert sum(won) == 1
+    assert storage._committed_folder(spark, path.split("/_commits")[0], 1) == f"writer-{won.index(True)}"
+
+
+def test_a_version_without_its_name_is_not_read(spark, scratch):
+    import pytest
+    root = scratch("doubt")
+    storage.write_version(spark.range(2), root)
+    assert storage._claim(spark, storage._commit_file(root, 2), "")         # its writer died here
+    assert storage.read_current(spark, root).count() == 2
+    with pytest.raises(storage.ConflictError):
+        storage.write_version(spark.range(3), root, 1)
+    with pytest.raises(ValueError):
+        storage.abandon(spark, root, 1)
+    storage.abandon(spark, root, 2)
+    assert storage.write_version(spark.range(3), root, 1) == 2
+
+
+def _interleaved(spark, root, monkeypatch, upsert, mine, others):
+    """``mine`` is upserted, and each of ``others`` between its read and its commit."""
+    real, waiting = ingest._commit, list(others)
+
+    def commit(spark_, table_root, manifest):
+        if waiting:
+            rows = waiting.pop(0)
+            with monkeypatch.context() as m:
+                m.setattr(ingest, "_commit", real)
+                upsert(spark_, rows, table_root)
+        return real(spark_, table_root, manifest)
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "_commit", commit)
+        upsert(spark, mine, root)
+
+
+def _people(spark, ids, name):
+    return spark.createDataFrame([(i, f"{name}{i}") for i in ids], "id bigint, name string")
+
+
+def test_interleaved_upserts_keep_all_rows(spark, scratch, monkeypatch):
+    for upsert in (ingest.upsert_bucketed, ingest.upsert_by_positions):
+        root = scratch("interleaved")
+        upsert(spark, _people(spark, range(40), "t"), root, "id", 4)
+        # the same keys, other keys of the same buckets, and rows without a key
+        _interleaved(spark, root, monkeypatch, upsert, _people(spark, [1, 2, 100], "a"),
+                     [_people(spark, [2, 3, 200], "b"), _people(spark, [None, 300], "c")])
+        rows = {(r.id, r.name) for r in ingest.read_bucketed(spark, root).collect()}
+        assert {(1, "a1"), (2, "a2"), (3, "b3"), (100, "a100"), (200, "b200"), (300, "c300"), (None, "cNone")} <= rows
+        assert len(rows) == 40 + 4 and ingest.read_bucketed(spark, root).count() == 44
+
+
+def test_untouched_buckets_need_only_a_new_manifest(spark, scratch, monkeypatch):
+    root = scratch("rebased")
+    ingest.upsert_bucketed(spark, _people(spark, range(40), "t"), root, "id", 4)
+    bucket = {r.id: r.b for r in spark.range(100).withColumn("b", ingest.key_bucket("id", 4)).collect()}
+    one, two = ([i for i in range(40) if bucket[i] == b][:2] for b in (0, 3))
+    writes, real = [], ingest._write_buckets
+    monkeypatch.setattr(ingest, "_write_buckets", lambda *a: writes.append(1) or real(*a))
+    _interleaved(spark, root, monkeypatch, ingest.upsert_bucketed, _people(spark, one, "a"), [_people(spark, two, "b")])
+    assert len(writes) == 2                                        # neither was done again
+    names = {r.id: r.name[0] for r in ingest.read_bucketed(spark, root).collect()}
+    assert all(names[i] == ("a" if i in one else "b" if i in two else "t") for i in range(40))
+
+
+def test_two_first_loads(spark, scratch, monkeypatch):
+    root = scratch("firsts")
+    _interleaved(spark, root, monkeypatch, ingest.upsert_bucketed, _people(spark, [1, 2], "a"), [_people(spark, [2, 3], "b")])
+    assert sorted((r.id, r.name) for r in ingest.read_bucketed(spark, root).collect()) == [(1, "a1"), (2, "a2"), (3, "b3")]
+
+
+def test_merge_on_read_equals_copy_on_write(spark, scratch):
+    import random
+    rng = random.Random(4)
+    roots = scratch("cow"), scratch("mor")
+    stamp = F.lit(dt.datetime(2024, 1, 1))
+    loads = [_people(spark, range(300), "t")] + [
+        _people(spark, [rng.choice([None, rng.randrange(400)]) for _ in range(n)], f"s{n}-") for n in (1, 30, 5, 80)]
+    for k, rows in enumerate(loads):
+        ingest.upsert_bucketed(spark, rows, roots[0], "id", 4, stamp)
+        ingest.upsert_by_positions(spark, rows, roots[1], "id", 4, stamp)
+        got = [sorted((tuple(r) for r in ingest.read_bucketed(spark, root).collect()), key=repr) for root in roots]
+        assert got[0] == got[1], k
+    m = ingest.read_manifest(spark, roots[1])
+    assert m.gone and len({b for b, _ in m.gone}) == len(m.gone)
+    # both ways on one table, then compaction and vacuum
+    one = _people(spark, [5], "z")
+    for root in roots:
+        ingest.upsert_bucketed(spark, one, root, etl_date=stamp)
+    assert ingest.compact(spark, roots[1], share=0.01, folders=99)
+    assert not ingest.read_manifest(spark, roots[1]).gone
+    ingest.vacuum(spark, roots[1])
+    got = [sorted((tuple(r) for r in ingest.read_bucketed(spark, root).collect()), key=repr) for root in roots]
+    assert got[0] == got[1]
+
+
+def test_merge_on_read_writes_what_the_staging_holds(spark, scratch):
+    root = scratch("small")
+    ingest.upsert_by_positions(spark, _people(spark, range(50_000), "a long enough name to weigh something "), root, "id", 4)
+    before = set(ingest.read_manifest(spark, root).paths())
+    ingest.upsert_by_positions(spark, _people(spark, range(0, 400, 4), "new"), root)
+    m = ingest.read_manifest(spark, root)
+    assert before < set(m.paths())                                 # nothing was rewritten
+    added = spark.read.schema(m.columns).parquet(*sorted(set(m.paths()) - before))
+    assert added.count() == 100
+    vectors = spark.read.schema(ingest._VECTOR).parquet(*[p for _, p in m.gone])
+    assert vectors.selectExpr("sum(aggregate(words, 0L, (n, w) -> n + bit_count(w)))").first()[0] == 100
+    assert ingest.read_bucketed(spark, root).count() == 50_000
+    assert ingest.compact(spark, root) == []                       # few are deleted
+
+
+def test_rebucket_refuses_a_table_that_moved_on(spark, scratch, monkeypatch):
+    import pytest
+    root = scratch("refused")
+    ingest.upsert_by_positions(spark, _people(spark, range(20), "t"), root, "id", 2)
+    real = ingest._write_buckets
+
+    def late(*a):
+        monkeypatch.setattr(ingest, "_write_buckets", real)
+        ingest.upsert_by_positions(spark, _people(spark, [3, 77], "late"), root)
+        return real(*a)
+
+    monkeypatch.setattr(ingest, "_write_buckets", late)
+    with pytest.raises(storage.ConflictError):
+        ingest.rebucket(spark, root, 3)
+    assert ingest.read_bucketed(spark, root).count() == 21
+    ingest.rebucket(spark, root, 3)
+    assert ingest.read_bucketed(spark, root).count() == 21 and ingest.read_manifest(spark, root).buckets == 3
