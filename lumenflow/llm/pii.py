@@ -25,7 +25,9 @@ unless they hold an entity.
 An international phone number has 7 to 15 digits.
 
 Defined results: null stays null, empty stays empty; rows that repeat come out
-alike; an empty table gives none; other columns are untouched.
+alike; an empty table gives none; other columns are untouched, but for one named
+``n_entities``, which the count replaces.  A text is read in time linear in its length,
+whatever its words.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenflow.llm.words import text_lists
+from lumenflow.llm.words import small_batches, text_lists
 from lumenflow.session import materialize
 
 # fixed values: titles and the gender they tell, by script
@@ -67,9 +69,12 @@ _ENDINGS = {("latin", "f"): "", ("latin", "m"): "", ("cyrillic", "f"): "ова",
 _TITLE = "|".join(re.escape(t) for ts in _TITLES.values() for t in sorted(ts, key=len, reverse=True))
 _GENDER = {t: g for g, ts in _TITLES.items() for t in ts}
 _WORD = r"[^\W\d_][^\W\d_'’-]+"
+# the part before the @ is a whole run of its characters, taken once and never given back,
+# so a long word without an @ is read once
+_MAIL = r"(?=[.+%-]*+\w)[\w.+%-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
 # in the order of precedence where two start at one place
 _PATTERNS: list[tuple[str, str]] = [
-    ("email", r"(?P<email>[\w.+%-]*\w[\w.+%-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"),
+    ("email", rf"(?P<email>(?<![\w.+%-]){_MAIL})"),
     ("secret", r"(?P<secret>(?<=[\"'])[A-Za-z0-9_\-/+]{20,}(?=[\"'])|\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{32,})\b)"),
     ("iban", r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"),
     ("ipv4", r"(?P<ipv4>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"),
@@ -79,6 +84,8 @@ _PATTERNS: list[tuple[str, str]] = [
     ("name", rf"(?P<name>\b(?:{_TITLE})\.? {_WORD}(?: {_WORD})?)"),
 ]
 _ANY = re.compile("|".join(p for _, p in _PATTERNS))
+_MAIL_HERE = re.compile(_MAIL)
+_MAIL_RUN = re.compile(r"[\w.+%-]*+")
 _MAYBE = re.compile(rf"[0-9@]|(?:{_TITLE})\b|[\"'][A-Za-z0-9_\-/+]{{20}}")
 _KEYS = ("AKIA", "sk-", "ghp_", "gho_", "ghu_", "ghs_", "ghr_")
 _NAME = re.compile(rf"({_TITLE})(\.?) (.*)", re.S)
@@ -128,9 +135,19 @@ def find(text: str | None) -> list[Entity]:
     """(from, to, kind, normal form) of each entity, left to right, apart."""
     if not text or not (_MAYBE.search(text) or any(k in text for k in _KEYS)):
         return []
-    out, at = [], 0
-    while m := _ANY.search(text, at):
-        kind, (a, b) = m.lastgroup if m.lastgroup != "gap" else "card", m.span()
+    out, at, no_mail = [], 0, 0
+    while True:
+        # an entity may end inside a run that goes on to an address; the pattern starts
+        # at a run's start only, and a run is looked at once
+        m, mail = None, False
+        if out and at == out[-1][1] and at >= no_mail:
+            m = _MAIL_HERE.match(text, at)
+            mail = m is not None
+            no_mail = 0 if mail else _MAIL_RUN.match(text, at).end() + 1
+        m = m or _ANY.search(text, at)
+        if m is None:
+            break
+        kind, (a, b) = "email" if mail else m.lastgroup if m.lastgroup != "gap" else "card", m.span()
         at = b
         if kind == "name":      # a title is one only before a capital; a second word must look like the first
             words = _NAME.match(m[0])[3].split(" ")
@@ -276,48 +293,46 @@ def surrogates(entities: DataFrame, key: bytes, draw: Callable = _drawn) -> Data
         round_ += 1
 
 
+_FOUND = "array<struct<a:int,b:int,kind:string,normal:string>>"
+
+
 def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
-    """``docs`` with every entity of ``text`` replaced, all columns, and
-    ``n_entities``.  Rows without one pass through where they lie."""
+    """``docs`` with every entity of ``text`` replaced, all columns, and their number
+    ``n_entities`` (a column of that name in ``docs`` is replaced).  Texts are searched
+    once: what is found is written beside them.  Rows without an entity pass through
+    where they lie."""
     docs = docs.drop("n_entities")
     names = docs.columns
     key_of = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    mine = docs.withColumns({"_lf_id": F.col("doc_id").cast("long"), "_lf_key": key_of})
+    mine = docs.withColumns({"_lf_id": F.col("doc_id").cast("long"), "_lf_key": key_of, "_lf_found": F.lit(None).cast(_FOUND)})
     place = names.index("text")
 
-    def seen(batches):
+    def search(batches):
         for batch in batches:
-            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows = [(ids[a + j], keys[a + j], x[2], x[3]) for a, texts in text_lists(batch, "text")
-                    for j, t in enumerate(texts) for x in find(t)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string()))],
-                names=["_lf_id", "_lf_key", "kind", "normal"])
-
-    held = mine.select("_lf_id", "_lf_key", F.col("text").cast("string").alias("text")).mapInArrow(
-        seen, "_lf_id long, _lf_key long, kind string, normal string").distinct()
-    held = materialize(held, "held")
+            found = [[{"a": a, "b": b, "kind": kind, "normal": normal} for a, b, kind, normal in find(t)]
+                     for _, texts in text_lists(batch, "text") for t in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, batch.schema.field("_lf_found").type)],
+                                             names=batch.schema.names)
+
+    with small_batches(docs.sparkSession):
+        searched = materialize(mine.mapInArrow(search, mine.schema), "searched")
+    some = F.size("_lf_found") > 0
+    held = materialize(searched.where(some).select("_lf_id", "_lf_key", F.explode("_lf_found").alias("e"))
+                       .select("_lf_id", "_lf_key", "e.kind", "e.normal").distinct(), "held")
     given = held.join(surrogates(held, key), ["kind", "normal"])
     lists = given.groupBy("_lf_id", "_lf_key").agg(F.collect_list(F.struct("kind", "normal", "surrogate")).alias("_lf_given"))
 
-    def split(with_entities: bool):
-        def run(batches):
-            for batch in batches:
-                held = [bool(find(t)) == with_entities for _, texts in text_lists(batch, "text") for t in texts]
-                yield batch.filter(pa.array(held, pa.bool_()))
-        return run
-
     def replace(batches):
         for batch in batches:
             new, counts = [], []
-            given_lists = batch.column(batch.schema.get_field_index("_lf_given")).to_pylist()
-            texts = (t for _, some in text_lists(batch, "text") for t in some)
-            for text, given_list in zip(texts, given_lists):
+            given_lists, found_lists = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("_lf_given", "_lf_found"))
+            texts = (t for _, part in text_lists(batch, "text") for t in part)
+            for text, given_list, found in zip(texts, given_lists, found_lists):
                 table = {(g["kind"], g["normal"]): g["surrogate"] for g in given_list}
-                found, out, at = find(text), [], 0
-                for a, b, kind, normal in found:
-                    out += [text[at:a], dress(kind, text[a:b], table[kind, normal])]
-                    at = b
+                out, at = [], 0
+                for e in found:
+                    out += [text[at:e["a"]], dress(e["kind"], text[e["a"]:e["b"]], table[e["kind"], e["normal"]])]
+                    at = e["b"]
                 new.append("".join(out) + text[at:])
                 counts.append(len(found))
             column = pa.array(new, batch.schema.field(place).type)
@@ -325,10 +340,10 @@ def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
                 [*(column if i == place else batch.column(i) for i in range(len(names))), pa.array(counts, pa.int64())],
                 names=[*names, "n_entities"])
 
-    clean = docs.mapInArrow(split(False), docs.schema).withColumn("n_entities", F.lit(0).cast("long"))
-    dirty = mine.mapInArrow(split(True), mine.schema).alias("d").join(
+    clean = searched.where(~some).select(*names, F.lit(0).cast("long").alias("n_entities"))
+    dirty = searched.where(some).alias("d").join(
         lists.alias("l"), F.col("d._lf_id").eqNullSafe(F.col("l._lf_id")) & (F.col("d._lf_key") == F.col("l._lf_key"))).select(
-        *[F.col(f"d.{n}") for n in names], "_lf_given")
+        *[F.col(f"d.{n}") for n in names], "_lf_found", "_lf_given")
     # StructType.add changes its object in place, so the columns are copied first
     out = type(docs.schema)(list(docs.schema.fields)).add("n_entities", "long")
     return clean.unionByName(dirty.mapInArrow(replace, out))

@@ -45,6 +45,23 @@ def test_url_rules_empty(spark):
     assert url_filter.judge(one, []).first()["verdict"] == "allow"
 
 
+def test_judge_replaces_columns_of_its_names(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x", "h", "p", "r", "v", 5)],
+                                  "page_id long, url string, host string, path string, rule string, verdict string, other int")
+    row = url_filter.judge(pages, URL_RULES).first()
+    assert (row["host"], row["path"], row["rule"], row["verdict"], row["other"]) == ("a.net", "/x", "net/", "block", 5)
+
+
+def test_a_level_sees_only_what_the_one_before_took(spark, monkeypatch):
+    """The universe is scanned twice, however many levels there are."""
+    written = []
+    real = url_filter.materialize
+    monkeypatch.setattr(url_filter, "materialize", lambda df, name: written.append(name) or real(df, name))
+    universe = spark.createDataFrame([(f"k{i}",) for i in range(4000)], "key string")
+    levels = url_filter.build_cascade(universe, [f"k{i}" for i in range(0, 4000, 6)])
+    assert len(levels) > 2 and len(written) == len(levels)
+
+
 def test_cascade_is_exact_over_the_universe(spark):
     rng = random.Random(2)
     names = [f"k{rng.randrange(10**9)}" for _ in range(3000)]
@@ -126,6 +143,42 @@ def test_exception_phrases_shield_terms():
     assert toxicity.evidence(None, " x ") == (0.0, 0.0, 0.0, 0.0)
 
 
+def test_shields_equal_comparing_all():
+    rng = random.Random(6)
+    for _ in range(300):
+        spans = lambda n: sorted(((a := rng.randrange(30), a + rng.randrange(1, 9), 1.0) for _ in range(rng.randrange(n))), key=lambda x: x[1])
+        hits, shields = spans(12), spans(6)
+        want = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in shields)]
+        assert toxicity._unshielded(hits, list(shields)) == want
+
+
+def test_evidence_equals_a_plain_matcher():
+    """All occurrences of all terms by str.find, those inside a phrase left out."""
+    rng = random.Random(8)
+    terms = {"ab": 1.5, "abc": 2.0, " ca": 0.5, "bb": 1.0}
+    phrases = ["cabb", "ab c", " cab "]
+    automaton = toxicity.Lexicon(terms, phrases).automaton()
+    for _ in range(300):
+        text = " " + "".join(rng.choice("abc ") for _ in range(rng.randrange(1, 60))) + " "
+        at = lambda w: [(i, i + len(w)) for i in range(len(text)) if text.startswith(w, i)]     # noqa: E731
+        inside = [s for p in phrases for s in at(p)]
+        hits = [w for t, w in terms.items() for a, b in at(t) if not any(x <= a and b <= y for x, y in inside)]
+        got = toxicity.evidence(automaton, text)
+        if not hits:
+            assert got == (0.0, 0.0, 0.0, 0.0)
+        else:
+            assert got == pytest.approx((100 * sum(hits) / len(text), max(hits), __import__("math").log1p(sum(hits)), 100 * len(hits) / len(text)))
+
+
+def test_long_texts_with_many_phrases_are_linear():
+    import time
+    lexicon = toxicity.Lexicon({" kill ": 3.0}, [" kill switch "])
+    text = toxicity.fold("kill switch and kill " * 20_000)
+    start = time.time()
+    got = toxicity.evidence(lexicon.automaton(), text)
+    assert got[1] == 3.0 and time.time() - start < 2
+
+
 def _labelled(spark):
     rng, rows, labels = random.Random(4), [], []
     for i in range(200):
@@ -261,3 +314,63 @@ def test_a_phone_leaves_the_address_behind_it():
 def test_keys_of_letters_only_are_found():
     for secret in ("sk-" + "abcdefghij" * 2, "AKIA" + "ABCDEFGHIJKLMNOP", *(f"gh{c}_" + "abcdefghij" * 3 for c in "pousr")):
         assert pii.find(f"the key is {secret} here") == [(11, 11 + len(secret), "secret", secret)], secret
+
+
+# the patterns as they were before they were made linear: the detector must find the same
+_SLOW_MAIL = r"(?P<email>[\w.+%-]*\w[\w.+%-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
+
+
+def _find_slowly(text):
+    """The rules applied one position at a time, each pattern tried at each."""
+    import re
+    patterns = [(k, re.compile(_SLOW_MAIL if k == "email" else p)) for k, p in pii._PATTERNS]
+    out, at = [], 0
+    while at < len(text):
+        hit = next(((k, m) for k, p in patterns if (m := p.match(text, at))), None)
+        if hit is None:
+            at += 1
+            continue
+        kind, m = hit
+        a, b = m.span()
+        if kind == "name":
+            words = pii._NAME.match(m[0])[3].split(" ")
+            if not words[0][0].isupper():
+                at += 1
+                continue
+            if len(words) > 1 and not (words[1].istitle() or words[0].isupper() and words[1].isupper()):
+                b -= len(words[1]) + 1
+        if kind == "phone":
+            if (b := pii._phone_end(text, a, b)) is None:
+                at += 1
+                continue
+        out.append((a, b, kind, pii._normal(kind, text[a:b])))
+        at = b
+    return out
+
+
+def test_find_equals_the_rules_one_position_at_a_time():
+    rng = random.Random(12)
+    parts = ["a.b", "@", "x.org", "d-e.co", ".", "+", "-", " ", "1", "555-123-4567", "10.2.3.4", "+49 30 123 4567", "Mr ", "Anna", "anna", "漢", "_",
+             "%", "4111 1111 1111 1111", "123-45-6789", "DE89 3704 0044 0532 0130 00", '"', "abcdefghijklmnopqrstu", "sk-", "9f" * 17, "\n", "(555) "]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 12)))
+        assert pii.find(text) == _find_slowly(text), text
+    assert pii.find("(555) 123-4567foo@bar.com")[1][2] == "email"
+
+
+@pytest.mark.parametrize("text", ["a" * 10**6, "漢" * 10**6, "aGVsbG8+Ly" * 10**5, "9" * 10**6, "." * 10**6, "a.b-" * 250_000, "@a.a" * 250_000,
+                                  "+1" * 300_000, "1.2.3.4-" * 60_000, "'" + "a" * 10**6, "Mr " + "a" * 10**6, "ab" * 500_000 + "@", "f" * 10**6])
+def test_long_words_take_linear_time(text):
+    import time
+    start = time.time()
+    pii.find(text + " 1@")
+    assert time.time() - start < 3
+
+
+def test_texts_are_searched_once(spark):
+    """What is replaced is what the one search found, spans and all."""
+    rows = [(i, PRIVATE if i % 3 == 0 else f"plain {i}") for i in range(30)]
+    got = pii.pseudonymise(cases.docs(spark, rows), b"key")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert sorted(r["n_entities"] for r in got.collect()) == [0] * 20 + [13] * 10
