@@ -24,13 +24,17 @@ are left out.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenflow.session import materialize
+
 # fixed values: the marks of a turn
 HEAD, MIDDLE, TAIL = "<|im_start|>", "\n", "<|im_end|>\n"
 END_MARK = len(TAIL) - 1        # the loss covers the end mark but not the line break
-BUCKETS = 1024                  # of the order in which answers follow each other
+RANGE_ROWS = 10_000             # answers that one task puts in order
 
 
 def gathered(turns: DataFrame, key: str) -> DataFrame:
@@ -78,29 +82,29 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
 def all_answer_pairs(conversations: DataFrame) -> DataFrame:
     """(pair_id, chosen, rejected, neighbour) of every conversation that has an
     answer.  ``neighbour``: the rejected answer is the neighbour's; if that has
-    none, it is that of the next conversation with an answer, in the order of
-    bucket (a hash of the id) and id, the first one after the last."""
+    none, it is that of the next conversation with an answer, in the order of the
+    MD5 of the id, the first one after the last."""
     rows = gathered(conversations.withColumn("conv_id", F.col("conv_id").cast("long")), "conv_id")
     at = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1)))
     rows = rows.withColumn("at", at).where("at is not null")
-    answers = rows.select("conv_id", F.element_at("turns", F.col("at")).alias("answer"))
+    # written once: the answers are taken from it three times
+    rows = materialize(rows.select("conv_id", F.slice("turns", F.lit(1), F.col("at")).alias("turns")), "answered")
+    answers = rows.select("conv_id", F.element_at("turns", -1).alias("answer"))
     other = answers.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("answer").alias("theirs"))
 
-    dealt = answers.withColumn("bucket", F.pmod(F.xxhash64("conv_id"), F.lit(BUCKETS)).cast("int"))
-    inside = dealt.select("conv_id", "bucket", F.lead("answer").over(Window.partitionBy("bucket").orderBy("conv_id")).alias("inside"))
-    # a row a bucket: what follows its last conversation
-    firsts = dealt.groupBy("bucket").agg(F.min_by("answer", "conv_id").alias("answer"))
-    order = Window.orderBy("bucket")
-    edges = firsts.select("bucket", F.coalesce(
+    # the order is cut by the MD5's first digits into ranges of about RANGE_ROWS
+    digits = max(0, math.ceil(math.log(max(1, rows.count() / RANGE_ROWS), 16)))
+    md5 = F.md5(F.col("conv_id").cast("string").cast("binary"))
+    dealt = answers.withColumn("order", F.struct(md5.alias("md5"), "conv_id")).withColumn("range", F.substring(md5, 1, digits))
+    inside = dealt.select("conv_id", "range", F.lead("answer").over(Window.partitionBy("range").orderBy("order")).alias("inside"))
+    # a row a range: what follows its last conversation
+    firsts = dealt.groupBy("range").agg(F.min_by("answer", "order").alias("answer"))
+    order = Window.orderBy("range")
+    edges = firsts.select("range", F.coalesce(
         F.lead("answer").over(order), F.first("answer").over(order.rowsBetween(Window.unboundedPreceding, 0))).alias("edge"))
-    follows = inside.join(edges, "bucket").select("conv_id", F.coalesce("inside", "edge").alias("following"))
+    follows = inside.join(edges, "range").select("conv_id", F.coalesce("inside", "edge").alias("following"))
 
     return rows.join(other, "conv_id", "left").join(follows, "conv_id").select(
-        F.col("conv_id").alias("pair_id"), F.slice("turns", F.lit(1), F.col("at")).alias("chosen"),
-        F.concat(F.slice("turns", F.lit(1), F.col("at") - 1), F.array(F.coalesce("theirs", "following"))).alias("rejected"),
+        F.col("conv_id").alias("pair_id"), F.col("turns").alias("chosen"),
+        F.concat(F.slice("turns", F.lit(1), F.size("turns") - 1), F.array(F.coalesce("theirs", "following"))).alias("rejected"),
         F.col("theirs").isNotNull().alias("neighbour"))
-
-
-def answer_pairs(conversations: DataFrame) -> DataFrame:
-    """Of these, the pairs of neighbours."""
-    return all_answer_pairs(conversations).where("neighbour").drop("neighbour")

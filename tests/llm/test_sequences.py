@@ -155,7 +155,16 @@ def test_mixing_awkward_documents(spark):
     report = collections.Counter(r["doc_id"] for r in mixing.mix_report(df).collect())
     assert ids == report and ids[14] in (0, 2, 4)
     assert mixing.mix(cases.docs(spark, [])).collect() == []
-    assert mixing.mix_report(cases.docs(spark, [(1, None), (2, "")])).count() >= 0
+    # texts without a token cost nothing: once each, as their leaf has no epoch
+    assert [r["doc_id"] for r in mixing.mix_report(cases.docs(spark, [(1, None), (2, "")])).orderBy("doc_id").collect()] == [1, 2]
+
+
+def test_empty_texts_stay_within_the_epochs(spark):
+    rows = [(i, cases.prose(i, 20) if i % 3 else "", "en", "src1") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for most in (1, 2, 3):
+        copies = collections.Counter(r["doc_id"] for r in mixing.mix_report(df, budget=10**6, max_epochs=most).collect())
+        assert set(copies.values()) == {most} and len(copies) == 60
 
 
 # ---- chat ------------------------------------------------------------------
@@ -198,11 +207,24 @@ def test_answer_pairs(spark):
     rows = [(0, 1, "assistant", "no", 1), (0, 0, "user", "q", 1), (0, 2, "user", "more", 1), (1, 0, "assistant", None, 1), (1, 0, "assistant", None, 1),
             (2, 0, "user", "alone", 1), (3, 0, "assistant", "x", 1), (4, 0, "assistant", "s", 1), (5, 0, "assistant", "s", 1), (None, 0, "assistant", "y", 1)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, pair_id long")
-    got = {r["pair_id"]: r for r in chat.format_pairs(chat.answer_pairs(df)).collect()}
-    assert set(got) == {0, 1, 4, 5}
+    got = {r["pair_id"]: r for r in chat.format_pairs(chat.all_answer_pairs(df)).collect()}
+    assert set(got) == {0, 1, 3, 4, 5}
     assert got[0]["prompt"] == rendered([("user", "q")]) and got[0]["chosen"] == rendered([("assistant", "no")]) and got[0]["rejected"] == rendered([("assistant", "")])
     assert got[4]["tie"] and got[4]["chosen"] == "" and got[4]["prompt"] == rendered([("assistant", "s")])
-    assert chat.format_pairs(chat.answer_pairs(df.limit(0))).collect() == []
+    assert chat.format_pairs(chat.all_answer_pairs(df.limit(0))).collect() == []
+
+
+@pytest.mark.parametrize("rows_a_range", [1, 3, 10_000])
+def test_answers_follow_in_one_order(spark, monkeypatch, rows_a_range):
+    """However finely the order is cut, an answer follows the one before it."""
+    import hashlib
+    monkeypatch.setattr(chat, "RANGE_ROWS", rows_a_range)
+    ids = [i * 1_000_003 for i in range(0, 60, 2)]
+    df = spark.createDataFrame([(2 * i, 0, "assistant", f"a{2 * i}") for i in ids], "conv_id long, turn long, role string, text string")
+    order = sorted((hashlib.md5(str(2 * i).encode()).hexdigest(), 2 * i) for i in ids)
+    want = {a[1]: f"a{b[1]}" for a, b in zip(order, order[1:] + order[:1])}
+    got = chat.all_answer_pairs(df).collect()
+    assert {r["pair_id"]: r["rejected"][0]["text"] for r in got} == want
 
 
 def test_every_answer_gets_a_pair(spark):
