@@ -15,7 +15,8 @@ where the quota ends, and only the texts of that range are put in order, so no
 task sorts a whole source.
 
 Defined results: tokens are words ``[^\\x20\\x09-\\x0D]+``; a null or empty text has
-none and is chosen with every epoch it falls in; null language or source is the
+none, costs nothing and is chosen with every epoch it falls in, ``max_epochs`` at most;
+null language or source is the
 empty name; rows that repeat id, text and leaf are chosen together; children of
 weight 0 get nothing; an empty table gives none; ``mix`` keeps all columns and
 repeats a row once an epoch.
@@ -115,7 +116,7 @@ def select(items: DataFrame, leaves: DataFrame, tree: list[Level], seed: int, ma
     leaf = [f"_{level.name}" for level in tree]
     quota = leaves.withColumns({
         "epochs": F.when(F.col("tokens") > 0, F.least(F.lit(max_epochs), F.expr("budget div greatest(tokens, 1)"))).otherwise(F.lit(0)),
-    }).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
+    }).withColumn("rest", F.when(F.col("epochs") < max_epochs, F.col("budget") - F.col("epochs") * F.col("tokens")).otherwise(-1))
     # the order of the epoch that is cut, differs from leaf to leaf
     placed = items.join(quota.select(*leaf, "epochs", "rest"), leaf)
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epochs"), F.coalesce(F.col("_id").cast("string"), F.lit("")), F.col("_key")).cast("binary"))
