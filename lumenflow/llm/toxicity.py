@@ -88,6 +88,18 @@ class Lexicon:
         return a
 
 
+def _unshielded(hits: list, shields: list) -> list:
+    """Hits that lie in no shield.  Both come in the order of their ends; from the last
+    on, the least start of the shields that end at or behind a hit decides."""
+    kept, least = [], math.inf
+    for hit in reversed(hits):
+        while shields and shields[-1][1] >= hit[1]:
+            least = min(least, shields.pop()[0])
+        if hit[0] < least:
+            kept.append(hit)
+    return kept[::-1]
+
+
 def evidence(automaton, folded: str) -> tuple[float, float, float, float]:
     """(weight per 100 characters, largest weight, log weight, matches per 100
     characters); a term inside an exception phrase does not count."""
@@ -95,7 +107,7 @@ def evidence(automaton, folded: str) -> tuple[float, float, float, float]:
     for end, (size, weight) in (automaton.iter(folded) if automaton else ()):
         (hits if weight else shields).append((end + 1 - size, end + 1, weight))
     if shields:
-        hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in shields)]
+        hits = _unshielded(hits, shields)
     if not hits:
         return 0.0, 0.0, 0.0, 0.0
     total = sum(h[2] for h in hits)
