@@ -23,8 +23,11 @@ SQL: dict[str, str] = {
         n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM t),
         last AS (SELECT conv_id, max(i) AS pos FROM n WHERE role = 'assistant' GROUP BY conv_id),
         answer AS (SELECT n.conv_id, n.text FROM n JOIN last ON n.conv_id = last.conv_id AND n.i = last.pos),
-        pair AS (SELECT last.conv_id, pos, a.text AS good, b.text AS bad, a.text = b.text AS tie
-                 FROM last JOIN answer a ON a.conv_id = last.conv_id JOIN answer b ON b.conv_id = xor(last.conv_id, 1)),
+        follow AS (SELECT conv_id, coalesce(lead(text) OVER (ORDER BY md5(conv_id::VARCHAR), conv_id),
+                                            first(text) OVER (ORDER BY md5(conv_id::VARCHAR), conv_id)) AS text FROM answer),
+        pair AS (SELECT last.conv_id, pos, a.text AS good, coalesce(b.text, f.text) AS bad, a.text = coalesce(b.text, f.text) AS tie
+                 FROM last JOIN answer a ON a.conv_id = last.conv_id JOIN follow f ON f.conv_id = last.conv_id
+                 LEFT JOIN answer b ON b.conv_id = xor(last.conv_id, 1)),
         prompt AS (SELECT p.conv_id, string_agg('<|im_start|>' || n.role || chr(10) || n.text || '<|im_end|>' || chr(10), '' ORDER BY n.i) AS prompt
                    FROM pair p JOIN n ON n.conv_id = p.conv_id AND (n.i < p.pos OR p.tie AND n.i = p.pos) GROUP BY p.conv_id)
         SELECT p.conv_id AS pair_id, CASE WHEN tie THEN pos ELSE pos - 1 END AS n_prompt_turns, coalesce(prompt, '') AS prompt,
@@ -64,7 +67,7 @@ SQL: dict[str, str] = {
                      sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('7:' || epochs || ':' || coalesce(doc_id::VARCHAR, '') || ':' || k), doc_id
                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
               FROM items i JOIN q USING (domain, lang, source)),
-        c AS (SELECT *, epochs + CASE WHEN run <= rest THEN 1 ELSE 0 END AS copies FROM p)
+        c AS (SELECT *, epochs + CASE WHEN epochs < 2 AND run <= rest THEN 1 ELSE 0 END AS copies FROM p)
         SELECT doc_id, domain, lang, source, unnest(generate_series(0, copies - 1))::INT AS epoch, tokens // n AS n_tokens FROM c WHERE copies > 0""",
     "op4_substring_dedup": r"""
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),

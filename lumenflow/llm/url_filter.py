@@ -31,6 +31,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenflow.session import materialize
+
 Rule = tuple[str, str, str]      # host, path prefix, "block" or "allow"
 
 
@@ -95,8 +97,8 @@ def _level(number: int, keys: int, rate: float) -> Level:
 def build_cascade(universe: DataFrame, listed: Sequence[str]) -> list[Level]:
     """Levels for ``listed`` over every key of ``universe(key)``.
 
-    The universe is read twice (its size, the wrongly taken keys of level 1);
-    later levels only see what the level before took wrongly.
+    The universe is read twice (its size, the keys that level 1 takes wrongly).
+    What a level takes wrongly is written, and later levels see only that.
     """
     listed = sorted(set(listed))
     if not listed:
@@ -104,14 +106,13 @@ def build_cascade(universe: DataFrame, listed: Sequence[str]) -> list[Level]:
     spark = universe.sparkSession
     size = universe.agg(F.approx_count_distinct("key")).first()[0]       # for the size of level 1 only
     inside = spark.createDataFrame([(k,) for k in listed], "key string")
-    outside = universe.where(~F.col("key").isin(listed))
     levels: list[Level] = []
-    mine, other, count = inside, outside, len(listed)
+    mine, other, count = inside, universe.join(inside, "key", "left_anti"), len(listed)
     rate = min(0.5, len(listed) * math.sqrt(0.5) / max(size, 1))
     while count:
         level = _level(len(levels), count, rate).filled(mine)
         levels.append(level)
-        wrong = other.where(level.takes(F.col("key"))).distinct()
+        wrong = materialize(other.where(level.takes(F.col("key"))).distinct(), "wrongly_taken")
         count, rate = wrong.count(), 0.5
         mine, other = wrong, mine
     return levels
@@ -126,7 +127,8 @@ def member(levels: Sequence[Level], key: Column) -> Column:
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url", default: str = "allow") -> DataFrame:
-    """``pages`` with host, path, rule (null: none) and verdict."""
+    """``pages`` with host, path, rule (null: none) and verdict; columns of these
+    names in ``pages`` are replaced."""
     lengths = sorted({len(path) for _, path, _ in rules})
     parsed = with_host_and_path(pages, url)
     keys = url_keys(F.col("host"), F.col("path"), lengths) if rules else F.array().cast("array<string>")

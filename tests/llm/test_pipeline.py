@@ -52,7 +52,7 @@ def test_run_equals_its_stages(spark):
 def test_query_equals_its_sql(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations", "labels"):
+    for t in ("documents", "pages", "conversations", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     want = con.sql(SQL[name]).df()
