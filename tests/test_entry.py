@@ -9,13 +9,16 @@ from lumenflow.queries import all_queries
 
 
 def test_entry_without_the_subpackage(monkeypatch):
-    monkeypatch.setattr(entry, "_has", lambda module: False)
+    monkeypatch.setattr(entry, "_optional", lambda module: None)
     assert entry.queries() == all_queries()
     assert set(entry.oracle_sql()) == set(all_queries())
 
 
-def test_missing_modules_are_seen():
-    assert not entry._has("lumenflow.nothing") and not entry._has("nothing.at.all") and entry._has("lumenflow.queries")
+def test_modules_that_do_not_import_are_left_out(tmp_path, monkeypatch):
+    (tmp_path / "half_there.py").write_text("import nothing.at.all\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    assert entry._optional("lumenflow.nothing") is None and entry._optional("half_there") is None
+    assert entry._optional("lumenflow.queries").all_queries is all_queries
 
 
 def test_intermediates_are_removed(spark):
