@@ -13,7 +13,9 @@ functions, which keep every case of the envelope apart:
 * otherwise                                               -> ``accepted``
 
 Fields of ``after`` that the row schema doesn't have, and values that don't
-fit their declared type, are reported by ``field_report``.
+fit their declared type, are reported by ``field_report``, and kept by
+``latest_with_drift``: its columns are the union of the fields of the images that it
+exports.
 
 Messages are consumed by offset: within a partition the offset is the order
 (timestamps may go back), and partitions are read side by side, so the order
@@ -29,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lumenflow.session import materialize
+
 # Operations that carry a new row image (create, update).
 UPSERT_OPS = ("c", "u")
 ACCEPTED, SKIPPED, MALFORMED = "accepted", "skipped", "malformed"
@@ -42,8 +46,9 @@ def _is_object(v: Column) -> Column:
 
 def parse_envelopes(messages: DataFrame, row_schema: StructType | str,
                     partitions: int | None = None) -> DataFrame:
-    """Adds ``status``, ``op``, ``after`` (typed by ``row_schema``) and
-    ``fields`` (what ``field_report`` counts).  ``partitions`` deals the
+    """Adds ``status``, ``op``, ``after`` (typed by ``row_schema``), ``image`` (all
+    of ``after`` as a VARIANT; only the declared fields where the envelope has a key
+    twice) and ``fields`` (what ``field_report`` counts).  ``partitions`` deals the
     messages out first, for a source that arrives in fewer tasks than there
     are cores.
 
@@ -88,7 +93,7 @@ def parse_envelopes(messages: DataFrame, row_schema: StructType | str,
     return (staged.withColumns({"status": status,
                                 "after": F.when(row.isNull(), empty).otherwise(row)})
             .withColumn("fields", F.when(F.col("status") == ACCEPTED, _field_faults(schema)))
-            .drop("_t", "_v0", "_again", "_v", "_p", "_a", "_r"))
+            .withColumnRenamed("_a", "image").drop("_t", "_v0", "_again", "_v", "_p", "_r"))
 
 
 def _field_faults(schema: str) -> Column:
@@ -139,6 +144,47 @@ def latest_by_key(parsed: DataFrame, key: str) -> DataFrame:
             .select(*[F.col("_row")[f].alias(f) for f in fields]))
 
 
+MOST_FIELDS = 5_000         # names of a topic's fields; beyond, the names are data
+
+
+def _path(field: str) -> str:
+    escaped = field.replace("\\", "\\\\").replace('"', '\\"')
+    return f'$["{escaped}"]'
+
+
+def latest_with_drift(parsed: DataFrame, key: str) -> DataFrame:
+    """Last image per key with every field that any of them has: the declared
+    columns in their order, then the others by name.
+
+    A declared column keeps its type if all these images fit it and is text otherwise;
+    another column has the type that its values share (text where they share none, JSON
+    text of objects and arrays).  The fields are found in the images that are exported,
+    not in the whole topic; only their names and types come to the driver."""
+    declared = {f.name: f.dataType.simpleString() for f in parsed.schema["after"].dataType}
+    image = F.to_json("image")
+    newest = (parsed.groupBy(F.col("after")[key].alias("_key"))
+              .agg(F.max_by(F.struct(F.col("after").alias("row"), image.alias("image")), accepted_order()).alias("_m"),
+                   F.max(accepted_order()).alias("_last"))
+              .where(F.col("_last").isNotNull()).select("_m.row", "_m.image"))
+    # written: it is read for the fields, for their types and for the rows
+    newest = materialize(newest, "images")
+    named = (newest.select(F.explode(F.json_object_keys("image")).alias("f")).distinct().limit(MOST_FIELDS + 1).collect())
+    if len(named) > MOST_FIELDS:
+        raise ValueError(f"more than {MOST_FIELDS} fields: these images are no table")
+    added = sorted(r["f"] for r in named if r["f"] not in declared)
+    images = newest.select("row", F.try_parse_json("image").alias("v"))
+    text = {f: F.try_variant_get("v", _path(f), "string") for f in (*declared, *added)}
+    kinds = images.agg(
+        *[F.max(text[f].isNotNull() & F.col("row")[f].isNull()).alias(f"d{i}") for i, f in enumerate(declared)],
+        *[F.schema_of_variant_agg(F.try_variant_get("v", _path(f), "variant")).alias(f"a{i}") for i, f in enumerate(added)]).first()
+    columns = [(text[f] if kinds[f"d{i}"] else F.col("row")[f]).alias(f) for i, f in enumerate(declared)]
+    for i, f in enumerate(added):
+        kind = (kinds[f"a{i}"] or "VOID").lower()
+        simple = kind in ("bigint", "double", "boolean") or kind.startswith("decimal(")
+        columns.append((F.try_variant_get("v", _path(f), kind) if simple else text[f]).alias(f))
+    return images.select(*columns)
+
+
 def key_bound_cutoff(parsed: DataFrame, key: str, batch_size: int, order: Column | None = None):
     """Order position at which a sequential consumer holding at most
     ``batch_size`` distinct keys stops, or None when it reads everything.

@@ -68,6 +68,10 @@ def more_sql() -> dict[str, str]:
     q["cdc_field_report"] = _cdc("""
 SELECT fault, count(*) AS messages FROM acc, (VALUES ('note: unknown'), ('value: type')) f(fault)
 WHERE k = 6 GROUP BY fault""")
+    q["cdc_drift_export"] = _cdc("""
+SELECT id, event_type, value, k <> 2 AND (k = 6 OR value IS NOT NULL) AS has_value, CASE WHEN k = 6 THEN 'x' END AS note FROM (
+  SELECT * REPLACE (coalesce(k, -1) AS k), row_number() OVER (PARTITION BY id ORDER BY "offset" DESC, "partition" DESC) AS rn FROM acc
+) WHERE rn = 1""")
     q["cdc_bounded_runs"] = _cdc(_runs(B.CDC_BATCH_KEYS)).replace("WITH ", "WITH RECURSIVE ", 1)
     q["cdc_key_bounded_batch"] = _cdc(f""",
 firsts AS (

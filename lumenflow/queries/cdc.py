@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lumenflow.operators import cdc
 from lumenflow.queries import query
 from lumenflow.session import fresh_path
@@ -36,6 +38,17 @@ def q_cdc_field_report(spark, sf_dir):
     return cdc.field_report(_parsed(spark, sf_dir))
 
 
+@query("cdc_drift_export")
+def q_cdc_drift_export(spark, sf_dir):
+    """Newest images with the fields the row schema lacks, as CSV.  ``value`` is text
+    there, as some of them are no numbers."""
+    path = f"{fresh_path(spark, 'drift')}/{cdc.export_name(B.CDC_TOPIC)}.csv"
+    cdc.latest_with_drift(_parsed(spark, sf_dir), B.CDC_KEY).write.option("header", True).csv(path)
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select(F.col("id").cast("bigint").alias("id"), "event_type", F.expr("try_cast(value AS double)").alias("value"),
+                       F.col("value").isNotNull().alias("has_value"), "note")
+
+
 @query("cdc_bounded_runs")
 def q_cdc_bounded_runs(spark, sf_dir):
     """The consumer's runs over the whole topic: each ends where it holds

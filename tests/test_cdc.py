@@ -251,3 +251,29 @@ def test_kafka_source_without_connector_says_so(spark):
     else:  # connector present: the source has the Kafka record columns
         assert {"value", "partition", "offset", "timestamp"} <= set(df.columns)
         pytest.skip("Kafka connector available")
+
+
+def test_added_fields_are_exported(spark):
+    values = [_env("c", {"id": 1, "name": "a", "gone": "only in an old image"}), _env("u", {"id": 1, "name": "b", "extra": 7, "tags": ["x", 2]}),
+              _env("c", {"id": 2, "name": "c", "extra": 2.5, "odd name": True, "nested": {"k": "v"}}), _env("c", {"id": 3, "extra": None}),
+              _env("d", {"id": 3, "deleted": 1}), _env("c")]
+    parsed = cdc.parse_envelopes(_messages(spark, values), SCHEMA)
+    got = cdc.latest_with_drift(parsed, "id")
+    assert got.columns == ["id", "name", "extra", "nested", "odd name", "tags"]
+    types = dict(got.dtypes)
+    assert types["id"] == "bigint" and types["odd name"] == "boolean" and types["tags"] == "string" and types["extra"].startswith(("decimal", "double"))
+    rows = {r.id: r for r in got.collect()}
+    assert float(rows[1].extra) == 7 and float(rows[2].extra) == 2.5 and rows[3].extra is None
+    assert rows[1].tags == '["x",2]' and rows[2].nested == '{"k":"v"}' and rows[2]["odd name"] is True
+    assert rows[None].name is None and len(rows) == 4
+    # declared columns alone, and the same rows as without drift
+    assert sorted(map(str, got.select("id", "name").collect())) == sorted(map(str, cdc.latest_by_key(parsed, "id").collect()))
+
+
+def test_a_declared_column_that_drifts_is_text(spark):
+    values = [_env("c", {"id": 1, "name": 5}), _env("c", {"id": 2, "name": "x"}), _env("c", {"id": "three", "name": "y"})]
+    got = cdc.latest_with_drift(cdc.parse_envelopes(_messages(spark, values), "struct<id:bigint,name:string>"), "name")
+    assert dict(got.dtypes)["id"] == "string"
+    assert sorted((r.id, r.name) for r in got.collect()) == [("1", "5"), ("2", "x"), ("three", "y")]
+    none = cdc.latest_with_drift(cdc.parse_envelopes(_messages(spark, ["no json"]), SCHEMA), "id")
+    assert none.columns == ["id", "name"] and none.collect() == []
