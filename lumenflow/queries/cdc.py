@@ -8,6 +8,7 @@ from lumenflow.operators import cdc
 from lumenflow.queries import query
 from lumenflow.session import fresh_path
 from lumenflow.sources import bindings as B
+from lumenflow.sources import topic_log
 from lumenflow.sources.files import read_delimited
 from lumenflow.streaming import cdc_stream
 
@@ -67,15 +68,15 @@ def q_cdc_bounded_runs(spark, sf_dir):
 
 @query("cdc_stream_latest")
 def q_cdc_stream_latest(spark, sf_dir):
-    """Envelopes land as files in a topic folder; a streaming query drains
-    it (several micro-batches) and the sink is read back."""
-    topic_dir = fresh_path(spark, "topic")
-    B.cdc_messages(spark, sf_dir).repartition(8).write.parquet(topic_dir)
-    sink = fresh_path(spark, "cdc_sink")
-    source = cdc_stream.file_source(spark, topic_dir, max_files_per_trigger=3)
-    cdc_stream.run_latest_by_key(source, B.CDC_ROW_SCHEMA, B.CDC_KEY, sink,
-                                 fresh_path(spark, "cdc_checkpoint"))
-    return cdc_stream.read_latest(spark, sink, B.CDC_KEY)
+    """Envelopes land in a topic log; a streaming query drains it as a consumer group, in
+    several micro-batches, and the sink is read back."""
+    log, sink = fresh_path(spark, "topic_log"), fresh_path(spark, "cdc_sink")
+    topic_log.append(B.cdc_messages(spark, sf_dir), log, B.CDC_SEGMENT)
+    ends = topic_log.topic_end(spark, log)
+    source = topic_log.stream_topic(spark, log, group="export", max_offsets_per_trigger=max(1, max(ends.values(), default=0) // 3))
+    if ends:
+        cdc_stream.run_bounded(source, B.CDC_ROW_SCHEMA, B.CDC_KEY, sink, fresh_path(spark, "cdc_checkpoint"), ends=ends)
+    return cdc_stream.read_latest(spark, sink, B.CDC_KEY, B.CDC_ROW_SCHEMA)
 
 
 @query("csv_export_roundtrip")

@@ -83,8 +83,18 @@ def _claim(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
-def _committed_folder(spark: SparkSession, root: str, n: int) -> str:
-    """The folder of a version; empty while it is being committed."""
+def claim_version(spark: SparkSession, root: str, n: int, text: str) -> bool:
+    """Commit ``text`` as version ``n``, unless there is one."""
+    return _claim(spark, _commit_file(root, n), text)
+
+
+def fresh_folder(name: str) -> str:
+    return f"{name}-{uuid.uuid4().hex}"
+
+
+def committed_text(spark: SparkSession, root: str, n: int) -> str:
+    """What a version's commit says (of a table: its folder); empty while it is
+    being committed."""
     fs, p = _fs(spark, _commit_file(root, n))
     stream = fs.open(p)
     try:
@@ -105,13 +115,13 @@ def versions(spark: SparkSession, root: str) -> list[int]:
 def current_number(spark: SparkSession, root: str) -> int:
     """The newest version; 0 if there is none."""
     for n in reversed(versions(spark, root)):
-        if _committed_folder(spark, root, n):
+        if committed_text(spark, root, n):
             return n
     return 0
 
 
 def version_path(spark: SparkSession, root: str, n: int) -> str:
-    return f"{root}/{_committed_folder(spark, root, n)}"
+    return f"{root}/{committed_text(spark, root, n)}"
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
@@ -137,13 +147,13 @@ def write_version(df: DataFrame, root: str, after: int | None = None) -> int:
     raise ``ConflictError`` if there is one already.  Without ``after`` it
     replaces whatever is current.  Older versions stay readable until ``vacuum``."""
     spark = df.sparkSession
-    folder = f"data-{uuid.uuid4().hex}"
+    folder = fresh_folder("data")
     df.write.parquet(f"{root}/{folder}")
     while True:
         known = versions(spark, root)
         n = (after if after is not None else known[-1] if known else 0) + 1
         # a number that vacuum freed is older than the current one
-        if not (known and known[-1] >= n) and _claim(spark, _commit_file(root, n), folder):
+        if not (known and known[-1] >= n) and claim_version(spark, root, n, folder):
             return n
         if after is not None:
             delete(spark, f"{root}/{folder}")
@@ -152,7 +162,7 @@ def write_version(df: DataFrame, root: str, after: int | None = None) -> int:
 
 def abandon(spark: SparkSession, root: str, n: int) -> None:
     """Give up a version that its writer never finished."""
-    if _committed_folder(spark, root, n):
+    if committed_text(spark, root, n):
         raise ValueError(f"version {n} of {root} is committed")
     delete(spark, _commit_file(root, n))
 
@@ -162,7 +172,7 @@ def vacuum(spark: SparkSession, root: str, keep: int) -> list[str]:
     reader may still hold an old version).  Returns the folders that went."""
     if keep < 1:
         raise ValueError("the current version is never removed")
-    done = [n for n in versions(spark, root) if _committed_folder(spark, root, n)]
+    done = [n for n in versions(spark, root) if committed_text(spark, root, n)]
     gone = []
     for n in done[:-keep]:
         gone.append(version_path(spark, root, n))

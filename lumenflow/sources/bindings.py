@@ -111,6 +111,7 @@ CDC_TOPIC = "shop.inventory.customers"
 CDC_ROW_SCHEMA = "struct<id:bigint,event_type:string,value:double>"
 CDC_KEY = "id"
 CDC_BATCH_KEYS = 100
+CDC_SEGMENT = 25_000            # offsets of a folder of the topic log
 
 
 def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

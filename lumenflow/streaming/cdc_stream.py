@@ -1,8 +1,9 @@
 """Change-data-capture as a Structured Streaming job.
 
 Source: Kafka (``format('kafka')``) when the connector is on the classpath,
-or a folder of Parquet files with the same columns (``value``,
-``partition``, ``offset``, ``timestamp``, ``topic``).  Each micro-batch is
+a topic log (``sources.topic_log``: positions per partition, groups, restart), or a
+folder of Parquet files with the same columns (``value``, ``partition``, ``offset``,
+``timestamp``, ``topic``).  Each micro-batch is
 parsed and reduced to the newest row per key inside ``foreachBatch``; no
 state is carried between batches.  The batch output is written to
 ``<sink>/batch=<id>`` with overwrite, so a replayed batch (after a failure
@@ -12,8 +13,11 @@ idempotent and the checkpoint gives at-least-once delivery.
 
 from __future__ import annotations
 
+import ast
+import time
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,29 +53,107 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.load(path)
 
 
+def _export_batch(batch: DataFrame, batch_id: int, row_schema: str, key: str, sink: str) -> None:
+    parsed = cdc.parse_envelopes(batch, row_schema)
+    order = cdc.accepted_order()
+    newest = (parsed.groupBy(F.col("after")[key].alias("_key"))
+              .agg(F.max_by(F.struct(order.alias("_order"), F.col("after").alias("_row")),
+                             order).alias("_m"))
+              .where(F.col("_m").isNotNull())
+              .select("_m._order", "_m._row"))
+    newest.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+
 def run_latest_by_key(messages: DataFrame, row_schema: str, key: str, sink: str,
                       checkpoint: str) -> None:
     """Process everything available now, then stop."""
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = cdc.parse_envelopes(batch, row_schema)
-        order = cdc.accepted_order()
-        newest = (parsed.groupBy(F.col("after")[key].alias("_key"))
-                  .agg(F.max_by(F.struct(order.alias("_order"), F.col("after").alias("_row")),
-                                 order).alias("_m"))
-                  .where(F.col("_m").isNotNull())
-                  .select("_m._order", "_m._row"))
-        newest.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    q = (messages.writeStream.foreachBatch(per_batch)
+    q = (messages.writeStream.foreachBatch(lambda batch, n: _export_batch(batch, n, row_schema, key, sink))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
 
 
-def read_latest(spark: SparkSession, sink: str, key: str) -> DataFrame:
-    """Newest row per key over all batches written so far."""
+KEYS, SECONDS, DRAINED = "keys", "seconds", "drained"
+_POLL = 0.05
+
+
+def run_bounded(messages: DataFrame, row_schema: str, key: str, sink: str, checkpoint: str,
+                max_keys: int | None = None, max_seconds: float | None = None,
+                ends: dict[int, int] | None = None) -> str:
+    """One run of the stream, ended by whichever comes first: ``max_keys`` distinct keys are
+    held in the run's batches (``KEYS``), ``max_seconds`` are over (``SECONDS``), or the
+    source's position has reached ``ends``, next offsets per partition (``DRAINED``).
+    Returns which.
+
+    Micro-batches follow one another as fast as they come.  A bound is looked at
+    between batches: the batch that reaches it is still exported whole, and its offsets are
+    committed after that; the next is not begun.  What the run has not committed the next
+    run with the same checkpoint reads again.
+    """
+    spark = messages.sparkSession
+    began, mine, over = time.monotonic(), [], []
+
+    def reached() -> str | None:
+        if max_seconds is not None and time.monotonic() - began >= max_seconds:
+            return SECONDS
+        if max_keys is not None and mine and (spark.read.parquet(*[f"{sink}/batch={n}" for n in mine])
+                                              .select(F.col("_row")[key]).distinct().count() >= max_keys):
+            return KEYS
+        return None
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        if over:
+            raise _Over()                       # not begun: its offsets stay uncommitted
+        _export_batch(batch, batch_id, row_schema, key, sink)
+        mine.append(batch_id)
+        if why := reached():
+            over.append(why)
+
+    q = (messages.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(processingTime="0 seconds").start())
+    try:
+        while not (over and _committed(q, mine)):
+            if not q.isActive:
+                q.awaitTermination()            # raises what ended it
+            if not mine and (why := reached()):
+                over.append(why)                # the time is over and no batch came
+                break
+            last = q.lastProgress
+            if ends is not None and last and last["sources"] and _position(last["sources"][0]["endOffset"]) == ends and _committed(q, mine):
+                over.append(DRAINED)
+            if max_seconds is not None and time.monotonic() - began >= max_seconds and not over:
+                over.append(SECONDS)
+            time.sleep(_POLL)
+    except StreamingQueryException:
+        if not over:
+            raise
+    finally:
+        q.stop()
+    return over[0]
+
+
+class _Over(Exception):
+    pass
+
+
+def _committed(q, batches: list[int]) -> bool:
+    """Whether the last exported batch is finished, its offsets with it."""
+    last = q.lastProgress
+    return not batches or bool(last) and last["batchId"] >= batches[-1] or not q.isActive
+
+
+def _position(offset) -> dict[int, int]:
+    """The position in a progress report, which has it as the text of a dict."""
+    found = ast.literal_eval(offset) if isinstance(offset, str) else offset or {}
+    return {int(p): int(n) for p, n in found.items()}
+
+
+def read_latest(spark: SparkSession, sink: str, key: str, row_schema: str | None = None) -> DataFrame:
+    """Newest row per key over all batches written so far; none if there is no batch and
+    the row schema says what none is."""
+    if row_schema and not storage.exists(spark, sink):
+        return spark.createDataFrame([], row_schema)
     batches = spark.read.parquet(sink)
     fields = batches.schema["_row"].dataType.fieldNames()
     newest = (batches.groupBy(F.col("_row")[key].alias("_key"))

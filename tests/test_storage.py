@@ -214,7 +214,7 @@ def test_many_writers_at_once_lose_nothing(spark, scratch):
     with ThreadPoolExecutor(8) as pool:
         won = list(pool.map(lambda i: storage._claim(spark, path, f"writer-{i}"), range(32)))
     assert sum(won) == 1
-    assert storage._committed_folder(spark, path.split("/_commits")[0], 1) == f"writer-{won.index(True)}"
+    assert storage.committed_text(spark, path.split("/_commits")[0], 1) == f"writer-{won.index(True)}"
 
 
 def test_a_version_without_its_name_is_not_read(spark, scratch):
