@@ -11,7 +11,9 @@ from __future__ import annotations
 # Run month, the month before it, and the seed months of either run: the
 # quarter before the run's quarter.
 RUN, PREVIOUS = "2000-04", "2000-03"
-SEED = {RUN: ("2000-01", "2000-02", "2000-03"), PREVIOUS: ("1999-10", "1999-11", "1999-12")}
+_THIRD, _FOURTH = ("1999-07", "1999-08", "1999-09"), ("1999-10", "1999-11", "1999-12")
+SEED = {"1999-11": _THIRD, "1999-12": _THIRD, "2000-01": _FOURTH, "2000-02": _FOURTH, PREVIOUS: _FOURTH,
+        RUN: ("2000-01", "2000-02", "2000-03")}
 
 # Ladder bounds, tier names, ages and move labels.
 RULES = """
@@ -118,12 +120,34 @@ history_full AS (SELECT {_BASE}, {_NOTHING} FROM past UNION ALL SELECT {_OUT} FR
 {select}"""
 
 
+def _in_turn(months: tuple[str, ...], select: str) -> str:
+    """Several run months one after another, each on the table that the one before it left."""
+    body = _plain("").rstrip() + f""",
+early AS (SELECT * FROM sales WHERE month_year < '{months[0]}'),
+table0 AS (SELECT {_BASE} FROM ({_tiered("early")}) t)"""
+    for k, month in enumerate(months):
+        before = "{}-{:02d}".format(*((int(month[:4]), int(month[5:]) - 1) if month[5:] > "01" else (int(month[:4]) - 1, 12)))
+        body += f""",
+{_run(f"m{k}", month, before, f"table{k}").strip()},
+table{k + 1} AS (SELECT {_BASE} FROM table{k} UNION ALL SELECT {_BASE} FROM m{k}_out)"""
+    return body + "\n" + select
+
+
+def _each(months: tuple[str, ...]) -> str:
+    return " UNION ALL ".join(f"SELECT {_OUT} FROM m{k}_out" for k in range(len(months)))
+
+
 def segmentation_sql() -> dict[str, str]:
     seed = ", ".join(f"'{m}'" for m in SEED[RUN])
     tiers = "SELECT pos_code, month_year, revenue, {column} FROM (" + _tiered("(SELECT * FROM sales)") + ") t"
     once = " GROUP BY ALL"        # two age records don't repeat a tier
     promoted = _NEW_TIER.format(t="h")
+    backfilled, published = tuple(SEED), (PREVIOUS, RUN)
+    one_record = "aging AS (SELECT pos_code, age AS pos_aging FROM outlet)"
     return {
+        "pos_segmentation_backfill": _in_turn(backfilled, _each(backfilled)),
+        "month_write_audit_publish": _in_turn(published, f"SELECT {_BASE}, {_NOTHING} FROM table0 UNION ALL {_each(published)}")
+        .replace(INPUTS[INPUTS.index("aging AS"):], one_record),
         "revenue_tiering": _plain(tiers.format(column="revenue_tiering") + once),
         "real_pos_tiering": _plain(tiers.format(column="real_pos_tiering") + once),
         "pos_tiering": _plain(_tiered("sales")),

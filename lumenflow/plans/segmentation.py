@@ -20,8 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenflow.functions.dates import month_start, quarter_label, shift_label
+from lumenflow.functions.dates import month_label, month_start, previous_quarter_months, quarter_label, shift_label
 from lumenflow.operators import tiering as T
+from lumenflow.session import materialize
+from lumenflow.sinks import months as month_table
 
 BASE_COLUMNS = (
     "month_year", "month_year_date", "pos_code", "revenue", "pos_aging",
@@ -153,6 +155,73 @@ def segment_month(raw: DataFrame, aging: DataFrame, history: DataFrame,
     return promote(final, check, month)
 
 
+def month_range(first: str, last: str) -> list[str]:
+    out = [first]
+    while out[-1] < last:
+        out.append(shift_label(out[-1], 1))
+    return out
+
+
+def quarter_seeds(spark, months: list[str]) -> DataFrame:
+    """(run, month_year): each run month with the months of the quarter before it."""
+    return spark.createDataFrame([(m, s) for m in months for s in previous_quarter_months(m)], "run string, month_year string")
+
+
+def segment_months(feed: DataFrame, aging: DataFrame, history: DataFrame, first: str, last: str,
+                   seeds: DataFrame | None = None, etl_date: Column | None = None) -> DataFrame:
+    """The 15 output columns of the months ``first`` to ``last`` in one plan: what running
+    ``segment_month`` for each in turn, on the table with the months before it, would give.
+    ``history`` is the table before ``first``; ``seeds(run, month_year)`` the seed months
+    of each run (the quarter before it).
+
+    An outlet that was once seen has rows in every later month, as a month without a feed
+    is carried as 'No Trx', which the next run sees as its previous month.  So the calendar
+    of each outlet is made dense from its first month on (at most one entry a month in a
+    group), and one ``lag`` over all months finds the same rows as the runs' two-month
+    windows.  The flags of all runs come from one aggregate over the seed months' Diamond
+    rows, those of the history and those of the months computed here.
+    """
+    spark = feed.sparkSession
+    months = month_range(first, last)
+    before = shift_label(first, -1)
+    seeds = quarter_seeds(spark, months) if seeds is None else seeds
+    calc = calculation(feed.where(F.col("month_year").between(first, last)), aging)
+    calc = materialize(calc, "backfill_feed")           # the tiers, the calendar and the flags read it
+    previous = history.where(F.col("month_year") == before).select(*BASE_COLUMNS)
+
+    # months of each outlet, counted from the one before the first
+    start = month_start(F.lit(before))
+    nth = F.months_between("month_year_date", start).cast("int").alias("nth")
+    seen = calc.select("pos_code", nth).unionByName(previous.select("pos_code", F.lit(0).alias("nth")))
+    gaps = (seen.groupBy("pos_code").agg(F.min("nth").alias("since"), F.collect_set("nth").alias("held"))
+            .select("pos_code", F.explode(F.array_except(F.sequence("since", F.lit(len(months))), "held")).alias("nth"))
+            .where("nth > 0"))
+    date = F.add_months(start, F.col("nth"))
+    carried = gaps.select(
+        month_label(date).alias("month_year"), date.alias("month_year_date"), "pos_code",
+        F.lit(0).cast(dict(calc.dtypes)["revenue"]).alias("revenue"), F.lit(T.NO_TRX).alias("pos_tiering"),
+        F.lit(T.UNDEFINED).alias("real_pos_tiering"), F.lit(T.UNDEFINED).alias("revenue_tiering"))
+    carried = carried.join(aging.select("pos_code", "pos_aging"), "pos_code", "left").select(*BASE_COLUMNS)
+
+    rows = with_transitions(with_lags(previous.unionByName(calc).unionByName(carried)))
+    rows = rows.withColumn("etl_date", etl_date if etl_date is not None else F.current_timestamp())
+    rows = rows.where(F.col("month_year").between(first, last))
+
+    earliest = seeds.agg(F.min("month_year")).first()[0]
+    peaks = history.where((F.col("revenue_tiering") == T.DIAMOND) & (F.col("month_year") < first) & (F.col("month_year") >= earliest))
+    peaks = peaks.select("pos_code", "month_year", "month_year_date").unionByName(
+        calc.where(F.col("revenue_tiering") == T.DIAMOND).select("pos_code", "month_year", "month_year_date"))
+    # a run sees the months before it only
+    flags = (peaks.join(seeds, "month_year").where(F.col("month_year") < F.col("run"))
+             .groupBy(F.col("run").alias("_d_run"), F.col("pos_code").alias("_d_pos"),
+                      quarter_label("month_year_date", 1).alias("_d_quarter"))
+             .agg(F.countDistinct("month_year").alias("total_diamond"))
+             .withColumn("is_diamond", T.diamond_flag()).drop("total_diamond"))
+    joined = rows.join(flags, (rows["month_year"] == flags["_d_run"]) & (rows["pos_code"] == flags["_d_pos"])
+                       & (quarter_label(rows["month_year_date"]) == flags["_d_quarter"]), "left")
+    return joined.withColumn("new_tiering", T.promoted_tier()).select(*OUTPUT_COLUMNS)
+
+
 def duplicate_check(df: DataFrame, key: Column) -> DataFrame:
     """Values of ``key`` seen more than once (null is a value here)."""
     return (df.groupBy(key.alias("unique_field")).count()
@@ -175,3 +244,23 @@ def run_month(feed: DataFrame, aging: DataFrame, table_root: str,
     table = storage.read_months(spark, table_root, table_schema(dict(feed.dtypes)["revenue"]))
     result = segment_month(feed, aging, table, seed_months, month)
     return storage.replace_month(result, table_root, month, OUTPUT_COLUMNS)
+
+
+def output_audits() -> dict[str, month_table.Audit]:
+    """What a month must fulfil to be published: one row per outlet and month, a
+    key in each, and tiers of the ladders."""
+    tiers = (*T.REVENUE_TIERS, T.UNDEFINED)
+    return {"one row per outlet and month": month_table.unique(F.struct("pos_code", "month_year")),
+            "month and date": month_table.not_null("month_year", "month_year_date"),
+            "revenue tiers": month_table.accepted_values("revenue_tiering", tiers)}
+
+
+def publish_months(feed: DataFrame, aging: DataFrame, table_root: str, first: str, last: str | None = None,
+                   seeds: DataFrame | None = None, audits: dict[str, month_table.Audit] | None = None) -> dict[str, int]:
+    """Run the months ``first`` to ``last`` (one month by default) against a published
+    table (``sinks.months``): all are staged, audited and published by one switch, or none
+    is.  Returns the rows of each month."""
+    last = last or first
+    table = month_table.read(feed.sparkSession, table_root, table_schema(dict(feed.dtypes)["revenue"]))
+    result = segment_months(feed, aging, table, first, last, seeds)
+    return month_table.publish(result, table_root, month_range(first, last), output_audits() if audits is None else audits)

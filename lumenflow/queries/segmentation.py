@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lumenflow.functions.dates import shift_label
 from lumenflow.functions.strings import concat_key
 from lumenflow.operators import tiering as T
 from lumenflow.plans import segmentation as S
 from lumenflow.queries import query
 from lumenflow.session import fresh_path, materialize
+from lumenflow.sinks import months as MT
 from lumenflow.sinks import storage
 from lumenflow.sources import bindings as B
 from lumenflow.sources.files import read_seed
 
 M = B.RUN_MONTH
+PREVIOUS = shift_label(M, -1)
 
 
 def _inputs(spark, sf_dir):
@@ -169,3 +172,36 @@ def q_month_partition_replace(spark, sf_dir):
     table = storage.read_months(spark, root, S.table_schema())
     storage.replace_month(table.where(F.lit(False)), root, OLDEST_MONTH, S.OUTPUT_COLUMNS)
     return storage.read_months(spark, root, S.table_schema()).drop("etl_date")
+
+
+BACKFILL_FROM = "1999-11"   # months to the run month, over a quarter's end
+
+
+@query("pos_segmentation_backfill")
+def q_pos_segmentation_backfill(spark, sf_dir):
+    """Six run months in one plan, on a table that ends before the first of them."""
+    sales = materialize(B.pos_sales(spark, sf_dir))
+    aging = B.pos_aging(spark, sf_dir)
+    history = S.calculation(sales.where(F.col("month_year") < BACKFILL_FROM), aging)
+    return S.segment_months(sales, aging, history, BACKFILL_FROM, M).drop("etl_date")
+
+
+@query("month_write_audit_publish")
+def q_month_write_audit_publish(spark, sf_dir):
+    """A published table.  The run month is refused while outlets have two age records (its
+    audit finds the repeated rows) and the table stays as it was; with one record each, two
+    months are published by one switch."""
+    root = fresh_path(spark, "published")
+    sales = materialize(B.pos_sales(spark, sf_dir))
+    aging = B.pos_aging(spark, sf_dir)
+    one_record = aging.groupBy("pos_code").agg(F.min("pos_aging").alias("pos_aging"))
+    past = S.calculation(sales.where(F.col("month_year") < PREVIOUS), one_record)
+    empty = spark.createDataFrame([], S.table_schema())
+    past = empty.unionByName(past, allowMissingColumns=True)
+    MT.publish(past, root, [r["month_year"] for r in past.select("month_year").distinct().collect()])
+    try:
+        S.publish_months(sales, aging, root, PREVIOUS, M)
+    except MT.AuditError:
+        pass
+    S.publish_months(sales, one_record, root, PREVIOUS, M)
+    return MT.read(spark, root, S.table_schema()).drop("etl_date")
