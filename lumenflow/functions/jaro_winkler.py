@@ -163,58 +163,6 @@ def char_histogram(strings: list[str]) -> np.ndarray:
     return np.bincount(flat, minlength=n * HIST_BUCKETS).reshape(n, HIST_BUCKETS).astype(np.int32)
 
 
-def best_in_block(left: pd.DataFrame, members: pd.DataFrame, ties: list[str]) -> pd.DataFrame:
-    """For every row of ``left`` (``a_id``, ``a``, ``floor``) the best of
-    ``members`` (``b``, ``ties``...) that reaches its floor.
-
-    Pairs are formed in numpy; a pair is scored only when its histogram
-    bound reaches the row's floor.  Returns one row per ``a_id`` that has
-    such a pair: ``a_id``, ``score`` and the tie columns of the winner
-    (highest score, then smallest tie columns)."""
-    cols = ["a_id", "score", *ties]
-
-    def empty() -> pd.DataFrame:
-        out = {"a_id": pd.Series([], dtype=object), "score": pd.Series([], dtype="float64")}
-        for t in ties:
-            out[t] = pd.Series([], dtype=members[t].dtype if t in members else object)
-        return pd.DataFrame(out)
-
-    if left.empty or members.empty:
-        return empty()
-    a_list = left["a"].tolist()
-    b_list = members["b"].tolist()
-    na, nm = len(a_list), len(b_list)
-    ha, hb = char_histogram(a_list), char_histogram(b_list)
-    A, la = _codes(a_list, -1)
-    B, lb = _codes(b_list, -2)
-    # only buckets that both sides use, in the narrowest type
-    used = np.flatnonzero(ha.any(axis=0) & hb.any(axis=0))
-    width = np.uint8 if max(ha.max(initial=0), hb.max(initial=0)) < 256 else np.int32
-    ha, hb = ha[:, used].astype(width), hb[:, used].astype(width)
-    common = np.minimum(ha[:, None, :], hb[None, :, :]).sum(axis=2, dtype=np.int32)
-    k = min(PREFIX_MAX, A.shape[1], B.shape[1])
-    if k:
-        same = (A[:, None, :k] == B[None, :, :k])
-        prefix = np.cumprod(same, axis=2).sum(axis=2)
-    else:
-        prefix = np.zeros((na, nm))
-    ub = bound(common, la[:, None], lb[None, :], prefix)
-    floor = left["floor"].fillna(0.0).to_numpy()
-    ai, mi = np.nonzero(ub + 1e-9 >= floor[:, None])
-    if ai.size == 0:
-        return empty()
-    a_arr = np.array(a_list, dtype=object)
-    b_arr = np.array(b_list, dtype=object)
-    score = np.round(jaro_winkler(a_arr[ai].tolist(), b_arr[mi].tolist()), SCORE_DIGITS)
-    cand = pd.DataFrame({"a_id": left["a_id"].to_numpy()[ai], "score": score})
-    for t in ties:
-        cand[t] = members[t].to_numpy()[mi]
-    cand = cand[cand["score"] > 0]
-    cand = cand.sort_values(["a_id", "score", *ties], ascending=[True, False] + [True] * len(ties),
-                            kind="mergesort")
-    return cand.drop_duplicates("a_id", keep="first")[cols]
-
-
 # --- Spark wrappers ---------------------------------------------------------
 
 @F.pandas_udf(DoubleType())

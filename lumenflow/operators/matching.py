@@ -8,21 +8,21 @@ Fuzzy part (exact result, pruned work).  For every unmatched region row
 the master row with the highest Jaro-Winkler score over the four joined
 names is wanted, among the unmatched master rows of its *block* (master
 provinces reached through the block rules).  The search is a branch and
-bound down the master's own hierarchy, block -> city -> district -> chunk:
-
-* members are put in order of city, district and the sorted characters of
-  their name (a range shuffle) and cut into chunks of ``group_rows``
-  neighbours, so the members of a chunk consist of nearly the same
-  characters and its summary is tight;
-* every node is summarised by its length range, its common four-character
-  prefix and the per-bucket maximum of its members' character histograms;
-  for a row and a node these give a score no member can exceed;
+bound down the master's own hierarchy, block -> city -> district -> chunk,
+and on down the trie of a chunk's names:
+
+* members are put in order of city, district and name (a range shuffle) and cut
+  into chunks of ``group_rows`` neighbours;
+* every node above the chunks is summarised by its length range, its common
+  four-character prefix and the per-bucket maximum of its members' character
+  histograms; for a row and a node these give a score no member can exceed;
 * a floor per row comes from a descent along the highest bounds (best city,
-  best district in it, the ``SEED_CHUNKS`` best chunks in it, scored);
-* then only nodes whose bound reaches the floor are opened, level by level,
-  and the surviving chunks are scored in a cogrouped ``applyInPandas`` that
-  also checks the exact per-pair bound first; a chunk reached by many rows
-  is split by a salt;
+  best district in it, the ``SEED_CHUNKS`` best chunks in it, searched);
+* then only nodes whose bound reaches the floor are opened, level by level, and
+  the rows that reach a chunk search its trie in a cogrouped ``applyInPandas``
+  (``functions.jaro_trie``: the matching is built along the trie, and its bounds see
+  the match window and the transpositions); a chunk reached by many rows is split by
+  a salt;
 * the winner is an aggregate ``min(struct(-score, tie columns))`` (partial
   per task, final per row), so no group is ever collected.
 
@@ -35,10 +35,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenflow.functions import jaro_winkler as JW
+from lumenflow.functions.jaro_trie import Search, tries_of
 from lumenflow.functions.strings import join_names, strip_parenthesised, text_upper
 from lumenflow.session import materialize
 
@@ -139,17 +141,14 @@ def block_map(left_provinces: DataFrame, master_provinces: DataFrame,
 
 # --- fuzzy best match ----------------------------------------------------------
 
-def _normal_chars(c: Column) -> Column:
-    return F.array_join(F.array_sort(F.split(c, "")), "")
-
-
 # The row key of a region row: a repeated code with other names is another row.
 ROW = ("a_id", "a")
 TIE_COLUMNS = ("m_province", "m_city", "m_district", "m_sub_clean", MASTER_ID)
 LEVELS = (("block", "m_city"), ("block", "m_city", "m_district"),
           ("block", "m_city", "m_district", "gid"))
 BLOCK_LEFT_ROWS = 2048      # region rows per scoring call (hot groups are salted)
-SEED_CHUNKS = 3             # chunks scored for the floor of a row
+SEED_CHUNKS = 1             # chunks searched for the floor of a row
+GROUP_ROWS = 2_000          # members of a chunk, one trie for each length
 
 
 def joined_left(left_only: DataFrame) -> DataFrame:
@@ -174,7 +173,7 @@ def candidate_features(left_only: DataFrame, master_only: DataFrame, rules: tupl
                     JW.pack_histogram_udf(JW.char_histogram_udf("a")).alias("ha"),
                     F.substring("a", 1, JW.PREFIX_MAX).alias("pa")))
     n = int(master.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["m_province", "m_city", "m_district", F.length("b"), _normal_chars(F.col("m_sub_clean")), "b", MASTER_ID]
+    order = ["m_province", "m_city", "m_district", "b", MASTER_ID]
     # the id counts the rows of a range-sorted task: neighbours share a chunk
     master = master.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
         MASTER_ID, F.col("m_province").alias("block"), "m_province", "m_city", "m_district", "m_sub_clean", "b",
@@ -212,13 +211,14 @@ def bounds_below(nodes: DataFrame, left: DataFrame, level: DataFrame, parent: tu
     return j.join(packed, list(parent)).select(*ROW, *keys, ub.alias("ub"))
 
 
-def score_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Best member per (row, group) for rows ``(a_id, a, floor, gid)``.
+def search_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Best member per (row, group) for rows ``(a_id, a, floor, gid)``, and ``scored``,
+    the members whose score was computed; no member (score 0) where none reaches the floor.
 
-    Rows and members are cogrouped on the group id and scored in numpy
-    (``best_in_block``).  A group reached by more than ``BLOCK_LEFT_ROWS``
+    Rows and members are cogrouped on the group id; a call builds the group's tries and
+    searches them for each row.  A group reached by more than ``BLOCK_LEFT_ROWS``
     rows is split: rows get a salt, members are replicated per salt, so no
-    call holds more than that many rows times one group of members."""
+    call holds more than that many rows and one group of members."""
     counts = rows.groupBy("gid").agg(F.count(F.lit(1)).alias("_n"))
     salts = counts.select("gid", F.ceil(F.col("_n") / BLOCK_LEFT_ROWS).cast("int").alias("_s"))
     r = (rows.join(salts, "gid")
@@ -234,16 +234,27 @@ def score_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
     r = r.repartition(n, "gid", "salt")
     m = m.repartition(n, "m_gid", "m_salt")
     ties = list(TIE_COLUMNS)
-    schema = ("a_id string, a string, score double, m_province string, m_city string, m_district string, "
+    schema = ("a_id string, a string, score double, scored bigint, m_province string, m_city string, m_district string, "
               f"m_sub_clean string, {MASTER_ID} bigint")
 
     def run(left_pdf, member_pdf):
-        # (row numbers stand for the two-column row key)
-        out = JW.best_in_block(left_pdf.assign(a_id=range(len(left_pdf))), member_pdf, ties)
-        at = out["a_id"].to_numpy(dtype=int)
-        out["a_id"] = left_pdf["a_id"].to_numpy()[at]
-        out.insert(1, "a", left_pdf["a"].to_numpy()[at])
-        return out
+        # of members with the same string the first by the tie columns can win
+        firsts = member_pdf.sort_values(ties, kind="mergesort").drop_duplicates("b").set_index("b")[ties]
+        tie_of = dict(zip(firsts.index, firsts.itertuples(index=False, name=None)))
+        tries = tries_of(tie_of)
+        out = []
+        for a_id, a, floor in zip(left_pdf["a_id"], left_pdf["a"], left_pdf["floor"]):
+            search, found = Search(a), []
+
+            def better(b: str, score: float) -> None:
+                found.append((-score, tie_of[b]))
+
+            best = floor if floor == floor else 0.0
+            for _, trie in sorted(((search.bound(t), t) for t in tries), key=lambda x: -x[0]):
+                best = search.best(trie, best, better)
+            score, tie = min(found, default=(0.0, (None,) * len(ties)))
+            out.append((a_id, a, -score, search.scored, *tie))
+        return pd.DataFrame(out, columns=["a_id", "a", "score", "scored", *ties]).astype({MASTER_ID: "Int64"})
 
     # (the member side is renamed: both sides descend from the same tables,
     # and cogroup keys are matched by position)
@@ -253,17 +264,18 @@ def score_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
 
 def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
                      rules: tuple[BlockRule, ...] = DEFAULT_RULES,
-                     group_rows: int = 32, only_codes: tuple[str, ...] | None = None,
-                     report: dict | None = None) -> DataFrame:
+                     group_rows: int = GROUP_ROWS, only_codes: tuple[str, ...] | None = None,
+                     report: dict | None = None, names: bool = False) -> DataFrame:
     """(subdistrict_a, subdistrict_b, similarity_score): the best master row
     per unmatched region row.  Ties go to the smaller (province, city,
     district, cleaned subdistrict, id) of the master.  A row whose best score
     is 0 (nothing in common) gets no match.  ``only_codes`` restricts the
     search to some subdistrict codes.  ``report`` is filled with the number
-    of pairs in the blocks and of pairs that reached the scorer.
+    of pairs in the blocks and of pairs whose score was computed.  With ``names`` the
+    row's joined names are in the result (``names_a``).
     """
     if only_codes is not None:
-        left_only = left_only.where(F.col("subdistrict_code").isin(*only_codes))
+        left_only = searched_rows(left_only, only_codes)
     left, master = candidate_features(left_only, master_only, rules, group_rows)
     left = materialize(left, "fuzzy_left")
     master = materialize(master, "fuzzy_master")
@@ -284,7 +296,7 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
         bounds_below(district, left, chunks, LEVELS[1], LEVELS[2])
         .withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= SEED_CHUNKS)
         .select(*ROW, "gid"), "fuzzy_seeds")
-    first = materialize(score_groups(seeds.withColumn("floor", F.lit(0.0)), members), "fuzzy_first")
+    first = materialize(search_groups(seeds.withColumn("floor", F.lit(0.0)), members), "fuzzy_first")
     floor = first.groupBy(*ROW).agg(F.max("score").alias("floor"))
 
     # 2) open, level by level, only the nodes whose bound reaches the floor
@@ -297,24 +309,32 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
     alive = reach(bounds_below(alive, left, chunks, LEVELS[1], LEVELS[2]))
     rest = materialize(alive.join(seeds, [*ROW, "gid"], "left_anti")
                        .select(*ROW, "gid", F.coalesce(F.col("floor"), F.lit(0.0)).alias("floor")), "fuzzy_rest")
+    scored = first.unionByName(search_groups(rest, members))
     if report is not None:
-        size = master.groupBy("gid").agg(F.count(F.lit(1)).alias("n"))
-        reached = seeds.select("gid").unionByName(rest.select("gid")).join(size, "gid").agg(F.sum("n")).first()[0]
+        scored = materialize(scored, "fuzzy_scored")
         blocks = master.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
         report["block_pairs"] = left.join(blocks, "block").agg(F.sum("n")).first()[0] or 0
-        report["scored_pairs"] = reached or 0
-    scored = first.unionByName(score_groups(rest, members))
+        report["scored_pairs"] = scored.agg(F.sum("scored")).first()[0] or 0
+    scored = scored.where("score > 0")
     best_of = scored.groupBy(*ROW).agg(F.min(F.struct((-F.col("score")).alias("neg"), *TIE_COLUMNS)).alias("w"))
     return (best_of.where(F.col("w.neg") < 0)
-            .select(F.col("a_id").alias("subdistrict_a"), F.col(f"w.{MASTER_ID}").alias("subdistrict_b"),
-                    (-F.col("w.neg")).alias("similarity_score")))
+            .select(F.col("a_id").alias("subdistrict_a"), *([F.col("a").alias("names_a")] if names else []),
+                    F.col(f"w.{MASTER_ID}").alias("subdistrict_b"), (-F.col("w.neg")).alias("similarity_score")))
+
+
+def searched_rows(left_only: DataFrame, only_codes: tuple[str, ...] | None) -> DataFrame:
+    return left_only if only_codes is None else left_only.where(F.col("subdistrict_code").isin(*only_codes))
 
 
-def unmatched(left_only: DataFrame, fuzzy: DataFrame) -> DataFrame:
-    """Region rows that got no match, with the reason: a missing name, or no
-    master row in their block with anything in common."""
-    lost = joined_left(left_only).join(
-        fuzzy.select(F.col("subdistrict_a").alias("a_id")).distinct(), "a_id", "left_anti")
+def unmatched(left_only: DataFrame, fuzzy: DataFrame, only_codes: tuple[str, ...] | None = None) -> DataFrame:
+    """Region rows that were searched and got no match, with the reason: a missing name,
+    or no master row in their block with anything in common.  A row is its code and its
+    names, so ``fuzzy`` is a match with ``names``; ``only_codes`` as for the search (rows that
+    it left out were not searched)."""
+    found = fuzzy.select(F.col("subdistrict_a").alias("a_id"), F.col("names_a").alias("a")).distinct()
+    rows = joined_left(searched_rows(left_only, only_codes))
+    # (a missing name is in no match, and a null never equals one)
+    lost = rows.join(found, list(ROW), "left_anti")
     return lost.select(F.col("a_id").alias("subdistrict_code"),
                        F.when(F.col("a").isNull(), "missing name").otherwise("no candidate").alias("reason"))
 

@@ -99,7 +99,7 @@ def q_address_unmatched(spark, sf_dir):
     hole = F.substring("subdistrict_code", 7, 64).cast("bigint") % 50 == 0
     region = materialize(region.withColumn("subdistrict_name", F.when(~hole, F.col("subdistrict_name"))), "region_holes")
     _, left_only, master_only = MT.exact_split(region, _master(spark, sf_dir))
-    return MT.unmatched(left_only, MT.fuzzy_best_match(left_only, master_only, BINDING_RULES))
+    return MT.unmatched(left_only, MT.fuzzy_best_match(left_only, master_only, BINDING_RULES, names=True))
 
 
 @query("region_export")

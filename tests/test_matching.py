@@ -167,13 +167,76 @@ def test_missing_names_ids_and_repeats(spark):
     master = _master(spark, [(None, "P", "C", "D", "SAME"), (7, "P", "C", "D", "ALPHA2"), (7, "P", "X", "Y", "ZZZ"), (8, "P", "C", "D", "BETA2")])
     mapped, left_only, master_only = MT.exact_split(region, master)
     assert mapped.count() == 0 and left_only.count() == 5 and master_only.count() == 3
-    fuzzy = MT.fuzzy_best_match(left_only, master_only)
+    fuzzy = MT.fuzzy_best_match(left_only, master_only, names=True)
     got = sorted((r.subdistrict_a, r.subdistrict_b) for r in fuzzy.collect())
     assert [a for a, _ in got] == ["L2", "L3", "L3"] and got[1:] == [("L3", 7), ("L3", 8)]
     lost = {(r.subdistrict_code, r.reason) for r in MT.unmatched(left_only, fuzzy).collect()}
     assert lost == {("L1", "missing name"), ("L4", "no candidate")}
-    some = MT.fuzzy_best_match(left_only, master_only, only_codes=("L2",))
+    some = MT.fuzzy_best_match(left_only, master_only, only_codes=("L2",), names=True)
     assert [r.subdistrict_a for r in some.collect()] == ["L2"]
+    assert MT.unmatched(left_only, some, ("L2",)).collect() == []          # rows left out are not unmatched
+
+
+def test_a_row_is_unmatched_by_code_and_names(spark):
+    """Two rows of one code: the one without a name is reported though the other matched."""
+    region = _region(spark, [("L1", "P", "C", "D", None), ("L1", "P", "C", "D", "ALPHA1"), ("L1", "Q", "C", "D", "ALPHA1")])
+    master = _master(spark, [(7, "P", "C", "D", "ALPHA2")])
+    _, left_only, master_only = MT.exact_split(region, master)
+    fuzzy = MT.fuzzy_best_match(left_only, master_only, names=True)
+    lost = sorted((r.subdistrict_code, r.reason) for r in MT.unmatched(left_only, fuzzy).collect())
+    assert lost == [("L1", "missing name"), ("L1", "no candidate")]
+
+
+# ---- the trie search ---------------------------------------------------------
+
+def _search(a, members, floor=0.0):
+    """(best score, strings that have it, members scored)."""
+    from lumenflow.functions.jaro_trie import Search, tries_of
+    search, found = Search(a), []
+    for trie in tries_of(members):
+        floor = search.best(trie, floor, lambda b, score: found.append((score, b)))
+    return floor, sorted({b for score, b in found if score == floor}), search.scored
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="abc12", max_size=14), st.lists(st.text(alphabet="abc12", min_size=1, max_size=14), min_size=1, max_size=25))
+def test_trie_search_equals_all_pairs(a, members):
+    import numpy as np
+    scores = {b: float(s) for b, s in zip(members, np.round(JW.jaro_winkler([a] * len(members), members), 9))}
+    top = max(scores.values())
+    best, strings, _ = _search(a, members)
+    assert best == (top if top > 0 else 0.0)
+    assert strings == (sorted({b for b in members if scores[b] == top}) if top > 0 else [])
+    # a floor from elsewhere: nothing below it is found, all that reach it still are
+    assert _search(a, members, top)[:2] == (top, strings if top > 0 else []) if top > 0 else True
+    assert _search(a, members, top + 0.01)[1] == []
+
+
+def test_trie_bounds_are_never_exceeded():
+    from lumenflow.functions.jaro_trie import Search, Trie
+    rng = random.Random(4)
+    for _ in range(300):
+        n = rng.randrange(1, 30)
+        members = sorted({"".join(rng.choice("ab01") for _ in range(n)) for _ in range(rng.randrange(1, 20))})
+        a = "".join(rng.choice("ab01") for _ in range(rng.randrange(1, 30)))
+        top = max(JW.jaro_winkler([a] * len(members), members))
+        assert Search(a).bound(Trie(members)) >= top - 1e-9
+
+
+def test_trie_search_scores_few_members():
+    """Names alike but for some digits, as in an address master; long ones too."""
+    rng = random.Random(9)
+    members = [f"EUROPE_CITY_{rng.randrange(25)}_DISTRICT_VILLAGE{rng.randrange(10**6):09d}" for _ in range(4000)]
+    scored = 0
+    for i in range(40):
+        a = members[i][:6].replace("E_", "A_") + members[i][6:-3] + f"{rng.randrange(1000):03d}"
+        best, strings, n = _search(a, members)
+        want = JW.jaro_winkler([a] * len(members), members).round(9)
+        assert best == want.max() and strings == sorted({b for b, s in zip(members, want) if s == best})
+        scored += n
+    assert scored < 0.2 * 40 * len(members)         # no member is close here: six digits at random
+    long = ["x" * 40 + f"{i:03d}" * 20 for i in range(50)]
+    assert _search("x" * 38 + "007" * 21, long)[1][0] in long
 
 
 def test_salted_hot_groups_give_the_same_answer(spark, monkeypatch):
