@@ -15,7 +15,7 @@ node of the trie two bounds hold for all members below it:
   still take are final, and so are as many of ``b``'s; where the two differ is out of order.
 
 The score that these give is the node's bound.  A node is entered only if its bound reaches
-the best score found so far (or the floor that the caller has from elsewhere), sons by falling
+the best score found so far (or the floor that the caller has from elsewhere), by falling
 bound, so few members are scored, and none that could win is left out.
 
 The window depends on the longer of the two strings, so members are kept in one trie for
@@ -25,6 +25,8 @@ each length.
 from __future__ import annotations
 
 from collections import Counter
+from heapq import heapify, heappop, heappush
+from itertools import count
 
 import numpy as np
 
@@ -183,24 +185,31 @@ class Search:
         bound, final, wrong = self._bound(node, lb, window, taken, matched, known, floor, final, wrong)
         return bound, (taken, matched, prefix, final, wrong)
 
-    def best(self, trie: Trie, floor: float, better) -> float:
-        """Call ``better(string, score)`` for members that reach the best score so far,
-        ``floor`` at first; returns the best score.  The last calls are of the best score and
-        hold every member that has it."""
-        stack = [(*self._enter(trie.root, trie.length, 0, (0, "", 0, 0, 0), floor), trie.root)]
-        while stack:
-            bound, state, node = stack.pop()
-            if bound + SLACK < floor:
-                continue
+    def best(self, tries: list[Trie], floor: float = 0.0) -> tuple[float, list[str]]:
+        """(highest score, the members that have it) among those that reach ``floor``;
+        no members if none does.  Nodes of all tries are entered in the order of their
+        bounds, so the first member to come up is the best."""
+        turn = count()
+        heap = []
+        for trie in tries:
+            bound, state = self._enter(trie.root, trie.length, 0, (0, "", 0, 0, 0), floor)
+            heap.append((-bound, next(turn), state, trie.root, trie))
+        heapify(heap)
+        found: list[str] = []
+        while heap and -heap[0][0] + SLACK >= floor:
+            bound, _, state, node, trie = heappop(heap)
             if node.member >= 0:
-                score = float(np.round(bound, SCORE_DIGITS))
-                if score >= floor and score > 0:
+                score = float(np.round(-bound, SCORE_DIGITS))
+                if score > floor and score > 0 or score == floor > 0:
+                    found = found if score == floor else []
                     floor = score
-                    better(trie.strings[node.member], score)
+                    found.append(trie.strings[node.member])
                 continue
-            sons = [(*self._enter(son, trie.length, node.end, state, floor), son) for son in node.sons]
-            stack += sorted((s for s in sons if s[0] + SLACK >= floor), key=lambda s: s[0])
-        return floor
+            for son in node.sons:
+                bound, after = self._enter(son, trie.length, node.end, state, floor)
+                if bound + SLACK >= floor:
+                    heappush(heap, (-bound, next(turn), after, son, trie))
+        return floor, found
 
 
 def tries_of(strings) -> list[Trie]:

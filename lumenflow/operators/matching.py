@@ -8,16 +8,16 @@ Fuzzy part (exact result, pruned work).  For every unmatched region row
 the master row with the highest Jaro-Winkler score over the four joined
 names is wanted, among the unmatched master rows of its *block* (master
 provinces reached through the block rules).  The search is a branch and
-bound down the master's own hierarchy, block -> city -> district -> chunk,
-and on down the trie of a chunk's names:
+bound over the members in the order of their names, block -> span -> chunk, and on
+down the trie of a chunk's names:
 
-* members are put in order of city, district and name (a range shuffle) and cut
-  into chunks of ``group_rows`` neighbours;
-* every node above the chunks is summarised by its length range, its common
-  four-character prefix and the per-bucket maximum of its members' character
+* members are put in order of their joined names (a range shuffle) and cut into
+  chunks of about ``group_rows`` neighbours; ``SPAN`` chunks are a span;
+* spans and chunks are summarised by their length range, their common
+  four-character prefix and the per-bucket maximum of their members' character
   histograms; for a row and a node these give a score no member can exceed;
-* a floor per row comes from a descent along the highest bounds (best city,
-  best district in it, the ``SEED_CHUNKS`` best chunks in it, searched);
+* a floor per row comes from a descent along the highest bounds (the best span, the
+  best chunk in it, searched);
 * then only nodes whose bound reaches the floor are opened, level by level, and
   the rows that reach a chunk search its trie in a cogrouped ``applyInPandas``
   (``functions.jaro_trie``: the matching is built along the trie, and its bounds see
@@ -36,7 +36,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenflow.functions import jaro_winkler as JW
@@ -144,11 +144,10 @@ def block_map(left_provinces: DataFrame, master_provinces: DataFrame,
 # The row key of a region row: a repeated code with other names is another row.
 ROW = ("a_id", "a")
 TIE_COLUMNS = ("m_province", "m_city", "m_district", "m_sub_clean", MASTER_ID)
-LEVELS = (("block", "m_city"), ("block", "m_city", "m_district"),
-          ("block", "m_city", "m_district", "gid"))
-BLOCK_LEFT_ROWS = 2048      # region rows per scoring call (hot groups are salted)
-SEED_CHUNKS = 1             # chunks searched for the floor of a row
-GROUP_ROWS = 2_000          # members of a chunk, one trie for each length
+LEVELS = (("block", "span"), ("block", "span", "gid"))
+SPAN = 32                   # chunks of a span
+BLOCK_LEFT_ROWS = 512       # region rows per search call (hot groups are salted)
+GROUP_ROWS = 10_000         # members of a chunk, one trie for each length
 
 
 def joined_left(left_only: DataFrame) -> DataFrame:
@@ -172,15 +171,18 @@ def candidate_features(left_only: DataFrame, master_only: DataFrame, rules: tupl
             .select(*ROW, "block", F.length("a").alias("la"),
                     JW.pack_histogram_udf(JW.char_histogram_udf("a")).alias("ha"),
                     F.substring("a", 1, JW.PREFIX_MAX).alias("pa")))
+    # a range holds about one chunk, or several once there are as many as shuffle partitions
     n = int(master.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["m_province", "m_city", "m_district", "b", MASTER_ID]
+    n = max(1, min(n, -(-master.count() // group_rows)))
+    order = ["m_province", "b", MASTER_ID]
     # the id counts the rows of a range-sorted task: neighbours share a chunk
     master = master.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
         MASTER_ID, F.col("m_province").alias("block"), "m_province", "m_city", "m_district", "m_sub_clean", "b",
-        F.expr(f"monotonically_increasing_id() div {group_rows}").alias("_run"),
+        F.expr(f"monotonically_increasing_id() div {group_rows + group_rows // 2}").alias("_run"),
         F.length("b").alias("lb"), JW.char_histogram_udf("b").alias("hb"),
         F.substring("b", 1, JW.PREFIX_MAX).alias("pb"))
-    return left, master.withColumn("gid", F.xxhash64("block", "m_city", "m_district", "_run")).drop("_run")
+    span = F.xxhash64("block", F.expr(f"_run div {SPAN}"))
+    return left, master.withColumns({"gid": F.xxhash64("block", "_run"), "span": span}).drop("_run")
 
 
 def summaries(master: DataFrame) -> DataFrame:
@@ -244,16 +246,10 @@ def search_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
         tries = tries_of(tie_of)
         out = []
         for a_id, a, floor in zip(left_pdf["a_id"], left_pdf["a"], left_pdf["floor"]):
-            search, found = Search(a), []
-
-            def better(b: str, score: float) -> None:
-                found.append((-score, tie_of[b]))
-
-            best = floor if floor == floor else 0.0
-            for _, trie in sorted(((search.bound(t), t) for t in tries), key=lambda x: -x[0]):
-                best = search.best(trie, best, better)
-            score, tie = min(found, default=(0.0, (None,) * len(ties)))
-            out.append((a_id, a, -score, search.scored, *tie))
+            search = Search(a)
+            score, found = search.best(tries, 0.0 if pd.isna(floor) else floor)
+            tie = min((tie_of[b] for b in found), default=None)
+            out.append((a_id, a, score if found else 0.0, search.scored, *(tie or (None,) * len(ties))))
         return pd.DataFrame(out, columns=["a_id", "a", "score", "scored", *ties]).astype({MASTER_ID: "Int64"})
 
     # (the member side is renamed: both sides descend from the same tables,
@@ -280,22 +276,17 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
     left = materialize(left, "fuzzy_left")
     master = materialize(master, "fuzzy_master")
     chunks = materialize(summaries(master), "fuzzy_chunks")
-    cities, districts = summaries_above(chunks, LEVELS[0]), summaries_above(chunks, LEVELS[1])
+    spans = summaries_above(chunks, LEVELS[0])
     members = master.select("gid", "b", *TIE_COLUMNS)
 
-    # 1) floor: best city, best district in it, best chunks in it (ties by key)
+    # 1) floor: the best span, the best chunk in it (ties by key)
     def best(bounded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         node = F.struct(*keys)
         top = bounded.groupBy(*ROW).agg(F.max_by(node, F.struct("ub", node)).alias("_n"))
         return top.select(*ROW, "_n.*")
 
-    city = best(bounds_below(left, left, cities, ("block",), LEVELS[0]), LEVELS[0])
-    district = best(bounds_below(city, left, districts, LEVELS[0], LEVELS[1]), LEVELS[1])
-    order = Window.partitionBy(*ROW).orderBy(F.desc("ub"), "gid")
-    seeds = materialize(
-        bounds_below(district, left, chunks, LEVELS[1], LEVELS[2])
-        .withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= SEED_CHUNKS)
-        .select(*ROW, "gid"), "fuzzy_seeds")
+    top = best(bounds_below(left, left, spans, ("block",), LEVELS[0]), LEVELS[0])
+    seeds = materialize(best(bounds_below(top, left, chunks, LEVELS[0], LEVELS[1]), LEVELS[1]).select(*ROW, "gid"), "fuzzy_seeds")
     first = materialize(search_groups(seeds.withColumn("floor", F.lit(0.0)), members), "fuzzy_first")
     floor = first.groupBy(*ROW).agg(F.max("score").alias("floor"))
 
@@ -304,9 +295,8 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
         return (bounded.join(floor, list(ROW), "left")
                 .where(F.col("ub") + 1e-9 >= F.coalesce(F.col("floor"), F.lit(0.0))))
 
-    alive = reach(bounds_below(left, left, cities, ("block",), LEVELS[0])).select(*ROW, *LEVELS[0])
-    alive = reach(bounds_below(alive, left, districts, LEVELS[0], LEVELS[1])).select(*ROW, *LEVELS[1])
-    alive = reach(bounds_below(alive, left, chunks, LEVELS[1], LEVELS[2]))
+    alive = reach(bounds_below(left, left, spans, ("block",), LEVELS[0])).select(*ROW, *LEVELS[0])
+    alive = reach(bounds_below(alive, left, chunks, LEVELS[0], LEVELS[1]))
     rest = materialize(alive.join(seeds, [*ROW, "gid"], "left_anti")
                        .select(*ROW, "gid", F.coalesce(F.col("floor"), F.lit(0.0)).alias("floor")), "fuzzy_rest")
     scored = first.unionByName(search_groups(rest, members))

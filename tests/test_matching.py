@@ -192,10 +192,9 @@ def test_a_row_is_unmatched_by_code_and_names(spark):
 def _search(a, members, floor=0.0):
     """(best score, strings that have it, members scored)."""
     from lumenflow.functions.jaro_trie import Search, tries_of
-    search, found = Search(a), []
-    for trie in tries_of(members):
-        floor = search.best(trie, floor, lambda b, score: found.append((score, b)))
-    return floor, sorted({b for score, b in found if score == floor}), search.scored
+    search = Search(a)
+    best, found = search.best(tries_of(members), floor)
+    return best, sorted(found), search.scored
 
 
 @settings(max_examples=400, deadline=None)
