@@ -110,8 +110,11 @@ def _field_faults(schema: str) -> Column:
 
 def field_report(parsed: DataFrame) -> DataFrame:
     """(fault, messages): fields of accepted images that the row schema would
-    drop, and values that it turns into null."""
-    return (parsed.select(F.explode("fields").alias("fault"))
+    drop, and values that it turns into null.
+
+    An inner ``explode`` has Spark infer a filter on ``fields``, which is pushed below the
+    repartition and parses every message again, in the scan's tasks."""
+    return (parsed.select(F.explode_outer("fields").alias("fault")).where(F.col("fault").isNotNull())
             .groupBy("fault").agg(F.count(F.lit(1)).alias("messages")))
 
 

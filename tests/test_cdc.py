@@ -277,3 +277,12 @@ def test_a_declared_column_that_drifts_is_text(spark):
     assert sorted((r.id, r.name) for r in got.collect()) == [("1", "5"), ("2", "x"), ("three", "y")]
     none = cdc.latest_with_drift(cdc.parse_envelopes(_messages(spark, ["no json"]), SCHEMA), "id")
     assert none.columns == ["id", "name"] and none.collect() == []
+
+
+def test_field_report_parses_once(spark):
+    parsed = cdc.parse_envelopes(_messages(spark, ['{"payload":{"op":"c","after":{"id":1,"x":2}}}', "no"]), SCHEMA, partitions=2)
+    report = cdc.field_report(parsed)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Repartition"):]
+    assert "parse_json" not in below.lower() and "Filter" not in below
+    assert [tuple(r) for r in report.collect()] == [("x: unknown", 1)]
