@@ -18,7 +18,7 @@ import time
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow.operators import backlog, cdc
@@ -314,13 +314,19 @@ def drain_backlog(messages: DataFrame, row_schema: str, key: str, state_root: st
         turn = F.when(F.col("partition") == p, F.lit(i).cast("bigint")).otherwise(turn)
     parsed = cdc.parse_envelopes(messages.where(some), row_schema)
     placed = parsed.withColumn("pos", (_far(here.origin) - least) * len(order) + turn)
-    # written, as the boundaries and the export both read it, and the parse isn't repeated
-    accepted = materialize(placed.select("pos", "status", "after").where(F.col("status") == cdc.ACCEPTED).drop("status"), "accepted")
+    # written, as the boundaries and the export both read it, and filtered where it is read: a
+    # filter before would be pushed into the parse and repeat it
+    judged = materialize(placed.select("pos", "status", "after"), "judged")
+    accepted = judged.where(F.col("status") == cdc.ACCEPTED).drop("status")
     runs = backlog.plan_runs(accepted.select("pos", F.xxhash64(F.col("after")[key]).alias("key")), levels * len(order), batch_size, width)
     path = f"{export_dir}/{cdc.export_name(topic)}.csv"
     newest = (backlog.with_runs(accepted, runs, width).groupBy("run", F.col("after")[key].alias("_key"))
               .agg(F.max_by("after", "pos").alias("_row")).select("_row.*", "run"))
-    newest.write.mode("overwrite").option("header", True).partitionBy("run").csv(path)
-    n = 0 if accepted.isEmpty() else spark.read.option("header", True).csv(path).count()
+    # a run is at most ``batch_size`` rows, written by one task: one file, not one from every task
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    written = Observation()
+    (newest.repartition(tasks, "run").observe(written, F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").option("header", True).partitionBy("run").csv(path))
+    n = written.get.get("rows", 0)
     here.commit(spark, state_root, {p: ends[p][1] + 1 for p in here.base})
     return n

@@ -104,3 +104,18 @@ def test_draining_without_accepted_messages(spark, scratch):
     state = scratch("state")
     assert cdc_stream.drain_backlog(msgs, SCHEMA, "id", state, scratch("w"), "t", 5) == 0
     assert cdc_stream.next_run(msgs, SCHEMA, "id", state, scratch("w"), "t", 5, cdc_stream.topic_ends(msgs)) is None
+
+
+def test_a_drained_run_is_one_file(spark, scratch):
+    msgs = _topic(spark, 8, 400, 3).repartition(4)
+    where = scratch("all")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")      # as where there is much data
+    try:
+        n = cdc_stream.drain_backlog(msgs, SCHEMA, "id", scratch("state"), where, "t", 20, 100)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    files = spark.read.option("header", True).csv(f"{where}/t.csv").select("run", F.input_file_name().alias("f")).distinct().groupBy("run").count()
+    rows = files.collect()
+    assert tasks > 1 and n > 0 and len(rows) > 3 and {r["count"] for r in rows} == {1}
