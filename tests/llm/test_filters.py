@@ -122,6 +122,30 @@ def test_quality_without_labels(spark):
     assert quality.judge(cases.docs(spark, []), model).collect() == []
 
 
+def test_quality_fits_all_labels(spark):
+    n = 26_000
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    marked = quality.labelled(labels)
+    assert marked.count() == n and marked.where("good = 1").count() == n // 2
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("word w"), F.col("id").cast("string")).alias("text"))
+    counted = marked.where("good = 1 and not held").count()
+    model = quality.learn(docs, marked)
+    # "word" is in each text, so its bucket holds at least as many as there are
+    bucket = docs.limit(1).select(quality._buckets(F.array(F.xxhash64(F.lit("word"))))[0].alias("b")).first()["b"]
+    raw, share = n + n * 2 / quality.BUCKETS, counted / n
+    assert model.ratios[bucket] == pytest.approx(math.log((raw * share + quality.PRIOR) / (raw * share + quality.PRIOR)), abs=0.01)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cut_of_ranges_is_best_cut(spark, seed):
+    rng = random.Random(seed)
+    rows = [(round(rng.gauss(label, 1), 1 + 2 * (seed % 2)), label) for label in rng.choices([0, 1], k=700)]
+    rows = rows[:0] if seed == 3 else rows
+    assert quality.cut_of(spark.createDataFrame(rows, "score double, good int")) == quality.best_cut(rows)
+    good = [r for r in rows if r[1]]
+    assert quality.cut_of(spark.createDataFrame(good, "score double, good int")) == -math.inf
+
+
 def test_best_cut():
     assert quality.best_cut([]) == -math.inf
     assert quality.best_cut([(0.0, 0), (1.0, 0), (2.0, 1), (3.0, 1)]) == 1.5
