@@ -152,16 +152,27 @@ def _slices(batches):
 
 
 def _counted(batches):
-    """Blocks of slices: (documents, shingles with the number of documents)."""
-    parts, docs, size = [], 0, 0
+    """Blocks of slices: (documents, shingles with the number of documents).  What is left
+    at the end joins the block before it: a block of few documents would name nearly all
+    of its shingles (a task of less than one block still does)."""
+    held, parts, docs, size = None, [], 0, 0
     for part, words, first, n in _slices(batches):
         parts.append(_distinct(*shingle_hashes(words, first))[0])
         docs, size = docs + part.num_rows, size + n
         if size >= BLOCK_BYTES:
-            yield docs, *np.unique(np.concatenate(parts), return_counts=True)
+            if held:
+                yield held
+            held = (docs, *np.unique(np.concatenate(parts), return_counts=True))
             parts, docs, size = [], 0, 0
     if docs:
-        yield docs, *np.unique(np.concatenate(parts), return_counts=True)
+        keys, count = np.unique(np.concatenate(parts), return_counts=True)
+        if held:
+            before, docs = held, docs + held[0]
+            keys, at = np.unique(np.concatenate([before[1], keys]), return_inverse=True)
+            count = np.bincount(at, weights=np.concatenate([before[2], count]), minlength=len(keys)).astype(np.int64)
+        held = (docs, keys, count)
+    if held:
+        yield held
 
 
 def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:

@@ -6,6 +6,7 @@ import sys
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -178,6 +179,23 @@ def test_repeats_equal_brute_force(spark, monkeypatch, wide):
     assert cases.rows_of(substring_dedup.repeat_report(cases.docs(spark, rows).repartition(5))) == repeats_expected(rows)
 
 
+def test_counted_blocks_have_no_small_rest(monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 4000)
+    texts = [cases.prose(i, 40) for i in range(101)] + ["a b c d e f"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i:i + 4])], names=["text"]) for i in range(0, len(texts), 4)]
+    found = list(near_dedup._counted(batches))
+    assert len(found) > 2 and sum(n for n, _, _ in found) == len(texts)
+    whole = collections.Counter()
+    for n, keys, count in found:
+        assert n >= found[0][0] // 2 and len(set(keys.tolist())) == len(keys)
+        whole.update(dict(zip(keys.tolist(), count.tolist())))
+    words = [list(near_dedup._slices([b])) for b in batches]
+    one = collections.Counter()
+    for (_, w, first, _), in words:
+        one.update(near_dedup._distinct(*near_dedup.shingle_hashes(w, first))[0].tolist())
+    assert whole == one
+
+
 def test_repeats_removed_from_texts(spark):
     df = cases.docs(spark)
     got = substring_dedup.remove_repeats(df)
