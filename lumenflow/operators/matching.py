@@ -4,8 +4,10 @@ Exact part: region rows and master rows are matched on the four names
 (null-safe, as a dataframe merge matches missing to missing).  Rows with
 no partner on either side go on to the fuzzy part.
 
-Fuzzy part (exact result, pruned work).  For every unmatched region row
-the master row with the highest Jaro-Winkler score over the four joined
+Fuzzy part (exact result, pruned work).  Names are searched, not rows: rows of a province
+with the same joined names are one search, and of master rows of a block with the same
+joined names the first by the tie columns is the only member; the answers are joined back
+to the rows.  For every unmatched region row the master row with the highest Jaro-Winkler score over the four joined
 names is wanted, among the unmatched master rows of its *block* (master
 provinces reached through the block rules).  The search is a branch and
 bound over the members in the order of their names, block -> span -> chunk, and on
@@ -143,6 +145,8 @@ def block_map(left_provinces: DataFrame, master_provinces: DataFrame,
 
 # The row key of a region row: a repeated code with other names is another row.
 ROW = ("a_id", "a")
+# The key of a search: all rows of a province with these names.
+NAME = ("province_name", "a")
 TIE_COLUMNS = ("m_province", "m_city", "m_district", "m_sub_clean", MASTER_ID)
 LEVELS = (("block", "span"), ("block", "span", "gid"))
 SPAN = 32                   # chunks of a span
@@ -156,19 +160,21 @@ def joined_left(left_only: DataFrame) -> DataFrame:
 
 def candidate_features(left_only: DataFrame, master_only: DataFrame, rules: tuple[BlockRule, ...],
                        group_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with their block, joined string, length, histogram and prefix;
-    master rows also carry their chunk id.  A region row with a missing name
-    has no string to compare; ``unmatched`` reports it."""
-    # the anti-joins feed the block map, the features and a range sample: written once
-    left = materialize(joined_left(left_only).where(F.col("a").isNotNull()), "fuzzy_rows")
+    """The names of each side with their block, joined string, length, histogram and prefix;
+    those of the master also carry their chunk id.  ``left_only`` are rows of ``joined_left``."""
+    # the block map, the features and a range sample read both sides: written once
+    left = materialize(left_only.select(*NAME).distinct(), "fuzzy_names")
     sub_clean = strip_parenthesised(F.col("m_subdistrict"))
-    master = materialize(master_only.select(
+    master = master_only.select(
         MASTER_ID, "m_province", "m_city", "m_district", sub_clean.alias("m_sub_clean"),
-        join_names("m_province", "m_city", "m_district", sub_clean).alias("b")), "fuzzy_members")
+        join_names("m_province", "m_city", "m_district", sub_clean).alias("b"))
+    # of members with the same string the first by the tie columns can win
+    master = master.groupBy("m_province", "b").agg(F.min(F.struct(*TIE_COLUMNS)).alias("w"))
+    master = materialize(master.select("w.*", "b"), "fuzzy_members")
     blocks = block_map(left.select("province_name").distinct(),
                        master.select("m_province").distinct(), rules)
     left = (left.join(blocks, "province_name").distinct()
-            .select(*ROW, "block", F.length("a").alias("la"),
+            .select(*NAME, "block", F.length("a").alias("la"),
                     JW.pack_histogram_udf(JW.char_histogram_udf("a")).alias("ha"),
                     F.substring("a", 1, JW.PREFIX_MAX).alias("pa")))
     # a range holds about one chunk, or several once there are as many as shuffle partitions
@@ -208,13 +214,13 @@ def bounds_below(nodes: DataFrame, left: DataFrame, level: DataFrame, parent: tu
                  keys: tuple[str, ...]) -> DataFrame:
     """Children of each row's nodes, with their bound: (row, keys, ub)."""
     packed = level.withColumn("g_hist", JW.pack_histogram_udf("g_hist"))
-    j = nodes.join(left.select(*ROW, "block", "la", "ha", "pa"), [*ROW, "block"]) if parent != ("block",) else left
+    j = nodes.join(left.select(*NAME, "block", "la", "ha", "pa"), [*NAME, "block"]) if parent != ("block",) else left
     ub = JW.node_bound_udf("ha", "la", "pa", "g_hist", "g_min", "g_max", "g_pre")
-    return j.join(packed, list(parent)).select(*ROW, *keys, ub.alias("ub"))
+    return j.join(packed, list(parent)).select(*NAME, *keys, ub.alias("ub"))
 
 
 def search_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Best member per (row, group) for rows ``(a_id, a, floor, gid)``, and ``scored``,
+    """Best member per (row, group) for rows ``(province_name, a, floor, gid)``, and ``scored``,
     the members whose score was computed; no member (score 0) where none reaches the floor.
 
     Rows and members are cogrouped on the group id; a call builds the group's tries and
@@ -224,8 +230,8 @@ def search_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
     counts = rows.groupBy("gid").agg(F.count(F.lit(1)).alias("_n"))
     salts = counts.select("gid", F.ceil(F.col("_n") / BLOCK_LEFT_ROWS).cast("int").alias("_s"))
     r = (rows.join(salts, "gid")
-         .withColumn("salt", F.pmod(F.xxhash64(*ROW), F.col("_s")).cast("int"))
-         .select("gid", "salt", *ROW, "floor"))
+         .withColumn("salt", F.pmod(F.xxhash64(*NAME), F.col("_s")).cast("int"))
+         .select("gid", "salt", *NAME, "floor"))
     m = (members.join(salts, "gid")
          .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
          .select(F.col("gid").alias("m_gid"), F.col("salt").alias("m_salt"), "b", *TIE_COLUMNS))
@@ -236,21 +242,19 @@ def search_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
     r = r.repartition(n, "gid", "salt")
     m = m.repartition(n, "m_gid", "m_salt")
     ties = list(TIE_COLUMNS)
-    schema = ("a_id string, a string, score double, scored bigint, m_province string, m_city string, m_district string, "
+    schema = ("province_name string, a string, score double, scored bigint, m_province string, m_city string, m_district string, "
               f"m_sub_clean string, {MASTER_ID} bigint")
 
     def run(left_pdf, member_pdf):
-        # of members with the same string the first by the tie columns can win
-        firsts = member_pdf.sort_values(ties, kind="mergesort").drop_duplicates("b").set_index("b")[ties]
-        tie_of = dict(zip(firsts.index, firsts.itertuples(index=False, name=None)))
+        tie_of = dict(zip(member_pdf["b"], member_pdf[ties].itertuples(index=False, name=None)))
         tries = tries_of(tie_of)
         out = []
-        for a_id, a, floor in zip(left_pdf["a_id"], left_pdf["a"], left_pdf["floor"]):
+        for province, a, floor in zip(left_pdf["province_name"], left_pdf["a"], left_pdf["floor"]):
             search = Search(a)
             score, found = search.best(tries, 0.0 if pd.isna(floor) else floor)
             tie = min((tie_of[b] for b in found), default=None)
-            out.append((a_id, a, score if found else 0.0, search.scored, *(tie or (None,) * len(ties))))
-        return pd.DataFrame(out, columns=["a_id", "a", "score", "scored", *ties]).astype({MASTER_ID: "Int64"})
+            out.append((province, a, score if found else 0.0, search.scored, *(tie or (None,) * len(ties))))
+        return pd.DataFrame(out, columns=["province_name", "a", "score", "scored", *ties]).astype({MASTER_ID: "Int64"})
 
     # (the member side is renamed: both sides descend from the same tables,
     # and cogroup keys are matched by position)
@@ -267,12 +271,14 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
     district, cleaned subdistrict, id) of the master.  A row whose best score
     is 0 (nothing in common) gets no match.  ``only_codes`` restricts the
     search to some subdistrict codes.  ``report`` is filled with the number
-    of pairs in the blocks and of pairs whose score was computed.  With ``names`` the
+    of pairs of names in the blocks and of pairs whose score was computed.  With ``names`` the
     row's joined names are in the result (``names_a``).
     """
     if only_codes is not None:
         left_only = searched_rows(left_only, only_codes)
-    left, master = candidate_features(left_only, master_only, rules, group_rows)
+    # a row with a missing name has no string to compare; ``unmatched`` reports it
+    rows = materialize(joined_left(left_only).where(F.col("a").isNotNull()), "fuzzy_rows")
+    left, master = candidate_features(rows, master_only, rules, group_rows)
     left = materialize(left, "fuzzy_left")
     master = materialize(master, "fuzzy_master")
     chunks = materialize(summaries(master), "fuzzy_chunks")
@@ -282,23 +288,23 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
     # 1) floor: the best span, the best chunk in it (ties by key)
     def best(bounded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         node = F.struct(*keys)
-        top = bounded.groupBy(*ROW).agg(F.max_by(node, F.struct("ub", node)).alias("_n"))
-        return top.select(*ROW, "_n.*")
+        top = bounded.groupBy(*NAME).agg(F.max_by(node, F.struct("ub", node)).alias("_n"))
+        return top.select(*NAME, "_n.*")
 
     top = best(bounds_below(left, left, spans, ("block",), LEVELS[0]), LEVELS[0])
-    seeds = materialize(best(bounds_below(top, left, chunks, LEVELS[0], LEVELS[1]), LEVELS[1]).select(*ROW, "gid"), "fuzzy_seeds")
+    seeds = materialize(best(bounds_below(top, left, chunks, LEVELS[0], LEVELS[1]), LEVELS[1]).select(*NAME, "gid"), "fuzzy_seeds")
     first = materialize(search_groups(seeds.withColumn("floor", F.lit(0.0)), members), "fuzzy_first")
-    floor = first.groupBy(*ROW).agg(F.max("score").alias("floor"))
+    floor = first.groupBy(*NAME).agg(F.max("score").alias("floor"))
 
     # 2) open, level by level, only the nodes whose bound reaches the floor
     def reach(bounded: DataFrame) -> DataFrame:
-        return (bounded.join(floor, list(ROW), "left")
+        return (bounded.join(floor, list(NAME), "left")
                 .where(F.col("ub") + 1e-9 >= F.coalesce(F.col("floor"), F.lit(0.0))))
 
-    alive = reach(bounds_below(left, left, spans, ("block",), LEVELS[0])).select(*ROW, *LEVELS[0])
+    alive = reach(bounds_below(left, left, spans, ("block",), LEVELS[0])).select(*NAME, *LEVELS[0])
     alive = reach(bounds_below(alive, left, chunks, LEVELS[0], LEVELS[1]))
-    rest = materialize(alive.join(seeds, [*ROW, "gid"], "left_anti")
-                       .select(*ROW, "gid", F.coalesce(F.col("floor"), F.lit(0.0)).alias("floor")), "fuzzy_rest")
+    rest = materialize(alive.join(seeds, [*NAME, "gid"], "left_anti")
+                       .select(*NAME, "gid", F.coalesce(F.col("floor"), F.lit(0.0)).alias("floor")), "fuzzy_rest")
     scored = first.unionByName(search_groups(rest, members))
     if report is not None:
         scored = materialize(scored, "fuzzy_scored")
@@ -306,7 +312,10 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
         report["block_pairs"] = left.join(blocks, "block").agg(F.sum("n")).first()[0] or 0
         report["scored_pairs"] = scored.agg(F.sum("scored")).first()[0] or 0
     scored = scored.where("score > 0")
-    best_of = scored.groupBy(*ROW).agg(F.min(F.struct((-F.col("score")).alias("neg"), *TIE_COLUMNS)).alias("w"))
+    winner = F.struct((-F.col("score")).alias("neg"), *TIE_COLUMNS)
+    best_of = scored.groupBy(*NAME).agg(F.min(winner).alias("w"))
+    # (a row without a code has no match)
+    best_of = rows.where(F.col("a_id").isNotNull()).join(best_of, list(NAME)).groupBy(*ROW).agg(F.min("w").alias("w"))
     return (best_of.where(F.col("w.neg") < 0)
             .select(F.col("a_id").alias("subdistrict_a"), *([F.col("a").alias("names_a")] if names else []),
                     F.col(f"w.{MASTER_ID}").alias("subdistrict_b"), (-F.col("w.neg")).alias("similarity_score")))

@@ -255,6 +255,19 @@ def test_salted_hot_groups_give_the_same_answer(spark, monkeypatch):
     assert plain == salted and len(plain) == 60
 
 
+def test_equal_names_are_searched_once(spark):
+    """Rows with the same names share one search, members with the same names are one."""
+    rows = [(f"L{i:03d}", "TIMUR", "KOTA", "KEC", f"DESA{i % 5}") for i in range(60)]
+    members = [(500 - i, "TIMUR", "KOTA", "KEC", f"DESA{i % 4}X" + (" (LAMA)" if i % 2 else "")) for i in range(40)]
+    region, master = _region(spark, rows), _master(spark, members)
+    _, left_only, master_only = MT.exact_split(region, master)
+    report = {}
+    got = {r.subdistrict_a: (r.subdistrict_b, r.similarity_score)
+           for r in MT.fuzzy_best_match(left_only, master_only, report=report).collect()}
+    assert got == _brute(rows, members, ()) and len(got) == 60
+    assert report["block_pairs"] <= 5 * 8 and report["scored_pairs"] <= report["block_pairs"]
+
+
 def test_whole_file_document(spark, scratch):
     doc = {"provinsi": {"11": "A", "11": "A2"}, "kabupaten": {"11": {"01": "B"}},
            "kecamatan": {"1101": {"01": "C"}}, "kelurahan": {"110101": {"01": "D", "02": "E"}}}
