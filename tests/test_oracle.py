@@ -29,7 +29,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
-    assert len(QUERIES) == 45
+    assert len(QUERIES) == 50
     assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
