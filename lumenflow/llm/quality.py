@@ -10,9 +10,10 @@ n-grams of log(target / raw), so its length does not matter.  A text is kept if
 its score reaches the cut.  The cut comes from the labelled documents that the
 target did not see (half of them, by a hash of the id): the one that best parts good
 from bad, but no higher than the ``LOW`` quantile of the good ones.  Every labelled
-document is in one of the two halves.  The labels are joined by a shuffle, and the cut
-is found by prefix sums over ranges of the scores, so neither is bounded by a task or
-the driver.
+document is in one of the two halves.  The labels are joined by a shuffle to which only
+the texts go whose id may be a target's, by a bitmap of ``MARKS`` bits over the hashed
+ids; the others can't be in the target.  The cut is found by prefix sums over ranges of
+the scores.  Neither is bounded by a task or the driver.
 
 All of it is column expressions: the words are an array in the row, nothing is
 exploded but for the corpus's bucket counts, which are summed before they are
@@ -36,6 +37,7 @@ from lumenflow.session import materialize
 
 BUCKETS = 1 << 15
 PRIOR = 2.0                 # pseudo-count of a bucket
+MARKS = 1 << 24             # bits that tell texts outside the target apart before the join
 LOW = 0.005                 # share of good documents that the cut may cost at most
 MIN_WORDS = 50
 MAX_REPEATED = 50           # per cent
@@ -126,11 +128,27 @@ def labelled(labels: DataFrame) -> DataFrame:
     return marked.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0)
 
 
+def parted(rows: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``doc_id`` may be among ``ids`` (all that are, and few others while
+    there are far fewer ids than ``MARKS``), and those whose isn't."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
+    part, at = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    # at most MARKS / 32,768 rows of 4 KB
+    bits = ids.groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(at).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    asked = rows.withColumn("_part", part).join(F.broadcast(bits), "_part", "left")
+    return asked.where(maybe).select(*rows.columns), asked.where(~maybe).select(*rows.columns)
+
+
 def learn(docs: DataFrame, marked: DataFrame) -> Model | None:
     """The ratios, without a cut; None without good documents to learn from."""
     target = marked.where((F.col("good") == 1) & ~F.col("held")).select("doc_id", F.lit(1).alias("target"))
-    # the texts are joined, as the words' hashes are larger
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(target, "doc_id", "left")
+    asked, others = parted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), target)
+    # the texts are joined, as the words' hashes are larger; by a merge at any size, as
+    # the ids grow with the corpus and outgrow a broadcast
+    texts = (asked.join(target.hint("merge"), "doc_id", "left").select("target", "text")
+             .union(others.select(F.lit(None).cast("int").alias("target"), "text")))
     rows = texts.select("target", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
     counts = (rows.select(F.explode(_buckets(F.col("hashes"))).alias("bucket"), "target")
               .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("target").alias("target"))

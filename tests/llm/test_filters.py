@@ -136,6 +136,36 @@ def test_quality_fits_all_labels(spark):
     assert model.ratios[bucket] == pytest.approx(math.log((raw * share + quality.PRIOR) / (raw * share + quality.PRIOR)), abs=0.01)
 
 
+@pytest.mark.parametrize("bits", [None, 64])
+def test_quality_joins_only_texts_that_may_be_targets(spark, monkeypatch, bits):
+    """The join gets the target's texts and few others; the ratios are those of all texts,
+    also with a bitmap so small that most texts pass it."""
+    if bits:
+        monkeypatch.setattr(quality, "MARKS", bits)
+    n = 2_000
+    rows = [(i, f"word w{i % 7} w{i}") for i in range(n)] + [(3, "w3 again"), (5, None), (None, "word"), (None, None)]
+    docs = cases.docs(spark, rows)
+    marked = quality.labelled(spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(0, 200)], "doc_id long, quality int"))
+    target = {r["doc_id"] for r in marked.where("good = 1 and not held").collect()}
+    sent, real = [], type(docs).join
+
+    def spy(self, other, on=None, how=None):
+        if on == "doc_id" and "text" in self.columns:
+            sent.append(self.count())
+        return real(self, other, on, how)
+
+    monkeypatch.setattr(type(docs), "join", spy)
+    model = quality.learn(docs, marked)
+    assert bits or len(target) <= max(sent) < 200
+    found = docs.select("doc_id", quality._buckets(F.transform(quality.words(F.col("text")), lambda w: F.xxhash64(w))).alias("b")).collect()
+    raw, good = collections.Counter(), collections.Counter()
+    for r in found:
+        raw.update(r["b"])
+        good.update(r["b"] if r["doc_id"] in target else [])
+    assert {b: x for b, x in enumerate(model.ratios) if x} == {
+        b: x for b, c in raw.items() if (x := round(math.log((good[b] + quality.PRIOR) / (c * good.total() / raw.total() + quality.PRIOR)), 9))}
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_cut_of_ranges_is_best_cut(spark, seed):
     rng = random.Random(seed)
