@@ -18,19 +18,19 @@ down the trie of a chunk's names:
 * spans and chunks are summarised by their length range, their common
   four-character prefix and the per-bucket maximum of their members' character
   histograms; for a row and a node these give a score no member can exceed;
-* a floor per row comes from a descent along the highest bounds (the best span, the
-  best chunk in it, searched);
+* a floor per row comes from beams (the few best ways down a trie) in the chunks of the
+  highest bounds: a bound alone says little about which chunk holds the best member;
 * then only nodes whose bound reaches the floor are opened, level by level, and
-  the rows that reach a chunk search its trie in a cogrouped ``applyInPandas``
-  (``functions.jaro_trie``: the matching is built along the trie, and its bounds see
-  the match window and the transpositions); a chunk reached by many rows is split by
-  a salt;
+  the rows that reach a chunk search its trie together in a cogrouped ``applyInPandas``
+  (``functions.jaro_trie``: the matching is built along the trie for all rows at once, and
+  its bounds see the match window and the transpositions); a chunk reached by many rows is
+  split by a salt;
 * the winner is an aggregate ``min(struct(-score, tie columns))`` (partial
   per task, final per row), so no group is ever collected.
 
 Between levels only ids and bounds travel on; a row's histogram (128 bytes)
 is joined where a bound is computed.  Written are the features, the chunk
-summaries and the first scores, which several branches read.
+summaries and the floors, which several branches read.
 """
 
 from __future__ import annotations
@@ -38,11 +38,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenflow.functions import jaro_winkler as JW
-from lumenflow.functions.jaro_trie import Search, tries_of
+from lumenflow.functions.jaro_trie import Batch, Trie
 from lumenflow.functions.strings import join_names, strip_parenthesised, text_upper
 from lumenflow.session import materialize
 
@@ -150,8 +150,9 @@ NAME = ("province_name", "a")
 TIE_COLUMNS = ("m_province", "m_city", "m_district", "m_sub_clean", MASTER_ID)
 LEVELS = (("block", "span"), ("block", "span", "gid"))
 SPAN = 32                   # chunks of a span
-BLOCK_LEFT_ROWS = 512       # region rows per search call (hot groups are salted)
-GROUP_ROWS = 10_000         # members of a chunk, one trie for each length
+SEED_SPANS, SEEDS = 4, 8    # spans, and chunks in them, that give a row its floor
+BLOCK_LEFT_ROWS = 8192      # region rows per search call (hot groups are salted)
+GROUP_ROWS = 30_000         # members of a chunk, whose names are a trie
 
 
 def joined_left(left_only: DataFrame) -> DataFrame:
@@ -219,12 +220,13 @@ def bounds_below(nodes: DataFrame, left: DataFrame, level: DataFrame, parent: tu
     return j.join(packed, list(parent)).select(*NAME, *keys, ub.alias("ub"))
 
 
-def search_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
+def search_groups(rows: DataFrame, members: DataFrame, floors: bool = False) -> DataFrame:
     """Best member per (row, group) for rows ``(province_name, a, floor, gid)``, and ``scored``,
     the members whose score was computed; no member (score 0) where none reaches the floor.
+    With ``floors`` only a score that some member of the group has, a high one.
 
-    Rows and members are cogrouped on the group id; a call builds the group's tries and
-    searches them for each row.  A group reached by more than ``BLOCK_LEFT_ROWS``
+    Rows and members are cogrouped on the group id; a call builds the group's trie and
+    searches it for its rows.  A group reached by more than ``BLOCK_LEFT_ROWS``
     rows is split: rows get a salt, members are replicated per salt, so no
     call holds more than that many rows and one group of members."""
     counts = rows.groupBy("gid").agg(F.count(F.lit(1)).alias("_n"))
@@ -242,19 +244,26 @@ def search_groups(rows: DataFrame, members: DataFrame) -> DataFrame:
     r = r.repartition(n, "gid", "salt")
     m = m.repartition(n, "m_gid", "m_salt")
     ties = list(TIE_COLUMNS)
-    schema = ("province_name string, a string, score double, scored bigint, m_province string, m_city string, m_district string, "
-              f"m_sub_clean string, {MASTER_ID} bigint")
+    schema = "province_name string, a string, score double"
+    if not floors:
+        schema += (", scored bigint, m_province string, m_city string, m_district string, "
+                   f"m_sub_clean string, {MASTER_ID} bigint")
 
     def run(left_pdf, member_pdf):
-        tie_of = dict(zip(member_pdf["b"], member_pdf[ties].itertuples(index=False, name=None)))
-        tries = tries_of(tie_of)
-        out = []
-        for province, a, floor in zip(left_pdf["province_name"], left_pdf["a"], left_pdf["floor"]):
-            search = Search(a)
-            score, found = search.best(tries, 0.0 if pd.isna(floor) else floor)
-            tie = min((tie_of[b] for b in found), default=None)
-            out.append((province, a, score if found else 0.0, search.scored, *(tie or (None,) * len(ties))))
-        return pd.DataFrame(out, columns=["province_name", "a", "score", "scored", *ties]).astype({MASTER_ID: "Int64"})
+        trie = Trie(member_pdf["b"])
+        batch = Batch(left_pdf["a"].tolist(), trie, left_pdf["floor"].fillna(0.0))
+        out = left_pdf[list(NAME)].reset_index(drop=True)
+        if floors:
+            return out.assign(score=batch.floors())
+        found = pd.DataFrame(dict(zip(("row", "member", "score"), batch.run())))
+        # of a row's members with its best score the first by the tie columns
+        members = member_pdf.sort_values(ties).drop_duplicates("b", ignore_index=True)
+        rank = pd.Series(members.index, index=members["b"]).reindex(trie.strings).to_numpy()
+        found["rank"] = rank[found["member"].astype(int)]
+        first = found.sort_values(["row", "rank"]).drop_duplicates("row").set_index("row").reindex(out.index)
+        out = out.assign(score=first["score"].fillna(0.0), scored=batch.scored)
+        best = members[ties].astype({MASTER_ID: "Int64"}).reindex(first["rank"].astype("Int64"))
+        return pd.concat([out, best.reset_index(drop=True)], axis=1)
 
     # (the member side is renamed: both sides descend from the same tables,
     # and cogroup keys are matched by position)
@@ -285,16 +294,16 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
     spans = summaries_above(chunks, LEVELS[0])
     members = master.select("gid", "b", *TIE_COLUMNS)
 
-    # 1) floor: the best span, the best chunk in it (ties by key)
-    def best(bounded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-        node = F.struct(*keys)
-        top = bounded.groupBy(*NAME).agg(F.max_by(node, F.struct("ub", node)).alias("_n"))
-        return top.select(*NAME, "_n.*")
+    # 1) floor: the best spans, the best chunks in them (ties by key)
+    def best(bounded: DataFrame, keys: tuple[str, ...], most: int) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy(*NAME).orderBy(F.desc("ub"), *keys))
+        return bounded.withColumn("_nth", nth).where(F.col("_nth") <= most).select(*NAME, *keys)
 
-    top = best(bounds_below(left, left, spans, ("block",), LEVELS[0]), LEVELS[0])
-    seeds = materialize(best(bounds_below(top, left, chunks, LEVELS[0], LEVELS[1]), LEVELS[1]).select(*NAME, "gid"), "fuzzy_seeds")
-    first = materialize(search_groups(seeds.withColumn("floor", F.lit(0.0)), members), "fuzzy_first")
-    floor = first.groupBy(*NAME).agg(F.max("score").alias("floor"))
+    top = best(bounds_below(left, left, spans, ("block",), LEVELS[0]), LEVELS[0], SEED_SPANS)
+    seeds = best(bounds_below(top, left, chunks, LEVELS[0], LEVELS[1]), LEVELS[1], SEEDS)
+    seeds = materialize(seeds.select(*NAME, "gid", F.lit(0.0).alias("floor")), "fuzzy_seeds")
+    first = search_groups(seeds, members, floors=True)
+    floor = materialize(first.groupBy(*NAME).agg(F.max("score").alias("floor")), "fuzzy_floors")
 
     # 2) open, level by level, only the nodes whose bound reaches the floor
     def reach(bounded: DataFrame) -> DataFrame:
@@ -303,9 +312,8 @@ def fuzzy_best_match(left_only: DataFrame, master_only: DataFrame,
 
     alive = reach(bounds_below(left, left, spans, ("block",), LEVELS[0])).select(*NAME, *LEVELS[0])
     alive = reach(bounds_below(alive, left, chunks, LEVELS[0], LEVELS[1]))
-    rest = materialize(alive.join(seeds, [*NAME, "gid"], "left_anti")
-                       .select(*NAME, "gid", F.coalesce(F.col("floor"), F.lit(0.0)).alias("floor")), "fuzzy_rest")
-    scored = first.unionByName(search_groups(rest, members))
+    alive = materialize(alive.select(*NAME, "gid", F.coalesce(F.col("floor"), F.lit(0.0)).alias("floor")), "fuzzy_alive")
+    scored = search_groups(alive, members)
     if report is not None:
         scored = materialize(scored, "fuzzy_scored")
         blocks = master.groupBy("block").agg(F.count(F.lit(1)).alias("n"))

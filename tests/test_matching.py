@@ -238,6 +238,43 @@ def test_trie_search_scores_few_members():
     assert _search("x" * 38 + "007" * 21, long)[1][0] in long
 
 
+def test_many_rows_against_a_trie_equal_all_pairs():
+    """Rows go down the trie together; names longer than a word of the masks too."""
+    from lumenflow.functions.jaro_trie import Batch, Trie
+    rng = random.Random(6)
+    for size, alphabet in ((9, "ab1"), (30, "abcd_ 12"), (80, "abcd_ 12")):
+        members = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, size))) for _ in range(30)]
+        rows = ["".join(rng.choice(alphabet + "z") for _ in range(rng.randrange(size))) for _ in range(5)] + members[:2]
+        trie = Trie(members)
+        scores = np.array([JW.jaro_winkler([a] * len(trie.strings), trie.strings).round(9) for a in rows])
+        top = scores.max(axis=1)
+        for floors in (None, top * 0.9, top):
+            batch = Batch(rows, trie, floors)
+            row, member, score = batch.run()
+            got = sorted(zip(row.tolist(), member.tolist(), score.tolist()))
+            assert got == [(i, j, s) for i, line in enumerate(scores.tolist()) for j, s in enumerate(line) if s == top[i] > 0]
+            assert (batch.scored <= len(trie.strings)).all()
+        assert (Batch(rows, trie).floors() <= top).all() and len(Batch(rows, trie, top + 0.01).run()[0]) == 0
+
+
+def test_floors_come_from_more_than_one_chunk(spark):
+    """The chunk of the highest bound is not the one of the best member: few pairs are scored."""
+    rnd = random.Random(5)
+    names = [f"NATION {rnd.randrange(20)}", f"NATION {rnd.randrange(20)}"]
+    rows = [(f"L{i:03d}", "EUROPA", rnd.choice(names), rnd.choice(["BUILDING", "MACHINERY"]), f"CUSTOMER#{rnd.randrange(10**6):09d}")
+            for i in range(60)]
+    members = [(500 + i, "EUROPE", rnd.choice(names), rnd.choice(["BUILDING", "MACHINERY"]), f"CUSTOMER#{rnd.randrange(10**6):09d}")
+               for i in range(900)]
+    rules = (MT.BlockRule(("EUROPA",), "EUROPE"),)
+    _, left_only, master_only = MT.exact_split(_region(spark, rows), _master(spark, members))
+    report = {}
+    got = {r.subdistrict_a: r.similarity_score
+           for r in MT.fuzzy_best_match(left_only, master_only, rules, group_rows=100, report=report).collect()}
+    texts = ["_".join(m[1:]) for m in members]
+    assert got == {r[0]: JW.jaro_winkler(["_".join(r[1:])] * len(texts), texts).round(9).max() for r in rows}
+    assert report["scored_pairs"] < 0.03 * report["block_pairs"], report["scored_pairs"] / report["block_pairs"]
+
+
 def test_salted_hot_groups_give_the_same_answer(spark, monkeypatch):
     """With at most 3 region rows per scoring call every group is split
     into salts (members replicated); the result must not change."""
