@@ -187,9 +187,12 @@ class Batch:
             taken = some | {"ua": [x | bit for x, bit in zip(some["ua"], low)], "wrong": some["wrong"].copy(),
                             "open": [x.copy() for x in some["open"]]}
             self._settle(d, taken, guess=True)
+            # one free character less, where the unary number isn't cut at the most of a member
+            spot = row[at].astype(np.int64) * (self.size + 1) + char
+            left = sum(np.bitwise_count(x.take(spot) & ~a).astype(np.int32) for x, a in zip(self.places, some["a"]))
             for x, run in zip(some["free"], self.trie.run):
-                run = run.take(char)
-                x ^= x & run & ~((x & run) >> _ONE)
+                run = x & run.take(char)
+                x ^= run & ~(run >> _ONE) & np.where(np.bitwise_count(run) == left, _ALL, np.uint64(0))
             self._settle(d, some, guess=True)
             score[at] = np.maximum(self._of(d, taken | {"free": self._pick(s, at)["free"]}), self._of(d, some))
         return score

@@ -257,6 +257,24 @@ def test_many_rows_against_a_trie_equal_all_pairs():
         assert (Batch(rows, trie).floors() <= top).all() and len(Batch(rows, trie, top + 0.01).run()[0]) == 0
 
 
+def test_names_with_many_equal_digits_against_a_trie():
+    """A row has more of a character than any member, and places of it stay open for long."""
+    from lumenflow.functions.jaro_trie import Batch, Trie
+    rng = random.Random(1)
+
+    def name(province):
+        digits = "".join(rng.choice("0129") for _ in range(6)).rjust(9, "0")
+        return f"{province}_NATION_{rng.choice([1, 11, 10, 21])}_{rng.choice(['MACHINERY', 'BUILDING'])}_CUSTOMER{rng.choice(['#', ''])}{digits}"
+
+    for _ in range(12):
+        trie = Trie([name("AMERICA") for _ in range(rng.choice([5, 40]))])
+        rows = [name(rng.choice(["AMERICA", "AMERICA NORTH"])) for _ in range(20)]
+        scores = np.array([JW.jaro_winkler([a] * len(trie.strings), trie.strings).round(9) for a in rows])
+        for floors in (None, scores.max(axis=1)):
+            row, member, _ = Batch(rows, trie, floors).run()
+            assert sorted(zip(row.tolist(), member.tolist())) == [tuple(x) for x in np.argwhere(scores == scores.max(axis=1)[:, None]).tolist()]
+
+
 def test_floors_come_from_more_than_one_chunk(spark):
     """The chunk of the highest bound is not the one of the best member: few pairs are scored."""
     rnd = random.Random(5)
